@@ -143,12 +143,16 @@ def annotate_gwas(features: DataFrame, variants: DataFrame) -> DataFrame:
         "risk_allele_frequency", "or_or_beta", "ci_95_text"])
 
 
+def _equals(label: str):
+    return lambda x: x == label
+
+
 def summarize_annotations(annotations: DataFrame, labels: Sequence[str] = CLINICAL_LABEL_ORDER, column: str = "clinical_labels") -> DataFrame:
     """Rows per feature type and label, absent labels as zero; ``rank`` orders the report."""
     parts = F.split(F.col(column), r"\|")
     wide = annotations.groupBy("feature_type").agg(
         F.count("*").alias("ALL"),
-        *[F.sum(F.size(F.filter(parts, lambda x, l=l: x == l))).alias(l) for l in labels])
+        *[F.sum(F.size(F.filter(parts, _equals(l)))).alias(l) for l in labels])
     names = ["ALL", *labels]
     cells = F.array(*[F.struct(
         F.lit(i).alias("label_rank"), F.lit(n).alias("label"), F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias("count"))
@@ -310,6 +314,10 @@ def sort_vcf(vcf: DataFrame, explicit: Sequence[str] | None = None, meta: DataFr
     return vcf.join(ranks, "chrom").orderBy("rank", "pos", "ord").select(*vcf.columns)
 
 
+def _of_type(kind: str):
+    return lambda x: x["t"] == kind
+
+
 def vcf_statistics(vcf: DataFrame) -> DataFrame:
     """Metric table: records, alleles by type, transitions and transversions, records per contig."""
     alleles = F.transform("alts", lambda a: F.struct(V.allele_type(F.col("ref"), a).alias("t"), V.is_transition(F.col("ref"), a).alias("ts")))
@@ -321,7 +329,7 @@ def vcf_statistics(vcf: DataFrame) -> DataFrame:
         F.count("*").alias("records"), F.count_if(F.col("filter") == "PASS").alias("records_pass"),
         F.count_if(F.size("alts") == 0).alias("records_no_alt"), F.count_if(F.size("alts") > 1).alias("records_multiallelic"),
         F.sum(F.size("alts")).alias("alt_alleles"),
-        *[n(lambda x, t=t: x["t"] == t).alias(f"alleles_{t}") for t in ("snv", "mnv", "indel", "other")],
+        *[n(_of_type(t)).alias(f"alleles_{t}") for t in ("snv", "mnv", "indel", "other")],
         n(lambda x: (x["t"] == "snv") & x["ts"]).alias("transitions"),
         n(lambda x: (x["t"] == "snv") & ~x["ts"]).alias("transversions"))
     ratio = F.when(F.col("transversions") > 0, F.format_string("%.3f", F.col("transitions") / F.col("transversions"))).otherwise("NA")

@@ -68,7 +68,7 @@ def alt_text(alts: Column) -> Column:
     return F.when(F.size(alts) > 0, F.array_join(alts, ",")).otherwise(F.lit("."))
 
 
-def vcf_line(df: DataFrame) -> Column:
+def vcf_line(df: DataFrame | None = None) -> Column:
     """One VCF text line from the record columns."""
     base = [F.col("chrom"), F.col("pos").cast("string"), F.col("id"), F.col("ref"), alt_text(F.col("alts")),
             F.col("qual"), F.col("filter"), F.col("info")]
