@@ -64,7 +64,7 @@ def int_list(text: Column) -> Column:
     """Whole numbers of a comma list; a trailing comma is allowed, bad items count as 0."""
     body = F.rtrim(F.trim(text), F.lit(","))
     items = F.filter(F.split(body, ",", -1), lambda x: x != "")
-    return F.transform(F.coalesce(items, F.array().cast("array<string>")), to_int_lenient)
+    return F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda x: to_int_lenient(x))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

@@ -13,7 +13,7 @@ from locusframe.functions.sequence import identity_count
 from locusframe.functions.values import safe_ratio, to_float_lenient
 from locusframe.operators.intervals import interval_join, islands, union_length
 from locusframe.operators.ordered import running
-from locusframe.session import ensure_checkpoint_dir
+from locusframe.session import materialize
 
 RUN = ["species", "mode"]
 MAX_ISLAND = 20_000
@@ -121,8 +121,7 @@ def _sweep_large(members: DataFrame, keys: Sequence[str], cutoff: float) -> Data
     drops what it beats before the first segment that beats it, and cuts the lineage.
     """
     keys = list(keys)
-    ensure_checkpoint_dir(members.sparkSession)
-    open_ = members.withColumns({"gone": F.lit(False), "done": F.lit(False)}).checkpoint()
+    open_ = materialize(members.withColumns({"gone": F.lit(False), "done": F.lit(False)}))
     while True:
         left = open_.where("not gone and not done").groupBy(*keys).agg(
             F.min_by(F.struct("segment_id", "start", "end", "matched_length", "blocks"), "segment_id").alias("left"))
@@ -138,9 +137,9 @@ def _sweep_large(members: DataFrame, keys: Sequence[str], cutoff: float) -> Data
         judged = faced.join(beaten_by, keys, "left")
         loses = F.col("rival") & (F.col("matched_length") <= F.col("l_score")) & (F.col("winner").isNull() | (F.col("segment_id") < F.col("winner")))
         is_left = F.coalesce(F.col("segment_id") == F.col("l_id"), F.lit(False))
-        open_ = judged.select(
+        open_ = materialize(judged.select(
             *members.columns, (F.col("gone") | loses | (is_left & F.col("winner").isNotNull())).alias("gone"),
-            (F.col("done") | is_left).alias("done")).checkpoint()
+            (F.col("done") | is_left).alias("done")))
 
 
 def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5, max_island: int = MAX_ISLAND) -> DataFrame:
@@ -154,14 +153,15 @@ def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5
     iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
     rows = scores.join(blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", iv.alias("blocks")), [*RUN, "segment_id"])
     keys = [*RUN, "base_id"]
-    placed = islands(rows.select(*keys, "segment_id", "start", "end", "matched_length", "blocks"), keys)
+    rows = rows.select(*keys, "segment_id", "start", "end", "matched_length", "blocks")
+    placed = materialize(islands(rows, keys))
     group = [*keys, "island"]
     counts = placed.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1")
     sized = placed.join(counts, group)
     small = sized.where(F.col("n") <= max_island).select(
         *group, "segment_id", "start", "end", "matched_length", F.transform("blocks", lambda x: x["start"]).alias("b_starts"),
         F.transform("blocks", lambda x: x["end"]).alias("b_ends"))
-    dropped = small.groupBy(*group).applyInPandas(_drop_pass(cutoff), "species string, mode string, segment_id string")
+    dropped = materialize(small.groupBy(*group).applyInPandas(_drop_pass(cutoff), "species string, mode string, segment_id string"))
     large = sized.where(F.col("n") > max_island).drop("n")
     if large.isEmpty():
         return dropped
@@ -199,7 +199,7 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
     labelled = clusters.groupBy(*keys, "strand", "island").applyInPandas(
         _label_pass(distance), "species string, mode string, base_id string, segment_id string, label_id string")
     alone = rows.where("start is null").select(*keys, "segment_id", F.col("segment_id").alias("label_id"))
-    labelled = labelled.unionByName(alone)
+    labelled = materialize(labelled.unionByName(alone))
     sizes = labelled.groupBy(*keys).agg(F.count("*").alias("members"))
     ranks = rank_texts(labelled.select(*keys, "label_id").distinct(), keys, "label_id", "label_no")
     out = labelled.join(ranks, [*keys, "label_id"]).join(sizes, keys)

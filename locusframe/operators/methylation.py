@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from locusframe.functions.values import to_float
 from locusframe.operators.intervals import interval_join
 from locusframe.operators.ordered import magnitude_block, running
+from locusframe.session import materialize
 
 TEST_KEYS = ["dataset", "region", "gene_id"]
 
@@ -74,7 +75,7 @@ def _weighted(values: DataFrame, sizes: DataFrame, grid: DataFrame, case: str, c
     zeros = grid.join(present, TEST_KEYS, "left").join(sizes, "dataset").select(
         *TEST_KEYS, F.lit(0.0).alias("value"),
         (F.col("n1") - F.coalesce("pa", zero)).alias("a"), (F.col("n2") - F.coalesce("pb", zero)).alias("b"))
-    both = counted.unionByName(zeros).where("a > 0 or b > 0")
+    both = counted.join(grid, TEST_KEYS, "left_semi").unionByName(zeros).where("a > 0 or b > 0")
     return both.groupBy(*TEST_KEYS, "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
@@ -133,7 +134,7 @@ def false_discovery(tests: DataFrame, keys: Sequence[str] = ("dataset", "region"
     """
     keys = list(keys)
     distinct = tests.groupBy(*keys, p).agg(F.count("*").alias("_n"))
-    total = tests.groupBy(*keys).agg(F.count("*").alias("_total"))
+    total = distinct.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     ranked = running(distinct, keys, [p], magnitude_block(p), {"_rank": ("sum", F.col("_n"))}).join(total, keys)
     raw = ranked.withColumn("_raw", F.least(F.lit(1.0), F.col(p) * F.col("_total") / F.col("_rank")))
     q = running(raw, keys, [p], magnitude_block(p), {"q": ("min", F.col("_raw"))}, reverse=True).select(*keys, p, "q")
@@ -143,7 +144,7 @@ def false_discovery(tests: DataFrame, keys: Sequence[str] = ("dataset", "region"
 def wilcox_calls(stats: DataFrame, min_median: float = 0.2) -> DataFrame:
     """p, q and direction by the larger median, which must exceed ``min_median``."""
     mc, mn = F.col("median_case"), F.col("median_control")
-    tested = false_discovery(stats.withColumn("p", two_sided_p(F.col("z"))))
+    tested = false_discovery(materialize(stats.withColumn("p", two_sided_p(F.col("z")))))
     direction = F.when((mc > mn) & (mc > min_median), "High").when((mn > mc) & (mn > min_median), "Low")
     return tested.withColumn("direction", direction)
 

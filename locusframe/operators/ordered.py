@@ -59,9 +59,12 @@ def running(
     Keys and order columns must be free of nulls and the order total within a key.
     ``exclusive`` leaves the current row out; ``reverse`` runs from the end.
     """
-    src = df.withColumn("_blk", block)
-    for name, (_, value) in aggs.items():
-        src = src.withColumn(f"_v_{name}", value)
+    rest = [c for c in df.columns if c not in keys and c not in order and c not in aggs]
+    src = df.select(
+        *keys, *order, block.alias("_blk"), *[value.alias(f"_v_{n}") for n, (_, value) in aggs.items()],
+        # null only with the block, so that counting it below needs every column
+        F.when(block.isNotNull(), F.struct(*[F.col(c) for c in rest] or [F.lit(0).alias("_none")])).alias("_rest"),
+    ).repartition(*keys, "_blk")
     vals = {name: (kind, F.col(f"_v_{name}")) for name, (kind, _) in aggs.items()}
 
     def direction(c: str) -> Column:
@@ -77,9 +80,10 @@ def running(
     order_key = F.struct(*[F.col(c) for c in order])
     if reverse and any(k == "last" for k, _ in vals.values()):
         raise ValueError("last runs forward only")
+    # The totals read the same columns as the rows, so both share one shuffle and the input runs once.
     totals = src.groupBy(*keys, "_blk").agg(
-        *[_totals(k, v, order_key).alias(f"_t_{n}") for n, (k, v) in vals.items()]
-    )
+        *[_totals(k, v, order_key).alias(f"_t_{n}") for n, (k, v) in vals.items()], F.count("_rest").alias("_rows")
+    ).where("_rows >= 0")
     block_order = F.col("_blk").desc() if reverse else F.col("_blk").asc()
     outer_w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
     outer_w = outer_w.orderBy(block_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +92,7 @@ def running(
     )
     out = inner.join(carry, [*keys, "_blk"], "left")
     return out.select(
-        *[F.col(c) for c in df.columns if c not in aggs],
+        *[F.col(f"_rest.`{c}`").alias(c) if c in rest else F.col(c) for c in df.columns if c not in aggs],
         *[_combine(k, F.col(f"_c_{n}"), F.col(f"_i_{n}")).alias(n) for n, (k, _) in vals.items()],
     )
 

@@ -113,15 +113,12 @@ def with_first_seen(rows: DataFrame, keys: Sequence[str], name: str = "first_ord
 
 def with_order_marks(rows: DataFrame, chrom: str = "chrom", pos: str = "start") -> DataFrame:
     """Append ``unsorted``: position before the previous one, or a contig revisited after another one."""
-    usable = rows.where(F.col(pos).isNotNull())
-    seen = with_first_seen(usable, [chrom], "_first")
-    marked = running(seen, ["path"], ["ord"], ord_block(), {
-        "_prev": ("last", F.struct(F.col(chrom).alias("c"), F.col(pos).alias("p")))}, exclusive=True)
-    newest = running(marked, ["path"], ["ord"], ord_block(), {"_newest": ("max", F.col("_first"))})
+    seen = with_first_seen(rows, [chrom], "_first").withColumn("_first", F.when(F.col(pos).isNotNull(), F.col("_first")))
+    here = F.when(F.col(pos).isNotNull(), F.struct(F.col(chrom).alias("c"), F.col(pos).alias("p")))
+    marked = running(seen, ["path"], ["ord"], ord_block(), {"_prev": ("last", here), "_newest": ("max", F.col("_first"))}, exclusive=True)
     same = F.col("_prev.c") == F.col(chrom)
     bad = F.col("_prev").isNotNull() & ((same & (F.col(pos) < F.col("_prev.p"))) | (~same & (F.col("_first") < F.col("_newest"))))
-    flags = newest.select("path", "ord", bad.alias("unsorted"))
-    return rows.join(flags, ["path", "ord"], "left").withColumn("unsorted", F.coalesce("unsorted", F.lit(False)))
+    return marked.withColumn("unsorted", F.coalesce(bad, F.lit(False))).drop("_prev", "_newest", "_first")
 
 
 def check_annotation(lines: DataFrame, fmt: str = "gtf") -> Check:

@@ -270,8 +270,8 @@ x AS (SELECT ord, c, n, i, string_split(c[5], ',')[i+1] AS alt,
      WHEN t LIKE 'DP=%' OR t LIKE 'RS=%' OR t LIKE 'ALLELEID=%' THEN t ELSE t END for t in inf], ';') AS info,
   [ array_to_string([CASE WHEN g IN ('/', '|', '.') THEN g WHEN g='0' THEN '0' WHEN g=CAST(i+1 AS VARCHAR) THEN '1' ELSE '.' END for g in string_split(s[1], '')], '')
     ||':'||CASE WHEN s[2]='.' THEN '.' ELSE string_split(s[2], ',')[1]||','||string_split(s[2], ',')[i+2] END
-    ||':'||CASE WHEN s[3]='.' THEN '.' WHEN len(string_split(s[3], ','))=(n+1)*(n+2)//2 THEN string_split(s[3], ',')[1]||','||string_split(s[3], ',')[(i+1)*(i+2)//2+1]||','||string_split(s[3], ',')[(i+1)*(i+2)//2+(i+1)+1] ELSE s[3] END for s in sm] AS sl,
-  list_sum([CASE WHEN s[3]<>'.' AND len(string_split(s[3], ','))<>(n+1)*(n+2)//2 THEN 1 ELSE 0 END for s in sm]) AS kept FROM f)
+    ||':'||CASE WHEN coalesce(s[3], '.')='.' THEN '.' WHEN len(string_split(s[3], ','))=(n+1)*(n+2)//2 THEN string_split(s[3], ',')[1]||','||string_split(s[3], ',')[(i+1)*(i+2)//2+1]||','||string_split(s[3], ',')[(i+1)*(i+2)//2+(i+1)+1] ELSE s[3] END for s in sm] AS sl,
+  list_sum([CASE WHEN s[3] IS NOT NULL AND s[3]<>'.' AND len(string_split(s[3], ','))<>(n+1)*(n+2)//2 THEN 1 ELSE 0 END for s in sm]) AS kept FROM f)
 SELECT ord, chrom, pos, ref, alt, info, samples, kept_genotype_fields FROM one
 UNION ALL SELECT ord, c[1], CAST(c[2] AS BIGINT), c[4], alt, info, sl[1]||' '||sl[2], CAST(kept AS BIGINT) FROM x"""
 

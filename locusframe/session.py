@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,3 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="locusframe-checkpoint-")
     sc.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate table that several steps read, cutting its lineage by a reliable checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
