@@ -195,9 +195,16 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
     rows = kept.select(*keys, "segment_id").join(
         spans.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", "strand"), [*RUN, "segment_id"], "left")
     known = rows.where("start is not null").withColumn("strand", F.coalesce("strand", F.lit(".")))
-    clusters = islands(known, [*keys, "strand"], gap=distance)
-    labelled = clusters.groupBy(*keys, "strand", "island").applyInPandas(
+    cluster = [*keys, "strand", "island"]
+    placed = materialize(islands(known, [*keys, "strand"], gap=distance))
+    extent = placed.groupBy(*cluster).agg(
+        F.min("segment_id").alias("label_id"), (F.max("start") - F.min("end") <= distance).alias("compact"))
+    sized = placed.join(extent, cluster)
+    # all members near each other: the first one passes its label to every other at once
+    compact = sized.where("compact").select(*keys, "segment_id", "label_id")
+    chained = sized.where("not compact").select(*cluster, "segment_id", "start", "end").groupBy(*cluster).applyInPandas(
         _label_pass(distance), "species string, mode string, base_id string, segment_id string, label_id string")
+    labelled = compact.unionByName(chained)
     alone = rows.where("start is null").select(*keys, "segment_id", F.col("segment_id").alias("label_id"))
     labelled = materialize(labelled.unionByName(alone))
     sizes = labelled.groupBy(*keys).agg(F.count("*").alias("members"))

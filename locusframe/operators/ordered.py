@@ -62,8 +62,7 @@ def running(
     rest = [c for c in df.columns if c not in keys and c not in order and c not in aggs]
     src = df.select(
         *keys, *order, block.alias("_blk"), *[value.alias(f"_v_{n}") for n, (_, value) in aggs.items()],
-        # null only with the block, so that counting it below needs every column
-        F.when(block.isNotNull(), F.struct(*[F.col(c) for c in rest] or [F.lit(0).alias("_none")])).alias("_rest"),
+        *([F.struct(*[F.col(c) for c in rest]).alias("_rest")] if rest else []),
     ).repartition(*keys, "_blk")
     vals = {name: (kind, F.col(f"_v_{name}")) for name, (kind, _) in aggs.items()}
 
@@ -80,9 +79,11 @@ def running(
     order_key = F.struct(*[F.col(c) for c in order])
     if reverse and any(k == "last" for k, _ in vals.values()):
         raise ValueError("last runs forward only")
-    # The totals read the same columns as the rows, so both share one shuffle and the input runs once.
+    # The count keeps every column, so rows and totals share one shuffle and the input runs once.
+    row = F.struct(*[F.col(c) for c in src.columns if c not in keys])
     totals = src.groupBy(*keys, "_blk").agg(
-        *[_totals(k, v, order_key).alias(f"_t_{n}") for n, (k, v) in vals.items()], F.count("_rest").alias("_rows")
+        *[_totals(k, v, order_key).alias(f"_t_{n}") for n, (k, v) in vals.items()],
+        F.count(F.when(F.col("_blk").isNotNull(), row)).alias("_rows"),
     ).where("_rows >= 0")
     block_order = F.col("_blk").desc() if reverse else F.col("_blk").asc()
     outer_w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
