@@ -376,7 +376,7 @@ def sam_to_bed12(sam: DataFrame) -> DataFrame:
     init = F.struct(zero.alias("at"), zero.alias("from"), empty.alias("done"))
 
     def step(acc, x):
-        n, op = x["0"].cast("bigint"), x["1"]
+        n, op = x["n"].cast("bigint"), x["op"]
         closes = op == "N"
         grows = op.isin("M", "D", "=", "X")
         block = F.struct(acc["from"].alias("o"), (acc["at"] - acc["from"]).alias("s"))

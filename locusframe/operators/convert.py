@@ -58,7 +58,7 @@ def bedmethyl_to_bed(bed: DataFrame, coverage: bool = False, percent: bool = Fal
     rows = bed.where(F.size("cells") >= 6)
     c = F.col("cells")
     more = ([cell(c, 9).alias("coverage")] if coverage else []) + ([cell(c, 10).alias("percent")] if percent else [])
-    return rows.select("chrom", "start", "end", c[3].alias("mod_code"), c[4].alias("score"), c[5].alias("strand"), *more)
+    return rows.select("chrom", "start", "end", cell(c, 3).alias("mod_code"), cell(c, 4).alias("score"), cell(c, 5).alias("strand"), *more)
 
 
 def annotation_to_bed(records: DataFrame) -> DataFrame:

@@ -125,7 +125,7 @@ def check_annotation(lines: DataFrame, fmt: str = "gtf") -> Check:
     c = F.col("c")
     rows = content(lines, "#").withColumn("c", cells(F.col("value")))
     ok = F.size("c") == 9
-    attrs = F.when(ok, attributes(c[8], fmt))
+    attrs = F.when(ok, attributes(cell(c, 8), fmt))
     rows = rows.withColumns({"ok": ok, "feature": cell(c, 2), "s": to_int(cell(c, 3)), "e": to_int(cell(c, 4)), "strand": cell(c, 6), "attrs": attrs})
 
     def has(*names: str) -> Column:
@@ -148,7 +148,7 @@ def check_annotation(lines: DataFrame, fmt: str = "gtf") -> Check:
 
 def annotation_feature_counts(lines: DataFrame) -> DataFrame:
     c = cells(F.col("value"))
-    return content(lines, "#").where(F.size(c) == 9).groupBy(c[2].alias("feature")).agg(F.count("*").alias("n"))
+    return content(lines, "#").where(F.size(c) == 9).groupBy(cell(c, 2).alias("feature")).agg(F.count("*").alias("n"))
 
 
 def check_gff3_structure(lines: DataFrame) -> Check:
@@ -191,8 +191,8 @@ def check_bed(lines: DataFrame, min_columns: int = 3) -> Check:
 def check_bedgraph(lines: DataFrame) -> Check:
     c = F.col("c")
     rows = content(lines, "#", "track ", "browser ").withColumn("c", cells(F.col("value"))).withColumn("four", F.size("c") == 4).withColumns({
-        "chrom": F.when(F.col("four"), c[0]), "start": F.when(F.col("four"), to_int(c[1])), "e": F.when(F.col("four"), to_int(c[2])),
-        "v": F.when(F.col("four"), to_float(c[3]))})
+        "chrom": F.when(F.col("four"), cell(c, 0)), "start": F.when(F.col("four"), to_int(cell(c, 1))), "e": F.when(F.col("four"), to_int(cell(c, 2))),
+        "v": F.when(F.col("four"), to_float(cell(c, 3)))})
     rows = with_order_marks(rows.withColumn("start_", F.when(F.col("e").isNotNull(), F.col("start"))), "chrom", "start_")
     four, v = F.col("four"), F.col("v")
     ints = F.col("start").isNotNull() & F.col("e").isNotNull()
@@ -261,11 +261,11 @@ def undeclared_names(lines: DataFrame) -> DataFrame:
     def keyed(kind: str, names: Column) -> Column:
         return F.transform(names, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("name")))
 
-    info = F.transform(F.filter(F.split(F.when(c[7] == ".", "").otherwise(c[7]), ";", -1), lambda t: t != ""), lambda t: F.substring_index(t, "=", 1))
-    filters = F.filter(F.split(c[6], ";", -1), lambda t: ~t.isin("", ".", "PASS"))
-    symbolic = F.transform(F.filter(F.split(c[4], ",", -1), lambda t: t.rlike("^<[^<>]+>$")), lambda t: F.regexp_replace(t, "[<>]", ""))
+    info = F.transform(F.filter(F.split(F.when(cell(c, 7) == ".", "").otherwise(cell(c, 7)), ";", -1), lambda t: t != ""), lambda t: F.substring_index(t, "=", 1))
+    filters = F.filter(F.split(cell(c, 6), ";", -1), lambda t: ~t.isin("", ".", "PASS"))
+    symbolic = F.transform(F.filter(F.split(cell(c, 4), ",", -1), lambda t: t.rlike("^<[^<>]+>$")), lambda t: F.regexp_replace(t, "[<>]", ""))
     formats = F.filter(F.split(F.coalesce(cell(c, 8), F.lit("")), ":", -1), lambda t: ~t.isin("", "."))
-    used = F.concat(keyed("contig", F.array(c[0])), keyed("FILTER", filters), keyed("INFO", info), keyed("ALT", symbolic), keyed("FORMAT", formats))
+    used = F.concat(keyed("contig", F.array(cell(c, 0))), keyed("FILTER", filters), keyed("INFO", info), keyed("ALT", symbolic), keyed("FORMAT", formats))
     names = rec.select("path", "ord", F.explode(used).alias("u")).groupBy("path", "u.kind", "u.name").agg(F.min("ord").alias("ord"))
     known = parse_vcf_meta(lines).where("id is not null").select("path", "kind", F.col("id").alias("name")).distinct()
     with_contigs = known.where("kind = 'contig'").select("path").distinct().withColumn("_lists", F.lit(True))
@@ -463,7 +463,7 @@ def check_chain(lines: DataFrame) -> Check:
     """
     c = F.col("c")
     rows = lines.withColumn("c", words(F.col("value"))).where((F.size("c") > 0) & ~F.trim("value").startswith("#"))
-    is_head = c[0] == "chain"
+    is_head = cell(c, 0) == "chain"
     rows = running(rows.withColumn("is_head", is_head), ["path"], ["ord"], ord_block(), {"h": ("last", F.when(F.col("is_head"), F.col("ord")))})
     orphan = rows.where("h is null").select("path", "ord", F.lit(True).alias("orphan"))
     nums = F.transform(c, to_int)
@@ -544,7 +544,7 @@ def check_psl(lines: DataFrame) -> Check:
     by_tab, by_space = cells(F.trim("value")), words(F.col("value"))
     rows = content(lines, "#").where(F.trim("value") != "").withColumn("c", F.when(F.size(by_tab) == F.size(by_space), by_tab).otherwise(by_space))
     title = F.trim("value").rlike(r"^(psLayout|match|score|-{5,})")
-    rows = rows.where(~title).withColumns({"number": c[0].rlike("^[0-9]+$"), "fields": F.size("c").isin(21, 23)})
+    rows = rows.where(~title).withColumns({"number": cell(c, 0).rlike("^[0-9]+$"), "fields": F.size("c").isin(21, 23)})
     for i, n in enumerate(PSL_COLUMNS):
         x = cell(c, i)
         rows = rows.withColumn(n, x if n in PSL_TEXT else (int_list(F.coalesce(x, F.lit(""))) if n in PSL_LISTS else to_int(x)))
@@ -612,7 +612,7 @@ def check_rmsk(lines: DataFrame) -> Check:
     """Summary records of RepeatMasker output and the lines restating them."""
     c = F.col("c")
     rows = content(lines, "#").withColumn("c", words(F.col("value"))).where(F.size("c") > 0)
-    rows = rows.withColumn("primary", c[0].rlike("^[0-9]+$")).where(~c[0].isin("SW", "score", "*"))
+    rows = rows.withColumn("primary", cell(c, 0).rlike("^[0-9]+$")).where(~cell(c, 0).isin("SW", "score", "*"))
     width = F.size("c").isin(14, 15)
     o = F.when(F.size("c") == 15, 9).otherwise(8)
 
@@ -623,11 +623,11 @@ def check_rmsk(lines: DataFrame) -> Check:
         return to_int(F.regexp_extract(x, r"^\((-?\d+)\)$", 1))
 
     main = F.col("primary") & width
-    key = F.concat_ws(" ", c[4], c[5], c[6], c[7], half(0), half(2), half(3), half(4), half(5))
+    key = F.concat_ws(" ", cell(c, 4), cell(c, 5), cell(c, 6), cell(c, 7), half(0), half(2), half(3), half(4), half(5))
     rows = rows.withColumns({
-        "main": main, "query": F.when(main, c[4]), "b": F.when(main, to_int(c[5])), "e": F.when(main, to_int(c[6])), "left": F.when(main, left(c[7])),
+        "main": main, "query": F.when(main, cell(c, 4)), "b": F.when(main, to_int(cell(c, 5))), "e": F.when(main, to_int(cell(c, 6))), "left": F.when(main, left(cell(c, 7))),
         "repeat": F.when(main, half(0)), "rb": F.when(main, to_int(half(2))), "re": F.when(main, to_int(half(3))), "rl": F.when(main, left(half(4))),
-        "id": F.when(main, to_int(half(5))), "strand": F.when(main, F.when(F.size("c") == 15, c[8]).otherwise("+"))})
+        "id": F.when(main, to_int(half(5))), "strand": F.when(main, F.when(F.size("c") == 15, cell(c, 8)).otherwise("+"))})
     rows = running(rows, ["path"], ["ord"], ord_block(), {
         "stated": ("last", F.when(F.col("main"), key)), "prev_id": ("last", F.col("id"))}, exclusive=True)
     q = rows.where("main and e is not null and left is not null").groupBy("path", "query").agg(F.min_by(F.col("e") + F.col("left"), "ord").alias("q_length"))
@@ -643,7 +643,7 @@ def check_rmsk(lines: DataFrame) -> Check:
     def more(i: int) -> Column:
         return F.try_element_at(c, p + i + 1)
 
-    restated = F.concat_ws(" ", c[0], c[1], c[2], c[3], more(0), more(2), more(3), more(4), more(5))
+    restated = F.concat_ws(" ", cell(c, 0), cell(c, 1), cell(c, 2), cell(c, 3), more(0), more(2), more(3), more(4), more(5))
     follow = ~F.col("primary") & F.size("c").isin(10, 11)
 
     def percent(i: int) -> Column:
@@ -679,9 +679,9 @@ def check_chrom_sizes(lines: DataFrame) -> Check:
     rows = lines.where((F.trim(v) != "") & ~F.ltrim(v).startswith("#")).withColumns({
         "tabbed": F.size(tab) == 2, "n": F.size(space), "c": F.when(F.size(tab) == 2, tab).otherwise(space)})
     two = F.col("tabbed") | (F.col("n") == 2)
-    padded = F.col("tabbed") & (c[0].contains(" ") | c[1].contains(" "))
-    ok = two & ~padded & (c[0] != "")
-    rows = rows.withColumns({"ok": ok, "name": F.when(ok, c[0]), "size": F.when(ok, to_int(cell(c, 1))), "fai": ~F.col("tabbed") & (F.col("n") == 5), "padded": padded})
+    padded = F.col("tabbed") & (cell(c, 0).contains(" ") | cell(c, 1).contains(" "))
+    ok = two & ~padded & (cell(c, 0) != "")
+    rows = rows.withColumns({"ok": ok, "name": F.when(ok, cell(c, 0)), "size": F.when(ok, to_int(cell(c, 1))), "fai": ~F.col("tabbed") & (F.col("n") == 5), "padded": padded})
     rows = with_first_seen(rows, ["name"]).withColumns({
         "key": F.when(F.col("ok"), contig_order(F.col("name"))), "prefixed": F.when(F.col("ok"), F.lower("name").startswith("chr"))})
     rows = running(rows, ["path"], ["ord"], ord_block(), {"prev": ("last", F.col("key"))}, exclusive=True)
@@ -718,7 +718,7 @@ def check_bedmethyl(lines: DataFrame) -> Check:
 
     rows = rows.withColumns({
         "use": F.coalesce(use, F.lit(False)), "chrom": F.when(use, cell(c, 0)), "start": F.when(use, num(1)), "end": F.when(use, num(2)), "score": F.when(use, num(4)),
-        "cov": F.when(use, num(9)), "pct": F.when(use, to_float(cell(c, 10))), "key": F.when(use, F.concat_ws("\t", c[0], c[1], c[2], c[5], c[3]))})
+        "cov": F.when(use, num(9)), "pct": F.when(use, to_float(cell(c, 10))), "key": F.when(use, F.concat_ws("\t", cell(c, 0), cell(c, 1), cell(c, 2), cell(c, 5), cell(c, 3)))})
     rows = with_order_marks(with_first_seen(rows, ["key"]))
     u, long = F.col("use"), F.col("use") & (F.col("layout") == 18)
     total = num(11) + num(12) + num(13)
@@ -825,8 +825,8 @@ def check_plink_map(lines: DataFrame) -> Check:
     use = F.size("c").isin(3, 4)
     four = F.size("c") == 4
     bp = to_int(F.when(four, cell(c, 3)).otherwise(cell(c, 2)))
-    rows = rows.withColumns({"use": use, "three": F.size("c") == 3, "chrom": F.when(use, c[0]), "snp": F.when(use, c[1]), "bp": F.when(use, bp),
-                             "cm": F.when(four, to_float(c[2])), "four": four})
+    rows = rows.withColumns({"use": use, "three": F.size("c") == 3, "chrom": F.when(use, cell(c, 0)), "snp": F.when(use, cell(c, 1)), "bp": F.when(use, bp),
+                             "cm": F.when(four, to_float(cell(c, 2))), "four": four})
     rows = with_order_marks(with_first_seen(rows, ["snp"]).withColumn("bp_", F.when(F.col("bp") > 0, F.col("bp"))), "chrom", "bp_")
     rows = rows.withColumn("again", F.coalesce(F.col("use") & (F.col("first_ord") < F.col("ord")), F.lit(False)))
     u = F.col("use")
@@ -848,13 +848,13 @@ def check_plink_ped(lines: DataFrame, map_lines: DataFrame) -> Check:
     use = F.size("c") == 6 + 2 * F.col("n")
     alleles = F.slice(c, 7, F.greatest(F.size(c) - 6, F.lit(0)))
     rows = with_first_seen(rows.withColumns({
-        "use": use, "person": F.when(use, F.concat_ws(" ", c[0], c[1])), "odd_sex": use & ~cell(c, 4).isin("0", "1", "2"),
+        "use": use, "person": F.when(use, F.concat_ws(" ", cell(c, 0), cell(c, 1))), "odd_sex": use & ~cell(c, 4).isin("0", "1", "2"),
         "bad": F.when(use, F.size(F.filter(alleles, lambda a: F.length(a) != 1))).otherwise(0),
         "odd": F.when(use, F.size(F.filter(alleles, lambda a: (F.length(a) == 1) & ~a.rlike("^[ACGTIDacgtid0]$")))).otherwise(0)}), ["person"])
     rows = rows.withColumn("again", F.coalesce(F.col("use") & (F.col("first_ord") < F.col("ord")), F.lit(False)))
     u = F.col("use")
     return Check(rows, [
-        Rule(ERROR, "token count differs from the map", ~u), Rule(WARNING, "missing code as sample id", u & ((c[0] == "0") | (c[1] == "0"))),
+        Rule(ERROR, "token count differs from the map", ~u), Rule(WARNING, "missing code as sample id", u & ((cell(c, 0) == "0") | (cell(c, 1) == "0"))),
         Rule(WARNING, "repeated sample", F.col("again")), Rule(ERROR, "phenotype is not numeric", u & to_float(cell(c, 5)).isNull()),
         Rule(ERROR, "allele is no single character", F.col("bad") > 0),
     ], {"samples": F.count_if("use"), "duplicate_samples": F.count_if("again"), "unusual_sex_codes": F.count_if("odd_sex"), "unusual_alleles": F.sum("odd")}, [

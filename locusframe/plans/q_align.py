@@ -127,14 +127,14 @@ def q_psl_map(s, d):
 
 
 def q_chain_filter(s, d):
-    h, b = A.filter_chains(headers(s, d), chain_blocks(s, d), min_score=500, strand="+", t_overlap=(1000, 200000))
+    h, b = A.filter_chains(headers(s, d), chain_blocks(s, d), min_score=50, strand="+", t_overlap=(1000, 200000))
     n = b.groupBy("chain_ord").agg(F.count("*").alias("blocks"), F.sum("size").alias("bases"))
     return h.join(n, h.ord == n.chain_ord).select("chain_id", "score", "t_name", "blocks", "bases")
 
 
 def q_chain_sort(s, d):
     h = headers(s, d)
-    return A.sort_chains(h.where("score >= 700"), h.where("score < 700")).select("chain_id", "score")
+    return A.sort_chains(h.where("score >= 70"), h.where("score < 70")).select("chain_id", "score")
 
 
 def q_chain_swap(s, d):
@@ -232,7 +232,7 @@ h AS (SELECT ord, b.strand, cb.chain_id, cb.q_name AS nn, cb.q_strand, greatest(
 z AS (SELECT *, hi-lo AS sz, CASE WHEN q_strand='-' THEN 500-q-(hi-lo) ELSE q END AS qa, CASE WHEN q_strand='-' THEN 800000000-n-(hi-lo) ELSE n END AS na, CASE WHEN q_strand='-' THEN CASE strand WHEN '+' THEN '-' ELSE '+' END ELSE strand END AS ns FROM h),
 g AS (SELECT ord, chain_id, nn, ns, CAST(sum(sz) AS BIGINT) AS aligned, min(qa) AS qlo, max(qa+sz) AS qhi, min(na) AS tlo, max(na+sz) AS thi, count(*) AS block_count FROM z GROUP BY 1,2,3,4)
 SELECT ord, chain_id, aligned, ns AS strand, CASE WHEN ns='-' THEN 500-qhi ELSE qlo END AS q_start, CASE WHEN ns='-' THEN 500-qlo ELSE qhi END AS q_end, nn AS t_name, tlo AS t_start, thi AS t_end, block_count FROM g""", "psl")),
-    "chain_filter": Query(q_chain_filter, sql(CHAIN + "SELECT chain_id, score, t_name, CAST(2 AS BIGINT) AS blocks, CAST(160 AS BIGINT) AS bases FROM ck WHERE score>=500 AND q_strand='+' AND k*37<200000 AND k*37+160+k%5>1000", "chain")),
+    "chain_filter": Query(q_chain_filter, sql(CHAIN + "SELECT chain_id, score, t_name, CAST(2 AS BIGINT) AS blocks, CAST(160 AS BIGINT) AS bases FROM ck WHERE score>=50 AND q_strand='+' AND k*37<200000 AND k*37+160+k%5>1000", "chain")),
     "chain_sort": Query(q_chain_sort, sql(CHAIN + "SELECT chain_id, score FROM ck", "chain")),
     "chain_swap": Query(q_chain_swap, sql(CHAIN + """SELECT k*4 AS ord, chain_id, score, q_name AS t_name, CAST(800000000 AS BIGINT) AS t_size, CASE WHEN q_strand='-' THEN 800000000-(k*11+160+k%4) ELSE k*11 END AS t_start, CASE WHEN q_strand='-' THEN 800000000-k*11 ELSE k*11+160+k%4 END AS t_end,
  t_name AS q_name, CAST(900000000 AS BIGINT) AS q_size, q_strand, CASE WHEN q_strand='-' THEN 900000000-(k*37+160+k%5) ELSE k*37 END AS q_start, CASE WHEN q_strand='-' THEN 900000000-k*37 ELSE k*37+160+k%5 END AS q_end FROM ck""", "chain")),

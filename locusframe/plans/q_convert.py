@@ -238,7 +238,7 @@ SELECT k*16+n AS ord, 'chr'||CAST(k%5 AS VARCHAR) AS chrom, CASE WHEN k%2=0 THEN
     "scan_bedmethyl": Query(q_scan_bedmethyl, sql(", r AS (SELECT ord, string_split(value, chr(9)) AS c FROM bedmethyl) SELECT ord, c[1] AS chrom, CAST(c[2] AS BIGINT) AS start, CAST(c[3] AS BIGINT) AS \"end\", c[4] AS mod_code, c[6] AS strand, CAST(c[10] AS BIGINT) AS n_valid, CAST(c[11] AS DOUBLE) AS percent, CAST(c[12] AS BIGINT) AS n_mod, CAST(c[13] AS BIGINT) AS n_canonical FROM r", "bedmethyl")),
     "scan_maf": Query(q_maf, sql(", r AS (SELECT ord, string_split(value, chr(9)) AS c FROM maf) SELECT ord, " + ", ".join(f'c[{i + 1}] AS "{n}"' for i, n in enumerate(MAF)) + " FROM r", "maf")),
     "scan_plink_map": Query(q_map, sql("""
-, r AS (SELECT row_number() OVER (ORDER BY ord)-1 AS idx, string_split(value, ' ') AS c FROM plink_map) SELECT idx, c[1] AS chrom, c[2] AS variant_id, CASE WHEN len(c)=4 THEN 0.0 END AS morgans, TRY_CAST(c[len(c)] AS BIGINT) AS pos FROM r""", "plink_map")),
+, r AS (SELECT row_number() OVER (ORDER BY ord)-1 AS idx, string_split(value, ' ') AS c FROM plink_map) SELECT idx, c[1] AS chrom, c[2] AS variant_id, CASE WHEN len(c)=4 THEN CAST(0 AS DOUBLE) END AS morgans, TRY_CAST(c[len(c)] AS BIGINT) AS pos FROM r""", "plink_map")),
     "scan_plink_ped": Query(q_ped, sql(", r AS (SELECT ord, string_split(value, ' ') AS c FROM plink_ped) SELECT ord, c[1] AS family, c[2] AS individual, c[5] AS sex, c[6] AS phenotype, CAST(i AS BIGINT) AS idx, c[7+2*i] AS a1, c[8+2*i] AS a2 FROM r, (VALUES (0), (1)) v(i)", "plink_ped")),
     "scan_chrom_sizes": Query(q_sizes, sql("""
 , r AS (SELECT string_split(replace(trim(value), chr(9), ' '), ' ') AS c FROM size_lines WHERE value NOT LIKE '#%') SELECT c[1] AS chrom, TRY_CAST(c[2] AS BIGINT) AS size FROM r WHERE len(c)>=2 AND TRY_CAST(c[2] AS BIGINT) IS NOT NULL""", "size_lines")),

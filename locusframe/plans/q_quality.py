@@ -1 +1,171 @@
-QUERIES = {}
+"""Queries of the data-quality rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from locusframe.operators import quality as Q
+from locusframe.plans.q_align import PSL
+from locusframe.plans.q_convert import MAF
+from locusframe.plans.registry import Query, longs
+from locusframe.plans.views import VIEWS, sql, view
+
+VIEWS["vcf_bad"] = """
+SELECT * FROM {vcf_meta} UNION ALL
+SELECT path, ord, CASE CAST(ord%41 AS INT) WHEN 0 THEN 'short'||chr(9)||'line' WHEN 1 THEN replace(value, chr(9)||'A'||chr(9), chr(9)||'Z'||chr(9)) WHEN 2 THEN replace(value, 'GT:AD:PL', 'AD:GT') WHEN 3 THEN value||chr(9)||'extra' ELSE value END AS value FROM {vcf}"""
+VIEWS["fasta_lines"] = """
+SELECT 'q.fa' AS path, p_partkey AS ord, CASE WHEN p_size%7=0 THEN '>s'||CAST(p_partkey%900 AS STRING) WHEN p_size%31=0 THEN '>' WHEN p_size%11=0 THEN 'ACGTNZ1' ELSE 'acgtRYK' END AS value FROM {part}"""
+VIEWS["sam_bad"] = """
+SELECT path, ord, CASE CAST(ord%37 AS INT) WHEN 0 THEN replace(value, chr(9)||'8M'||chr(9), chr(9)||'9M'||chr(9)) WHEN 1 THEN replace(value, 'IIIIIIII', 'III') WHEN 2 THEN replace(value, 'ACGTACGT', 'AC1TACGT') WHEN 3 THEN 'r'||chr(9)||'0'
+  WHEN 4 THEN replace(value, 'NM:i:0', 'NM') WHEN 5 THEN 'r'||chr(9)||'0'||chr(9)||'chr1'||chr(9)||'5'||chr(9)||'-1'||chr(9)||'*'||chr(9)||'*'||chr(9)||'0'||chr(9)||'0'||chr(9)||'*'||chr(9)||'*' ELSE value END AS value FROM {sam} WHERE ord>=0"""
+VIEWS["reports"] = """
+SELECT 'step'||CAST(k%300 AS STRING) AS step, CASE CAST(n AS INT) WHEN 1 THEN 'records' WHEN 2 THEN 'error_count' WHEN 3 THEN 'Warning_count' WHEN 4 THEN 'parsed_records' ELSE 'other' END AS metric,
+       max(CASE WHEN n=2 THEN CASE WHEN k%7=0 THEN '3' ELSE '0' END WHEN n=3 THEN CASE WHEN k%5=0 THEN '2' ELSE '' END ELSE CAST(k%300 AS STRING) END) AS value FROM {li} GROUP BY 1, 2"""
+
+
+def counts(check):
+    return check.rule_counts()
+
+
+def report(check):
+    return check.report()
+
+
+def _q(make, *names, out=counts):
+    return lambda s, d: out(make(*[view(s, d, n) for n in names]))
+
+
+def q_messages(s, d):
+    lines = view(s, d, "bed")
+    return Q.check_bed(lines).messages(lines)
+
+
+def q_undeclared(s, d):
+    lines = view(s, d, "vcf_meta").unionByName(view(s, d, "vcf"))
+    return Q.undeclared_names(lines).select("ord", "kind", "name")
+
+
+def q_status(s, d):
+    return longs(Q.step_status(view(s, d, "reports")))
+
+
+def q_clean_smprot(s, d):
+    return Q.clean_smprot(view(s, d, "smprot"))
+
+
+def q_line_numbers(s, d):
+    from locusframe.sources.lines import with_line_numbers
+
+    return with_line_numbers(view(s, d, "bed")).select("ord", "line_no")
+
+
+def q_contig_order(s, d):
+    from locusframe.functions.values import contig_order
+    from locusframe.sources.tables import parse_chrom_sizes
+
+    k = parse_chrom_sizes(view(s, d, "size_lines")).select("chrom", contig_order(F.col("chrom")).alias("k")).distinct()
+    return k.select("chrom", F.col("k.g").cast("bigint").alias("g"), F.col("k.n").alias("n"))
+
+
+def _count_sql(steps, rules, *names):
+    """SQL counting broken rules: (level, rule, condition) over a table ``x``."""
+    parts = " UNION ALL ".join(f"SELECT '{lv}' AS level, '{rule}' AS rule, count(*) AS n FROM x WHERE {cond} HAVING count(*)>0" for lv, rule, cond in rules)
+    return sql(steps + parts, *names)
+
+
+E, W = "error", "warning"
+
+def _unsorted(table, chrom, pos):
+    """SQL steps marking rows out of order: ``un``."""
+    return f"""
+, fs AS (SELECT *, min(ord) OVER (PARTITION BY {chrom}) AS fo, lag({chrom}) OVER (ORDER BY ord) AS pc, lag({pos}) OVER (ORDER BY ord) AS pp FROM {table} WHERE {pos} IS NOT NULL),
+fm AS (SELECT *, max(fo) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS nw FROM fs), un AS (SELECT count(*) AS n FROM fm WHERE pc IS NOT NULL AND ((pc={chrom} AND {pos}<pp) OR (pc<>{chrom} AND fo<nw)))
+"""
+
+
+BED_X = ", x AS (SELECT *, len(c) AS n, TRY_CAST(c[2] AS BIGINT) AS s, TRY_CAST(c[3] AS BIGINT) AS e FROM (SELECT ord, string_split(value, chr(9)) AS c FROM bed WHERE value NOT LIKE '#%'))\n"
+GTF_X = """, x AS (SELECT *, len(c)=9 AS ok, TRY_CAST(c[4] AS BIGINT) AS s, TRY_CAST(c[5] AS BIGINT) AS e FROM (SELECT string_split(value, chr(9)) AS c FROM gtf WHERE value NOT LIKE '#%'))
+"""
+VCF_X = """, x AS (SELECT *, len(c)>=8 AS w FROM (SELECT ord, value, string_split(value, chr(9)) AS c FROM vcf_bad WHERE value NOT LIKE '#%'))
+"""
+BDG_X = """, x0 AS (SELECT ord, string_split(value, chr(9)) AS c FROM bedgraph WHERE value NOT LIKE 'track %'),
+x AS (SELECT *, len(c)=4 AS f, CASE WHEN len(c)=4 THEN TRY_CAST(c[2] AS BIGINT) END AS s, CASE WHEN len(c)=4 THEN TRY_CAST(c[3] AS BIGINT) END AS e, CASE WHEN len(c)=4 AND c[3]<>'x' THEN c[1] END AS ch, CASE WHEN len(c)=4 AND c[3]<>'x' THEN TRY_CAST(c[2] AS BIGINT) END AS po FROM x0)
+"""
+MAF_X = """, x AS (SELECT *, len(c)=10 AS u, TRY_CAST(c[3] AS BIGINT) AS s, TRY_CAST(c[4] AS BIGINT) AS e, CASE WHEN len(c)=10 THEN row_number() OVER (PARTITION BY len(c), c[2], c[3], c[4], c[10], c[7], c[9] ORDER BY ord) END AS k FROM (SELECT ord, string_split(value, chr(9)) AS c FROM maf))
+"""
+MAP_X = """, x AS (SELECT *, TRY_CAST(c[len(c)] AS BIGINT) AS bp, row_number() OVER (PARTITION BY c[2] ORDER BY ord) AS k FROM (SELECT ord, string_split(value, ' ') AS c FROM plink_map))
+"""
+PED_X = """, x AS (SELECT ord, c, len(c)=6+2*(SELECT count(*) FROM plink_map) AS u FROM (SELECT ord, string_split(value, ' ') AS c FROM plink_ped))
+"""
+SAM_X = """, x AS (SELECT *, len(c)>=11 AS w FROM (SELECT string_split(value, chr(9)) AS c FROM sam_bad))
+"""
+BM_X = """, x AS (SELECT *, CAST(c[10] AS BIGINT) AS cov FROM (SELECT string_split(value, chr(9)) AS c FROM bedmethyl))
+"""
+SIZE_X = r""", x0 AS (SELECT ord, value, string_split(value, chr(9)) AS t, string_split(replace(value, chr(9), ' '), ' ') AS w FROM size_lines WHERE value NOT LIKE '#%'), x1 AS (SELECT *, len(t)=2 OR len(w)=2 AS ok FROM x0),
+x AS (SELECT *, CASE WHEN ok THEN w[1] END AS name, CASE WHEN ok THEN TRY_CAST(w[2] AS BIGINT) END AS size, CASE WHEN ok THEN row_number() OVER (PARTITION BY ok, w[1] ORDER BY ord) END AS k FROM x1)
+"""
+FA_X = """, x AS (SELECT *, value LIKE '>%' AS h, max(CASE WHEN value LIKE '>%' THEN ord END) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS ho, row_number() OVER (PARTITION BY value ORDER BY ord) AS k FROM fasta_lines)
+"""
+CH_HEAD = "SELECT 'chains' AS metric, CAST(count(*) AS VARCHAR) AS value FROM orders UNION ALL SELECT 'blocks', CAST(2*count(*) AS VARCHAR) FROM orders UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'"
+
+QUERIES = {
+    "check_annotation": Query(_q(Q.check_annotation, "gtf"), _count_sql(GTF_X, [(E, "needs 9 columns", "NOT ok"), (E, "coordinates are not whole numbers", "ok AND (s IS NULL OR e IS NULL)"),
+        (E, "record without gene", "ok AND c[9]='a' AND c[3]='exon'"), (E, "record without transcript", "ok AND c[9]='a' AND c[3]='exon'"), (E, "start after end", "ok AND s>e")], "gtf")),
+    "annotation_feature_counts": Query(lambda s, d: Q.annotation_feature_counts(view(s, d, "gtf")), sql(GTF_X + "SELECT c[3] AS feature, count(*) AS n FROM x WHERE ok GROUP BY 1", "gtf")),
+    "check_gff3_structure": Query(_q(Q.check_gff3_structure, "gff3", out=report), sql("SELECT 'parsed_records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM gff3 UNION ALL SELECT 'error_count', CAST(count(*) AS VARCHAR) FROM gff3 WHERE value LIKE '%Parent=gene%' UNION ALL SELECT 'warning_count', '0'", "gff3")),
+    "check_bed": Query(_q(Q.check_bed, "bed"), _count_sql(BED_X, [(E, "too few columns", "n<3"), (E, "coordinates are not whole numbers", "n>=3 AND (s IS NULL OR e IS NULL)"), (E, "end not after start", "n>=3 AND e<=s"),
+        (W, "extra columns short of BED6", "n>3 AND n<6 AND s IS NOT NULL AND e IS NOT NULL")], "bed")),
+    "bed_error_messages": Query(q_messages, sql("""
+, l AS (SELECT *, row_number() OVER (ORDER BY ord) AS ln, string_split(value, chr(9)) AS c FROM bed), m AS (SELECT ln, CASE WHEN len(c)<3 THEN 'too few columns' WHEN TRY_CAST(c[2] AS BIGINT) IS NULL THEN 'coordinates are not whole numbers' WHEN CAST(c[3] AS BIGINT)<=CAST(c[2] AS BIGINT) THEN 'end not after start' END AS t FROM l WHERE value NOT LIKE '#%'),
+f AS (SELECT * FROM m WHERE t IS NOT NULL ORDER BY ln LIMIT 100) SELECT 'x.bed' AS path, string_agg('line '||CAST(ln AS VARCHAR)||': '||t, ' | ' ORDER BY ln) AS errors FROM f""", "bed")),
+    "line_numbers": Query(q_line_numbers, sql("SELECT ord, row_number() OVER (ORDER BY ord) AS line_no FROM bed", "bed")),
+    "check_bedgraph": Query(_q(Q.check_bedgraph, "bedgraph"), _count_sql(BDG_X, [(E, "needs 4 columns", "NOT f"), (E, "coordinates are not whole numbers", "f AND (s IS NULL OR e IS NULL)"), (E, "start below 0", "f AND e IS NOT NULL AND s<0"), (E, "end not after start", "f AND e<=s"),
+        (E, "value is not finite", "f AND s IS NOT NULL AND e IS NOT NULL AND c[4] IN ('nan', 'inf')"), (E, "value is not numeric", "f AND s IS NOT NULL AND e IS NOT NULL AND c[4]='bad'")], "bedgraph")),
+    "check_bedgraph_order": Query(lambda s, d: longs(Q.check_bedgraph(view(s, d, "bedgraph")).summary().select("records", "unsorted_records")),
+        sql(BDG_X + _unsorted("x", "ch", "po") + "SELECT (SELECT count(*) FROM x) AS records, n AS unsorted_records FROM un", "bedgraph")),
+    "check_vcf": Query(_q(Q.check_vcf, "vcf_bad"), _count_sql(VCF_X, [(E, "fewer than 8 columns", "NOT w"), (E, "column count differs from the header", "w AND len(c)<>11"), (E, "REF is not made of bases", "w AND c[4]='Z'"), (E, "ALT allele not understood", "w AND c[5]='Z'"),
+        (W, "no ALT allele", "w AND c[5]='.'"), (W, "GT is not the first FORMAT field", "w AND c[9]='AD:GT'")], "vcf_bad")),
+    "check_vcf_report": Query(_q(Q.check_vcf, "vcf_bad", out=lambda c: longs(c.summary().select("records", "file_format_lines", "column_headers"))), sql(VCF_X + "SELECT count(*) AS records, CAST(1 AS BIGINT) AS file_format_lines, CAST(1 AS BIGINT) AS column_headers FROM x", "vcf_bad")),
+    "vcf_undeclared_names": Query(q_undeclared, sql("""
+, r AS (SELECT ord, string_split(value, chr(9)) AS c FROM vcf), u AS (SELECT ord, 'contig' AS kind, c[1] AS name FROM r UNION ALL SELECT ord, 'FILTER', c[7] FROM r UNION ALL SELECT ord, 'ALT', 'DEL' FROM r WHERE c[5]='<DEL>' UNION ALL SELECT ord, 'FORMAT', unnest(string_split(c[9], ':')) FROM r
+ UNION ALL SELECT ord, 'INFO', split_part(t, '=', 1) FROM (SELECT ord, unnest(string_split(c[8], ';')) AS t FROM r)), k AS (SELECT min(ord) AS ord, kind, name FROM u GROUP BY 2,3)
+SELECT ord, kind, name FROM k WHERE name NOT IN ('PASS', '.') AND (kind, name) NOT IN (('INFO', 'AC'), ('INFO', 'CLNSIG'), ('FORMAT', 'AD'), ('FORMAT', 'PL'), ('contig', 'X'), ('contig', 'chr9'), ('FILTER', 'q10'))""", "vcf")),
+    "check_clinvar_vcf": Query(_q(Q.check_clinvar_vcf, "vcf_bad", out=report), sql(VCF_X + """SELECT 'records' AS metric, CAST(count(*) FILTER (WHERE w) AS VARCHAR) AS value FROM x UNION ALL SELECT 'file_format_lines', '1' UNION ALL SELECT 'column_headers', '1' UNION ALL SELECT 'clnsig_headers', '1'
+UNION ALL SELECT 'error_count', CAST(count(*) FILTER (WHERE NOT w) AS VARCHAR) FROM x UNION ALL SELECT 'warning_count', CAST(count(*) FILTER (WHERE w AND c[5]='.') AS VARCHAR) FROM x""", "vcf_bad")),
+    "check_cosmic": Query(_q(Q.check_cosmic, "cosmic", out=report), sql("SELECT 'records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM cosmic UNION ALL SELECT 'error_count', CAST(count(*) AS VARCHAR) FROM cosmic WHERE fathmm_mkl_score IN ('bad', '1d') UNION ALL SELECT 'warning_count', '0'", "cosmic")),
+    "check_gwas": Query(_q(Q.check_gwas, "gwas"), sql("SELECT 'warning' AS level, 'position is not a whole number' AS rule, count(*) AS n FROM gwas WHERE pos IN ('', '12;15') UNION ALL SELECT 'warning', 'p-value is not numeric', count(*) FROM gwas WHERE p_value='x'", "gwas")),
+    "check_smprot": Query(_q(Q.check_smprot, "smprot", out=report), sql("""SELECT 'records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM smprot UNION ALL SELECT 'kept_records', CAST(count(*) AS VARCHAR) FROM smprot WHERE start<>'x' AND CAST(end_ AS BIGINT)>TRY_CAST(start AS BIGINT) AND chrom<>'' AND protein_id<>''
+UNION ALL SELECT 'error_count', CAST(count(*) AS VARCHAR) FROM smprot WHERE start='x' OR CAST(end_ AS BIGINT)<=TRY_CAST(start AS BIGINT) UNION ALL SELECT 'warning_count', CAST(count(*) AS VARCHAR) FROM smprot WHERE start<>'x' AND CAST(end_ AS BIGINT)>TRY_CAST(start AS BIGINT) AND (chrom='' OR protein_id='')""", "smprot")),
+    "clean_smprot": Query(q_clean_smprot, sql("SELECT 'chr'||chrom AS chrom, start, end_ AS \"end\", protein_id, evidence FROM smprot WHERE start<>'x' AND CAST(end_ AS BIGINT)>TRY_CAST(start AS BIGINT) AND chrom<>'' AND protein_id<>''", "smprot")),
+    "check_wig": Query(_q(Q.check_wig, "wig", out=report), sql("""SELECT 'declarations' AS metric, CAST(count(DISTINCT k) AS VARCHAR) AS value FROM li UNION ALL SELECT 'records', CAST(count(*) AS VARCHAR) FROM li UNION ALL SELECT 'chrom_count', CAST(count(DISTINCT k%5) AS VARCHAR) FROM li
+UNION ALL SELECT 'unsorted_records', '0' UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'""", "li")),
+    "check_genepred": Query(_q(Q.check_genepred, "genepred", out=report), sql("""SELECT 'records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM genepred UNION ALL SELECT 'layouts', '2' UNION ALL SELECT 'chrom_count', '5' UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '1'""", "genepred")),
+    "check_sam": Query(_q(Q.check_sam, "sam_bad"), _count_sql(SAM_X, [(E, "SEQ and CIGAR lengths differ", "w AND c[6]='9M'"), (E, "QUAL and SEQ lengths differ", "w AND c[11]='III'"), (E, "SEQ has other characters", "w AND c[10]='AC1TACGT'"),
+        (E, "fewer than 11 fields", "NOT w"), (E, "MAPQ out of range", "w AND c[5]='-1'"), (E, "tag not understood", "w AND c[12]='NM'")], "sam_bad")),
+    "check_sam_report": Query(_q(Q.check_sam, "sam", out=report), sql("SELECT 'header_lines' AS metric, '1' AS value UNION ALL SELECT 'records', CAST(count(*) AS VARCHAR) FROM li UNION ALL SELECT 'unmapped', CAST(count(*) AS VARCHAR) FROM li WHERE pk%6=0 UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'", "li")),
+    "check_chain": Query(_q(Q.check_chain, "chain", out=report), sql("\n" + CH_HEAD, "li")),
+    "check_fasta": Query(_q(Q.check_fasta, "fasta_lines"), _count_sql(FA_X, [(E, "empty header", "value='>'"), (E, "sequence before a header", "NOT h AND ho IS NULL"), (W, "repeated header", "h AND value<>'>' AND k>1"), (W, "characters outside the alphabet", "value='ACGTNZ1'")], "fasta_lines")),
+    "fasta_lengths": Query(lambda s, d: Q.fasta_lengths(view(s, d, "fasta_lines")), sql(FA_X + """, p AS (SELECT ho, CAST(sum(CASE WHEN h THEN 0 ELSE length(value) END) AS BIGINT) AS n FROM x WHERE ho IS NOT NULL GROUP BY 1)
+SELECT count(*) AS sequences, count(*) FILTER (WHERE n=0) AS empty_sequences, min(n) FILTER (WHERE n>0) AS min_length, max(n) AS max_length FROM p""", "fasta_lines").replace("min(n) FILTER", "min(n) FILTER")),
+    "fasta_odd_characters": Query(lambda s, d: Q.fasta_odd_characters(view(s, d, "fasta_lines")), sql("SELECT ch AS character, count(*) AS n FROM fasta_lines, (VALUES ('Z'), ('1')) t(ch) WHERE value='ACGTNZ1' GROUP BY 1", "fasta_lines")),
+    "check_psl": Query(_q(Q.check_psl, "psl", out=lambda c: longs(c.summary().select("records", "queries", "targets", "duplicates", "error_count"))), sql(PSL + """
+SELECT count(*) AS records, count(DISTINCT q_name) AS queries, count(DISTINCT t_name) AS targets, count(*)-count(DISTINCT (q_name, t_name, q_start, t_start, bs)) AS duplicates, CAST(0 AS BIGINT) AS error_count FROM p""", "psl")),
+    "check_rmsk": Query(_q(Q.check_rmsk, "rmsk", out=report)),
+    "check_chrom_sizes": Query(_q(Q.check_chrom_sizes, "size_lines"), _count_sql(SIZE_X, [(E, "looks like a fasta index", "len(w)=5"), (E, "needs 2 columns", "len(w) NOT IN (2, 5)"), (E, "repeated name", "ok AND k>1"), (E, "size is not a whole number", "ok AND size IS NULL"), (E, "size below 1", "ok AND size<1")], "size_lines")),
+    "check_chrom_sizes_totals": Query(_q(Q.check_chrom_sizes, "size_lines", out=lambda c: longs(c.summary().select("chromosomes", "total_bases", "min_size", "max_size", "duplicate_names", "space_separated"))), sql(SIZE_X + """
+SELECT count(*) FILTER (WHERE ok) AS chromosomes, CAST(sum(size) FILTER (WHERE size>0) AS BIGINT) AS total_bases, min(size) FILTER (WHERE size>0) AS min_size, max(size) FILTER (WHERE size>0) AS max_size, count(*) FILTER (WHERE k>1) AS duplicate_names, count(*) FILTER (WHERE ok AND len(t)<>2) AS space_separated FROM x""", "size_lines")),
+    "contig_order_keys": Query(q_contig_order, sql(r"""
+, r AS (SELECT string_split(replace(trim(value), chr(9), ' '), ' ') AS c FROM size_lines WHERE value NOT LIKE '#%'), n AS (SELECT DISTINCT c[1] AS chrom FROM r WHERE len(c)>=2 AND TRY_CAST(c[2] AS BIGINT) IS NOT NULL), st AS (SELECT chrom, regexp_replace(chrom, '^chr', '') AS b FROM n)
+SELECT chrom, CAST(CASE WHEN b='X' OR regexp_matches(b, '^[0-9]+$') THEN 1 WHEN regexp_matches(b, '[0-9]') THEN 2 ELSE 3 END AS BIGINT) AS g, CASE WHEN b='X' THEN 23 ELSE coalesce(TRY_CAST(regexp_extract(b, '([0-9]+)', 1) AS BIGINT), 0) END AS n FROM st""", "size_lines")),
+    "check_bedmethyl": Query(_q(Q.check_bedmethyl, "bedmethyl"), _count_sql(BM_X, [(E, "modification code not understood", "c[4]='m?'"), (E, "colour not understood", "c[9]='300,0,0'"), (W, "thick positions differ", "c[3]<>c[8]"),
+        (E, "percent differs from the counts", "cov>0 AND abs(CAST(c[11] AS DOUBLE)-CAST(c[12] AS DOUBLE)/cov*100)>0.01")], "bedmethyl")),
+    "check_maf": Query(_q(lambda lines: Q.check_maf(lines, MAF), "maf"), _count_sql(MAF_X, [(E, "column count differs from the header", "NOT u"), (E, "start is not a positive number", "u AND s<1"), (E, "end is not a positive number", "u AND e<1"), (E, "start after end", "u AND s>=1 AND e>=1 AND s>e"),
+        (E, "empty variant type", "u AND c[6]=''"), (W, "allele lengths do not fit the type", "u AND ((c[6]='SNP' AND length(c[7])<>1) OR (c[6]='DNP') OR (c[6]='INS') OR (c[6]='DEL' AND length(c[7])<=1))"), (W, "allele equals the reference", "u AND c[7]=c[9]"),
+        (W, "unknown classification", "u AND c[5]='Odd'"), (W, "repeated variant", "u AND k>1")], "maf")),
+    "check_plink_map": Query(_q(Q.check_plink_map, "plink_map"), _count_sql(MAP_X, [(W, "unusual contig code", "c[1]='scaffold'"), (W, "repeated variant id", "k>1"), (E, "position is not a whole number", "bp IS NULL"), (W, "position is 0", "bp=0")], "plink_map")),
+    "check_plink_map_order": Query(_q(Q.check_plink_map, "plink_map", out=lambda c: longs(c.summary().select("variants", "duplicate_ids", "unsorted_records"))), sql(MAP_X + ", y AS (SELECT ord, CASE WHEN bp>0 THEN bp END AS po, c[1] AS ch FROM x)" + _unsorted("y", "ch", "po") + "SELECT (SELECT count(*) FROM x) AS variants, (SELECT count(*) FROM x WHERE k>1) AS duplicate_ids, n AS unsorted_records FROM un", "plink_map")),
+    "check_plink_ped": Query(_q(Q.check_plink_ped, "plink_ped", "plink_map"), _count_sql(PED_X, [(E, "token count differs from the map", "NOT u")], "plink_ped", "plink_map")),
+    "step_status": Query(q_status, sql("""
+, a AS (SELECT step, max(CASE WHEN lower(metric) LIKE 'error%' AND value NOT IN ('', '0') THEN 2 WHEN lower(metric) LIKE 'warning%' AND value NOT IN ('', '0') THEN 1 ELSE 0 END) AS lv, coalesce(max(value) FILTER (WHERE metric='records'), max(value) FILTER (WHERE metric='parsed_records'), '-') AS records FROM reports GROUP BY 1)
+SELECT step, CASE lv WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'OK' END AS status, records, CAST(2-lv AS BIGINT) AS status_rank FROM a""", "reports")),
+}

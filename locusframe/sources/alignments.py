@@ -35,10 +35,10 @@ def parse_psl(lines: DataFrame) -> DataFrame:
 
     def typed(i: int, name: str) -> Column:
         if name in PSL_TEXT:
-            return c[i]
-        return int_list(c[i]) if name in PSL_LISTS else to_int(c[i])
+            return cell(c, i)
+        return int_list(cell(c, i)) if name in PSL_LISTS else to_int(cell(c, i))
 
-    return rows.where(F.size("_c").isin(21, 23) & c[0].rlike("^[0-9]+$")).select(
+    return rows.where(F.size("_c").isin(21, 23) & cell(c, 0).rlike("^[0-9]+$")).select(
         "path", "ord", *[typed(i, n).alias(n) for i, n in enumerate(PSL_COLUMNS)])
 
 
@@ -47,7 +47,7 @@ def parse_chain_headers(lines: DataFrame) -> DataFrame:
     rows = lines.where(F.col("value").rlike(r"^\s*chain\s")).withColumn("_c", words(F.col("value")))
     return rows.where(F.size("_c").isin(12, 13)).select(
         "path", "ord",
-        *[(c[i + 1] if n in CHAIN_TEXT else to_int(c[i + 1])).alias(n) for i, n in enumerate(CHAIN_COLUMNS)],
+        *[(cell(c, i + 1) if n in CHAIN_TEXT else to_int(cell(c, i + 1))).alias(n) for i, n in enumerate(CHAIN_COLUMNS)],
         F.coalesce(cell(c, 12), F.concat(F.lit("ord"), F.col("ord").cast("string"))).alias("chain_id"))
 
 
@@ -67,7 +67,7 @@ def parse_chain_blocks(lines: DataFrame) -> DataFrame:
     c = F.col("_c")
     zero = F.lit(0).cast("bigint")
     body = tagged.where("_head is null and h is not null").select(
-        "path", "ord", "h.*", to_int(c[0]).alias("size"),
+        "path", "ord", "h.*", to_int(cell(c, 0)).alias("size"),
         F.coalesce(to_int(cell(c, 1)), zero).alias("dt"), F.coalesce(to_int(cell(c, 2)), zero).alias("dq"))
     placed = running(body, ["path", "chain_ord"], ["ord"], ord_block(), {
         "t_off": ("sum", F.col("size") + F.col("dt")), "q_off": ("sum", F.col("size") + F.col("dq"))}, exclusive=True)
@@ -88,7 +88,7 @@ def parse_genepred(lines: DataFrame) -> DataFrame:
         return F.try_element_at(c, F.col("_o") + i + 1)
 
     return rows.select(
-        "path", "ord", F.when(F.col("_o") == 1, c[0]).alias("gene_name"),
+        "path", "ord", F.when(F.col("_o") == 1, cell(c, 0)).alias("gene_name"),
         at(0).alias("name"), at(1).alias("chrom"), at(2).alias("strand"), to_int(at(3)).alias("tx_start"),
         to_int(at(4)).alias("tx_end"), to_int(at(5)).alias("cds_start"), to_int(at(6)).alias("cds_end"),
         to_int(at(7)).alias("exon_count"), int_list(at(8)).alias("exon_starts"),
@@ -123,7 +123,7 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     c = F.col("_c")
     rows = lines.where((F.col("value") != "") & ~F.col("value").startswith("@")).withColumn("_c", cells(F.col("value")))
     return rows.where(F.size("_c") >= 11).select(
-        "path", "ord", *[(to_int(c[i]) if n in SAM_INTS else c[i]).alias(n) for i, n in enumerate(SAM_COLUMNS)],
+        "path", "ord", *[(to_int(cell(c, i)) if n in SAM_INTS else cell(c, i)).alias(n) for i, n in enumerate(SAM_COLUMNS)],
         F.slice(c, 12, F.greatest(F.size(c) - 11, F.lit(0))).alias("tags"))
 
 
@@ -133,18 +133,18 @@ def parse_rmsk(lines: DataFrame) -> DataFrame:
     star = F.element_at(c, -1) == "*"
     rows = content(lines).withColumn("_c", words(F.col("value")))
     rows = rows.withColumn("overlapped", star).withColumn("_c", F.when(star, F.slice(c, 1, F.size(c) - 1)).otherwise(c))
-    rows = rows.where(F.size("_c").isin(14, 15) & c[0].rlike("^[0-9]+$"))
+    rows = rows.where(F.size("_c").isin(14, 15) & cell(c, 0).rlike("^[0-9]+$"))
 
     def paren(x: Column) -> Column:
         return to_int(F.regexp_replace(x, r"[()]", ""))
 
-    forward = c[8] == "+"
+    forward = cell(c, 8) == "+"
     return rows.select(
-        "path", "ord", to_int(c[0]).alias("score"), *[to_float(c[i]).alias(n) for i, n in ((1, "pct_div"), (2, "pct_del"), (3, "pct_ins"))],
-        c[4].alias("query"), to_int(c[5]).alias("q_begin"), to_int(c[6]).alias("q_end"), paren(c[7]).alias("q_left"),
-        F.when(forward, "+").otherwise("-").alias("strand"), c[9].alias("repeat"), c[10].alias("class_family"),
-        paren(F.when(forward, c[11]).otherwise(c[13])).alias("r_begin"), paren(c[12]).alias("r_end"),
-        paren(F.when(forward, c[13]).otherwise(c[11])).alias("r_left"), to_int(cell(c, 14)).alias("id"), "overlapped")
+        "path", "ord", to_int(cell(c, 0)).alias("score"), *[to_float(cell(c, i)).alias(n) for i, n in ((1, "pct_div"), (2, "pct_del"), (3, "pct_ins"))],
+        cell(c, 4).alias("query"), to_int(cell(c, 5)).alias("q_begin"), to_int(cell(c, 6)).alias("q_end"), paren(cell(c, 7)).alias("q_left"),
+        F.when(forward, "+").otherwise("-").alias("strand"), cell(c, 9).alias("repeat"), cell(c, 10).alias("class_family"),
+        paren(F.when(forward, cell(c, 11)).otherwise(cell(c, 13))).alias("r_begin"), paren(cell(c, 12)).alias("r_end"),
+        paren(F.when(forward, cell(c, 13)).otherwise(cell(c, 11))).alias("r_left"), to_int(cell(c, 14)).alias("id"), "overlapped")
 
 
 def parse_bedmethyl(lines: DataFrame) -> DataFrame:
@@ -174,17 +174,18 @@ def parse_plink_map(lines: DataFrame) -> DataFrame:
     four = F.size("_c") == 4
     numbered = running(rows, ["path"], ["ord"], ord_block(), {"idx": ("sum", F.lit(1).cast("bigint"))}, exclusive=True)
     return numbered.select(
-        "path", "idx", c[0].alias("chrom"), c[1].alias("variant_id"),
-        F.when(four, to_float(c[2])).alias("morgans"), to_int(F.when(four, cell(c, 3)).otherwise(c[2])).alias("pos"))
+        "path", "idx", cell(c, 0).alias("chrom"), cell(c, 1).alias("variant_id"),
+        F.when(four, to_float(cell(c, 2))).alias("morgans"), to_int(F.when(four, cell(c, 3)).otherwise(cell(c, 2))).alias("pos"))
 
 
 def parse_plink_ped(lines: DataFrame) -> DataFrame:
     """One row per (individual, variant index) with both alleles."""
     c = F.col("_c")
     rows = content(lines, "#").withColumn("_c", words(F.col("value"))).where(F.size("_c") >= 6)
-    pairs = F.transform(F.sequence(F.lit(0), F.expr("(size(_c) - 6) div 2 - 1")), lambda i: F.struct(
-        F.element_at(c, i * 2 + 7).alias("a1"), F.element_at(c, i * 2 + 8).alias("a2")))
+    last = F.expr("cast((size(_c) - 6) div 2 - 1 as int)")
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(
+        F.try_element_at(c, i * 2 + 7).alias("a1"), F.try_element_at(c, i * 2 + 8).alias("a2")))
     return rows.where("size(_c) >= 8").select(
-        "path", "ord", c[0].alias("family"), c[1].alias("individual"), c[4].alias("sex"), c[5].alias("phenotype"),
+        "path", "ord", cell(c, 0).alias("family"), cell(c, 1).alias("individual"), cell(c, 4).alias("sex"), cell(c, 5).alias("phenotype"),
         F.posexplode(pairs).alias("idx", "g")
     ).select("path", "ord", "family", "individual", "sex", "phenotype", F.col("idx").cast("bigint").alias("idx"), "g.a1", "g.a2")

@@ -55,9 +55,9 @@ def parse_annotation(lines: DataFrame, fmt: str = "gtf") -> DataFrame:
     ok = _annotation_rows(lines).where("_n = 9 and _s is not null and _e is not null")
     c = F.col("_c")
     return ok.select(
-        "path", "ord", c[0].alias("chrom"), c[1].alias("source"), c[2].alias("feature"),
-        F.col("_s").alias("start"), F.col("_e").alias("end"), c[5].alias("score"), c[6].alias("strand"),
-        c[7].alias("frame"), c[8].alias("attrs_text"), attributes(c[8], fmt).alias("attrs"),
+        "path", "ord", cell(c, 0).alias("chrom"), cell(c, 1).alias("source"), cell(c, 2).alias("feature"),
+        F.col("_s").alias("start"), F.col("_e").alias("end"), cell(c, 5).alias("score"), cell(c, 6).alias("strand"),
+        cell(c, 7).alias("frame"), cell(c, 8).alias("attrs_text"), attributes(cell(c, 8), fmt).alias("attrs"),
     )
 
 
@@ -89,7 +89,7 @@ def parse_bed(lines: DataFrame, sep: str = "\t") -> DataFrame:
     rows = content(lines, "#", "track ", "browser ").withColumn("_c", parts).where(F.size("_c") >= 3)
     c = F.col("_c")
     return rows.select(
-        "path", "ord", c[0].alias("chrom"), to_int(c[1]).alias("start"), to_int(c[2]).alias("end"),
+        "path", "ord", cell(c, 0).alias("chrom"), to_int(cell(c, 1)).alias("start"), to_int(cell(c, 2)).alias("end"),
         cell(c, 3).alias("name"), cell(c, 4).alias("score"), cell(c, 5).alias("strand"), c.alias("cells"),
     ).where("start is not null and `end` is not null")
 

@@ -115,7 +115,7 @@ def parse_sites(lines: DataFrame, value_index: int) -> DataFrame:
     numbers = F.filter(F.transform(c, to_float), lambda v: v.isNotNull())
     value = F.coalesce(to_float(cell(c, value_index)), F.try_element_at(numbers, F.lit(-1)), F.lit(0.0))
     return lines.withColumn("_c", cells(F.col("value"))).where(F.size("_c") >= 3).select(
-        "path", c[0].alias("chrom"), to_int(c[1]).alias("start"), to_int(c[2]).alias("end"), value.alias("value")
+        "path", cell(c, 0).alias("chrom"), to_int(cell(c, 1)).alias("start"), to_int(cell(c, 2)).alias("end"), value.alias("value")
     ).where("start is not null and `end` is not null")
 
 
@@ -123,7 +123,7 @@ def parse_bismark(lines: DataFrame) -> DataFrame:
     """CpG report rows: rate = methylated / (methylated + unmethylated), 0 without reads."""
     c = F.col("_c")
     rows = lines.withColumn("_c", cells(F.col("value"))).where(F.size("_c") >= 5).select(
-        "path", c[0].alias("chrom"), to_int(c[1]).alias("pos"), to_int(c[3]).alias("meth"), to_int(c[4]).alias("unmeth")
+        "path", cell(c, 0).alias("chrom"), to_int(cell(c, 1)).alias("pos"), to_int(cell(c, 3)).alias("meth"), to_int(cell(c, 4)).alias("unmeth")
     ).where("pos is not null and meth is not null and unmeth is not null")
     total = F.col("meth") + F.col("unmeth")
     return rows.select(
@@ -141,7 +141,7 @@ def parse_gene_regions(lines: DataFrame) -> DataFrame:
     """gene, contig, start, end (1-based closed) as half-open; the last line of a gene wins."""
     c = F.col("_c")
     rows = lines.withColumn("_c", cells(F.col("value"))).where(F.size("_c") >= 4).select(
-        "ord", c[0].alias("gene_id"), c[1].alias("chrom"), to_int(c[2]).alias("s"), to_int(c[3]).alias("end")
+        "ord", cell(c, 0).alias("gene_id"), cell(c, 1).alias("chrom"), to_int(cell(c, 2)).alias("s"), to_int(cell(c, 3)).alias("end")
     ).where("s is not null and `end` is not null")
     last = rows.groupBy("gene_id").agg(F.max_by(F.struct("chrom", "s", "end"), "ord").alias("r"))
     return last.select("gene_id", "r.chrom", (F.col("r.s") - 1).alias("start"), "r.end")
@@ -150,7 +150,7 @@ def parse_gene_regions(lines: DataFrame) -> DataFrame:
 def parse_chrom_sizes(lines: DataFrame) -> DataFrame:
     c = F.col("_c")
     return content(lines, "#").withColumn("_c", F.split(F.trim("value"), r"[\t ]+")).where(F.size("_c") >= 2).select(
-        c[0].alias("chrom"), to_int(c[1]).alias("size")).where("size is not null")
+        cell(c, 0).alias("chrom"), to_int(cell(c, 1)).alias("size")).where("size is not null")
 
 
 def parse_hits(lines: DataFrame, tool: str) -> DataFrame:
@@ -158,10 +158,10 @@ def parse_hits(lines: DataFrame, tool: str) -> DataFrame:
     c = F.col("_c")
     dash = F.lit("-")
     least, picks = {
-        "miranda": (6, [F.ltrim(c[0], F.lit(">")), c[1], c[2], c[3], cell(c, 4), cell(c, 5)]),
-        "targetscan": (4, [c[1], c[0], dash, dash, c[2], c[3]]),
-        "rnahybrid": (5, [c[0], c[1], dash, cell(c, 4), c[2], c[3]]),
-        "normalized": (6, [c[0], c[1], c[2], c[3], cell(c, 4), cell(c, 5)]),
+        "miranda": (6, [F.ltrim(cell(c, 0), F.lit(">")), cell(c, 1), cell(c, 2), cell(c, 3), cell(c, 4), cell(c, 5)]),
+        "targetscan": (4, [cell(c, 1), cell(c, 0), dash, dash, cell(c, 2), cell(c, 3)]),
+        "rnahybrid": (5, [cell(c, 0), cell(c, 1), dash, cell(c, 4), cell(c, 2), cell(c, 3)]),
+        "normalized": (6, [cell(c, 0), cell(c, 1), cell(c, 2), cell(c, 3), cell(c, 4), cell(c, 5)]),
     }[tool]
     mirna, target, score, energy, start, end = picks
     return lines.withColumn("_c", cells(F.col("value"))).where(F.size("_c") >= least).select(
@@ -174,8 +174,8 @@ def parse_miranda_raw(lines: DataFrame) -> DataFrame:
     c = F.col("_c")
     return lines.where(F.col("value").startswith(">")).withColumn("_c", cells(F.col("value"))).where(
         F.size("_c") >= 10
-    ).select(F.ltrim(c[0], F.lit(">")).alias("mirna"), c[1].alias("target"), c[2].alias("score"), c[3].alias("energy"),
-             to_int(c[8]).alias("start"), to_int(c[9]).alias("end"))
+    ).select(F.ltrim(cell(c, 0), F.lit(">")).alias("mirna"), cell(c, 1).alias("target"), cell(c, 2).alias("score"), cell(c, 3).alias("energy"),
+             to_int(cell(c, 8)).alias("start"), to_int(cell(c, 9)).alias("end"))
 
 
 def parse_rnahybrid_blocks(blocks: DataFrame, cutoff: float) -> DataFrame:

@@ -42,9 +42,9 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     c = F.col("_c")
     none = F.array().cast("array<string>")
     return rows.where(F.size("_c") >= 8).select(
-        "path", "ord", c[0].alias("chrom"), to_int(c[1]).alias("pos"), c[2].alias("id"), c[3].alias("ref"),
-        F.when(c[4].isin(".", ""), none).otherwise(F.split(c[4], ",", -1)).alias("alts"),
-        c[5].alias("qual"), c[6].alias("filter"), c[7].alias("info"),
+        "path", "ord", cell(c, 0).alias("chrom"), to_int(cell(c, 1)).alias("pos"), cell(c, 2).alias("id"), cell(c, 3).alias("ref"),
+        F.when(cell(c, 4).isin(".", ""), none).otherwise(F.split(cell(c, 4), ",", -1)).alias("alts"),
+        cell(c, 5).alias("qual"), cell(c, 6).alias("filter"), cell(c, 7).alias("info"),
         F.when(F.size(c) > 8, F.split(cell(c, 8), ":", -1)).otherwise(none).alias("formats"),
         F.slice(c, 10, F.greatest(F.size(c) - 9, F.lit(0))).alias("samples"),
     ).where("pos is not null")
