@@ -11,6 +11,7 @@ from locusframe.functions.sequence import reverse_complement, translate_codons
 from locusframe.operators.intervals import interval_join, islands
 from locusframe.operators.ordered import position_block, running
 from locusframe.sources.annotation import record_ids
+from locusframe.session import materialize
 from locusframe.sources.lines import ord_block
 
 FEATURE_COLUMNS = [
@@ -71,7 +72,7 @@ def number_exons(exons: DataFrame) -> DataFrame:
     """Append ``exon_no``: the attribute when stated, else the running count in file order."""
     counted = running(exons, ["path", *GROUP], ["ord"], ord_block(), {"_seen": ("sum", F.lit(1).cast("bigint"))})
     return counted.withColumn(
-        "exon_no", F.coalesce(F.col("attrs")["exon_number"], F.col("_seen").cast("string"))).drop("_seen")
+        "exon_no", F.coalesce("exon_number", F.col("_seen").cast("string"))).drop("_seen")
 
 
 def derive_introns(exons: DataFrame, keys: Sequence[str] = ("path", *GROUP)) -> DataFrame:
@@ -136,8 +137,13 @@ def extract_features(
     Coordinates become 0-based half-open. Introns and UTRs take their types from the last record
     of the transcript group in file order.
     """
-    rec = annotated_records(records, resolve_parents)
     wanted = set(tokens)
+    rec = annotated_records(records, resolve_parents).select(
+        "path", "ord", "feature", "kind", "start", "end", *GROUP, "gene_type", "transcript_type",
+        F.col("attrs")["exon_number"].alias("exon_number"))
+    if wanted - {"gene", "transcript", "cds"}:
+        # exons, introns, UTRs and types each read the records: parse the text once
+        rec = materialize(rec)
     tid, out = F.col("transcript_id"), []
     na = F.lit("NA")
     if "gene" in wanted:

@@ -13,10 +13,10 @@ DATASETS = ["ds0", "ds1", "ds2"]
 # methylation sites: dataset and sample from the user, one value per site
 VIEWS["sites"] = """
 SELECT 'ds'||CAST(user_id%3 AS STRING) AS dataset, CASE WHEN user_id%6<3 THEN 'tumor_' ELSE 'Normal_' END||CAST(user_id%24 AS STRING) AS sample, 'chr'||CAST(event_id%4+1 AS STRING) AS chrom,
-       (event_id*13)%20000 AS start, (event_id*13)%20000+1+event_id%3 AS end_, CAST((event_id*7)%11 AS DOUBLE)*10 AS value FROM {events}"""
+       event_id*13 AS start, event_id*13+1+event_id%3 AS end_, CAST((event_id*7)%11 AS DOUBLE)*10 AS value FROM {events}"""
 VIEWS["gene_regions"] = """
 SELECT CASE WHEN p_partkey%2=0 THEN 'body' ELSE 'promoter' END AS region, 'g'||CAST(p_partkey AS STRING) AS gene_id, 'chr'||CAST(p_partkey%5+1 AS STRING) AS chrom,
-       (p_partkey*97)%20000 AS start, (p_partkey*97)%20000+200+p_size*20 AS end_ FROM {part}"""
+       p_partkey*65 AS start, p_partkey*65+200+p_size*20 AS end_ FROM {part}"""
 # a test table with ties, missing samples and genes without any value
 VIEWS["gene_values"] = """
 SELECT 'ds'||CAST(k%3 AS STRING) AS dataset, CASE WHEN n%2=0 THEN 'body' ELSE 'promoter' END AS region, 'g'||CAST(k%200 AS STRING) AS gene_id,
