@@ -55,7 +55,9 @@ def annotated_records(records: DataFrame, resolve_parents: bool = False) -> Data
     )
 
 
-def _rows(df: DataFrame, kind: Column, fid: Column, tid: Column = F.col("transcript_id"), ttype: Column = F.col("transcript_type")) -> DataFrame:
+def _rows(df: DataFrame, kind: Column, fid: Column, tid: Column | None = None, ttype: Column | None = None) -> DataFrame:
+    tid = F.col("transcript_id") if tid is None else tid
+    ttype = F.col("transcript_type") if ttype is None else ttype
     return df.select(
         "chrom", F.greatest(F.lit(0).cast("bigint"), F.col("start") - 1).alias("start"), "end",
         kind.alias("feature_type"), fid.alias("feature_id"), "gene_id", tid.alias("transcript_id"), "strand",

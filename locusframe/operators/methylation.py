@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locusframe.functions.values import to_float
 from locusframe.operators.intervals import interval_join
@@ -114,13 +115,13 @@ def rank_statistics(values: DataFrame, sizes: DataFrame, grid: DataFrame, case:
     return stats.select(*TEST_KEYS, "n1", "n2", "u", "tie_sum", z.alias("z"), "median_case", "median_control")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     """Two-sided normal p-value; no statistic gives 1."""
     return z.map(lambda v: 1.0 if v is None or math.isnan(v) else 2.0 * (1.0 - 0.5 * (1.0 + math.erf(abs(v) / math.sqrt(2.0)))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def general_format(x: pd.Series) -> pd.Series:
     """Six significant digits with trailing zeros removed."""
     return x.map(lambda v: None if v is None else f"{v:.6g}")
