@@ -38,9 +38,13 @@ def annotated_records(records: DataFrame, resolve_parents: bool = False) -> Data
     ``resolve_parents`` child records take the transcript from ``Parent`` and the gene from the
     transcript's own ``Parent``.
     """
-    ids = record_ids(F.col("attrs"))
+    def named(a: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in record_ids(a).items()], a["exon_number"].alias("exon_number"))
+
     kind = F.when(F.col("feature").isin("mRNA", "lnc_RNA"), F.lit("transcript")).otherwise(F.col("feature"))
-    out = records.select("*", *[c.alias(n) for n, c in ids.items()], kind.alias("kind"))
+    # a generator, so that the attribute map is parsed once and not again for every lookup
+    ids = F.inline(F.transform(F.array("attrs"), named))
+    out = records.select("*", kind.alias("kind"), ids)
     if not resolve_parents:
         return out
     links = out.where((F.col("kind") == "transcript") & F.col("attrs")["ID"].isNotNull()).groupBy(
@@ -141,8 +145,7 @@ def extract_features(
     """
     wanted = set(tokens)
     rec = annotated_records(records, resolve_parents).select(
-        "path", "ord", "feature", "kind", "start", "end", *GROUP, "gene_type", "transcript_type",
-        F.col("attrs")["exon_number"].alias("exon_number"))
+        "path", "ord", "feature", "kind", "start", "end", *GROUP, "gene_type", "transcript_type", "exon_number")
     if wanted - {"gene", "transcript", "cds"}:
         # exons, introns, UTRs and types each read the records: parse the text once
         rec = materialize(rec)

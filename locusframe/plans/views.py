@@ -175,4 +175,7 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = _raw(spark, sf_dir, name)
+    if df.columns == ["path", "ord", "value"]:
+        # stands for the file boundary: derived text is built once, not again for every cell cut from it
+        df = df.repartition("ord")
     return df.withColumnsRenamed({c: c[:-1] for c in df.columns if c.endswith("_")})
