@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusframe.llm import chat, shards, urls
+from locusframe.llm import chat, ngram_join, shards, urls
 from locusframe.llm.common import table
 from locusframe.plans.registry import Query
 
 SHARDS = 8
 
 
+def op1(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4(spark, sf_dir):
     placed = shards.shuffle_into_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -49,6 +53,7 @@ def op10(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_join": Query(op1),
     "op4_shards": Query(op4),
     "op5_chat": Query(op5, OP5_SQL),
     "op10_urls": Query(op10),
