@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusframe.llm import chat, ngram_join, shards, urls
-from locusframe.llm.common import table
+from locusframe.llm import chat, langid, ngram_join, packing, shards, toxicity, urls
+from locusframe.llm.common import id_bucket, table
 from locusframe.plans.registry import Query
 
 SHARDS = 8
@@ -15,6 +15,12 @@ def op1(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", id_bucket("doc_id", 5) == 0)
+    model = langid.train_language_model(docs.where("not held_out"))
+    return langid.identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4(spark, sf_dir):
     placed = shards.shuffle_into_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -41,6 +47,17 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
             WHEN ((coalesce(conv_id,0)%2)+2)%2=0 AND NOT odd THEN 'shared' ELSE 'messages' END AS layout
 FROM g"""
 
+def op6(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    lexicon = toxicity.train_lexicon(docs, labels.where(id_bucket("doc_id", 4) != 2))
+    return toxicity.score_texts(docs.withColumn("held_out", id_bucket("doc_id", 4) == 2), lexicon).select("doc_id", "held_out", "score", "predicted")
+
+
 URL_RULES = [
     urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
     urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
@@ -54,7 +71,10 @@ def op10(spark, sf_dir):
 
 QUERIES = {
     "op1_ngram_join": Query(op1),
+    "op3_langid": Query(op3),
     "op4_shards": Query(op4),
     "op5_chat": Query(op5, OP5_SQL),
+    "op6_packing": Query(op6),
+    "op7_toxicity": Query(op7),
     "op10_urls": Query(op10),
 }
