@@ -1,2 +1,80 @@
-"""The corpus pipeline (stages follow)."""
-QUERIES = {}
+"""The corpus pipeline: documents to packed training sequences, stage by stage."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from locusframe.llm import decontam, langid, ngram_join, packing, toxicity
+from locusframe.llm.common import bounded_broadcast, stored, table
+from locusframe.plans.registry import Query
+
+#: Least language score, and the toxicity score from which a document goes.
+MIN_LANGUAGE_SCORE = 0.1
+MAX_TOXICITY = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a language: no letter at all, or a score below MIN_LANGUAGE_SCORE.
+
+    Learned from the documents' own ``lang``. A null text has no language. Without any known language all
+    documents with letters stay.
+    """
+    model = langid.train_language_model(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return langid.identify(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose score reaches MAX_TOXICITY, by a lexicon learned from ``labels``."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    lexicon = toxicity.train_lexicon(docs.select("doc_id", "text"), labels)
+    if not lexicon.weights:
+        return docs
+    return toxicity.score_texts(docs, lexicon).where(F.col("score") < MAX_TOXICITY).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, the smallest id, of each group linked by a Jaccard similarity of 0.8 of five-word runs.
+
+    Rows that repeat an id count as one document. Rows without an id or without words stay.
+    """
+    groups = ngram_join.jaccard_components(docs, n=5, num=80, den=100)
+    kept = stored(groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct())
+    named = docs.join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold at least half of the words of a benchmark item in tiles."""
+    found = stored(decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_found")).where("_found is not null").distinct())
+    return docs.join(bounded_broadcast(found), F.col("doc_id") == F.col("_found"), "left_anti")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their place in sequences of 4096 tokens."""
+    return packing.pack_documents(docs.select("doc_id", "text"))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_text),
+    ("packing", pack_sequences),
+]
+
+# The first two stages rest on trained models and the last on a tokenizer: no SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir))
+    return docs
+
+
+QUERIES = {"pipeline": Query(run, ORACLE_SQL)}

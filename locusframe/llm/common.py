@@ -45,7 +45,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
 class WordHashes(dict):
     """64-bit hashes of words, remembered per worker process up to ``limit`` words."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

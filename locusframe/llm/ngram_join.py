@@ -120,39 +120,68 @@ def segment_marks(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
 MARKS_SCHEMA = "bucket int, docs array<bigint>, sizes array<bigint>, hashes array<bigint>, ids binary, marks binary"
 
 
-def _mark_batches(n: int, num: int, den: int, buckets: int, id_col: str, text_col: str):
-    """Per batch: one row (bucket -1) with the facts of all documents, one (bucket -2) with the agreements
+def packed_marks(marks: np.ndarray, ids: np.ndarray, buckets: int) -> list[tuple[int, bytes, bytes]]:
+    """(bucket, ids, marks) with the low five bytes of each mark, and ids in order as first value and small differences.
 
-    inside the batch, and one row per bucket of packed signatures, each signature once.
+    A bucket holds far fewer marks than five bytes can tell apart; two that still look alike only widen a family.
     """
+    where = (marks >> np.uint64(40)) % np.uint64(buckets)
+    order = np.lexsort((ids, where))
+    marks, ids, where = marks[order], ids[order], where[order]
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(where)) + 1, [len(marks)])) if len(marks) else np.zeros(1, int)
+    out = []
+    for a, b in zip(starts[:-1], starts[1:]):
+        steps = np.diff(ids[a:b]).astype(np.uint64)
+        kind = next(t for t in ("<u2", "<u4", "<u8") if len(steps) == 0 or int(steps.max()) <= np.iinfo(t).max)
+        head = np.array([ids[a], int(kind[2])], "<i8").tobytes()
+        low = marks[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        out.append((int(where[a]), head + steps.astype(kind).tobytes(), low.tobytes()))
+    return out
+
+
+def unpacked_marks(ids: bytes, marks: bytes) -> tuple[np.ndarray, np.ndarray]:
+    first, width = np.frombuffer(ids[:16], "<i8")
+    steps = np.frombuffer(ids[16:], f"<u{width}").astype(np.int64)
+    wide = np.zeros((len(marks) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(marks, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").ravel().astype(np.uint64), first + np.concatenate(([0], np.cumsum(steps)))
+
+
+def _mark_batches(n: int, num: int, den: int, buckets: int, step: int = 1024):
+    """Per ``step`` documents (doc, text): one row (bucket -1) with the facts of all, one (bucket -2) with the
+
+    agreements among them, and one row per bucket of packed signatures, each signature once.
+    """
+
+    def rows_of(ids: np.ndarray, texts: list) -> list[tuple]:
+        sizes, hashes, marks, owner, seen = [], [], [], [], set()
+        for doc, text in zip(ids.tolist(), texts):
+            tokens = ngram_set(text.as_py(), n)
+            mark = set_hash(tokens) if len(tokens) else 0
+            sizes.append(len(tokens))
+            hashes.append(mark)
+            if len(tokens) and (mark, len(tokens)) not in seen:
+                seen.add((mark, len(tokens)))
+                marks.append(segment_marks(tokens, num, den))
+                owner.append(np.full(len(marks[-1]), doc))
+        rows = [(-1, ids, np.array(sizes, np.int64), np.array(hashes, np.int64), None, None)]
+        if marks:
+            m, d, pairs = _meet_marks(np.concatenate(marks), np.concatenate(owner))
+            rows.append((-2, pairs[:, 0].copy(), pairs[:, 1].copy(), None, None, None))
+            rows += [(bucket, None, None, None, i, x) for bucket, i, x in packed_marks(m, d, buckets)]
+        return rows
 
     def run(batches):
-        for pdf in batches:
-            pdf = pdf[pdf[id_col].notna()]
-            ids = pdf[id_col].to_numpy(np.int64)
-            sizes, hashes, marks, owner, seen = [], [], [], [], {}
-            for row in np.argsort(ids, kind="stable"):
-                tokens = ngram_set(pdf[text_col].iat[row], n)
-                mark = set_hash(tokens) if len(tokens) else 0
-                sizes.append(len(tokens))
-                hashes.append(mark)
-                if len(tokens) and (mark, len(tokens)) not in seen:
-                    seen[mark, len(tokens)] = True
-                    m = segment_marks(tokens, num, den)
-                    marks.append(m)
-                    owner.append(np.full(len(m), ids[row]))
-            rows = [(-1, np.sort(ids, kind="stable"), np.array(sizes, np.int64), np.array(hashes, np.int64), None, None)]
-            if marks:
-                m, d, pairs = _meet_marks(np.concatenate(marks), np.concatenate(owner))
-                rows.append((-2, pairs[:, 0].copy(), pairs[:, 1].copy(), None, None, None))
-                where = (m >> np.uint64(32)) % np.uint64(buckets)
-                order = np.argsort(where, kind="stable")
-                m, d, where = m[order], d[order], where[order]
-                cuts = np.flatnonzero(np.diff(where)) + 1
-                for piece in np.split(np.arange(len(m)), cuts) if len(m) else []:
-                    a, b = piece[0], piece[-1] + 1
-                    rows.append((int(where[a]), None, None, None, d[a:b].tobytes(), m[a:b].tobytes()))
-            yield pd.DataFrame(rows, columns=["bucket", "docs", "sizes", "hashes", "ids", "marks"])
+        import pyarrow as pa
+
+        kinds = pa.schema([("bucket", pa.int32()), *[(c, pa.list_(pa.int64())) for c in ("docs", "sizes", "hashes")], ("ids", pa.binary()), ("marks", pa.binary())])
+        for batch in batches:
+            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            for at in range(0, len(ids), step):
+                order = at + np.argsort(ids[at : at + step], kind="stable")
+                text = batch.column("text")
+                rows = rows_of(ids[order].astype(np.int64), [text[int(i)] for i in order])
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind.type) for column, kind in zip(zip(*rows), kinds)], schema=kinds)
 
     return run
 
@@ -169,8 +198,8 @@ def _meet_marks(marks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    marks, ids = np.frombuffer(b"".join(pdf["marks"]), np.uint64), np.frombuffer(b"".join(pdf["ids"]), np.int64)
-    pairs = _meet_marks(marks, ids)[2]
+    parts = [unpacked_marks(i, m) for i, m in zip(pdf["ids"], pdf["marks"])]
+    pairs = _meet_marks(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))[2]
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
@@ -297,7 +326,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     buckets = 4 * shuffle_partitions(spark)
-    marks = stored(docs.mapInPandas(_mark_batches(n, num, den, buckets, "doc", "text"), MARKS_SCHEMA))
+    marks = stored(docs.where("doc is not null").mapInArrow(_mark_batches(n, num, den, buckets), MARKS_SCHEMA))
     info = marks.where("bucket = -1").select(F.explode(F.arrays_zip("docs", "sizes", "hashes")).alias("x")).select(
         F.col("x.docs").alias("doc"), F.col("x.sizes").alias("size"), F.col("x.hashes").alias("hash"))
     sets = stored(info.where("size > 0").groupBy("hash", "size").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")))

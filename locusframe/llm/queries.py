@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusframe.llm import chat, langid, ngram_join, packing, shards, toxicity, urls
+from locusframe.llm import chat, decontam, graph_dedup, langid, ngram_join, packing, revisits, shards, toxicity, urls
 from locusframe.llm.common import id_bucket, table
 from locusframe.plans.registry import Query
 
@@ -15,6 +15,10 @@ def op1(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op2(spark, sf_dir):
+    return graph_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", id_bucket("doc_id", 5) == 0)
     model = langid.train_language_model(docs.where("not held_out"))
@@ -58,6 +62,46 @@ def op7(spark, sf_dir):
     return toxicity.score_texts(docs.withColumn("held_out", id_bucket("doc_id", 4) == 2), lexicon).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8(spark, sf_dir):
+    found = revisits.resolve_revisits(revisits.captures_of(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select("record_id", "url_key", "response_id", "outcome", F.array_join(lines, "\n").alias("headers"))
+
+
+OP8_SQL = r"""
+WITH p AS (SELECT page_id AS pid, coalesce(url,'') AS url, md5(coalesce(html,'')) AS m, 1700000000+page_id*7 AS ts FROM pages),
+b AS (SELECT *, '"'||substring(m,1,16)||'"' AS et, CAST(ts-pid%1000 AS VARCHAR) AS lm, regexp_replace(regexp_replace(url,'#.*$',''),'^http:','https:') AS sp FROM p),
+cap AS (
+ SELECT pid*8 AS record_id, 'response' AS kind, url, ts, 200 AS status, et AS etag, lm AS last_modified, m AS digest,
+  [{'k':'content-type','v':'text/html'},{'k':'etag','v':et},{'k':'cache-control','v':'max-age=60'},{'k':'date','v':CAST(ts AS VARCHAR)},{'k':'set-cookie','v':'a=1'}] AS h FROM b
+ UNION ALL SELECT pid*8+1, 'revisit', sp||CASE WHEN contains(sp,'?') THEN '&' ELSE '?' END||'utm_medium=x#top', ts+3600*(1+pid%50), 304, et, NULL, NULL,
+  [{'k':'date','v':CAST(ts+3600 AS VARCHAR)},{'k':'cache-control','v':'max-age=120'},{'k':'etag','v':et}] FROM b
+ UNION ALL SELECT pid*8+2, 'revisit', url, ts+90000+pid%7, 304, CASE WHEN pid%7=0 THEN '"other"' END, CASE WHEN pid%3=0 THEN lm END, CASE WHEN pid%2=0 THEN m END,
+  [{'k':'date','v':CAST(ts+90000 AS VARCHAR)},{'k':'expires','v':CAST(ts+99000 AS VARCHAR)}] FROM b
+ UNION ALL SELECT pid*8+4, 'revisit', sp, ts-1000000, 304, et, NULL, NULL, [{'k':'date','v':CAST(ts-1000000 AS VARCHAR)}] FROM b WHERE pid%11=0),
+c AS (SELECT *, regexp_replace(url,'#.*$','') AS u FROM cap),
+k AS (SELECT *, CASE WHEN regexp_matches(u,'^[^:/?]*://') THEN
+   regexp_replace(regexp_replace(lower(regexp_extract(u,'^[^:/?]*://([^/?]*)',1)),':(80|443)$',''),'^www\.','')
+   ||regexp_replace(regexp_extract(u,'^[^:/?]*://[^/?]*([^?]*)',1),'/+$','')
+   ||CASE WHEN len(q)>0 THEN '?'||array_to_string(q,'&') ELSE '' END END AS url_key
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(u,'\?(.*)$',1),'&'), lambda x: x<>'' AND NOT regexp_matches(x,'^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))) AS q FROM c)),
+w AS (SELECT *, last_value(CASE WHEN kind='response' THEN {'id':record_id,'etag':etag,'lm':last_modified,'d':digest,'h':h} END IGNORE NULLS)
+        OVER (PARTITION BY url_key ORDER BY ts, CASE WHEN kind='revisit' THEN 0 ELSE 1 END, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM k),
+o AS (SELECT *, CASE WHEN url_key IS NULL OR r IS NULL THEN 'no-response'
+   WHEN etag IS NOT NULL AND r.etag IS NOT NULL THEN CASE WHEN etag=r.etag THEN 'etag' ELSE 'changed' END
+   WHEN last_modified IS NOT NULL AND r.lm IS NOT NULL THEN CASE WHEN last_modified=r.lm THEN 'last-modified' ELSE 'changed' END
+   WHEN digest IS NOT NULL AND r.d IS NOT NULL THEN CASE WHEN digest=r.d THEN 'digest' ELSE 'changed' END ELSE 'no-validator' END AS outcome FROM w WHERE kind='revisit')
+SELECT record_id, url_key, CASE WHEN outcome IN ('etag','last-modified','digest') THEN r.id END AS response_id, outcome,
+  CASE WHEN outcome IN ('etag','last-modified','digest') THEN array_to_string(list_sort(list_concat(
+    list_transform(h, lambda x: x.k||'='||x.v), list_transform(list_filter(r.h, lambda x: NOT list_contains(list_transform(h, lambda y: y.k), x.k)), lambda x: x.k||'='||x.v))), chr(10)) END AS headers
+FROM o"""
+
+
+def op9(spark, sf_dir):
+    docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return decontam.contaminated(docs, benchmark).select("doc_id", "item_id", "coverage", "tiled_words", "tiles", "longest_tile", "doc_words")
+
+
 URL_RULES = [
     urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
     urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
@@ -71,10 +115,13 @@ def op10(spark, sf_dir):
 
 QUERIES = {
     "op1_ngram_join": Query(op1),
+    "op2_graph_dedup": Query(op2),
     "op3_langid": Query(op3),
     "op4_shards": Query(op4),
     "op5_chat": Query(op5, OP5_SQL),
     "op6_packing": Query(op6),
     "op7_toxicity": Query(op7),
+    "op8_revisits": Query(op8, OP8_SQL),
+    "op9_decontamination": Query(op9),
     "op10_urls": Query(op10),
 }

@@ -118,13 +118,13 @@ def _draw(labels: DataFrame, per_class: int, seed: int) -> tuple[DataFrame, dict
     return labels.where(keep), counts
 
 
-def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 3000, min_docs: int = 4, min_log_odds: float = 2.0, prefixes: range = range(4, 8),
+def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min_docs: int = 4, min_log_odds: float = 2.0, min_g2: float = 24.0, prefixes: range = range(4, 8),
                   max_entries: int = 20_000, exceptions: tuple[str, ...] = EXCEPTIONS, seed: int = 23) -> Lexicon:
     """Learn entries, weights, exception phrases and calibration from labelled documents.
 
     ``docs`` (doc_id, text), ``labels`` (doc_id, label 0 or 1). About ``per_class`` rows of each class are drawn by a seeded hash
-    of the id; the drawn labels are what is broadcast. An entry needs ``min_docs`` toxic documents and a log odds ratio of
-    ``min_log_odds``; a beginning of words replaces the entries it starts. Without both classes the
+    of the id; the drawn labels are what is broadcast. An entry needs ``min_docs`` toxic documents, a log odds ratio of
+    ``min_log_odds`` and a log-likelihood ratio of ``min_g2``, which keeps chance finds out; a beginning of words replaces the entries it starts. Without both classes the
     lexicon is empty and every score is the share of toxic labels.
     """
     drawn, counts = _draw(labels, per_class, seed)
@@ -150,10 +150,15 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 3000, min
     rows = [(r["entry"], r["whole"], r["toxic"], r["clean"]) for r in table.collect()]
     n1, n0 = next(((t, c) for e, _, t, c in rows if e == ""), (1, 1))
     odds = lambda t, c: math.log((t + 0.5) / (n1 + 1)) - math.log((c + 0.5) / (n0 + 1))
+
+    def g2(t: int, c: int) -> float:
+        share = n1 / (n1 + n0)
+        return 2 * sum(k * math.log(k / ((t + c) * p)) for k, p in ((t, share), (c, 1 - share)) if k)
+
     weights: dict[tuple[str, bool], float] = {}
     for entry, whole, t, c in sorted((r for r in rows if r[0]), key=lambda r: (len(r[0]), r[1], r[0])):
         w = odds(t, c)
-        if w >= min_log_odds and not any(weights.get((entry[:n], False), 0) >= w - 1 or (c == 0 and (entry[:n], False) in weights) for n in range(1, len(entry) + 1)):
+        if w >= min_log_odds and g2(t, c) >= min_g2 and not any(weights.get((entry[:n], False), 0) >= w - 1 or (c == 0 and (entry[:n], False) in weights) for n in range(1, len(entry) + 1)):
             weights[entry, whole] = w
     lexicon = Lexicon(weights, exceptions)
 
