@@ -8,6 +8,8 @@ emptiest sequences are gone. What stays underfull in all groups is packed again
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from itertools import combinations
 
@@ -24,10 +26,12 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 class Vocabulary(dict):
     """Token ids, as little-endian unsigned 32-bit bytes, of the strings between white space.
 
-    The tokenizer never joins across white space, so a text's ids are those of its strings one after another.
+    The tokenizer never joins across white space, nor a run of letters with the punctuation behind it,
+    so a text's ids are those of such parts one after another. New letter runs are encoded many at a time.
     """
 
-    limit = 300_000
+    limit = 500_000
+    _parts = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, name: str):
         import os
@@ -38,13 +42,52 @@ class Vocabulary(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
         self.tokenizer = Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
+        self.runs: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {b"": b""}
+
+    def encode(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) + len(words) > self.limit:
             self.clear()
-        new = [w for w in words if w not in self]
-        for word, coded in zip(new, self.tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)):
-            self[word] = np.array(coded.ids, "<u4").tobytes()
+        if len(self.runs) > self.limit:
+            self.runs.clear()
+        split, fresh = [], set()
+        for word in words:
+            if word in self:
+                continue
+            m = self._parts.fullmatch(word.lower())
+            if m is None or not (m[1].isascii() or _letters(m[1].decode("utf-8"))):
+                self[word] = self.encode(word)
+                continue
+            run, mark = m.groups()
+            split.append((word, run, mark))
+            if run not in self.runs:
+                fresh.add(run)
+            if mark not in self.marks:
+                self.marks[mark] = self.encode(mark)
+        fresh = list(fresh)
+        for at in range(0, len(fresh), 1000):
+            self._learn_runs(fresh[at : at + 1000])
+        for word, run, mark in split:
+            self[word] = self.runs[run] + self.marks[mark]
+
+    def _learn_runs(self, runs: list[bytes]) -> None:
+        """Encode letter runs as one text, told apart by the tokenizer's word numbers; one by one should these not agree."""
+        coded = self.tokenizer.encode(b" ".join(runs).decode("utf-8"), add_special_tokens=False)
+        numbers = np.array(coded.word_ids)
+        starts = np.flatnonzero(np.diff(numbers, prepend=-1)) if len(numbers) else []
+        if len(starts) != len(runs) or numbers[-1] != len(runs) - 1:
+            self.runs.update((r, self.encode(r)) for r in runs)
+            return
+        ids = np.array(coded.ids, "<u4")
+        self.runs.update((r, i.tobytes()) for r, i in zip(runs, np.split(ids, starts[1:])))
+
+
+def _letters(text: str) -> bool:
+    """Whether a text is of letters only, also as the tokenizer normalises it."""
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
 _vocabularies: dict[str, Vocabulary] = {}
