@@ -9,6 +9,8 @@ as many tasks as it has blocks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,9 @@ def running(
         *keys, *order, block.alias("_blk"), *[value.alias(f"_v_{n}") for n, (_, value) in aggs.items()],
         *([F.struct(*[F.col(c) for c in rest]).alias("_rest")] if rest else []),
     ).repartition(*keys, "_blk")
+    # A metrics node keeps the optimizer from pruning or filtering the two branches below differently,
+    # so rows and block totals start at one exchange and the input runs once.
+    src = src.observe(f"running-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
     vals = {name: (kind, F.col(f"_v_{name}")) for name, (kind, _) in aggs.items()}
 
     def direction(c: str) -> Column:
@@ -79,12 +84,7 @@ def running(
     order_key = F.struct(*[F.col(c) for c in order])
     if reverse and any(k == "last" for k, _ in vals.values()):
         raise ValueError("last runs forward only")
-    # The count keeps every column, so rows and totals share one shuffle and the input runs once.
-    row = F.struct(*[F.col(c) for c in src.columns if c not in keys])
-    totals = src.groupBy(*keys, "_blk").agg(
-        *[_totals(k, v, order_key).alias(f"_t_{n}") for n, (k, v) in vals.items()],
-        F.count(F.when(F.col("_blk").isNotNull(), row)).alias("_rows"),
-    ).where("_rows >= 0")
+    totals = src.groupBy(*keys, "_blk").agg(*[_totals(k, v, order_key).alias(f"_t_{n}") for n, (k, v) in vals.items()])
     block_order = F.col("_blk").desc() if reverse else F.col("_blk").asc()
     outer_w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
     outer_w = outer_w.orderBy(block_order).rowsBetween(Window.unboundedPreceding, -1)
