@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +32,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session made elsewhere."""
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application, so that functions can refer to it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="locusframe-code-")) / "locusframe_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, str(source.relative_to(root.parent)))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints.
 
@@ -52,6 +73,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate table that several steps read, cutting its lineage by a reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write an intermediate table that several steps read as Parquet in the shared folder, which cuts its lineage."""
+    spark = df.sparkSession
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``materialize`` wrote; nothing may read it any more."""
+    jvm = table.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table._table_path)
+    path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
