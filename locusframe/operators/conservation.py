@@ -13,10 +13,9 @@ from locusframe.functions.sequence import identity_count
 from locusframe.functions.values import safe_ratio, to_float_lenient
 from locusframe.operators.intervals import interval_join, islands, union_length
 from locusframe.operators.ordered import running
-from locusframe.session import materialize
+from locusframe.session import discard, materialize
 
 RUN = ["species", "mode"]
-MAX_ISLAND = 20_000
 
 
 def base_id(segment: Column) -> Column:
@@ -55,49 +54,6 @@ def segment_scores(query: DataFrame, target: DataFrame) -> DataFrame:
         identity_count(F.col("q"), F.col("t")).alias("matched_length"))
 
 
-def _overlaps(ls, le, rs, re_) -> int:
-    """Summed pairwise overlap of two block lists."""
-    return int(np.maximum(0, np.minimum(le[:, None], re_[None, :]) - np.maximum(ls[:, None], rs[None, :])).sum())
-
-
-def _union(s, e) -> int:
-    if len(s) == 0:
-        return 0
-    o = np.lexsort((e, s))
-    s, e = s[o], e[o]
-    reach = np.concatenate(([s[0]], np.maximum.accumulate(e)[:-1]))
-    return int(np.maximum(0, e - np.maximum(s, reach)).sum())
-
-
-def _fraction(a, b) -> float:
-    small = min(_union(*a), _union(*b))
-    return _overlaps(*a, *b) / small if small > 0 else 0.0
-
-
-def _drop_pass(cutoff: float):
-    """Order-dependent duplicate pass over one island of touching segments."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("segment_id", kind="mergesort").reset_index(drop=True)
-        n = len(pdf)
-        s, e, score = pdf["start"].to_numpy(), pdf["end"].to_numpy(), pdf["matched_length"].to_numpy()
-        blocks = [(np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)) for a, b in zip(pdf["b_starts"], pdf["b_ends"])]
-        gone = np.zeros(n, dtype=bool)
-        for i in range(n - 1):
-            if gone[i]:
-                continue
-            near = np.nonzero(~gone[i + 1:] & (s[i + 1:] <= e[i]) & (e[i + 1:] >= s[i]))[0] + i + 1
-            for j in near:
-                if _fraction(blocks[i], blocks[j]) < cutoff:
-                    continue
-                if score[i] >= score[j]:
-                    gone[j] = True
-                else:
-                    gone[i] = True
-                    break
-        return pdf.loc[gone, [*RUN, "segment_id"]]
-    return run
-
-
 def _fraction_column(a: str, b: str) -> Column:
     """Pairwise block overlap over the smaller union, as expressions on two block arrays."""
     def union(name: str) -> Column:
@@ -114,58 +70,55 @@ def _fraction_column(a: str, b: str) -> Column:
     return F.when(small > 0, pairwise / small).otherwise(0.0)
 
 
-def _sweep_large(members: DataFrame, keys: Sequence[str], cutoff: float) -> DataFrame:
-    """The same pass for islands too large for one task: one left segment per island and round.
-
-    Each round compares the smallest open segment of every island with the rest of it as a join,
-    drops what it beats before the first segment that beats it, and cuts the lineage.
-    """
-    keys = list(keys)
-    open_ = materialize(members.withColumns({"gone": F.lit(False), "done": F.lit(False)}))
-    while True:
-        left = open_.where("not gone and not done").groupBy(*keys).agg(
-            F.min_by(F.struct("segment_id", "start", "end", "matched_length", "blocks"), "segment_id").alias("left"))
-        if left.isEmpty():
-            return open_.where("gone").select(*RUN, "segment_id")
-        faced = open_.join(left, keys, "left").withColumn("l_blocks", F.col("left.blocks"))
-        rival = (
-            F.col("left").isNotNull() & ~F.col("gone") & (F.col("segment_id") > F.col("left.segment_id"))
-            & (F.col("start") <= F.col("left.end")) & (F.col("end") >= F.col("left.start"))
-            & (_fraction_column("l_blocks", "blocks") >= cutoff))
-        faced = faced.withColumns({"rival": F.coalesce(rival, F.lit(False)), "l_score": F.col("left.matched_length"), "l_id": F.col("left.segment_id")})
-        beaten_by = faced.where("rival and matched_length > l_score").groupBy(*keys).agg(F.min("segment_id").alias("winner"))
-        judged = faced.join(beaten_by, keys, "left")
-        loses = F.col("rival") & (F.col("matched_length") <= F.col("l_score")) & (F.col("winner").isNull() | (F.col("segment_id") < F.col("winner")))
-        is_left = F.coalesce(F.col("segment_id") == F.col("l_id"), F.lit(False))
-        open_ = materialize(judged.select(
-            *members.columns, (F.col("gone") | loses | (is_left & F.col("winner").isNotNull())).alias("gone"),
-            (F.col("done") | is_left).alias("done")))
-
-
-def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5, max_island: int = MAX_ISLAND) -> DataFrame:
+def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5) -> DataFrame:
     """Segments dropped as duplicates of another segment of the same base id.
 
-    The pass goes through ids as text; of two segments whose spans touch and whose block overlap
-    is at least ``cutoff`` of the smaller one the better matched is kept (the left one on ties).
-    Only touching segments affect each other, so each chain of touching spans is judged on its
-    own; chains above ``max_island`` rows run as joins instead of one task.
+    Two segments whose spans touch and whose block overlap is at least ``cutoff`` of the smaller one
+    are a pair; pairs are judged in the order of their ids as text, and the better matched segment stays (the
+    left one on ties) unless one of the two is already gone. Ids are unique within a species and mode.
     """
     iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
     rows = scores.join(blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", iv.alias("blocks")), [*RUN, "segment_id"])
     keys = [*RUN, "base_id"]
-    rows = rows.select(*keys, "segment_id", "start", "end", "matched_length", "blocks")
-    placed = materialize(islands(rows, keys))
-    group = [*keys, "island"]
-    counts = placed.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1")
-    sized = placed.join(counts, group)
-    small = sized.where(F.col("n") <= max_island).select(
-        *group, "segment_id", "start", "end", "matched_length", F.transform("blocks", lambda x: x["start"]).alias("b_starts"),
-        F.transform("blocks", lambda x: x["end"]).alias("b_ends"))
-    dropped = materialize(small.groupBy(*group).applyInPandas(_drop_pass(cutoff), "species string, mode string, segment_id string"))
-    large = sized.where(F.col("n") > max_island).drop("n")
-    if large.isEmpty():
-        return dropped
-    return dropped.unionByName(_sweep_large(large, group, cutoff))
+    rows = rows.select(*keys, "segment_id", "start", (F.col("end") + 1).alias("reach"), "matched_length", "blocks")
+    span = ("start", "reach")
+    pairs = interval_join(rows, rows, keys, span, span).where(
+        (F.col("segment_id") < F.col("segment_id_b")) & (_fraction_column("blocks", "blocks_b") >= cutoff))
+    return _beaten(pairs.select(*keys, F.col("segment_id").alias("i"), F.col("segment_id_b").alias("j"), (F.col("matched_length") >= F.col("matched_length_b")).alias("keeps_i")), keys)
+
+
+def _beaten(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Losers of pairs (i, j, keeps_i) judged in the order of (i, j), by rounds.
+
+    A pair counts unless one of its two is gone before, and only earlier pairs that the one in question
+    loses can take it away. So a pair is due once no such pair is open at either end; all due pairs are
+    judged in one round, then later pairs of their losers are void. Rounds follow the longest chain of
+    losing pairs that wait for each other, not the number of rows.
+    """
+    spark, parts = pairs.sparkSession, []
+    keys = list(keys)
+    open_ = materialize(pairs.select(*keys, "i", "j", F.struct("i", "j").alias("at"), F.when(F.col("keeps_i"), F.col("j")).otherwise(F.col("i")).alias("loser")))
+
+    def at_ends(table: DataFrame, times: DataFrame, name: str) -> DataFrame:
+        for end in ("i", "j"):
+            table = table.join(times.select(*keys, F.col("loser").alias(end), F.col("time").alias(f"{name}_{end}")), [*keys, end], "left")
+        return table
+
+    while not open_.isEmpty():
+        waits = open_.groupBy(*keys, "loser").agg(F.min("at").alias("time"))
+        free = lambda end: F.coalesce(F.col(f"wait_{end}") >= F.col("at"), F.lit(True))
+        judged = materialize(at_ends(open_, waits, "wait").select(*open_.columns, (free("i") & free("j")).alias("due")))
+        lost = materialize(judged.where("due").select(*keys, "loser", F.col("at").alias("time")))
+        parts.append(lost)
+        alive = lambda end: F.coalesce(F.col(f"gone_{end}") >= F.col("at"), F.lit(True))
+        left = materialize(at_ends(judged.where("not due"), lost, "gone").where(alive("i") & alive("j")).select(*open_.columns))
+        discard(open_)
+        discard(judged)
+        open_ = left
+    out = spark.createDataFrame([], pairs.select(*RUN, F.col("i").alias("segment_id")).schema)
+    for part in parts:
+        out = out.unionByName(part.select(*RUN, F.col("loser").alias("segment_id")))
+    return out
 
 
 def _label_pass(distance: int):

@@ -61,8 +61,7 @@ def overlap_share(a, b):
     return max(0, min(a[5], b[5]) - max(a[4], b[4])) / min(a[5] - a[4], b[5] - b[4])
 
 
-@pytest.mark.parametrize("limit", [20_000, 1])
-def test_duplicate_pass(spark, limit):
+def test_duplicate_pass(spark):
     rows = segments(5, 40)
     gone = set()
     for base in {x[3] for x in rows}:
@@ -81,7 +80,22 @@ def test_duplicate_pass(spark, limit):
     sc = spark.createDataFrame([(x[0], x[1], x[2], x[3], x[7]) for x in rows], "species string, mode string, segment_id string, base_id string, matched_length bigint")
     b = spark.createDataFrame([(x[0], x[1], x[2], x[4], x[5], x[6], [], []) for x in rows],
                               "species string, mode string, ids string, start bigint, end bigint, strand string, sizes array<bigint>, starts array<bigint>")
-    assert {r.segment_id for r in conservation.duplicate_segments(sc, b, 0.5, limit).collect()} == gone
+    assert {r.segment_id for r in conservation.duplicate_segments(sc, b, 0.5).collect()} == gone
+
+
+def test_duplicate_pass_over_one_long_island(spark):
+    n = 50_000
+    r = random.Random(9)
+    score = [r.randrange(100) for _ in range(n)]
+    gone = set()
+    for i in range(n - 1):  # each segment of 10 overlaps the next one by 6
+        if i not in gone:
+            gone.add(i + 1 if score[i] >= score[i + 1] else i)
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(score)], "i long, matched_length long").selectExpr(
+        "'m' AS species", "'lnc' AS mode", "concat('tx_', lpad(cast(i AS string), 6, '0')) AS segment_id", "'tx' AS base_id", "matched_length", "i")
+    spans = rows.selectExpr("species", "mode", "segment_id AS ids", "i * 4 AS start", "i * 4 + 10 AS end", "'+' AS strand", "array(10L) AS sizes", "array(0L) AS starts")
+    got = {int(x.segment_id[3:]) for x in conservation.duplicate_segments(rows.drop("i"), spans).collect()}
+    assert got == gone
 
 
 def test_nearby_labels(spark):
