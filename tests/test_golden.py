@@ -5,15 +5,15 @@ from pyspark.sql import functions as F
 from locusframe.operators import align, conservation, convert, features, intervals, quality, smprot, variants
 from locusframe.sources import alignments, annotation, lines as L, sequences, tables, vcf
 
-GTF = "\n".join([
-    'chr1\tt\tgene\t1\t100\t.\t+\t.\tgene_id "gene1"; gene_type "lncRNA";',
-    'chr1\tt\ttranscript\t1\t100\t.\t+\t.\tgene_id "gene1"; transcript_id "tx1"; gene_type "lncRNA"; transcript_type "lncRNA";',
-    'chr1\tt\texon\t1\t40\t.\t+\t.\tgene_id "gene1"; transcript_id "tx1"; exon_number "1";',
-    'chr1\tt\texon\t61\t100\t.\t+\t.\tgene_id "gene1"; transcript_id "tx1"; exon_number "2";',
+GTF = "\n".join("\t".join(r) for r in [
+    ("chr7", "own", "gene", "1001", "1300", ".", "-", ".", 'gene_id "GA"; gene_type "lncRNA";'),
+    ("chr7", "own", "transcript", "1001", "1300", ".", "-", ".", 'gene_id "GA"; transcript_id "GA.2"; gene_type "lncRNA"; transcript_type "lncRNA";'),
+    ("chr7", "own", "exon", "1211", "1300", ".", "-", ".", 'gene_id "GA"; transcript_id "GA.2"; exon_number "1";'),
+    ("chr7", "own", "exon", "1001", "1055", ".", "-", ".", 'gene_id "GA"; transcript_id "GA.2"; exon_number "2";'),
 ])
 VCF = "\n".join([
-    "##fileformat=VCFv4.2", "##INFO=<ID=CLNSIG,Number=.,Type=String,Description=\"s\">", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",
-    "chr1\t10\trs1\tA\tG\t.\tPASS\tCLNSIG=Pathogenic", "chr1\t25\trs2\tAT\tA\t.\tPASS\tCLNSIG=Benign",
+    "##fileformat=VCFv4.3", '##INFO=<ID=CLNSIG,Number=.,Type=String,Description="label">', "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]),
+    "\t".join(["chr7", "1220", "v70", "C", "T", "40", ".", "CLNSIG=Pathogenic"]), "\t".join(["chr7", "1040", "v71", "GCC", "G", "41", ".", "CLNSIG=Benign"]),
 ])
 
 
@@ -21,12 +21,12 @@ def test_features_and_clinvar(lines):
     feats = features.extract_features(annotation.parse_annotation(lines(GTF)))
     got = {(r.feature_type, r.feature_id, r.start, r.end, r.gene_type) for r in feats.collect()}
     # types of the intron come from the last record of the transcript, which states none
-    assert got == {("gene", "gene1", 0, 100, "lncRNA"), ("transcript", "tx1", 0, 100, "lncRNA"), ("exon", "tx1:exon1", 0, 40, "NA"),
-                   ("exon", "tx1:exon2", 60, 100, "NA"), ("intron", "tx1:intron1", 40, 60, "NA")}
+    assert got == {("gene", "GA", 1000, 1300, "lncRNA"), ("transcript", "GA.2", 1000, 1300, "lncRNA"), ("exon", "GA.2:exon1", 1210, 1300, "NA"),
+                   ("exon", "GA.2:exon2", 1000, 1055, "NA"), ("intron", "GA.2:intron1", 1055, 1210, "NA")}
     kept = variants.clinvar_filter(vcf.parse_vcf(lines(VCF)))
     ann = variants.annotate_clinvar(feats, kept)
     rows = sorted(tuple(r) for r in ann.select("feature_id", "start", "end", "variant_id", "variant_name", "clinical_labels", "allele_id").collect())
-    assert rows == [("tx1:exon1", 1, 40, "rs1", "NC_000001.11:g.10A>G", "Pathogenic", "NA"), ("tx1:exon1", 1, 40, "rs2", "NC_000001.11:g.25AT>A", "Benign", "NA")]
+    assert rows == [("GA.2:exon1", 1211, 1300, "v70", "NC_000007.14:g.1220C>T", "Pathogenic", "NA"), ("GA.2:exon2", 1001, 1055, "v71", "NC_000007.14:g.1040GCC>G", "Benign", "NA")]
     summary = {r.label: r["count"] for r in variants.summarize_annotations(ann).collect()}
     assert summary == {"ALL": 2, "Pathogenic": 1, "Benign": 1, "Affects": 0, "Drug response": 0, "Protective": 0, "Risk factor": 0}
 
@@ -82,16 +82,16 @@ def test_fasta_file(spark, tmp_path):
 
 
 def test_psl_and_chain_checks(lines):
-    psl = "\n".join(["psLayout version 3", "-----", "480\t15\t4\t1\t1\t500\t0\t0\t+\tq\t1000\t0\t1000\tchr1\t9000\t100\t600\t2\t200,300,\t0,700,\t100,300,"])
+    psl = "\n".join(["psLayout version 3", "-----", "90\t6\t2\t2\t1\t20\t1\t50\t+\tp\t300\t30\t150\tchr7\t5000\t200\t350\t2\t40,60,\t30,90,\t200,290,"])
     assert quality.check_psl(lines(psl)).passed()
-    bad = psl.replace("480\t", "481\t")
+    bad = psl.replace("90\t6", "91\t6")
     assert not quality.check_psl(lines(bad)).passed()
-    chain = "chain 10 chr1 1000 + 0 100 new1 1000 + 5 105 1\n60\t10\t10\n30\n"
+    chain = "chain 25 chr7 5000 + 100 260 n7 4000 + 300 450 4\n80\t30\t20\n50\n"
     assert quality.check_chain(lines(chain)).passed()
-    assert [r.rule for r in quality.check_chain(lines(chain.replace("30\n", "31\n"))).issues().orderBy("rule").collect()] == [
+    assert [r.rule for r in quality.check_chain(lines(chain.replace("\n50\n", "\n51\n"))).issues().orderBy("rule").collect()] == [
         "query blocks differ from the span", "target blocks differ from the span"]
-    lifted = align.liftover(convert_bed(lines, "chr1\t10\t20\nchr1\t55\t75\nchr2\t1\t5"), alignments.parse_chain_blocks(lines(chain)), 0.95)
-    assert sorted((r.chrom, r.start, r.fate, r.new_start) for r in lifted.collect()) == [("chr1", 10, "mapped", 15), ("chr1", 55, "partial", None), ("chr2", 1, "deleted", None)]
+    lifted = align.liftover(convert_bed(lines, "chr7\t110\t130\nchr7\t170\t220\nchr2\t1\t5"), alignments.parse_chain_blocks(lines(chain)), 0.95)
+    assert sorted((r.chrom, r.start, r.fate, r.new_start) for r in lifted.collect()) == [("chr2", 1, "deleted", None), ("chr7", 110, "mapped", 310), ("chr7", 170, "partial", None)]
 
 
 def convert_bed(lines, text):
@@ -99,10 +99,10 @@ def convert_bed(lines, text):
 
 
 def test_bedmethyl_needs_known_layout(lines):
-    row = "chr1\t0\t1\tm\t10\t+\t0\t1\t255,0,0\t10\t50.00\t5"
+    row = "chr7\t40\t41\tm\t8\t-\t40\t41\t0,0,0\t8\t25.00\t2"
     check = quality.check_bedmethyl(lines(row))
     assert not check.passed()
-    assert convert.bedmethyl_to_bed(annotation.parse_bed(lines(row)), coverage=True).first().coverage == "10"
+    assert convert.bedmethyl_to_bed(annotation.parse_bed(lines(row)), coverage=True).first().coverage == "8"
 
 
 def test_conservation_chain(spark):
@@ -110,15 +110,15 @@ def test_conservation_chain(spark):
         return spark.createDataFrame(rows, schema)
 
     seq = "species string, mode string, segment_id string, seq string"
-    q = table([("m", "lnc", "tx1_1", "ACGTACGTAC"), ("m", "lnc", "tx1_2", "ACGTACGT")], seq)
-    t = table([("m", "lnc", "tx1_1", "ACGTACGTAA"), ("m", "lnc", "tx1_2", "ACGTACGA")], seq)
+    q = table([("rat", "lnc", "k9_1", "GGCATTAGCCAT"), ("rat", "lnc", "k9_2", "TTGACA")], seq)
+    t = table([("rat", "lnc", "k9_1", "GGCATTAGCGTT"), ("rat", "lnc", "k9_2", "TTGACT")], seq)
     blk = "species string, mode string, ids string, start bigint, end bigint, strand string, sizes array<bigint>, starts array<bigint>"
-    b = table([("m", "lnc", "tx1_1", 0, 10, "+", [10], [0]), ("m", "lnc", "tx1_2", 20, 28, "+", [8], [0])], blk)
-    e = table([("m", "lnc", "tx1", 0, 30, "+", [10, 10], [0, 20])], blk)
+    b = table([("rat", "lnc", "k9_1", 50, 62, "-", [12], [0]), ("rat", "lnc", "k9_2", 80, 86, "-", [6], [0])], blk)
+    e = table([("rat", "lnc", "k9", 45, 95, "-", [20, 20], [0, 30])], blk)
     sc = conservation.segment_scores(q, t)
     assert conservation.duplicate_segments(sc, b).count() == 0
     r = conservation.aggregate_groups(sc, conservation.nearby_groups(sc, b), b, e).first()
-    assert (r.grouped_id, r.mapped_length, r.matched_length, round(r.match_ratio, 4), r.true_mapped_length, r.exon_covered, r.exon_counts) == ("tx1_1", 18, 16, 0.8889, 18, "1,2", 2)
+    assert (r.grouped_id, r.mapped_length, r.matched_length, round(r.match_ratio, 4), r.true_mapped_length, r.exon_covered, r.exon_counts) == ("k9_1", 18, 15, 0.8333, 18, "1,2", 2)
     assert conservation.pair_problems(q, t).count() == 0
 
 
@@ -127,7 +127,7 @@ def test_contig_and_track_exports(spark, lines, tmp_path):
 
     rec = vcf.parse_vcf(lines(VCF))
     sinks.split_by_contig(rec, str(tmp_path / "split"))
-    assert spark.read.text(str(tmp_path / "split" / "part=chr1")).count() == 2
+    assert spark.read.text(str(tmp_path / "split" / "part=chr7")).count() == 2
     assert sinks.track_line("n", colour="0,0,178") == 'track name="n" color=0,0,178'
     try:
         sinks.track_line("n", colour="0,0,300")
@@ -136,4 +136,4 @@ def test_contig_and_track_exports(spark, lines, tmp_path):
     else:
         raise AssertionError("colour above 255 accepted")
     assert variants.vcf_statistics(rec).where("metric = 'ts_tv_ratio'").first().value == "NA"
-    assert rec.select(F.max("pos")).first()[0] == 25
+    assert rec.select(F.max("pos")).first()[0] == 1220
