@@ -70,6 +70,20 @@ def _fraction_column(a: str, b: str) -> Column:
     return F.when(small > 0, pairwise / small).otherwise(0.0)
 
 
+def overlapping_pairs(scores: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pairs of segments of a base id whose spans touch, in the order of their ids, with their block overlap.
+
+    ``fraction`` is the summed pairwise block overlap over the smaller of the two unions.
+    """
+    iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
+    rows = scores.join(blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", iv.alias("blocks")), [*RUN, "segment_id"])
+    keys = [*RUN, "base_id"]
+    rows = rows.select(*keys, "segment_id", "start", (F.col("end") + 1).alias("reach"), "matched_length", "blocks")
+    span = ("start", "reach")
+    pairs = interval_join(rows, rows, keys, span, span).where(F.col("segment_id") < F.col("segment_id_b"))
+    return pairs.select(*keys, "segment_id", "segment_id_b", "matched_length", "matched_length_b", _fraction_column("blocks", "blocks_b").alias("fraction"))
+
+
 def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5) -> DataFrame:
     """Segments dropped as duplicates of another segment of the same base id.
 
@@ -77,13 +91,8 @@ def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5
     are a pair; pairs are judged in the order of their ids as text, and the better matched segment stays (the
     left one on ties) unless one of the two is already gone. Ids are unique within a species and mode.
     """
-    iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
-    rows = scores.join(blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", iv.alias("blocks")), [*RUN, "segment_id"])
+    pairs = overlapping_pairs(scores, blocks).where(F.col("fraction") >= cutoff)
     keys = [*RUN, "base_id"]
-    rows = rows.select(*keys, "segment_id", "start", (F.col("end") + 1).alias("reach"), "matched_length", "blocks")
-    span = ("start", "reach")
-    pairs = interval_join(rows, rows, keys, span, span).where(
-        (F.col("segment_id") < F.col("segment_id_b")) & (_fraction_column("blocks", "blocks_b") >= cutoff))
     return _beaten(pairs.select(*keys, F.col("segment_id").alias("i"), F.col("segment_id_b").alias("j"), (F.col("matched_length") >= F.col("matched_length_b")).alias("keeps_i")), keys)
 
 

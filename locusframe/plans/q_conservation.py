@@ -83,6 +83,12 @@ def grouped(s, d):
     return C.nearby_groups(kept, blocks(s, d, "seg_blocks"))
 
 
+def q_fraction(s, d):
+    """Block overlap of touching segments of a base id, as a share of the smaller union."""
+    out = C.overlapping_pairs(scores(s, d), blocks(s, d, "seg_blocks"))
+    return out.select(*C.RUN, F.col("segment_id").alias("seg_a"), F.col("segment_id_b").alias("seg_b"), F.round("fraction", 9).alias("fraction"))
+
+
 def q_drops(s, d):
     return drops(s, d)
 
@@ -177,7 +183,41 @@ ORDER_SQL = """
 SAME = "(SELECT count(*) FROM unnest(range(1, CAST(least(length(a), length(b)) AS BIGINT)+1)) AS u(i) WHERE upper(substr(a, i, 1))=upper(substr(b, i, 1)))"
 IDENTITY = "list_sum([CASE WHEN upper(substr({a}, i, 1))=upper(substr({b}, i, 1)) THEN 1 ELSE 0 END for i in range(1, least(length({a}), length({b}))+1)])"
 
+# segments in the order of their ids within a base id, their blocks, and block overlaps of touching pairs
+SEGMENTS = """
+, sc0 AS (SELECT seg.species, seg.mode, segment_id, 'tx'||CAST(k AS VARCHAR) AS base_id, {same} AS mt FROM seg),
+s AS (SELECT sc0.*, b.start AS s, b.end_ AS e, strand, CASE WHEN sizes_text='40' THEN 40 ELSE 25 END AS covered, sizes_text AS z,
+  row_number() OVER (PARTITION BY sc0.species, sc0.mode, base_id ORDER BY segment_id) AS r FROM sc0 JOIN seg_blocks b ON b.species=sc0.species AND b.mode=sc0.mode AND b.ids=segment_id),
+bl AS (SELECT species, mode, base_id, r, s AS bs, CASE WHEN z='40' THEN s+40 ELSE s+10 END AS be FROM s UNION ALL SELECT species, mode, base_id, r, s+25, s+40 FROM s WHERE z<>'40'),
+ov AS (SELECT x.species, x.mode, x.base_id, x.r AS i, y.r AS j, sum(greatest(0, least(x.be, y.be)-greatest(x.bs, y.bs))) AS o
+  FROM bl x JOIN bl y ON y.species=x.species AND y.mode=x.mode AND y.base_id=x.base_id AND x.r<y.r GROUP BY ALL),
+pr AS (SELECT a.species, a.mode, a.base_id, i, j, a.segment_id AS seg_a, b.segment_id AS seg_b, CAST(o AS DOUBLE)/least(a.covered, b.covered) AS f, a.mt>=b.mt AS w FROM ov
+  JOIN s a ON a.species=ov.species AND a.mode=ov.mode AND a.base_id=ov.base_id AND a.r=i JOIN s b ON b.species=ov.species AND b.mode=ov.mode AND b.base_id=ov.base_id AND b.r=j WHERE b.s<=a.e AND b.e>=a.s)
+""".replace("{same}", IDENTITY.format(a="q", b="t"))
+DROPS = SEGMENTS + """
+, ed AS (SELECT species, mode, base_id, list({'i': i, 'j': j, 'w': w} ORDER BY i, j) AS l FROM pr WHERE f>=0.5 GROUP BY 1,2,3),
+st AS (SELECT species, mode, base_id, 0 AS n, CAST([] AS BIGINT[]) AS gone FROM ed UNION ALL
+  SELECT species, mode, base_id, n+1, CASE WHEN list_contains(gone, l[n+1].i) OR list_contains(gone, l[n+1].j) THEN gone ELSE list_append(gone, CASE WHEN l[n+1].w THEN l[n+1].j ELSE l[n+1].i END) END
+  FROM st JOIN ed USING (species, mode, base_id) WHERE n<len(l)),
+dr AS (SELECT s.species, s.mode, s.segment_id FROM st JOIN ed USING (species, mode, base_id) JOIN s USING (species, mode, base_id) WHERE n=len(l) AND list_contains(gone, s.r))
+"""
+GROUPS = DROPS + """
+, kp AS (SELECT species, mode, base_id, segment_id, s, e, strand, row_number() OVER (PARTITION BY species, mode, base_id ORDER BY segment_id) AS r FROM s ANTI JOIN dr USING (species, mode, segment_id)),
+ne AS (SELECT a.species, a.mode, a.base_id, list({'i': a.r, 'j': b.r} ORDER BY a.r, b.r) AS l FROM kp a JOIN kp b ON b.species=a.species AND b.mode=a.mode AND b.base_id=a.base_id AND a.r<b.r AND a.strand=b.strand
+  AND b.s-a.e<=100000 AND a.s-b.e<=100000 GROUP BY 1,2,3),
+lb AS (SELECT species, mode, base_id, 0 AS n, range(1, count(*)+1) AS v FROM kp GROUP BY 1,2,3 UNION ALL
+  SELECT species, mode, base_id, n+1, list_transform(v, lambda x, k: CASE WHEN k=l[n+1].i OR k=l[n+1].j THEN least(v[l[n+1].i], v[l[n+1].j]) ELSE x END) FROM lb JOIN ne USING (species, mode, base_id) WHERE n<len(l)),
+la AS (SELECT kp.*, v[r] AS label, len(v) AS members FROM lb LEFT JOIN ne USING (species, mode, base_id) JOIN kp USING (species, mode, base_id) WHERE n=coalesce(len(l), 0)),
+gp AS (SELECT species, mode, segment_id, members>1 AS modified_group, CASE WHEN members>1 THEN base_id||'_'||CAST(dense_rank() OVER (PARTITION BY species, mode, base_id ORDER BY label) AS VARCHAR) ELSE base_id END AS grouped_id FROM la)
+"""
+
+
+def recursive(text: str, *names: str) -> str:
+    return sql(text, *names).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 QUERIES = {
+    "segment_overlap_fraction": Query(q_fraction, sql(SEGMENTS + "SELECT species, mode, seg_a, seg_b, round(f, 9) AS fraction FROM pr", "seg", "seg_blocks")),
     "segment_scores": Query(q_scores, sql(f"SELECT species, mode, segment_id, 'tx'||CAST(k AS VARCHAR) AS base_id, CAST(length(q) AS BIGINT) AS mapped_length, CAST({IDENTITY.format(a='q', b='t')} AS BIGINT) AS matched_length FROM seg", "seg")),
     "segment_pair_problems": Query(q_problems, sql("""
 , b AS (SELECT segment_id, CAST(length(t)+CASE WHEN segment_id LIKE '%7\\_1' ESCAPE '\\' THEN 1 ELSE 0 END AS BIGINT) AS n FROM seg WHERE segment_id NOT LIKE '%9_2')
@@ -189,8 +229,8 @@ SELECT c[4] AS ids, 'chr1' AS chrom, CAST(split_part(c[2], '.', 1) AS BIGINT) AS
     "block_union_length": Query(q_block_union, sql("""
 , b AS (SELECT regexp_replace(ids, '_[^_]*$', '') AS base_id, start, sizes_text AS z FROM seg_blocks), x AS (SELECT base_id, start AS s, start+CASE WHEN z='40' THEN 40 ELSE 10 END AS e FROM b UNION ALL SELECT base_id, start+25, start+40 FROM b WHERE z<>'40'),
 p AS (SELECT DISTINCT base_id, unnest(range(s, e)) AS i FROM x) SELECT base_id, count(*) AS union_length FROM p GROUP BY 1""", "seg_blocks")),
-    "duplicate_segments": Query(q_drops),
-    "nearby_groups": Query(q_groups),
+    "duplicate_segments": Query(q_drops, recursive(DROPS + "SELECT species, mode, segment_id FROM dr", "seg", "seg_blocks")),
+    "nearby_groups": Query(q_groups, recursive(GROUPS + "SELECT species, mode, segment_id, grouped_id, modified_group FROM gp", "seg", "seg_blocks")),
     "group_statistics": Query(q_aggregate, sql(f"""
 , sc AS (SELECT species, mode, segment_id, 'tx'||CAST(k AS VARCHAR) AS base, length(q) AS ml, {IDENTITY.format(a='q', b='t')} AS mt FROM seg),
 a AS (SELECT species, mode, base, CAST(sum(ml) AS BIGINT) AS mapped_length, CAST(sum(mt) AS BIGINT) AS matched_length FROM sc GROUP BY 1,2,3), rp AS (SELECT base, segment_id, row_number() OVER (PARTITION BY base ORDER BY mt DESC, segment_id) AS r FROM sc),
