@@ -95,3 +95,18 @@ def contig_order(name: Column) -> Column:
         .when(digits != "", key(2, digits.try_cast("bigint")))
         .otherwise(key(3, F.lit(0)))
     )
+
+
+def shortest_number(value: Column) -> Column:
+    """Shortest text of a double: ``0.0005``, ``5e-08``, ``12.0``, ``1e+16``; exponents only below 1e-4 and from 1e16 on."""
+    text = value.cast("double").cast("string")
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    mantissa = F.regexp_extract(text, r"^-?([0-9.]+)E", 1)
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "0+$", "")
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
+    digits = F.when(digits == "", "0").otherwise(digits)
+    whole = F.concat(F.rpad(digits, power + 1, "0"), F.lit("."), F.when(F.length(digits) > power + 1, F.substring(digits, power + 2, F.length(digits))).otherwise("0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    exponent = F.concat(F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"))
+    coded = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, F.length(digits)))).otherwise(""), exponent)
+    return F.when(~text.contains("E"), text).otherwise(F.concat(sign, F.when((power >= 0) & (power < 16), whole).when((power < 0) & (power >= -4), small).otherwise(coded)))

@@ -174,6 +174,7 @@ def union_tracks(tracks: DataFrame, names: Sequence[str], fill: float = 0.0) ->
 
     ``tracks``: track, chrom, start, end, value; intervals of one track must not overlap.
     """
+    tracks = tracks.where(F.col("track").isin(*names))
     seg = disjoint_segments(tracks)
     hits = interval_join(seg, tracks)
     wide = hits.groupBy("chrom", "start", "end").pivot("track", list(names)).agg(F.first("value"))

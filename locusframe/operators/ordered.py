@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.session import materialize
+
 
 def _totals(kind: str, value: Column, order: Column) -> Column:
     if kind == "sum":
@@ -47,6 +49,15 @@ def _combine(kind: str, carry: Column, inner: Column) -> Column:
     return F.coalesce(inner, carry)
 
 
+def evaluated_once(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows behind one exchange by ``columns`` that all users of the result share.
+
+    A metrics node keeps the optimizer from pruning or filtering the branches of a plan differently below
+    it, so they all start at the same exchange and what is under it runs once.
+    """
+    return df.repartition(*columns).observe(f"shared-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -65,10 +76,8 @@ def running(
     src = df.select(
         *keys, *order, block.alias("_blk"), *[value.alias(f"_v_{n}") for n, (_, value) in aggs.items()],
         *([F.struct(*[F.col(c) for c in rest]).alias("_rest")] if rest else []),
-    ).repartition(*keys, "_blk")
-    # A metrics node keeps the optimizer from pruning or filtering the two branches below differently,
-    # so rows and block totals start at one exchange and the input runs once.
-    src = src.observe(f"running-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+    )
+    src = evaluated_once(src, *keys, "_blk")
     vals = {name: (kind, F.col(f"_v_{name}")) for name, (kind, _) in aggs.items()}
 
     def direction(c: str) -> Column:
@@ -98,6 +107,20 @@ def running(
     )
 
 
+def with_rank(ordered: DataFrame, name: str = "rank") -> DataFrame:
+    """Place of each row, from 1, in a globally sorted table.
+
+    Partitions of a sort follow each other, so a place is the rows of the partitions before plus the
+    place inside; the sorted rows are written once, as both parts must see the same partitions.
+    """
+    rows = materialize(ordered.withColumn("_m", F.monotonically_increasing_id()))
+    part = F.shiftright("_m", 33)
+    sizes = rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    inside = F.col("_m") - F.shiftleft(part, 33) + 1
+    return rows.withColumn("_p", part).join(before, "_p").withColumn(name, inside + F.col("_b")).drop("_m", "_p", "_b")
+
+
 def position_block(column: str, shift: int = 16) -> Column:
     """Block of an integer position: 2**shift neighbouring positions."""
     return F.shiftright(F.col(column), shift)

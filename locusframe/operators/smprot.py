@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.values import normalize_chrom, to_int
 from locusframe.operators.intervals import interval_join
+from locusframe.operators.ordered import evaluated_once
 
 MAPPING_TYPE = "entirely_within_unique_transcript"
 
@@ -38,7 +39,7 @@ def smprot_filter_report(table: DataFrame) -> DataFrame:
 def contained_hits(features: DataFrame, proteins: DataFrame) -> DataFrame:
     """Proteins lying inside a feature other than gene and transcript."""
     useful = features.where(~F.col("feature_type").isin("gene", "transcript"))
-    return interval_join(useful, proteins).where("start_b >= start and end_b <= `end`")
+    return interval_join(useful, proteins, short_side="right").where("start_b >= start and end_b <= `end`")
 
 
 def place_proteins(features: DataFrame, proteins: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def place_proteins(features: DataFrame, proteins: DataFrame) -> DataFrame:
     Uniqueness is two mergeable aggregates per protein (smallest and largest transcript id), so a
     protein with very many hits is never gathered.
     """
-    hits = contained_hits(features, proteins)
+    hits = evaluated_once(contained_hits(features, proteins), "protein_id", "start", "end", "transcript_id")
     unique = hits.groupBy("protein_id").agg(F.min("transcript_id").alias("lo"), F.max("transcript_id").alias("hi")).where("lo = hi")
     return hits.join(unique.select("protein_id"), "protein_id", "left_semi").select(
         "chrom", F.col("start_b").alias("start"), F.col("end_b").alias("end"), "protein_id", "evidence", "source",

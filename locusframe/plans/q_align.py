@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from locusframe.operators import align as A
 from locusframe.functions.sequence import cigar_query_length, cigar_reference_length
+from locusframe.operators.ordered import with_rank
 from locusframe.plans.registry import Query, longs
 from locusframe.plans.views import VIEWS, sql, view
 from locusframe.sources import alignments as S
@@ -118,7 +119,7 @@ def q_best(s, d):
 
 
 def q_psl_sort(s, d):
-    return A.sort_psl(psl(s, d)).select("q_name", "ord")
+    return with_rank(A.sort_psl(psl(s, d)).select("q_name", "ord"))
 
 
 def q_psl_map(s, d):
@@ -134,7 +135,7 @@ def q_chain_filter(s, d):
 
 def q_chain_sort(s, d):
     h = headers(s, d)
-    return A.sort_chains(h.where("score >= 70"), h.where("score < 70")).select("chain_id", "score")
+    return with_rank(A.sort_chains(h.where("score >= 70"), h.where("score < 70")).select("chain_id", "score"))
 
 
 def q_chain_swap(s, d):
@@ -165,7 +166,7 @@ def q_sam_view(s, d):
 
 
 def q_sam_sort(s, d):
-    return A.sort_sam(sam(s, d)).select("r_name", "pos", "ord")
+    return with_rank(A.sort_sam(sam(s, d)).select("r_name", "pos", "ord"))
 
 
 def q_sam_bed(s, d):
@@ -225,7 +226,7 @@ SELECT dataset, 'human' AS species, CASE WHEN dataset='set2' THEN 'old' ELSE 'a'
     "psl_statistics": Query(q_psl_stats, sql(PSL + "SELECT q_name, CAST(500 AS BIGINT) AS q_size, t_name, t_start, t_end, strand, m+mm AS aligned, round(m/CAST(m+mm AS DOUBLE), 9) AS identity, round((m+mm)/CAST(500 AS DOUBLE), 9) AS q_coverage, m-mm-qi-ti AS score FROM p", "psl")),
     "psl_summary": Query(q_psl_summary, sql(PSL + "SELECT count(*) AS alignments, count(DISTINCT q_name) AS queries, CAST(sum(m+mm) AS BIGINT) AS aligned, round(min(m/CAST(m+mm AS DOUBLE)), 9) AS min_identity, round(max((m+mm)/CAST(500 AS DOUBLE)), 9) AS max_q_coverage FROM p", "psl")),
     "psl_best_alignments": Query(q_best, sql(PSL + ", o AS (SELECT *, m-mm-qi-ti AS sc FROM p WHERE m+mm>=500*CAST(0.18 AS DOUBLE) AND m>=(m+mm)*CAST(0.9 AS DOUBLE)), t AS (SELECT *, max(sc) OVER (PARTITION BY q_name) AS top FROM o) SELECT ord, q_name FROM t WHERE sc>=top*CAST(0.98 AS DOUBLE)", "psl")),
-    "psl_sort": Query(q_psl_sort, sql(PSL + "SELECT q_name, ord FROM p", "psl")),
+    "psl_sort": Query(q_psl_sort, sql(PSL + "SELECT q_name, ord, row_number() OVER (ORDER BY q_name, ord) AS rank FROM p", "psl")),
     "psl_map_through_chains": Query(q_psl_map, sql(CHAIN + PSL + """
 , b AS (SELECT p.*, sz[i] AS w, qs[i] AS qf, ts[i] AS tf FROM p, (VALUES (1), (2)) v(i)),
 h AS (SELECT ord, b.strand, cb.chain_id, cb.q_name AS nn, cb.q_strand, greatest(tf, t_from) AS lo, least(tf+w, t_from+size) AS hi, qf+greatest(tf, t_from)-tf AS q, q_from+greatest(tf, t_from)-t_from AS n FROM b JOIN cb ON cb.t_name=b.t_name AND tf<t_from+size AND t_from<tf+w),
@@ -233,7 +234,7 @@ z AS (SELECT *, hi-lo AS sz, CASE WHEN q_strand='-' THEN 500-q-(hi-lo) ELSE q EN
 g AS (SELECT ord, chain_id, nn, ns, CAST(sum(sz) AS BIGINT) AS aligned, min(qa) AS qlo, max(qa+sz) AS qhi, min(na) AS tlo, max(na+sz) AS thi, count(*) AS block_count FROM z GROUP BY 1,2,3,4)
 SELECT ord, chain_id, aligned, ns AS strand, CASE WHEN ns='-' THEN 500-qhi ELSE qlo END AS q_start, CASE WHEN ns='-' THEN 500-qlo ELSE qhi END AS q_end, nn AS t_name, tlo AS t_start, thi AS t_end, block_count FROM g""", "psl")),
     "chain_filter": Query(q_chain_filter, sql(CHAIN + "SELECT chain_id, score, t_name, CAST(2 AS BIGINT) AS blocks, CAST(160 AS BIGINT) AS bases FROM ck WHERE score>=50 AND q_strand='+' AND k*37<200000 AND k*37+160+k%5>1000", "chain")),
-    "chain_sort": Query(q_chain_sort, sql(CHAIN + "SELECT chain_id, score FROM ck", "chain")),
+    "chain_sort": Query(q_chain_sort, sql(CHAIN + "SELECT chain_id, score, row_number() OVER (ORDER BY score DESC, k) AS rank FROM ck", "chain")),
     "chain_swap": Query(q_chain_swap, sql(CHAIN + """SELECT k*4 AS ord, chain_id, score, q_name AS t_name, CAST(800000000 AS BIGINT) AS t_size, CASE WHEN q_strand='-' THEN 800000000-(k*11+160+k%4) ELSE k*11 END AS t_start, CASE WHEN q_strand='-' THEN 800000000-k*11 ELSE k*11+160+k%4 END AS t_end,
  t_name AS q_name, CAST(900000000 AS BIGINT) AS q_size, q_strand, CASE WHEN q_strand='-' THEN 900000000-(k*37+160+k%5) ELSE k*37 END AS q_start, CASE WHEN q_strand='-' THEN 900000000-k*37 ELSE k*37+160+k%5 END AS q_end FROM ck""", "chain")),
     "chain_swap_blocks": Query(q_swap_blocks, sql(CHAIN + "SELECT chain_id, q_name AS t_name, t_name AS q_name, size, CASE WHEN q_strand='-' THEN 800000000-q_from-size ELSE q_from END AS t_from, CASE WHEN q_strand='-' THEN 900000000-t_from-size ELSE t_from END AS q_from FROM cb", "chain")),
@@ -242,7 +243,7 @@ SELECT ord, chain_id, aligned, ns AS strand, CASE WHEN ns='-' THEN 500-qhi ELSE
     "psl_to_chain": Query(q_psl_chain, sql(PSL + "SELECT ord, m-mm-qi-ti AS score, strand AS q_strand, qs[1] AS q_start, qs[2]+sz[2] AS q_end, CAST(2 AS BIGINT) AS blocks, ts[2]-ts[1]-sz[1] AS dt, qs[2]-qs[1]-sz[1] AS dq FROM p", "psl")),
     "scan_sam": Query(q_sam, sql(SAM + "SELECT q_name, flag, r_name, pos, mapq, cg AS cigar, CAST(CASE cg WHEN '8M' THEN 8 WHEN '2S3M2D3M' THEN 8 ELSE 8 END AS BIGINT) AS q_length, CAST(rl AS BIGINT) AS r_length, CAST(len(c)-11 AS BIGINT) AS tags FROM m", "sam")),
     "sam_view": Query(q_sam_view, sql(SAM + "SELECT ord, q_name, r_name, pos FROM m WHERE flag & 1024=0 AND flag & 4=0 AND mapq>=5 AND q_name IN (SELECT q_name FROM sam_names) AND EXISTS (SELECT 1 FROM sam_regions g WHERE g.chrom=r_name AND pos-1<g.end_ AND g.start<pos-1+rl)", "sam", "sam_names", "sam_regions")),
-    "sam_sort": Query(q_sam_sort, sql(SAM + "SELECT r_name, pos, ord FROM m", "sam")),
+    "sam_sort": Query(q_sam_sort, sql(SAM + "SELECT r_name, pos, ord, row_number() OVER (ORDER BY r_name='*', r_name, pos, ord) AS rank FROM m", "sam")),
     "sam_to_bed": Query(q_sam_bed, sql(SAM + "SELECT r_name AS chrom, pos-1 AS start, pos-1+rl AS \"end\", q_name AS name, mapq AS score, CASE WHEN flag & 16<>0 THEN '-' ELSE '+' END AS strand FROM m WHERE flag & 4=0", "sam")),
     "sam_to_bed12": Query(q_sam_bed12, sql(SAM + "SELECT r_name AS chrom, pos-1 AS start, pos-1+rl AS \"end\", q_name AS name, CASE WHEN flag & 16<>0 THEN '-' ELSE '+' END AS strand, CAST(CASE WHEN rl=27 THEN 2 ELSE 1 END AS BIGINT) AS block_count, CASE WHEN rl=27 THEN '3,4' ELSE '8' END AS block_sizes, CASE WHEN rl=27 THEN '0,23' ELSE '0' END AS block_starts FROM m WHERE flag & 4=0", "sam")),
 }

@@ -156,7 +156,7 @@ def q_scan_bed(s, d):
 
 
 def q_bedgraph(s, d):
-    return parse_bedgraph(view(s, d, "bedgraph")).where("abs(value) < 1e300").drop("path")
+    return parse_bedgraph(view(s, d, "bedgraph")).drop("path")
 
 
 def q_scan_bedmethyl(s, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from locusframe.operators import intervals as I
+from locusframe.operators.ordered import with_rank
 from locusframe.plans.registry import Query, longs
 from locusframe.plans.views import VIEWS, sql, view
 
@@ -13,7 +14,7 @@ VIEWS["sizes"] = "SELECT chrom, max(end_)-CAST(5000 AS BIGINT) AS size FROM {fea
 VIEWS["tracks"] = """
 SELECT 'track'||CAST(n%3+1 AS STRING) AS track, 'chr'||CAST(k%5+1 AS STRING) AS chrom, k*37+CAST(floor(n/3) AS BIGINT)*10 AS start,
        k*37+CAST(floor(n/3) AS BIGINT)*10+1+pk%10 AS end_, CAST(1+qty%7 AS DOUBLE) AS value
-FROM {li} WHERE k%2=0"""
+FROM {li}"""
 
 DEPTH_SQL = """
 , ev AS (SELECT chrom, pos, sum(d) AS d FROM (SELECT chrom, start AS pos, 1 AS d FROM feat UNION ALL SELECT chrom, end_, -1 FROM feat) GROUP BY 1,2),
@@ -40,7 +41,7 @@ def overlap_join_long(s, d):
 
 
 def sort_bed(s, d):
-    return longs(I.sort_intervals(_f(s, d).select("chrom", "start", "end", "feature_id"), "feature_id", order=["chr3", "chr1"]))
+    return longs(with_rank(I.sort_intervals(_f(s, d).select("chrom", "start", "end", "feature_id"), "feature_id", order=["chr3", "chr1"])))
 
 
 def q_depth(s, d):
@@ -76,7 +77,7 @@ def q_tracks(s, d):
 
 
 def q_compare(s, d):
-    return I.compare_tracks(view(s, d, "tracks").where("track != 'track3'"), "track1", "track2", "subtract")
+    return I.compare_tracks(view(s, d, "tracks"), "track1", "track2", "subtract")
 
 
 def q_binned(s, d):
@@ -105,7 +106,8 @@ FROM feat f JOIN var v ON f.chrom=v.chrom AND f.start<v.end_ AND v.start<f.end_"
 , x AS (SELECT chrom, start, end_+CASE WHEN start%1000=0 THEN 3000000 ELSE 0 END AS e, feature_id FROM feat),
 y AS (SELECT chrom, start, end_+CASE WHEN start%1200=0 THEN 2000000 ELSE 0 END AS e FROM feat WHERE feature_type='gene')
 SELECT feature_id, count(*) AS n, CAST(sum(y.start) AS BIGINT) AS starts FROM x JOIN y ON x.chrom=y.chrom AND x.start<y.e AND y.start<x.e GROUP BY 1""", "feat")),
-    "interval_sort": Query(sort_bed, sql('SELECT chrom, start, end_ AS "end", feature_id FROM feat', "feat")),
+    "interval_sort": Query(sort_bed, sql("""SELECT chrom, start, end_ AS "end", feature_id,
+ row_number() OVER (ORDER BY CASE chrom WHEN 'chr3' THEN 0 WHEN 'chr1' THEN 1 ELSE 2 END, chrom, start, end_, feature_id) AS rank FROM feat""", "feat")),
     "coverage_depth": Query(q_depth, sql(DEPTH_SQL + """
 SELECT chrom, pos AS start, nxt AS "end", CAST(depth AS BIGINT) AS depth FROM run WHERE depth>0""", "feat")),
     "base_depth_in_regions": Query(q_base_depth, sql("""

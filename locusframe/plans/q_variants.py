@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from locusframe.operators import smprot as P
 from locusframe.operators import variants as V
 from locusframe.plans.q_features import GTF_RECORDS, records
+from locusframe.operators.ordered import with_rank
 from locusframe.plans.registry import Query, longs
 from locusframe.plans.views import VIEWS, sql, view
 from locusframe.operators.features import extract_features
@@ -133,7 +134,7 @@ def q_sort(s, d):
 
 
 def q_sorted(s, d):
-    return V.sort_vcf(recs(s, d), meta=metas(s, d)).select("chrom", "pos", "ord")
+    return with_rank(V.sort_vcf(recs(s, d), meta=metas(s, d)).select("chrom", "pos", "ord"))
 
 
 def q_stats(s, d):
@@ -164,8 +165,7 @@ def q_sql_export(s, d):
 
 
 def q_sql_export_gwas(s, d):
-    g = gwas_on_features(s, d).drop("p_value").withColumn("p_value", F.lit(0.5))
-    return sinks.sql_statements(g, "gtf_gwas_catalog_annotation")
+    return sinks.sql_statements(gwas_on_features(s, d), "gtf_gwas_catalog_annotation")
 
 
 def q_sql_export_smprot(s, d):
@@ -314,7 +314,9 @@ SELECT c[1] AS chrom, CAST(c[2] AS BIGINT) AS pos, c[3] AS id, c[4] AS ref, c[5]
     "vcf_contig_ranks": Query(q_sort, sql("""
 , f AS (SELECT split_part(value, chr(9), 1) AS chrom, min(ord) AS o FROM vcf GROUP BY 1)
 SELECT chrom, CASE WHEN chrom IN ('X', 'chr9') THEN 0 ELSE 1 END AS g, CASE chrom WHEN 'X' THEN 1 WHEN 'chr9' THEN 2 ELSE o END AS n FROM f""", "vcf").replace("THEN 0 ELSE 1 END AS g", "THEN CAST(0 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS g")),
-    "vcf_sort": Query(q_sorted, sql("SELECT split_part(value, chr(9), 1) AS chrom, CAST(split_part(value, chr(9), 2) AS BIGINT) AS pos, ord FROM vcf", "vcf")),
+    "vcf_sort": Query(q_sorted, sql("""
+, f AS (SELECT split_part(value, chr(9), 1) AS chrom, CAST(split_part(value, chr(9), 2) AS BIGINT) AS pos, ord FROM vcf), m AS (SELECT chrom, min(ord) AS o FROM f GROUP BY 1)
+SELECT f.chrom, pos, ord, row_number() OVER (ORDER BY CASE f.chrom WHEN 'X' THEN -2 WHEN 'chr9' THEN -1 ELSE o END, pos, ord) AS rank FROM f JOIN m ON m.chrom=f.chrom""", "vcf")),
     "vcf_statistics": Query(q_stats, sql(f"""
 , raw AS (SELECT string_split(value, chr(9)) AS c FROM vcf), x AS (SELECT c[4] AS r, unnest(string_split(c[5], ',')) AS a FROM raw WHERE c[5]<>'.'), y AS (SELECT r, a, {AT} AS t, r||a IN ('AG', 'GA', 'CT', 'TC') AS ts FROM x),
 n AS (SELECT count(*) FILTER (WHERE t='snv' AND ts) AS ts, count(*) FILTER (WHERE t='snv' AND NOT ts) AS tv FROM y)
@@ -339,7 +341,7 @@ SELECT af_bin, count(*) AS n_expected, count(*) FILTER (WHERE hit) AS n_found, r
 SELECT CAST(1 AS BIGINT) AS section, '{_CV_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('feature_type', 'feature_id', 'gene_id', 'transcript_id', 'gene_type', 'transcript_type', 'strand', 'variant_id', 'variant_name', 'dbsnp_id', 'clinical_labels', 'allele_id', 'disease_name')}||');' AS value FROM ann
 UNION ALL SELECT 0, 'BEGIN TRANSACTION;' UNION ALL SELECT 0, '{_CV_TABLE}' UNION ALL SELECT 2, 'COMMIT;'""", "vcf", "feat")),
     "export_sql_gwas": Query(q_sql_export_gwas, sql(GWAS_SQL + ANN_GWAS + f"""
-SELECT '{_GW_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('feature_type', 'feature_id', 'gene_id', 'transcript_id', 'gene_type', 'transcript_type', 'strand', 'variant_id', 'association_label', 'gwas_variant_id', 'allele_id', 'trait_name', 'efo_trait', 'efo_id')}||', 0.5, '||{_esc('risk_allele_frequency', 'or_or_beta', 'ci_95_text')}||');' AS value FROM ann""", "gwas", "feat")),
+SELECT '{_GW_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('feature_type', 'feature_id', 'gene_id', 'transcript_id', 'gene_type', 'transcript_type', 'strand', 'variant_id', 'association_label', 'gwas_variant_id', 'allele_id', 'trait_name', 'efo_trait', 'efo_id')}||', '||CAST(p_value AS VARCHAR)||', '||{_esc('risk_allele_frequency', 'or_or_beta', 'ci_95_text')}||');' AS value FROM ann""", "gwas", "feat")),
     "export_sql_smprot": Query(q_sql_export_smprot, sql(SMPROT_SQL + f"""
 SELECT '{_SP_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('protein_id', 'evidence', 'source', 'transcript_id', 'gene_id', 'gene_type', 'transcript_type', 'strand')}||', '||CAST(transcript_start AS VARCHAR)||', '||CAST(transcript_end AS VARCHAR)||', '||{_esc('mapping_type')}||');' AS value FROM pl""", "smprot", "feat")),
     "export_track_clinvar": Query(q_track, sql(CLINVAR_SQL + CV5 + f"""

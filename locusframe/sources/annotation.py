@@ -104,4 +104,4 @@ def parse_bedgraph(lines: DataFrame) -> DataFrame:
     bed = parse_bed(lines)
     return bed.where(F.size("cells") == 4).select(
         "path", "ord", "chrom", "start", "end", to_float(F.col("name")).alias("value")
-    ).where("value is not null and not isnan(value)")
+    ).where(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") != float("inf")))
