@@ -4,12 +4,13 @@
 2. Partition into groups of similar documents. The hash space is cut into k segments, with k larger
    than the most tokens by which two linked sets of a size class can differ; so two linked sets
    agree in whole segments. Sets that agree in a segment fall into one family; families are
-   connected components of these agreements and no link crosses them.
+   connected components of these agreements and no link crosses them. A family too large for one task is
+   not gathered: its sets meet in smaller groups, one for each first document they agree with.
 3. Inside a family, groups of similar sets keep the union of their tokens (the token-group matrix).
    For a query set its overlap with a group's union bounds its overlap with each member; only groups
    that reach the bound are opened and their members verified by exact set overlap.
 
-A family beyond ``block_bytes`` is cut into blocks, and each pair of blocks is a task of its own.
+A group that is still beyond ``block_bytes`` is cut into blocks, and each pair of blocks is a task of its own.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm.common import bounded_broadcast, mix, shuffle_partitions, stored, windows, word_hashes
 from locusframe.llm.components import connected_components
 
-SEEDS = 12
+SEEDS = 2
 
 
 def ngram_set(text: str | None, n: int) -> np.ndarray:
@@ -59,7 +61,7 @@ def size_class(c: int, num: int, den: int) -> tuple[int, int, int, int]:
     best = (2.0, 0)
     for weak in range(4 * differ + 8):
         k = differ + 1 + weak
-        rate = low / k
+        rate = low * num / den / k  # of the smallest set that a class links
         over = _above(k, weak, math.exp(-rate) * (1 + rate))
         best = min(best, (over, weak))
         if over <= 0.3:
@@ -86,33 +88,81 @@ def classes_of(size: int, num: int, den: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def segment_marks(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Signatures of the segments of a set, for each of its classes.
+def class_of(size: int, num: int, den: int) -> int:
+    return classes_of(size, num, den)[0]
+
+
+def common_tokens(docs: DataFrame, n: int, num: int, den: int, least: int = 4, most: int = 1_000_000, step: int = 1024) -> np.ndarray:
+    """Sorted tokens of passages that texts of very different lengths share.
+
+    Left out of the segments, they keep texts that only share a passage out of one family. Leaving the same tokens out of all
+    sets adds no difference to any pair, so every choice of them gives the same links; this one counts over all
+    texts. A token counts once for each ``step`` texts in which sets at least three size classes apart hold
+    it, and needs ``least`` counts; of more than ``most`` such tokens the most frequent are taken.
+    """
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column("text")
+            out = []
+            for at in range(0, len(text), step):
+                sets = [s for s in (ngram_set(t.as_py(), n) for t in text.slice(at, step)) if len(s)]
+                if len(sets) < 2:
+                    continue
+                tokens = np.concatenate(sets)
+                size_classes = np.repeat([class_of(len(s), num, den) for s in sets], [len(s) for s in sets])
+                order = np.argsort(tokens, kind="stable")
+                tokens, size_classes = tokens[order], size_classes[order]
+                starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+                far = np.maximum.reduceat(size_classes, starts) - np.minimum.reduceat(size_classes, starts) >= 3
+                out.append(tokens[starts[far]].view(np.int64))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["token"])
+
+    found = docs.select("text").mapInArrow(run, "token bigint").groupBy("token").count().where(F.col("count") >= least).orderBy(F.desc("count"), "token").limit(most)
+    return np.sort(np.array([r["token"] for r in found.select("token").collect()], np.int64).view(np.uint64))
+
+
+def _without(tokens: np.ndarray, common: np.ndarray | None) -> np.ndarray:
+    if common is None or len(common) == 0:
+        return tokens
+    at = np.searchsorted(common, tokens)
+    at[at == len(common)] = 0
+    return tokens[common[at] != tokens]
+
+
+def segment_marks(tokens: np.ndarray, num: int, den: int, common: np.ndarray | None = None) -> np.ndarray:
+    """Signatures of the segments of a set without its ``common`` tokens, for each of its classes.
 
     Segments of fewer than two tokens are left out while a set has no more of them than its class
-    allows; a set with more adds another seed, and after the last seed its short segments too. Two
-    linked sets agree in more segments than the allowance, so they share a signature at the first seed
-    at which one of them keeps it.
+    allows; a set with more adds another seed, and after the last seed single tokens: the first of its tokens
+    in a common order, common ones last, as many as a linked set can lack and one more. Two linked sets
+    agree in more segments than the allowance, so they share a signature at the first seed at which one of
+    them keeps it, and if neither does at any, one of those tokens.
     """
     out = []
-    for c in classes_of(len(tokens), num, den):
+    size, whole = len(tokens), tokens
+    tokens = _without(tokens, common)
+    for c in classes_of(size, num, den):
         _, _, k, allowed = size_class(c, num, den)
         if k == 0:
             continue
-        for seed in range(SEEDS):
+        for seed in range(SEEDS + 1):
+            if seed == SEEDS:
+                lacking = size + num * size // -den + 1
+                first = tokens[:lacking]
+                if len(first) < lacking:
+                    first = np.concatenate((first, np.setdiff1d(whole, tokens, assume_unique=True)[: lacking - len(first)]))
+                out.append(mix(first + np.uint64(0x5BD1E995)))
+                break
             hashed = tokens if seed == 0 else np.sort(mix(tokens + np.uint64(seed * 0x51ED270B)))
             edges = np.searchsorted(hashed, (np.arange(1, k, dtype=np.float64) * (2.0**64 / k)).astype(np.uint64))
             edges = np.concatenate(([0], edges, [len(hashed)]))
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashed ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)))
             counts = np.diff(edges)
             marks = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(k, dtype=np.uint64) + np.uint64((c * SEEDS + seed) << 32)))
-            short = counts < 2
-            over = int(short.sum()) > allowed
-            if over and seed == SEEDS - 1:
-                out.append(marks)
-                break
-            out.append(marks[~short])
-            if not over:
+            out.append(marks[counts >= 2])
+            if int((counts < 2).sum()) <= allowed:
                 break
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -147,10 +197,10 @@ def unpacked_marks(ids: bytes, marks: bytes) -> tuple[np.ndarray, np.ndarray]:
     return wide.view("<u8").ravel().astype(np.uint64), first + np.concatenate(([0], np.cumsum(steps)))
 
 
-def _mark_batches(n: int, num: int, den: int, buckets: int, step: int = 1024):
-    """Per ``step`` documents (doc, text): one row (bucket -1) with the facts of all, one (bucket -2) with the
+def _mark_batches(n: int, num: int, den: int, buckets: int, common, step: int = 1024):
+    """Per ``step`` documents (doc, text): one row (bucket -1) with the facts of all, and one row per bucket of packed signatures.
 
-    agreements among them, and one row per bucket of packed signatures, each signature once.
+    Of equal sets among them only the first gives signatures.
     """
 
     def rows_of(ids: np.ndarray, texts: list) -> list[tuple]:
@@ -162,18 +212,14 @@ def _mark_batches(n: int, num: int, den: int, buckets: int, step: int = 1024):
             hashes.append(mark)
             if len(tokens) and (mark, len(tokens)) not in seen:
                 seen.add((mark, len(tokens)))
-                marks.append(segment_marks(tokens, num, den))
+                marks.append(segment_marks(tokens, num, den, common.value))
                 owner.append(np.full(len(marks[-1]), doc))
         rows = [(-1, ids, np.array(sizes, np.int64), np.array(hashes, np.int64), None, None)]
         if marks:
-            m, d, pairs = _meet_marks(np.concatenate(marks), np.concatenate(owner))
-            rows.append((-2, pairs[:, 0].copy(), pairs[:, 1].copy(), None, None, None))
-            rows += [(bucket, None, None, None, i, x) for bucket, i, x in packed_marks(m, d, buckets)]
+            rows += [(bucket, None, None, None, i, x) for bucket, i, x in packed_marks(np.concatenate(marks), np.concatenate(owner), buckets)]
         return rows
 
     def run(batches):
-        import pyarrow as pa
-
         kinds = pa.schema([("bucket", pa.int32()), *[(c, pa.list_(pa.int64())) for c in ("docs", "sizes", "hashes")], ("ids", pa.binary()), ("marks", pa.binary())])
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
@@ -186,20 +232,16 @@ def _mark_batches(n: int, num: int, den: int, buckets: int, step: int = 1024):
     return run
 
 
-def _meet_marks(marks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each signature once with its lowest document, and the distinct pairs (document, lowest document)."""
+def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Distinct pairs of a document and the first document with the same signature, over the signatures of a bucket."""
+    parts = [unpacked_marks(i, m) for i, m in zip(pdf["ids"], pdf["marks"])]
+    marks, ids = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     order = np.lexsort((ids, marks))
     ids, marks = ids[order], marks[order]
-    first = np.concatenate((np.ones(min(1, len(marks)), bool), marks[1:] != marks[:-1]))
+    first = np.concatenate(([True], marks[1:] != marks[:-1]))
     root = ids[np.flatnonzero(first)][np.cumsum(first) - 1]
     far = ids != root
     pairs = np.unique(np.stack((ids[far], root[far]), axis=1), axis=0) if far.any() else np.empty((0, 2), np.int64)
-    return marks[first], ids[first], pairs
-
-
-def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    parts = [unpacked_marks(i, m) for i, m in zip(pdf["ids"], pdf["marks"])]
-    pairs = _meet_marks(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))[2]
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
@@ -216,16 +258,17 @@ class Sets:
         return self.tok[self.ptr[i] : self.ptr[i + 1]]
 
 
-def group_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, group: int = 24):
+def group_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, group: int = 24, met: np.ndarray | None = None):
     """Links (query index, array of linked indexes) of a family, each pair once.
 
-    ``side`` is 0 or 1; with both present only pairs across the sides are looked for. Sets are put in
+    ``side`` is 0 or 1; with both present only pairs across the sides are looked for. ``met`` marks, per set, the
+    tasks that come before this one: sets with a mark in common are compared there. Sets are put in
     the order of their lowest tokens, so that similar ones are neighbours, and cut into groups; a
     group's union is its row of the token-group matrix.
     """
     order = np.array(sorted(range(len(sets)), key=lambda i: (int(side[i]), int(sets[i][0]), int(sets[i][-1]))), np.int64)
     s = Sets([sets[i] for i in order])
-    side = side[order]
+    side, met = side[order], met[order] if met is not None and met.shape[1] else None
     n = len(order)
     both = bool(side.any()) and not bool(side.all())
     starts = np.arange(0, n, group)
@@ -254,6 +297,9 @@ def group_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, gr
         if both:
             members = members[side[members] == 1]
         members = members[(s.size[members] * num <= size * den) & (size * num <= s.size[members] * den)]
+        if met is not None:
+            before = np.flatnonzero(met[q])
+            members = members[~met[np.ix_(members, before)].any(axis=1)] if len(before) else members
         if len(members) == 0:
             continue
         marked[tokens] = True
@@ -287,6 +333,16 @@ class Forest:
             self.parent[r] = low
 
 
+def _earlier(family: pd.DataFrame) -> np.ndarray:
+    """Which smaller roots each row of a root's task also meets others at."""
+    own = [[r for r in roots if r < family["family"].iat[0]] if roots is not None else [] for roots in family["roots"]]
+    names = {r: k for k, r in enumerate(sorted({r for row in own for r in row}))}
+    out = np.zeros((len(own), len(names)), bool)
+    for i, row in enumerate(own):
+        out[i, [names[r] for r in row]] = True
+    return out
+
+
 def _verify(n: int, num: int, den: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -302,7 +358,7 @@ def _verify(n: int, num: int, den: int):
             if family["apart"].iat[0] and not side.any():
                 continue
             links, forest = np.zeros(len(sets), np.int64), Forest(len(sets))
-            for q, others in group_links(sets, side, num, den):
+            for q, others in group_links(sets, side, num, den, met=_earlier(family)):
                 links[q] += copies[others].sum()
                 links[others] += copies[q]
                 forest.union(q, others)
@@ -326,24 +382,34 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     buckets = 4 * shuffle_partitions(spark)
-    marks = stored(docs.where("doc is not null").mapInArrow(_mark_batches(n, num, den, buckets), MARKS_SCHEMA))
+    named = docs.where("doc is not null")
+    common = spark.sparkContext.broadcast(common_tokens(named, n, num, den))
+    marks = stored(named.mapInArrow(_mark_batches(n, num, den, buckets, common), MARKS_SCHEMA))
     info = marks.where("bucket = -1").select(F.explode(F.arrays_zip("docs", "sizes", "hashes")).alias("x")).select(
         F.col("x.docs").alias("doc"), F.col("x.sizes").alias("size"), F.col("x.hashes").alias("hash"))
     sets = stored(info.where("size > 0").groupBy("hash", "size").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    edges = marks.where("bucket >= 0").select("bucket", "ids", "marks").groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint")
-    near = marks.where("bucket = -2").select(F.explode(F.arrays_zip("docs", "sizes")).alias("x")).select(F.col("x.docs").alias("a"), F.col("x.sizes").alias("b"))
-    edges = edges.unionByName(near)
+    edges = stored(marks.where("bucket >= 0").select("bucket", "ids", "marks").groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint").distinct())
     families = connected_components(edges).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     members = families.join(sets, "rep")
     weight = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).where("n > 1")
     members = stored(members.join(weight, "family").select(
-        F.col("rep").alias("doc"), "family", "hash", "copies", F.ceil(F.col("tokens") * 8 / block_bytes).cast("int").alias("blocks")))
+        F.col("rep").alias("doc"), "family", "hash", "copies", "size", (F.col("tokens") * 8 <= block_bytes).alias("small")))
+    placed = members.where("small").select("doc", "family", "hash", "copies", F.lit(1).alias("blocks"), F.lit(None).cast("array<bigint>").alias("roots"))
+    # a large family is not gathered: its documents meet at the first documents they share a signature with
+    wide = members.where("not small")
+    meets = edges.unionByName(edges.select(F.col("b").alias("a"), "b")).distinct().join(wide, F.col("a") == F.col("doc")).select("doc", F.col("b").alias("root"), "size")
+    meets = stored(meets)
+    crowd = meets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.sum("size") * 8 / block_bytes).cast("int").alias("blocks")).where("n > 1")
+    roots = meets.groupBy("doc").agg(F.sort_array(F.collect_list("root")).alias("roots"))
+    wide = wide.drop("family", "small", "size").join(roots, "doc").join(meets.select("doc", "root").join(crowd, "root"), "doc").select(
+        "doc", F.col("root").alias("family"), "hash", "copies", "blocks", "roots")
+    members = stored(placed.unionByName(wide))
     texts = docs.join(bounded_broadcast(members), "doc")
     block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = texts.withColumn("block", block).select("*", other).select(
-        "doc", "text", "hash", "copies", "block", "family", (F.col("other") != F.col("block")).alias("apart"),
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(
+        "doc", "text", "hash", "copies", "block", "family", "roots", (F.col("other") != F.col("block")).alias("apart"),
+        F.when(F.col("roots").isNull(), F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(
             F.xxhash64("family", F.least("block", "other"), F.greatest("block", "other"))).alias("task"))
     found = stored(tasks.groupBy("task").applyInPandas(_verify(n, num, den), "doc bigint, root bigint, links bigint"))
     copies = info.where("size > 0").join(sets, ["hash", "size"]).select("doc", "size", "rep", "copies")
