@@ -188,6 +188,8 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min
 
 def calibrate(x: np.ndarray, y: np.ndarray, prior: float, penalty: float = 0.05, steps: int = 60) -> tuple[float, float]:
     """Logistic curve of the strength, classes weighted to their shares among all labels."""
+    if not len(x):
+        return 0.0, math.log(prior / (1 - prior))
     weight = np.where(y == 1, prior / max((y == 1).mean(), 1e-9), (1 - prior) / max((y == 0).mean(), 1e-9))
     a = np.stack([x, np.ones(len(x))], axis=1)
     w = np.zeros(2)
