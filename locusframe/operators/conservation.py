@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from locusframe.functions.sequence import identity_count
 from locusframe.functions.values import safe_ratio, to_float_lenient
 from locusframe.operators.intervals import interval_join, islands, union_length
-from locusframe.operators.ordered import running
+from locusframe.operators.ordered import left_lookup, running, with_rank
 from locusframe.session import discard, materialize
 
 RUN = ["species", "mode"]
@@ -180,16 +180,11 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
 
 
 def rank_texts(df: DataFrame, keys: Sequence[str], text: str, name: str) -> DataFrame:
-    """1-based rank of distinct texts within the keys, counted in blocks of equal leading text."""
-    from pyspark.sql import Window
-
+    """1-based rank of distinct texts within the keys: places in one sort by range, counted from each key's first."""
     keys = list(keys)
-    block = F.substring(F.col(text), 1, 24)
-    src = df.withColumn("_b", block)
-    inner = src.withColumn("_i", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(text)))
-    before = src.groupBy(*keys, "_b").agg(F.count("*").alias("_n")).withColumn(
-        "_c", F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return inner.join(before.select(*keys, "_b", "_c"), [*keys, "_b"]).select(*keys, text, (F.col("_i") + F.col("_c")).alias(name))
+    placed = with_rank(df.select(*keys, text).orderBy(*keys, text), "_place")
+    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
+    return placed.join(first, keys).select(*keys, text, (F.col("_place") - F.col("_first") + 1).alias(name))
 
 
 def aggregate_groups(scores: DataFrame, groups: DataFrame, blocks: DataFrame, exons: DataFrame) -> DataFrame:
@@ -232,7 +227,8 @@ def enrich(rows: DataFrame, table: DataFrame, key: str | Sequence[str], order: s
     last = table.where(" and ".join(f"`{k}` != ''" for k in keys)).groupBy(*keys).agg(
         F.max_by(F.struct(*values), order).alias("_r"))
     renamed = {c: (f"context_{c}" if c in rows.columns else c) for c in values}
-    return rows.join(last, keys, "left").select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"_r.`{c}`").alias(n) for c, n in renamed.items()])
+    spread = [c for c, t in rows.dtypes if c not in keys and not t.startswith("map")]
+    return left_lookup(rows, last, keys, spread, blanks=True).select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"_r.`{c}`").alias(n) for c, n in renamed.items()])
 
 
 def cds_metrics(rows: DataFrame, query: DataFrame, target: DataFrame, cds: DataFrame) -> DataFrame:

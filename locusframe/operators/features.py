@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.sequence import reverse_complement, translate_codons
 from locusframe.operators.intervals import interval_join, islands
-from locusframe.operators.ordered import position_block, running
+from locusframe.operators.ordered import left_lookup, position_block, running
 from locusframe.sources.annotation import record_ids
 from locusframe.session import materialize
 from locusframe.sources.lines import ord_block
@@ -48,11 +48,10 @@ def annotated_records(records: DataFrame, resolve_parents: bool = False) -> Data
     if not resolve_parents:
         return out
     links = out.where((F.col("kind") == "transcript") & F.col("attrs")["ID"].isNotNull()).groupBy(
-        F.col("attrs")["ID"].alias("_tx")).agg(F.max_by(F.col("attrs")["Parent"], "ord").alias("_gene"))
+        "path", F.col("attrs")["ID"].alias("_tx")).agg(F.max_by(F.col("attrs")["Parent"], "ord").alias("_gene"))
     child = ~F.col("kind").isin("gene", "transcript") & F.col("attrs")["Parent"].isNotNull() & F.col("attrs")["transcript_id"].isNull()
     return (
-        out.withColumn("_tx", F.when(child, F.col("attrs")["Parent"]))
-        .join(links, "_tx", "left")
+        left_lookup(out.withColumn("_tx", F.when(child, F.col("attrs")["Parent"])), links, ["path", "_tx"], ["ord"])
         .withColumn("transcript_id", F.coalesce("_tx", "transcript_id"))
         .withColumn("gene_id", F.coalesce("_gene", "gene_id"))
         .drop("_tx", "_gene")

@@ -107,6 +107,19 @@ def running(
     )
 
 
+def left_lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread: list[str], blanks: bool = False) -> DataFrame:
+    """Left join by keys in which rows without a key do not all meet in one task.
+
+    A null key (with ``blanks`` also an empty text) matches nothing, so such rows are spread by the values of ``spread``.
+    """
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull() | ((F.col(k) == "") if blanks else F.lit(False))
+    none = F.lit(0).cast("bigint")
+    salted = rows.withColumn("_apart", F.when(missing, F.xxhash64(*spread)).otherwise(none))
+    return salted.join(table.withColumn("_apart", none), [*keys, "_apart"], "left").drop("_apart")
+
+
 def with_rank(ordered: DataFrame, name: str = "rank") -> DataFrame:
     """Place of each row, from 1, in a globally sorted table.
 
@@ -127,9 +140,12 @@ def position_block(column: str, shift: int = 16) -> Column:
 
 
 def magnitude_block(column: str, steps: int = 16) -> Column:
-    """Block of a non-negative number on a logarithmic scale (non-decreasing in the value).
+    """Block of a number (non-decreasing in the value, NaN last).
 
-    Zero has a block of its own; ``steps`` blocks per doubling elsewhere.
+    ``steps`` blocks per doubling below 1/64 and above 1, blocks of 1/4096 between, where p-values crowd; zero has
+    a block of its own and negative numbers mirror the positive ones.
     """
-    x = F.col(column)
-    return F.when(x <= 0, F.lit(-1_000_000).cast("bigint")).otherwise(F.floor(F.log2(x) * steps).cast("bigint"))
+    x = F.abs(F.col(column))
+    size = F.when(x < 1 / 64, F.floor(F.log2(x) * steps)).when(x <= 1, F.floor(x * 4096)).otherwise(4096 + F.floor(F.log2(x) * steps)).cast("bigint")
+    far = F.lit(10_000_000).cast("bigint")
+    return F.when(F.isnan(column), far * 2).when(F.col(column) == 0, -far).when(F.col(column) < 0, -2 * far - size).otherwise(size)

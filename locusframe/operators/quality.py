@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.sequence import cigar_query_length
 from locusframe.functions.values import cell, cells, contig_order, int_list, normalize_chrom, to_float, to_int, words
-from locusframe.operators.ordered import running
+from locusframe.operators.ordered import left_lookup, running
 from locusframe.sources.annotation import attributes
 from locusframe.sources.lines import content, ord_block, with_line_numbers
 from locusframe.sources.vcf import parse_vcf_meta
 
 ERROR, WARNING = "error", "warning"
-MAX_MESSAGES = 100
 
 
 @dataclass(frozen=True)
@@ -71,10 +70,15 @@ class Check:
     def rule_counts(self) -> DataFrame:
         return self.issues().groupBy("level", "rule").agg(F.count("*").alias("n"))
 
-    def messages(self, lines: DataFrame, level: str = ERROR, limit: int = MAX_MESSAGES) -> DataFrame:
-        """First ``limit`` issues of a level per file as ``line N: rule`` texts joined by `` | ``.
+    def issue_lines(self, lines: DataFrame) -> DataFrame:
+        """Every broken row rule with its line number: path, line_no, level, rule."""
+        return with_line_numbers(lines).select("path", "ord", "line_no").join(self.issues(), ["path", "ord"]).select("path", "line_no", "level", "rule")
 
-        Only the issues up to the limit-th line are numbered and gathered.
+    def messages(self, lines: DataFrame, limit: int, level: str = ERROR) -> DataFrame:
+        """A digest for a report: the first ``limit`` issues of a level per file as ``line N: rule`` texts joined by `` | ``.
+
+        ``left_out`` counts the issues beyond; ``issue_lines`` has them all. Only the issues up to the
+        limit-th line are numbered and gathered.
         """
         found = self.issues().where(F.col("level") == level)
         per_line = found.groupBy("path", "ord").agg(F.array_sort(F.collect_list("rule")).alias("rules"))
@@ -84,8 +88,10 @@ class Check:
         w = Window.partitionBy("path").orderBy("line_no", "rule")
         top = flat.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit)
         text = F.concat(F.lit("line "), F.col("line_no").cast("string"), F.lit(": "), F.col("rule"))
-        return top.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-            F.struct("_r", text.alias("t")))), lambda x: x["t"]), " | ").alias(level + "s"))
+        shown = top.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+            F.struct("_r", text.alias("t")))), lambda x: x["t"]), " | ").alias(level + "s"), F.count(F.lit(1)).alias("_shown"))
+        total = found.groupBy("path").agg(F.count(F.lit(1)).alias("_all"))
+        return shown.join(total, "path").select("path", level + "s", (F.col("_all") - F.col("_shown")).alias("left_out"))
 
     def passed(self) -> bool:
         return self.summary().select("error_count").first()[0] == 0
@@ -108,7 +114,7 @@ def _distinct(name: str) -> Column:
 def with_first_seen(rows: DataFrame, keys: Sequence[str], name: str = "first_ord") -> DataFrame:
     """Append the place where the key was first seen in its file."""
     first = rows.groupBy("path", *keys).agg(F.min("ord").alias(name))
-    return rows.join(first, ["path", *keys], "left")
+    return left_lookup(rows, first, ["path", *keys], ["path", "ord"])
 
 
 def with_order_marks(rows: DataFrame, chrom: str = "chrom", pos: str = "start") -> DataFrame:

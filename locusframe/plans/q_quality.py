@@ -37,7 +37,12 @@ def _q(make, *names, out=counts):
 
 def q_messages(s, d):
     lines = view(s, d, "bed")
-    return Q.check_bed(lines).messages(lines)
+    return longs(Q.check_bed(lines).messages(lines, 100))
+
+
+def q_issue_lines(s, d):
+    lines = view(s, d, "bed")
+    return Q.check_bed(lines).issue_lines(lines).where("level = 'error'")
 
 
 def q_undeclared(s, d):
@@ -117,7 +122,10 @@ QUERIES = {
         (W, "extra columns short of BED6", "n>3 AND n<6 AND s IS NOT NULL AND e IS NOT NULL")], "bed")),
     "bed_error_messages": Query(q_messages, sql("""
 , l AS (SELECT *, row_number() OVER (ORDER BY ord) AS ln, string_split(value, chr(9)) AS c FROM bed), m AS (SELECT ln, CASE WHEN len(c)<3 THEN 'too few columns' WHEN TRY_CAST(c[2] AS BIGINT) IS NULL THEN 'coordinates are not whole numbers' WHEN CAST(c[3] AS BIGINT)<=CAST(c[2] AS BIGINT) THEN 'end not after start' END AS t FROM l WHERE value NOT LIKE '#%'),
-f AS (SELECT * FROM m WHERE t IS NOT NULL ORDER BY ln LIMIT 100) SELECT 'x.bed' AS path, string_agg('line '||CAST(ln AS VARCHAR)||': '||t, ' | ' ORDER BY ln) AS errors FROM f""", "bed")),
+f AS (SELECT * FROM m WHERE t IS NOT NULL ORDER BY ln LIMIT 100) SELECT 'x.bed' AS path, string_agg('line '||CAST(ln AS VARCHAR)||': '||t, ' | ' ORDER BY ln) AS errors, (SELECT count(*)-100 FROM m WHERE t IS NOT NULL) AS left_out FROM f""", "bed")),
+    "bed_issue_lines": Query(q_issue_lines, sql("""
+, l AS (SELECT *, row_number() OVER (ORDER BY ord) AS ln, string_split(value, chr(9)) AS c FROM bed), m AS (SELECT ln, CASE WHEN len(c)<3 THEN 'too few columns' WHEN TRY_CAST(c[2] AS BIGINT) IS NULL THEN 'coordinates are not whole numbers' WHEN CAST(c[3] AS BIGINT)<=CAST(c[2] AS BIGINT) THEN 'end not after start' END AS t FROM l WHERE value NOT LIKE '#%')
+SELECT 'x.bed' AS path, ln AS line_no, 'error' AS level, t AS rule FROM m WHERE t IS NOT NULL""", "bed")),
     "line_numbers": Query(q_line_numbers, sql("SELECT ord, row_number() OVER (ORDER BY ord) AS line_no FROM bed", "bed")),
     "check_bedgraph": Query(_q(Q.check_bedgraph, "bedgraph"), _count_sql(BDG_X, [(E, "needs 4 columns", "NOT f"), (E, "coordinates are not whole numbers", "f AND (s IS NULL OR e IS NULL)"), (E, "start below 0", "f AND e IS NOT NULL AND s<0"), (E, "end not after start", "f AND e<=s"),
         (E, "value is not finite", "f AND s IS NOT NULL AND e IS NOT NULL AND c[4] IN ('nan', 'inf')"), (E, "value is not numeric", "f AND s IS NOT NULL AND e IS NOT NULL AND c[4]='bad'")], "bedgraph")),
