@@ -81,7 +81,9 @@ def overlapping_pairs(scores: DataFrame, blocks: DataFrame) -> DataFrame:
     rows = rows.select(*keys, "segment_id", "start", (F.col("end") + 1).alias("reach"), "matched_length", "blocks")
     span = ("start", "reach")
     pairs = interval_join(rows, rows, keys, span, span).where(F.col("segment_id") < F.col("segment_id_b"))
-    return pairs.select(*keys, "segment_id", "segment_id_b", "matched_length", "matched_length_b", _fraction_column("blocks", "blocks_b").alias("fraction"))
+    # guarded, as a filter on the fraction may be evaluated before the join's own conditions
+    touch = (F.col("segment_id") < F.col("segment_id_b")) & (F.col("start") < F.col("reach_b")) & (F.col("start_b") < F.col("reach"))
+    return pairs.select(*keys, "segment_id", "segment_id_b", "matched_length", "matched_length_b", F.when(touch, _fraction_column("blocks", "blocks_b")).alias("fraction"))
 
 
 def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5) -> DataFrame:
