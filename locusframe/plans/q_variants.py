@@ -148,7 +148,12 @@ def q_types(s, d):
 
 
 def q_meta(s, d):
-    return metas(s, d).select("ord", "kind", "id", "number", F.col("attrs")["Description"].alias("description"))
+    lines = parse_vcf_meta(view(s, d, "vcf_header"))
+    return lines.select("ord", "kind", "id", "number", F.col("attrs")["Description"].alias("description"))
+
+
+def q_document(s, d):
+    return longs(sinks.vcf_document(recs(s, d), view(s, d, "vcf_meta"), ["s1", "s2"]))
 
 
 def q_genotypes(s, d):
@@ -329,7 +334,10 @@ UNION ALL SELECT 'contig.'||c[1], CAST(count(*) AS VARCHAR) FROM raw GROUP BY c[
 , raw AS (SELECT ord, string_split(value, chr(9)) AS c FROM vcf), x AS (SELECT ord, c[4] AS r, unnest(string_split(c[5], ',')) AS a FROM raw), y AS (SELECT ord, CASE WHEN a='.' THEN 'other' ELSE {AT} END AS t FROM x)
 SELECT ord, string_agg(DISTINCT t, ',' ORDER BY t) AS types FROM y GROUP BY 1""", "vcf")),
     "vcf_header_fields": Query(q_meta, sql(r"""SELECT ord, regexp_extract(value, '^##([A-Za-z]+)=<', 1) AS kind, regexp_extract(value, '<ID=([^,>]*)', 1) AS id, nullif(regexp_extract(value, 'Number=([^,>]*)', 1), '') AS number, nullif(regexp_extract(value, 'Description="([^"]*)"', 1), '') AS description
-FROM vcf_meta WHERE value LIKE '##%=<%'""", "vcf_meta")),
+FROM vcf_header WHERE value LIKE '##%=<%'""", "vcf_header")),
+    "vcf_document_lines": Query(q_document, sql("""SELECT CAST(1 AS BIGINT) AS section, ord, value FROM vcf
+UNION ALL SELECT 0, ord, value FROM vcf_meta WHERE value LIKE '##%'
+UNION ALL SELECT 0, 4611686018427387904, concat_ws(chr(9), '#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', 's1', 's2')""", "vcf", "vcf_meta")),
     "vcf_genotype_table": Query(q_genotypes, sql("""
 , raw AS (SELECT string_split(value, chr(9)) AS c FROM vcf), g AS (SELECT c, s, string_split(replace(split_part(c[9+s], ':', 1), '|', '/'), '/') AS gt, list_concat([c[4]], CASE WHEN c[5]='.' THEN [] ELSE string_split(c[5], ',') END) AS b FROM raw, (VALUES (1), (2)) t(s))
 SELECT c[1] AS chrom, CAST(c[2] AS BIGINT) AS pos, c[3] AS id, 's'||CAST(s AS VARCHAR) AS sample, coalesce(b[TRY_CAST(gt[1] AS INT)+1], '0') AS a1, coalesce(b[TRY_CAST(gt[2] AS INT)+1], '0') AS a2 FROM g""", "vcf")),

@@ -88,6 +88,13 @@ SELECT 'v.vcf' AS path, k*8+n AS ord,
        CASE CAST(sk%6 AS INT) WHEN 1 THEN '0/2:1,0,2' WHEN 5 THEN './1:.:.' ELSE '1/1:0,4:9,2,3' END AS value
 FROM {li}"""
 
+# header lines of a growing number of fields and contigs
+VIEWS["vcf_header"] = """
+SELECT 'h.vcf' AS path, p_partkey AS ord, CASE CAST(p_partkey%3 AS INT) WHEN 0 THEN '##contig=<ID=c'||CAST(p_partkey AS STRING)||',length='||CAST(p_size*1000 AS STRING)||'>'
+  WHEN 1 THEN '##INFO=<ID=I'||CAST(p_partkey AS STRING)||',Number='||CASE WHEN p_size%2=0 THEN 'A' ELSE '1' END||',Type=String,Description="'||p_name||', '||p_brand||'">'
+  ELSE '##FORMAT=<ID=F'||CAST(p_partkey AS STRING)||',Number=G,Type=Integer,Description="'||p_type||'">' END AS value FROM {part}
+UNION ALL SELECT 'h.vcf', 0, '##fileformat=VCFv4.2'"""
+
 VIEWS["vcf_meta"] = """
 SELECT 'v.vcf' AS path, CAST(-20 AS BIGINT) AS ord, '##fileformat=VCFv4.2' AS value
 UNION ALL SELECT 'v.vcf', -19, '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele, count">'

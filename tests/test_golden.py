@@ -128,6 +128,13 @@ def test_contig_and_track_exports(spark, lines, tmp_path):
     rec = vcf.parse_vcf(lines(VCF))
     sinks.split_by_contig(rec, str(tmp_path / "split"))
     assert spark.read.text(str(tmp_path / "split" / "part=chr7")).count() == 2
+    head = [line for line in VCF.split("\n") if line.startswith("#")]
+    sinks.split_by_contig(rec, str(tmp_path / "whole"), header=head)
+    back = vcf.scan_vcf(spark, str(tmp_path / "whole" / "part=chr7"))
+    assert sorted((r.pos, r.ref, r.info) for r in back.collect()) == [(1040, "GCC", "CLNSIG=Benign"), (1220, "C", "CLNSIG=Pathogenic")]
+    sinks.write_vcf(rec, lines(VCF), str(tmp_path / "all"))
+    text = [r.value for r in spark.read.text(str(tmp_path / "all")).collect()]
+    assert text[:3] == head and sorted(text[3:]) == sorted(VCF.split("\n")[3:])
     assert sinks.track_line("n", colour="0,0,178") == 'track name="n" color=0,0,178'
     try:
         sinks.track_line("n", colour="0,0,300")
