@@ -201,8 +201,13 @@ def bed_to_features(bed: DataFrame, feature_type: str | None = None) -> DataFram
         na.alias("gene_type"), na.alias("transcript_type"))
 
 
-def attribute_columns(records: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Chosen attributes as columns next to the eight fixed ones."""
+def attribute_columns(records: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Attributes as columns next to the eight fixed ones; without ``names`` all that occur, in text order.
+
+    The names in use are a few per file format; finding them is one aggregate over the records.
+    """
+    if names is None:
+        names = sorted(r["attribute"] for r in attribute_names(records).collect())
     fixed = ["chrom", "source", "feature", "start", "end", "score", "strand", "frame"]
     return records.select(*fixed, *[F.try_element_at("attrs", F.lit(n)).alias(n) for n in names])
 

@@ -229,7 +229,7 @@ SELECT x.c[1] AS chrom, 'transcript' AS feature, CAST(x.c[4] AS BIGINT) AS start
 UNION ALL SELECT x.c[1], f, CAST(x.c[4] AS BIGINT), CAST(x.c[5] AS BIGINT), 'gene_id "'||gid||'"; transcript_id "'||tid||'"; biotype "lncRNA"; flag "";' FROM x JOIN g ON tid=p WHERE f='exon'""", "gff3")),
     "gtf_to_gff3": Query(q_gtf_gff, sql(GTF_RECORDS + r"""
 SELECT chrom, kind AS feature, s AS start, e AS "end", CASE kind WHEN 'gene' THEN 'ID='||gid WHEN 'transcript' THEN 'ID='||tid||';Parent='||gid ELSE 'Parent='||tid END||CASE WHEN en<>'' THEN ';exon_number='||en ELSE '' END||CASE WHEN feature='CDS' THEN ';gene_biotype=protein_coding' ELSE '' END||';gene_id='||gid||
- CASE WHEN regexp_extract(raw.c[9], 'gene_type "([^"]*)"', 1)<>'' THEN ';gene_type=lncRNA' ELSE '' END||';transcript_id='||tid||CASE WHEN tt<>'NA' THEN ';transcript_type=lnc' ELSE '' END AS attrs_text FROM rec JOIN raw USING (ord)""", "gtf")),
+ CASE WHEN regexp_extract(a9, 'gene_type "([^"]*)"', 1)<>'' THEN ';gene_type=lncRNA' ELSE '' END||';transcript_id='||tid||CASE WHEN tt<>'NA' THEN ';transcript_type=lnc' ELSE '' END AS attrs_text FROM rec""", "gtf")),
     "scan_wig": Query(q_wig, sql("""
 , h AS (SELECT k, n, qty, row_number() OVER (PARTITION BY k ORDER BY n)-1 AS i FROM li)
 SELECT k*16+n AS ord, 'chr'||CAST(k%5 AS VARCHAR) AS chrom, CASE WHEN k%2=0 THEN k*37+i*10 ELSE k*37+n*3-1 END AS start, CASE WHEN k%2=0 THEN k*37+i*10+5 ELSE k*37+n*3 END AS "end", CAST(qty AS DOUBLE) AS value FROM h""", "wig")),

@@ -30,13 +30,14 @@ SELECT 'src'||CAST(k%3 AS STRING) AS source, 't'||CAST(k AS STRING) AS transcrip
        (k%1000)*900+n*300 AS start, (k%1000)*900+n*300+100+(k%2)*n AS end_ FROM {li}"""
 
 # steps shared by the SQL texts: records, ids, folded kinds
+ATTRIBUTES = ["exon_number", "gene_biotype", "gene_id", "gene_type", "transcript_id", "transcript_type"]
 GTF_RECORDS = """
 , raw AS (SELECT path, ord, value, string_split(value, chr(9)) AS c FROM gtf WHERE value<>'' AND value NOT LIKE '#%'),
 rec AS (SELECT ord, c[1] AS chrom, c[3] AS feature, CAST(c[4] AS BIGINT) AS s, CAST(c[5] AS BIGINT) AS e, c[7] AS strand,
   coalesce(nullif(regexp_extract(c[9], 'gene_id "([^"]*)"', 1), ''), 'NA') AS gid, coalesce(nullif(regexp_extract(c[9], 'transcript_id "([^"]*)"', 1), ''), 'NA') AS tid,
   coalesce(nullif(regexp_extract(c[9], 'gene_type "([^"]*)"', 1), ''), nullif(regexp_extract(c[9], 'gene_biotype "([^"]*)"', 1), ''), 'NA') AS gt,
   coalesce(nullif(regexp_extract(c[9], 'transcript_type "([^"]*)"', 1), ''), 'NA') AS tt, regexp_extract(c[9], 'exon_number "([^"]*)"', 1) AS en,
-  CASE WHEN c[3] IN ('mRNA','lnc_RNA') THEN 'transcript' ELSE c[3] END AS kind
+  CASE WHEN c[3] IN ('mRNA','lnc_RNA') THEN 'transcript' ELSE c[3] END AS kind, c[9] AS a9
   FROM raw WHERE len(c)=9 AND regexp_matches(c[4], '^[0-9]+$') AND regexp_matches(c[5], '^[0-9]+$')),
 meta AS (SELECT chrom, strand, gid, tid, max_by(gt, ord) AS gt, max_by(tt, ord) AS tt FROM rec GROUP BY 1,2,3,4),
 ex AS (SELECT *, CASE WHEN en<>'' THEN en ELSE CAST(row_number() OVER (PARTITION BY chrom, strand, gid, tid ORDER BY ord) AS VARCHAR) END AS num FROM rec WHERE kind='exon'),
@@ -101,7 +102,7 @@ def q_bed_features(s, d):
 
 
 def q_attr_columns(s, d):
-    return X.attribute_columns(records(s, d), ["gene_id", "exon_number", "gene_type"]).drop("source", "score", "frame")
+    return X.attribute_columns(records(s, d)).drop("source", "score", "frame")
 
 
 def q_attr_names(s, d):
@@ -182,8 +183,8 @@ SELECT chrom, s AS start, e AS "end", 'exon' AS feature_type, gid AS gene_id, ti
 SELECT chrom, s AS start, e AS "end", CASE name WHEN 'lnc_RNA' THEN 'transcript' WHEN '5UTR' THEN 'utr5' WHEN '' THEN 'interval' ELSE name END AS feature_type,
  CASE WHEN name IN ('', 'lnc_RNA', '5UTR') THEN chrom||':'||CAST(s+1 AS VARCHAR)||'-'||CAST(e AS VARCHAR) ELSE name END AS feature_id, 'NA' AS gene_id, 'NA' AS transcript_id, CASE WHEN st IN ('+', '-') THEN st ELSE '.' END AS strand, 'NA' AS gene_type, 'NA' AS transcript_type
 FROM b WHERE s>=0 AND e>s""", "bed")),
-    "attributes_to_columns": Query(q_attr_columns, sql(GTF_RECORDS + """SELECT chrom, feature, s AS start, e AS "end", strand, gid AS gene_id, nullif(en, '') AS exon_number, nullif(regexp_extract(raw.c[9], 'gene_type "([^"]*)"', 1), '') AS gene_type FROM rec JOIN raw USING (ord)""", "gtf")),
-    "attribute_names": Query(q_attr_names, sql(GTF_RECORDS + r"""SELECT attribute, count(*) AS n FROM (SELECT unnest(regexp_extract_all(c[9], '([^\s;]+)\s+"[^"]*"', 1)) AS attribute FROM rec JOIN raw USING (ord)) GROUP BY 1""", "gtf")),
+    "attributes_to_columns": Query(q_attr_columns, sql(GTF_RECORDS + """SELECT chrom, feature, s AS start, e AS "end", strand, """ + ", ".join(f"""nullif(regexp_extract(a9, '{a} "([^"]*)"', 1), '') AS {a}""" for a in ATTRIBUTES) + " FROM rec", "gtf")),
+    "attribute_names": Query(q_attr_names, sql(GTF_RECORDS + r"""SELECT attribute, count(*) AS n FROM (SELECT unnest(regexp_extract_all(a9, '([^\s;]+)\s+"[^"]*"', 1)) AS attribute FROM rec) GROUP BY 1""", "gtf")),
     "longest_isoform": Query(q_longest, sql(GTF_RECORDS + """
 , l AS (SELECT gid AS gene_id, tid AS transcript_id, CAST(coalesce(sum(e-s+1) FILTER (WHERE feature='CDS'), 0) AS BIGINT) AS cds_length, CAST(coalesce(sum(e-s+1) FILTER (WHERE kind='exon'), 0) AS BIGINT) AS exon_length FROM rec WHERE kind='exon' OR feature='CDS' GROUP BY 1,2)
 SELECT gene_id, transcript_id, cds_length, exon_length FROM (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY cds_length>0 DESC, CASE WHEN cds_length>0 THEN cds_length ELSE exon_length END DESC, transcript_id) AS r FROM l) WHERE r=1""", "gtf")),
