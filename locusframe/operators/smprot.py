@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.values import normalize_chrom, to_int
 from locusframe.operators.intervals import interval_join
-from locusframe.operators.ordered import evaluated_once
+from locusframe.session import materialize
 
 MAPPING_TYPE = "entirely_within_unique_transcript"
 
@@ -46,9 +46,9 @@ def place_proteins(features: DataFrame, proteins: DataFrame) -> DataFrame:
     """Contained hits of proteins whose hits touch exactly one transcript (``NA`` counts as one).
 
     Uniqueness is two mergeable aggregates per protein (smallest and largest transcript id), so a
-    protein with very many hits is never gathered.
+    protein with very many hits is never gathered. The hits are written once, as both steps read them.
     """
-    hits = evaluated_once(contained_hits(features, proteins), "protein_id", "start", "end", "transcript_id")
+    hits = materialize(contained_hits(features, proteins))
     unique = hits.groupBy("protein_id").agg(F.min("transcript_id").alias("lo"), F.max("transcript_id").alias("hi")).where("lo = hi")
     return hits.join(unique.select("protein_id"), "protein_id", "left_semi").select(
         "chrom", F.col("start_b").alias("start"), F.col("end_b").alias("end"), "protein_id", "evidence", "source",
