@@ -49,24 +49,26 @@ def needed(a, b, num: int, den: int):
 
 
 @lru_cache(maxsize=None)
-def size_class(c: int, num: int, den: int) -> tuple[int, int, int, int]:
-    """(lowest size, size bound, segments, weak segments allowed) of class c; no segments where only equal sets link."""
+def size_class(c: int, num: int, den: int) -> tuple[int, int, int, int, int]:
+    """(lowest size, size bound, segments, short segments allowed, tokens of a segment that is not short) of class c.
+
+    No segments where only equal sets link. A segment is short below two tokens, or, where a low similarity leaves
+    too many of these, if empty.
+    """
     low = 1
     for _ in range(c):
         low = max(low + 1, math.ceil(low * (den / num) ** 2))
     high = max(low + 1, math.ceil(low * (den / num) ** 2))
     differ = 2 * (high - 1) * (den - num) // (num + den)
     if differ == 0:
-        return low, high, 0, 0
-    best = (2.0, 0)
-    for weak in range(4 * differ + 8):
-        k = differ + 1 + weak
-        rate = low * num / den / k  # of the smallest set that a class links
-        over = _above(k, weak, math.exp(-rate) * (1 + rate))
-        best = min(best, (over, weak))
-        if over <= 0.3:
-            break
-    return low, high, differ + 1 + best[1], best[1]
+        return low, high, 0, 0, 0
+    for full in (2, 1):
+        for short in range(differ + 4):
+            k = differ + 1 + short
+            rate = low * num / den / k  # of the smallest set that a class links
+            if _above(k, short, math.exp(-rate) * (1 + rate * (full - 1))) <= 0.3:
+                return low, high, k, short, full
+    return low, high, differ + 1, 0, 1
 
 
 def _above(n: int, most: int, p: float) -> float:
@@ -134,7 +136,7 @@ def _without(tokens: np.ndarray, common: np.ndarray | None) -> np.ndarray:
 def segment_marks(tokens: np.ndarray, num: int, den: int, common: np.ndarray | None = None) -> np.ndarray:
     """Signatures of the segments of a set without its ``common`` tokens, for each of its classes.
 
-    Segments of fewer than two tokens are left out while a set has no more of them than its class
+    Short segments are left out while a set has no more of them than its class
     allows; a set with more adds another seed, and after the last seed single tokens: the first of its tokens
     in a common order, common ones last, as many as a linked set can lack and one more. Two linked sets
     agree in more segments than the allowance, so they share a signature at the first seed at which one of
@@ -144,7 +146,7 @@ def segment_marks(tokens: np.ndarray, num: int, den: int, common: np.ndarray | N
     size, whole = len(tokens), tokens
     tokens = _without(tokens, common)
     for c in classes_of(size, num, den):
-        _, _, k, allowed = size_class(c, num, den)
+        _, _, k, allowed, full = size_class(c, num, den)
         if k == 0:
             continue
         for seed in range(SEEDS + 1):
@@ -153,7 +155,7 @@ def segment_marks(tokens: np.ndarray, num: int, den: int, common: np.ndarray | N
                 first = tokens[:lacking]
                 if len(first) < lacking:
                     first = np.concatenate((first, np.setdiff1d(whole, tokens, assume_unique=True)[: lacking - len(first)]))
-                out.append(mix(first + np.uint64(0x5BD1E995)))
+                out.append(mix(first + (np.uint64(0x5BD1E995) ^ (np.uint64(c) << np.uint64(40)))))
                 break
             hashed = tokens if seed == 0 else np.sort(mix(tokens + np.uint64(seed * 0x51ED270B)))
             edges = np.searchsorted(hashed, (np.arange(1, k, dtype=np.float64) * (2.0**64 / k)).astype(np.uint64))
@@ -161,8 +163,8 @@ def segment_marks(tokens: np.ndarray, num: int, den: int, common: np.ndarray | N
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashed ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)))
             counts = np.diff(edges)
             marks = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(k, dtype=np.uint64) + np.uint64((c * SEEDS + seed) << 32)))
-            out.append(marks[counts >= 2])
-            if int((counts < 2).sum()) <= allowed:
+            out.append(marks[counts >= full])
+            if int((counts < full).sum()) <= allowed:
                 break
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
