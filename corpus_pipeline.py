@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.llm import decontam, langid, ngram_join, packing, toxicity
 from locusframe.llm.common import bounded_broadcast, stored, table
 from locusframe.plans.registry import Query
+from locusframe.session import prepare
 
 #: Least language score, and the toxicity score from which a document goes.
 MIN_LANGUAGE_SCORE = 0.1
@@ -57,13 +60,23 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack_documents(docs.select("doc_id", "text"))
 
 
-STAGES = [
+def _prepared(stage):
+    """The stage on a session that has the library's settings and code."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(prepare(spark), docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _prepared(stage)) for name, stage in (
     ("language", identify_language),
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_benchmark_text),
     ("packing", pack_sequences),
-]
+)]
 
 # The first two stages rest on trained models and the last on a tokenizer: no SQL.
 ORACLE_SQL = None
