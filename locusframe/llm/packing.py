@@ -30,7 +30,7 @@ class Vocabulary(dict):
     so a text's ids are those of such parts one after another. New letter runs are encoded many at a time.
     """
 
-    limit = 500_000
+    limit = 700_000
     _parts = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, name: str):
@@ -45,6 +45,12 @@ class Vocabulary(dict):
         self.runs: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {b"": b""}
 
+    @staticmethod
+    def split(text: str | None) -> list[bytes]:
+        """Strings between white space; in lower case, as the tokenizer makes it, unless a special token may be among them."""
+        coded = (text or "").encode("utf-8")
+        return (coded if b"<|" in coded else coded.lower()).split()
+
     def encode(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -54,9 +60,7 @@ class Vocabulary(dict):
         if len(self.runs) > self.limit:
             self.runs.clear()
         split, fresh = [], set()
-        for word in words:
-            if word in self:
-                continue
+        for word in words.difference(self):
             m = self._parts.fullmatch(word.lower())
             if m is None or not (m[1].isascii() or _letters(m[1].decode("utf-8"))):
                 self[word] = self.encode(word)
@@ -81,8 +85,8 @@ class Vocabulary(dict):
         if len(starts) != len(runs) or numbers[-1] != len(runs) - 1:
             self.runs.update((r, self.encode(r)) for r in runs)
             return
-        ids = np.array(coded.ids, "<u4")
-        self.runs.update((r, i.tobytes()) for r, i in zip(runs, np.split(ids, starts[1:])))
+        ids, ends = np.array(coded.ids, "<u4").tobytes(), [*(4 * starts).tolist(), 4 * len(coded.ids)]
+        self.runs.update((r, ids[a:b]) for r, a, b in zip(runs, ends, ends[1:]))
 
 
 def _letters(text: str) -> bool:
@@ -109,8 +113,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
             out = []
             for at in range(0, len(pdf), step):
                 part = pdf.iloc[at : at + step]
-                texts = [t.encode("utf-8").split() if t else [] for t in part[text_col]]
-                words.learn({w for t in texts for w in t})
+                texts = [words.split(t) for t in part[text_col]]
+                words.learn(set().union(*texts))
                 for doc, t in zip(part[id_col], texts):
                     ids = b"".join(map(words.__getitem__, t)) + closing
                     for piece, first in enumerate(range(0, len(ids), 4 * capacity)):
@@ -227,7 +231,7 @@ PACKED = ["doc_id", "piece", "start", "length", "ids_crc32", "row", "sequence_id
 PACKED_SCHEMA = PIECES + ", row bigint, sequence_id bigint, offset bigint, fill bigint"
 
 
-def pack(pieces: DataFrame, capacity: int, group_rows: int = 8192, full: float = 0.97) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, group_rows: int = 4096, full: float = 0.97) -> DataFrame:
     """Give each piece a sequence and its place there: adds sequence_id and offset.
 
     Pieces as long as a sequence have one of their own. Groups are drawn by row, not by document, so no key makes
