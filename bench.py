@@ -29,7 +29,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     registry = all_queries()
-    spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    registry[HEADLINE[1]](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up, not timed
     times: dict[str, float] = {}
     for name in HEADLINE:
         start = time.time()
