@@ -118,7 +118,7 @@ def _draw(labels: DataFrame, per_class: int, seed: int) -> tuple[DataFrame, dict
     return labels.where(keep), counts
 
 
-def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min_docs: int = 4, min_log_odds: float = 2.0, min_g2: float = 24.0, prefixes: range = range(4, 8),
+def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min_docs: int = 4, min_log_odds: float = 2.0, min_g2: float = 15.0, prefixes: range = range(4, 8),
                   max_entries: int = 20_000, exceptions: tuple[str, ...] = EXCEPTIONS, seed: int = 23) -> Lexicon:
     """Learn entries, weights, exception phrases and calibration from labelled documents.
 
