@@ -12,9 +12,8 @@ from locusframe.llm.common import bounded_broadcast, stored, table
 from locusframe.plans.registry import Query
 from locusframe.session import prepare
 
-#: Least language score, and the toxicity score from which a document goes.
+#: Least language score.
 MIN_LANGUAGE_SCORE = 0.1
-MAX_TOXICITY = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +29,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose score reaches MAX_TOXICITY, by a lexicon learned from ``labels``."""
+    """Drop documents that the operator itself predicts toxic, by a lexicon learned from ``labels``."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     lexicon = toxicity.train_lexicon(docs.select("doc_id", "text"), labels)
     if not lexicon.weights:
         return docs
-    return toxicity.score_texts(docs, lexicon).where(F.col("score") < MAX_TOXICITY).select(*docs.columns)
+    return toxicity.score_texts(docs, lexicon).where("predicted = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

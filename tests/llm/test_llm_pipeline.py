@@ -4,10 +4,12 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
+from locusframe.llm import toxicity  # noqa: E402
 from locusframe.llm.queries import QUERIES  # noqa: E402
 from oracle import compare, connect  # noqa: E402
 
@@ -48,3 +50,16 @@ def test_stages_on_odd_and_empty_tables(spark, tmp_path):
     assert len(named["decontamination"](spark, docs, SF).collect()) == len(rows)
     for stage in named.values():
         assert stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_toxicity_stage_drops_all_that_the_operator_predicts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    lexicon = toxicity.train_lexicon(docs.select("doc_id", "text"), labels)
+    insult = max((w, t) for (t, whole), w in lexicon.weights.items() if whole)[1]
+    texts = [" ".join([insult] * k + ["plain"] * n) for k in (1, 2, 3) for n in range(1, 4000, 9)]
+    between = next(t for t in texts if 0.3 <= lexicon.score(t) < 0.5)
+    rows = spark.createDataFrame([(10**9, between, "en", "s", len(between))], docs.schema)
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["toxicity"](spark, docs.unionByName(rows), SF).select("doc_id").collect()}
+    scored = toxicity.score_texts(docs, lexicon)
+    assert kept == {r.doc_id for r in scored.where("predicted = 0").select("doc_id").collect()}
