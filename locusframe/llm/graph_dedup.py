@@ -4,8 +4,9 @@ Vectors of a label go to their nearest clusters (several each, so that shards ov
 candidates are near neighbours and a few far ones, thinned by robust pruning, with reverse edges. A
 vector's neighbours in all its shards are united. Each shard then searches for all its vectors at
 once: greedily from the medoid, and from every vector found in range on to its neighbours in range.
-Pairs are verified in double precision; a brute-force audit of drawn vectors measures the recall, and
-too low a recall repeats the search with more clusters per vector.
+Pairs are verified in double precision; after every round a brute-force audit of drawn vectors measures the
+recall of all links, and of each label by the size of a vector's group. Labels that fall short are searched
+again with more clusters per vector, and at last compared exactly, block by block.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm.common import stored
@@ -21,6 +22,7 @@ from locusframe.llm.components import connected_components
 from locusframe.llm.ngram_join import Forest
 
 VECTORS = "vec_id bigint, label bigint, dim int, unit binary, hash bigint"
+LINKS = "label bigint, dim int, vec_id bigint, root bigint, links bigint"
 
 
 def unit_vectors(rows: DataFrame) -> DataFrame:
@@ -242,7 +244,8 @@ def _search(threshold: float):
                 forest.parent[max(i, j)] = min(i, j)
         hit = np.flatnonzero(links)
         roots = np.array([forest.find(i) for i in hit.tolist()], np.int64)
-        return pd.DataFrame({"vec_id": ids[hit], "root": ids[roots] if len(hit) else ids[:0], "links": links[hit]})
+        out = pd.DataFrame({"vec_id": ids[hit], "root": ids[roots] if len(hit) else ids[:0], "links": links[hit]})
+        return out.assign(label=pdf["label"].iat[0], dim=pdf["dim"].iat[0])[["label", "dim", "vec_id", "root", "links"]]
 
     return run
 
@@ -256,21 +259,25 @@ def _in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
 
 
 def search_links(vectors: DataFrame, centers: dict, threshold: float, probes: int, degree: int, alpha: float, block_rows: int) -> DataFrame:
-    """(vec_id, root, links) by shard for vectors (vec_id, label, dim, unit, copies)."""
+    """(label, dim, vec_id, root, links) by shard for vectors (vec_id, label, dim, unit, copies)."""
     rows = stored(_in_blocks(assign(vectors, centers, probes), block_rows))
     key = ["label", "dim", "shard", F.least("block", "other"), F.greatest("block", "other")]
     lists = rows.select("label", "dim", "shard", "block", "other", "vec_id", "unit").groupBy(*key).applyInPandas(_build(degree, alpha), "vec_id bigint, neighbours array<bigint>")
     united = stored(lists.select("vec_id", F.explode_outer("neighbours").alias("n")).distinct().groupBy("vec_id").agg(F.collect_list("n").alias("neighbours")))
-    return stored(rows.join(united, "vec_id").groupBy(*key).applyInPandas(_search(threshold), "vec_id bigint, root bigint, links bigint"))
+    return stored(rows.join(united, "vec_id").groupBy(*key).applyInPandas(_search(threshold), LINKS))
 
 
-def audit_recall(vectors: DataFrame, found: DataFrame, threshold: float, queries: int = 256, seed: int = 31) -> float:
-    """Share of the true links of drawn vectors that were found, against brute force over all vectors in batches."""
+def short_labels(vectors: DataFrame, found: DataFrame, threshold: float, recall: float, least: float, queries: int = 512, seed: int = 31) -> Column | None:
+    """Condition for the vectors whose links must be searched again, None when enough were found.
+
+    Brute force over all vectors in batches gives the true links of drawn vectors. All labels fall short when the mean recall of the
+    drawn vectors is below ``recall``, else those where it is below ``least`` among vectors with about the same number of true links.
+    """
     total = vectors.count()
     scale = 1_000_000_000
     drawn = vectors.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(scale)) < int(scale * min(1.0, queries / max(total, 1)))).select("vec_id", "label", "dim", "unit").toPandas()
     if not len(drawn):
-        return 1.0
+        return None
     shared = vectors.sparkSession.sparkContext.broadcast(drawn)
 
     def run(batches):
@@ -283,23 +290,87 @@ def audit_recall(vectors: DataFrame, found: DataFrame, threshold: float, queries
                 part = pdf.iloc[at]
                 near = (matrix(own["unit"]) @ matrix(part["unit"]).T) >= threshold
                 near &= own["vec_id"].to_numpy()[:, None] != part["vec_id"].to_numpy()[None, :]
-                yield pd.DataFrame({"vec_id": own["vec_id"].to_numpy(), "true": near @ part["copies"].to_numpy(np.int64)})
+                yield pd.DataFrame({"label": key[0], "dim": key[1], "vec_id": own["vec_id"].to_numpy(), "true": near @ part["copies"].to_numpy(np.int64)})
+
+    key = ["label", "dim", "vec_id"]
+    true = vectors.mapInPandas(run, "label bigint, dim int, vec_id bigint, true bigint").groupBy(*key).agg(F.sum("true").alias("true")).where(F.col("true") > 0)
+    got = found.groupBy(*key).agg(F.sum("links").alias("got"))
+    judged = true.join(got, key, "left").select("label", "dim", F.floor(F.log2("true")).alias("size"), F.least(F.lit(1.0), F.coalesce("got", F.lit(0)) / F.col("true")).alias("share")).toPandas()
+    if not len(judged):
+        return None
+    if judged["share"].mean() < recall:
+        return F.lit(True)
+    groups = judged.groupby(["label", "dim", "size"])["share"].mean()
+    short = sorted({f"{label}:{dim}" for label, dim, _ in groups[groups < least].index})
+    return F.concat_ws(":", "label", "dim").isin(short) if short else None
+
+
+def _compare(shared, threshold: float, cells: int = 2_000_000):
+    def run(batches):
+        asked = shared.value
+        forests = {key: Forest(len(ids)) for key, (ids, _, _) in asked.items()}
+        names = {key: np.arange(len(ids)) for key, (ids, _, _) in asked.items()}
+        for pdf in batches:
+            vec = pdf["vec_id"].to_numpy(np.int64)
+            for key, at in pdf.groupby(["label", "dim"]).indices.items():
+                key = int(key[0]), int(key[1])
+                if key not in asked:
+                    continue
+                ids, x, copies = asked[key]
+                y, forest, step = matrix(pdf["unit"].iloc[at]), forests[key], max(1, cells // len(ids))
+                for a in range(0, len(at), step):
+                    own = vec[at[a : a + step]]
+                    hit = ((y[a : a + step] @ x.T) >= threshold) & (own[:, None] != ids[None, :])
+                    rows = np.flatnonzero(hit.any(axis=1))
+                    if not len(rows):
+                        continue
+                    hit = hit[rows]
+                    low, high = np.where(hit, names[key], len(ids)).min(axis=1), np.where(hit, names[key], -1).max(axis=1)
+                    for i in np.flatnonzero(low != high):  # the asked vectors this one joins are one group
+                        group = sorted({forest.find(k) for k in np.unique(names[key][hit[i]]).tolist()})
+                        for k in group[1:]:
+                            forest.parent[k] = group[0]
+                    parent = np.asarray(forest.parent)
+                    while (parent[parent] != parent).any():
+                        parent = parent[parent]
+                    names[key] = parent
+                    links = (hit.astype(np.float64) @ copies).astype(np.int64)
+                    yield pd.DataFrame({"label": key[0], "dim": key[1], "vec_id": own[rows], "root": ids[hit.argmax(axis=1)], "links": links})
+        for key, (ids, _, _) in asked.items():
+            moved = np.flatnonzero(names[key] != np.arange(len(ids)))
+            if len(moved):
+                yield pd.DataFrame({"label": key[0], "dim": key[1], "vec_id": ids[moved], "root": ids[names[key][moved]], "links": 0})
+
+    return run
 
-    true = vectors.mapInPandas(run, "vec_id bigint, true bigint").groupBy("vec_id").agg(F.sum("true").alias("true"))
-    got = found.groupBy("vec_id").agg(F.sum("links").alias("got"))
-    row = true.join(got, "vec_id", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("got", F.lit(0)))).alias("g")).first()
-    return 1.0 if not row["t"] else row["g"] / row["t"]
+
+def exact_links(vectors: DataFrame, threshold: float, block_bytes: int = 32 << 20) -> DataFrame:
+    """(label, dim, vec_id, root, links) by comparing all vectors of a label, without a shuffle.
+
+    Blocks of about ``block_bytes`` of vectors are broadcast in turn and all vectors pass each block once.
+    """
+    spark = vectors.sparkSession
+    blocks = max(1, -(-(vectors.agg(F.sum(F.octet_length("unit"))).first()[0] or 0) // block_bytes))
+    out = None
+    for block in range(blocks):
+        pdf = vectors.where(F.pmod(F.xxhash64(F.lit(53), "label", "vec_id"), F.lit(blocks)) == block).select("label", "dim", "vec_id", "unit", "copies").toPandas()
+        shared = spark.sparkContext.broadcast({(int(k[0]), int(k[1])): (p["vec_id"].to_numpy(np.int64), matrix(p["unit"]), p["copies"].to_numpy(np.float64)) for k, p in pdf.groupby(["label", "dim"])})
+        found = stored(vectors.mapInPandas(_compare(shared, threshold), LINKS))
+        out = found if out is None else out.unionByName(found)
+        shared.unpersist()
+    return out
 
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard_rows: int = 1000, probes: int = 2, degree: int = 24, alpha: float = 1.2,
-                    block_rows: int = 6000, recall: float = 0.98, max_probes: int = 8) -> DataFrame:
+                    block_rows: int = 6000, recall: float = 0.98, max_probes: int = 8, least: float = 0.9) -> DataFrame:
     """One row per input row (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Rows link when their labels are equal and the cosine is at least ``threshold``. Null labels, null, empty or zero
     vectors and vectors with null or non-finite components link with nothing, and so do vectors of
     different lengths. ``n_links`` counts other rows linked directly, ``component_id`` is the smallest id reachable, ``kept``
     marks ids that are their component's. A null id links with nothing, has a null component and is
-    kept. Equal vectors are searched once. Empty tables give no rows.
+    kept. Equal vectors are searched once. Labels whose audited recall stays below ``recall`` over all drawn vectors, or below
+    ``least`` in a size of group, are compared exactly after the round of ``max_probes``. Empty tables give no rows.
     """
     base = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
     units = stored(unit_vectors(base))
@@ -307,9 +378,17 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard_rows: int =
     sets = stored(sets)
     vectors = sets.select(F.col("rep").alias("vec_id"), "label", "dim", "unit", "copies")
     centers = fit_clusters(vectors, shard_rows)
+    found, rest = None, vectors
     while True:
-        found = search_links(vectors, centers, threshold, probes, degree, alpha, block_rows)
-        if probes >= max_probes or audit_recall(vectors, found, threshold) >= recall:
+        links = search_links(rest, centers, threshold, probes, degree, alpha, block_rows)
+        short = short_labels(rest, links, threshold, recall, least)
+        enough = links if short is None else links.where(~short)
+        found = enough if found is None else found.unionByName(enough)
+        if short is None:
+            break
+        rest = stored(rest.where(short))
+        if probes >= max_probes:
+            found = found.unionByName(exact_links(rest, threshold))
             break
         probes *= 2
     copies = units.join(sets.drop("unit"), ["label", "dim", "hash"]).select("vec_id", "rep", "copies")

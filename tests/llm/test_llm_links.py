@@ -137,3 +137,20 @@ def test_vector_links_reach_the_recall(spark, shard_rows, block_rows):
 
 def test_vector_links_of_empty_table(spark):
     assert graph_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+def test_one_wide_group_loses_no_vector_links(spark):
+    rng = np.random.default_rng(9)
+    middle = rng.normal(size=64)
+    x = middle / np.linalg.norm(middle) + rng.normal(size=(900, 64)) * 0.0285
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x.astype(np.float32))] + [(900 + i, x[i].astype(np.float32).tolist(), 1) for i in range(5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in graph_dedup.near_duplicates(frame, shard_rows=15, probes=1, max_probes=2).collect()}
+    x = np.array([r[1] for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert near.sum() > 400 * 900
+    assert [got[i].n_links for i in range(len(rows))] == near.sum(axis=1).tolist()
+    want = components(range(len(rows)), list(zip(*np.nonzero(np.triu(near)))))
+    assert all(got[i].component_id == want[i] for i in range(len(rows)))
