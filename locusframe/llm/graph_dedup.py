@@ -11,6 +11,8 @@ again with more clusters per vector, and at last compared exactly, block by bloc
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -61,29 +63,91 @@ def k_means(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.
     return centers
 
 
-def fit_clusters(vectors: DataFrame, shard_rows: int, sample_per_cluster: int = 24, rounds: int = 6, seed: int = 7) -> dict[tuple[int, int], np.ndarray]:
-    """Cluster centres of the labels with more than ``shard_rows`` vectors, one per ``shard_rows``.
+@dataclass
+class Clusters:
+    """Coarse centres by (label, dim), and whether clusters are split further on Spark into shards of ``shard_rows``."""
 
-    Fitted on about ``sample_per_cluster`` vectors per centre, drawn by a seeded hash of the id.
-    """
-    sizes = {(r["label"], r["dim"]): r["count"] for r in vectors.groupBy("label", "dim").count().where(F.col("count") > shard_rows).collect()}
-    total = sum(sizes.values())
-    if not total:
-        return {}
-    share = min(1.0, sample_per_cluster / shard_rows)
+    centers: dict[tuple[int, int], np.ndarray]
+    split: bool
+    shard_rows: int
+    most: int
+    per_cluster: int
+    rounds: int
+    seed: int
+
+
+def _drawn(seed: int, share: Column) -> Column:
     scale = 1_000_000_000
-    drawn = vectors.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(scale)) < int(scale * share)).select("label", "dim", "vec_id", "unit").toPandas().sort_values("vec_id")
-    rng = np.random.default_rng(seed)
+    return F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(scale)) < F.least(F.lit(1.0), share) * scale
+
+
+def fit_clusters(vectors: DataFrame, shard_rows: int, per_cluster: int = 24, rounds: int = 6, most: int = 400, seed: int = 7) -> Clusters:
+    """Clusters of the labels with more than ``shard_rows`` vectors, one per ``shard_rows`` while that makes up to ``most`` in all.
+
+    Larger tables get at most ``most`` coarse centres, shared among the labels by their sizes, and ``split_clusters`` cuts
+    what they hold. Centres are fitted on about ``per_cluster`` vectors each, drawn by a seeded hash of the
+    id, so the driver holds at most about ``most * per_cluster`` vectors.
+    """
+    sizes = vectors.groupBy("label", "dim").count().where(F.col("count") > shard_rows).withColumn("wanted", F.ceil(F.col("count") / shard_rows))
+    sizes = stored(sizes)
+    total = sizes.agg(F.sum("wanted")).first()[0] or 0
+    split = total > most
+    share = min(1.0, most / max(total, 1))
+    sizes = sizes.select("label", "dim", "count", F.floor(F.col("wanted") * share + 1e-9).cast("int").alias("k")).where("k > 1")
+    keys = {(r["label"], r["dim"]): r["k"] for r in sizes.collect()}
     out = {}
-    for key, part in drawn.groupby(["label", "dim"]):
-        if key in sizes:
-            out[int(key[0]), int(key[1])] = k_means(matrix(part["unit"]), -(-sizes[key] // shard_rows), rounds, rng)
-    return out
+    if keys:
+        drawn = vectors.select("label", "dim", "vec_id", "unit").join(F.broadcast(sizes), ["label", "dim"]).where(_drawn(seed, per_cluster * F.col("k") / F.col("count")))
+        drawn = drawn.select("label", "dim", "vec_id", "unit").toPandas().sort_values("vec_id")
+        rng = np.random.default_rng(seed)
+        for key, part in drawn.groupby(["label", "dim"]):
+            key = int(key[0]), int(key[1])
+            out[key] = k_means(matrix(part["unit"]), keys[key], rounds, rng)
+    return Clusters(out, split, shard_rows, most, per_cluster, rounds, seed)
 
 
-def assign(vectors: DataFrame, centers: dict[tuple[int, int], np.ndarray], probes: int) -> DataFrame:
+def split_clusters(rows: DataFrame, clusters: Clusters, probes: int) -> DataFrame:
+    """``shards`` anew: the ``probes`` nearest of the finer clusters inside a vector's coarse ones.
+
+    The finer centres of a coarse cluster, at most ``most``, are fitted in one task on a bounded sample; its vectors meet
+    them in groups of about 5,000.
+    """
+    key, columns = ["label", "dim", "coarse"], [c for c in rows.columns if c != "shards"]
+    own = "label bigint, dim int, coarse int"
+    sizes = rows.select("label", "dim", (1 / F.size("shards")).alias("part"), F.explode("shards").alias("coarse")).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("whole"))
+    sizes = stored(sizes.select(*key, "n", F.least(F.lit(clusters.most), F.ceil(F.col("whole") / clusters.shard_rows)).cast("int").alias("k"), F.ceil(F.col("n") / 5000).cast("int").alias("parts")))
+    at = stored(rows.withColumn("coarse", F.explode("shards")).drop("shards").join(sizes, key).withColumn("part", F.pmod(F.xxhash64(F.lit(clusters.seed), "vec_id"), F.col("parts")).cast("int")))
+    per_cluster, rounds, seed, most = clusters.per_cluster, clusters.rounds, clusters.seed, clusters.most
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec_id", kind="stable")
+        found = k_means(matrix(pdf["unit"]), int(pdf["k"].iat[0]), rounds, np.random.default_rng(seed))
+        return pdf[[*key, "parts"]].head(1).assign(centers=[found.tobytes()])
+
+    sample = at.where(_drawn(seed + 1, (per_cluster * F.col("k") + 8) / F.col("n"))).select(*key, "parts", "k", "vec_id", "unit")
+    fits = stored(sample.groupBy(*key).applyInPandas(fit, own + ", parts int, centers binary"))
+    fits = fits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def place(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame(columns=[*columns, "shard", "sim"])
+        x = matrix(left["unit"])
+        c = np.frombuffer(right["centers"].iat[0], np.float64).reshape(-1, x.shape[1]) if len(right) else np.zeros((1, x.shape[1]))
+        sims = x @ c.T
+        near = np.argsort(-sims, axis=1)[:, :probes]
+        row = np.arange(len(x)).repeat(near.shape[1])
+        near = near.ravel()
+        return left.iloc[row][columns].assign(shard=left["coarse"].to_numpy()[row] * most + near, sim=sims[row, near])
+
+    kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "shards")
+    placed = at.groupBy(*key, "part").cogroup(fits.groupBy(*key, "part")).applyInPandas(place, kinds + ", shard int, sim double")
+    best = F.slice(F.sort_array(F.collect_list(F.struct("sim", "shard")), False), 1, probes)
+    return placed.groupBy(*columns).agg(F.array_sort(F.transform(best, lambda s: s["shard"])).alias("shards"))
+
+
+def assign(vectors: DataFrame, clusters: Clusters, probes: int) -> DataFrame:
     """Add ``shards``: the ``probes`` nearest clusters of each vector, in ascending order."""
-    shared = vectors.sparkSession.sparkContext.broadcast(centers)
+    shared = vectors.sparkSession.sparkContext.broadcast(clusters.centers)
     columns = vectors.columns
 
     def run(batches):
@@ -100,7 +164,8 @@ def assign(vectors: DataFrame, centers: dict[tuple[int, int], np.ndarray], probe
                     shards[i] = row
             yield pdf.assign(shards=shards)[[*columns, "shards"]]
 
-    return vectors.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in vectors.dtypes) + ", shards array<int>")
+    rows = vectors.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in vectors.dtypes) + ", shards array<int>")
+    return split_clusters(stored(rows), clusters, probes) if clusters.split else rows
 
 
 def build_graph(x: np.ndarray, degree: int, alpha: float, near: int = 48, far: int = 24, seed: int = 1) -> list[np.ndarray]:
@@ -258,9 +323,9 @@ def _in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
     return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("apart", F.col("other") != F.col("block"))
 
 
-def search_links(vectors: DataFrame, centers: dict, threshold: float, probes: int, degree: int, alpha: float, block_rows: int) -> DataFrame:
+def search_links(vectors: DataFrame, clusters: Clusters, threshold: float, probes: int, degree: int, alpha: float, block_rows: int) -> DataFrame:
     """(label, dim, vec_id, root, links) by shard for vectors (vec_id, label, dim, unit, copies)."""
-    rows = stored(_in_blocks(assign(vectors, centers, probes), block_rows))
+    rows = stored(_in_blocks(assign(vectors, clusters, probes), block_rows))
     key = ["label", "dim", "shard", F.least("block", "other"), F.greatest("block", "other")]
     lists = rows.select("label", "dim", "shard", "block", "other", "vec_id", "unit").groupBy(*key).applyInPandas(_build(degree, alpha), "vec_id bigint, neighbours array<bigint>")
     united = stored(lists.select("vec_id", F.explode_outer("neighbours").alias("n")).distinct().groupBy("vec_id").agg(F.collect_list("n").alias("neighbours")))
@@ -362,7 +427,7 @@ def exact_links(vectors: DataFrame, threshold: float, block_bytes: int = 32 << 2
 
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard_rows: int = 1000, probes: int = 2, degree: int = 24, alpha: float = 1.2,
-                    block_rows: int = 6000, recall: float = 0.98, max_probes: int = 8, least: float = 0.9) -> DataFrame:
+                    block_rows: int = 6000, recall: float = 0.98, max_probes: int = 8, least: float = 0.9, most_centers: int = 400) -> DataFrame:
     """One row per input row (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Rows link when their labels are equal and the cosine is at least ``threshold``. Null labels, null, empty or zero
@@ -377,10 +442,10 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard_rows: int =
     sets = units.groupBy("label", "dim", "hash").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("unit").alias("unit"))
     sets = stored(sets)
     vectors = sets.select(F.col("rep").alias("vec_id"), "label", "dim", "unit", "copies")
-    centers = fit_clusters(vectors, shard_rows)
+    clusters = fit_clusters(vectors, shard_rows, most=most_centers)
     found, rest = None, vectors
     while True:
-        links = search_links(rest, centers, threshold, probes, degree, alpha, block_rows)
+        links = search_links(rest, clusters, threshold, probes, degree, alpha, block_rows)
         short = short_labels(rest, links, threshold, recall, least)
         enough = links if short is None else links.where(~short)
         found = enough if found is None else found.unionByName(enough)

@@ -154,3 +154,24 @@ def test_one_wide_group_loses_no_vector_links(spark):
     assert [got[i].n_links for i in range(len(rows))] == near.sum(axis=1).tolist()
     want = components(range(len(rows)), list(zip(*np.nonzero(np.triu(near)))))
     assert all(got[i].component_id == want[i] for i in range(len(rows)))
+
+
+def test_clusters_beyond_the_bound_are_split_on_spark(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(v)) for v in x], label) for i, (x, label) in enumerate(vectors(rng, 60, 12))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    units = graph_dedup.unit_vectors(frame).select("vec_id", "label", "dim", "unit", F.lit(1).cast("long").alias("copies"))
+    clusters = graph_dedup.fit_clusters(units, 20, most=6)
+    assert clusters.split and 2 <= sum(map(len, clusters.centers.values())) <= 6
+    placed = graph_dedup.assign(units, clusters, 2).toPandas()
+    assert sorted(placed.vec_id) == list(range(len(rows))) and set(map(len, placed.shards)) == {2}
+    counts = placed.explode("shards").groupby(["label", "shards"]).size()
+    assert len(counts) > 3 * 6 and counts.median() < 100
+    got = {r.vec_id: r.n_links for r in graph_dedup.near_duplicates(frame, shard_rows=20, most_centers=6).collect()}
+    x = np.array([r[1] for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (x @ x.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    found = np.array([got[i] for i in range(len(rows))])
+    assert (found <= near.sum(axis=1)).all() and found.sum() >= 0.97 * near.sum()
