@@ -16,14 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def step_path(spark: SparkSession) -> str:
+    """A new path in the shared folder of ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a step as Parquet in the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage: a lost executor costs the tasks that ran on it, not the steps before.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    path = f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
+    path = step_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

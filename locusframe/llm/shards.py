@@ -1,9 +1,9 @@
 """Seeded two-pass shuffle of records into shards, built from Column expressions only.
 
-First pass: every record goes to the shard its id decides and, inside it, to one of the buckets
+First pass: every whole record goes to the shard its id decides and, inside it, to one of the buckets
 that a seeded hash draws; the number of buckets follows from the measured bytes, so that a bucket
-fits in memory. Second pass: each bucket is permuted by Spark's ``shuffle`` (Fisher-Yates) and gets
-its place behind the buckets before it.
+fits in memory. Second pass: the records of each bucket are permuted by Spark's ``shuffle`` (Fisher-Yates)
+and written; a bucket's slots begin behind the buckets before it.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from locusframe.llm.common import stored
+from locusframe.llm.common import step_path
 
 
 def text_bytes(text: Column) -> Column:
@@ -28,40 +29,42 @@ def rendezvous_shard(key: Column, shards: int, seed: int) -> Column:
     return reduce(lambda rest, s: F.when(scores[s] == best, s).otherwise(rest), reversed(range(shards)), F.lit(0)).cast("int")
 
 
-def shuffle_into_shards(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 17,
-                        bucket_bytes: int = 64 << 20, bucket_rows: int = 65_536) -> DataFrame:
-    """Shard and slot of every record: (key, size, text_crc32, shard, slot, grown_shard, bucket).
+def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 17,
+                 bucket_bytes: int = 64 << 20, bucket_rows: int = 65_536) -> None:
+    """Write all columns of the records below ``path/_shard=N``, bucket by bucket in shuffled order.
 
-    ``grown_shard`` is the shard with one shard more. Slots of a shard run from 0 without gaps. Null
-    texts have size 1 and checksum 0; null keys are one key; repeated rows all keep a slot of their
-    own; an empty table gives no rows. A key's copies stay in one shard but spread over its buckets,
-    so that no bucket grows beyond memory.
+    ``_bucket`` and ``_place``, the place in the bucket, are added. Repeated rows all stay. A key's copies stay
+    in one shard but spread over its buckets, so that no bucket grows beyond memory.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     total = df.agg(F.sum(text_bytes(F.col(text))).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     buckets = max(1, -(-(total["bytes"] or 0) // (shards * bucket_bytes)), -(-total["rows"] // (shards * bucket_rows)))
     records = df.select(
-        F.col(key).alias("key"), text_bytes(F.col(text)).alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"),
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("record"), F.col(key).alias("key"), F.crc32(body.cast("binary")).alias("text_crc32"),
         F.monotonically_increasing_id().alias("row"))
-    records = records.select(
-        "key", "size", "text_crc32",
-        rendezvous_shard(F.col("key"), shards, seed).alias("shard"),
-        rendezvous_shard(F.col("key"), shards + 1, seed).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), F.lit(buckets)).cast("int").alias("bucket"))
-    packed = records.groupBy("shard", "bucket").agg(F.sort_array(F.collect_list(F.struct("key", "text_crc32", "size", "grown_shard"))).alias("records"))
-    packed = stored(packed.select("shard", "bucket", F.size("records").cast("long").alias("n"), F.shuffle("records", seed).alias("records")))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = packed.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return packed.join(starts, ["shard", "bucket"]).select("shard", "bucket", "start", F.posexplode("records").alias("pos", "r")).select(
-        F.col("r.key").alias(key), F.col("r.size").alias("size"), F.col("r.text_crc32").alias("text_crc32"), "shard",
-        (F.col("start") + F.col("pos")).alias("slot"), F.col("r.grown_shard").alias("grown_shard"), "bucket")
+    records = records.withColumn("shard", rendezvous_shard(F.col("key"), shards, seed)).withColumn(
+        "bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), F.lit(buckets)).cast("int"))
+    dealt = records.repartition(shards * buckets, "shard", "bucket").sortWithinPartitions("shard", "bucket", "key", "text_crc32", "row")
+    packed = dealt.groupBy("shard", "bucket").agg(F.collect_list("record").alias("records"))
+    placed = packed.select(F.col("shard").alias("_shard"), F.col("bucket").alias("_bucket"), F.posexplode(F.shuffle("records", seed)).alias("_place", "record"))
+    placed.select("record.*", "_bucket", "_place", "_shard").sortWithinPartitions("_shard", "_bucket", "_place").write.partitionBy("_shard").parquet(path)
 
 
-def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 17,
-                 bucket_bytes: int = 64 << 20) -> None:
-    """Write all columns of the records below ``path/_shard=N``, each bucket in shuffled order."""
-    total = df.agg(F.sum(text_bytes(F.col(text))).alias("bytes")).first()["bytes"] or 0
-    buckets = max(1, -(-total // (shards * bucket_bytes)))
-    placed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_shard", rendezvous_shard(F.col(key), shards, seed)).withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), key, "_row"), F.lit(buckets))).withColumn("_order", F.xxhash64(F.lit(seed + 2), key, "_row"))
-    placed.repartition(shards * buckets, "_shard", "_bucket").sortWithinPartitions("_shard", "_bucket", "_order").drop("_row", "_bucket", "_order").write.partitionBy("_shard").parquet(path)
+def shuffle_into_shards(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 17,
+                        bucket_bytes: int = 64 << 20, bucket_rows: int = 65_536) -> DataFrame:
+    """Shard and slot of every record, read from what ``write_shards`` wrote to the shared folder: (key, size, text_crc32, shard, slot, grown_shard, bucket).
+
+    ``grown_shard`` is the shard with one shard more. Slots of a shard run from 0 without gaps. Null
+    texts have size 1 and checksum 0; null keys are one key; repeated rows all keep a slot of their
+    own; an empty table gives no rows.
+    """
+    path = step_path(df.sparkSession)
+    write_shards(df, path, key, text, shards, seed, bucket_bytes, bucket_rows)
+    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.IntegerType()) for c in ("_bucket", "_place", "_shard"))])
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("n")).select("_shard", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    body = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    return written.join(F.broadcast(starts), ["_shard", "_bucket"]).select(
+        F.col(key), text_bytes(F.col(text)).alias("size"), F.crc32(body).alias("text_crc32"), F.col("_shard").alias("shard"),
+        (F.col("_start") + F.col("_place")).alias("slot"), rendezvous_shard(F.col(key), shards + 1, seed).alias("grown_shard"), F.col("_bucket").alias("bucket"))

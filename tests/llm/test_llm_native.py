@@ -38,6 +38,17 @@ def test_written_shards_hold_every_record(spark, tmp_path):
     assert back.select("_shard").distinct().count() == 8
 
 
+def test_slots_are_those_of_the_written_records(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 70}") for i in range(900)] + [(None, None)], "doc_id long, text string").repartition(3, "doc_id")
+    path = str(tmp_path / "s")
+    monkeypatch.setattr(shards, "step_path", lambda _: path)
+    placed = shards.shuffle_into_shards(docs, bucket_rows=40).collect()
+    written = spark.read.parquet(path).orderBy("_shard", "_bucket", "_place").collect()
+    assert written[0].text is not None and len(written) == 901
+    order = {s: [(r.doc_id, zlib.crc32((r.text or "").encode())) for r in written if r._shard == s] for s in range(8)}
+    assert all(order[r.shard][r.slot] == (r.doc_id, r.text_crc32) for r in placed) and len(placed) == 901
+
+
 def digest_of(turns):
     loss = "".join(t for r, t in turns if r == "assistant")
     said = "".join(f"{r}\n{t}\n" for r, t in turns)
