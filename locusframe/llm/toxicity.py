@@ -36,8 +36,10 @@ _words = re.compile(r"[^\W_]+")
 def fold(text: str | None) -> str:
     """Lower case, look-alikes to Latin letters, and signs to letters where they touch a letter."""
     text = (text or "").lower()
-    if not text.isascii() and _other.search(text):
-        text = unicodedata.normalize("NFKC", _unseen.sub("", text)).translate(LOOK_ALIKES)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", _unseen.sub("", text)).lower()
+        if _other.search(text):
+            text = text.translate(LOOK_ALIKES)
 
     def letters(m: re.Match) -> str:
         a, b = m.span()
@@ -124,7 +126,8 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min
 
     ``docs`` (doc_id, text), ``labels`` (doc_id, label 0 or 1). About ``per_class`` rows of each class are drawn by a seeded hash
     of the id; the drawn labels are what is broadcast. An entry needs ``min_docs`` toxic documents, a log odds ratio of
-    ``min_log_odds`` and a log-likelihood ratio of ``min_g2``, which keeps chance finds out; a beginning of words replaces the entries it starts. Without both classes the
+    ``min_log_odds`` and a log-likelihood ratio of ``min_g2``, which keeps chance finds out; an exception phrase needs three
+    different clean texts and significantly more of them than of toxic ones; a beginning of words replaces the entries it starts. Without both classes the
     lexicon is empty and every score is the share of toxic labels.
     """
     drawn, counts = _draw(labels, per_class, seed)
@@ -163,17 +166,19 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min
     lexicon = Lexicon(weights, exceptions)
 
     def phrases(batches):
-        found = Counter()
         for pdf in batches:
-            for text, y in zip(pdf["text"], pdf["_y"]):
+            found = set()
+            for text, y, doc in zip(pdf["text"], pdf["_y"], pdf["_doc"]):
                 folded = fold(text)
-                for a, b, _ in lexicon.matches(folded) if not y else ():
+                for a, b, _ in lexicon.matches(folded):
                     tail = re.match(r"[^\W_]*\W+[^\W_]+", folded[b : b + 80])
                     if tail:
-                        found[folded[a:b] + tail[0]] += 1
-        yield pd.DataFrame({"phrase": list(found), "n": list(found.values())}, columns=["phrase", "n"]).astype({"phrase": object, "n": np.int64})
+                        found.add((folded[a:b] + tail[0], int(y), int(doc)))
+            yield pd.DataFrame(list(found), columns=["phrase", "y", "doc"]).astype({"phrase": object, "y": np.int64, "doc": np.int64})
 
-    learned = sample.where("_y = 0").mapInPandas(phrases, "phrase string, n bigint").groupBy("phrase").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "phrase").limit(1000).collect()
+    learned = sample.withColumn("_doc", F.xxhash64("text")).mapInPandas(phrases, "phrase string, y bigint, doc bigint").distinct().groupBy("phrase").agg(
+        F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).where("clean >= 3").orderBy(F.desc("clean"), "phrase").limit(1000).collect()
+    learned = [r for r in learned if r["clean"] * n1 > r["toxic"] * n0 and g2(r["toxic"], r["clean"]) >= 3.84]
     lexicon.exceptions = tuple(dict.fromkeys((*exceptions, *(r["phrase"] for r in learned))))
     lexicon._automaton = None
 

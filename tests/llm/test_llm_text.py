@@ -85,6 +85,19 @@ def test_toxicity_folding_exceptions_and_odd_rows(spark):
     assert toxicity.score_texts(docs.limit(0), lexicon).collect() == []
 
 
+def test_exceptions_need_an_excess_of_different_clean_texts(spark):
+    rows = [(i, f"wort{i} vilefoo abc rest{i}") for i in range(100)] + [(100 + i, f"gut{i} rest{i}") for i in range(300)]
+    rows += [(400 + i, f"noisy{i} vilefoo abc") for i in range(4)] + [(410, "vilefoo once " * 5)] + [(420 + i, "same vilefoo def") for i in range(4)]
+    labels = [(i, int(i < 100)) for i, _ in rows]
+    lexicon = toxicity.train_lexicon(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, label int"))
+    assert lexicon.weights and set(lexicon.exceptions) == set(toxicity.EXCEPTIONS)
+
+
+def test_every_letter_form_is_folded():
+    assert toxicity.fold("\U0001d42f\U0001d422\U0001d425\U0001d41e\U0001d42d") == "vilet"
+    assert toxicity.fold("\u24b6\u24d1\u24d2 \U0001d400") == "abc a" and toxicity.fold("d\u00e9j\u00e0") == "d\u00e9j\u00e0"
+
+
 def test_pieces_equal_the_tokenizer(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
