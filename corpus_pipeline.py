@@ -37,21 +37,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, lexicon).where("predicted = 0").select(*docs.columns)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, written so that it stays."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, the smallest id, of each group linked by a Jaccard similarity of 0.8 of five-word runs.
 
-    Rows that repeat an id count as one document. Rows without an id or without words stay.
+    Rows that repeat an id are judged by their texts. Rows without an id or without words stay.
     """
-    groups = ngram_join.jaccard_components(docs, n=5, num=80, den=100)
-    kept = stored(groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct())
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    rows = _numbered(docs)
+    groups = stored(ngram_join.jaccard_components(rows.where("doc_id is not null"), n=5, num=80, den=100, id_col="_row").select(F.col("_row"), "component_id"))
+    order = F.struct("doc_id", "_row")
+    shared = groups.where("_row <> component_id").select("component_id").distinct()
+    members = groups.join(shared, "component_id").join(rows.select("_row", "doc_id"), "_row")
+    kept = members.groupBy("component_id").agg(F.min(order).getField("_row").alias("_kept"))
+    dropped = stored(members.select("_row", "component_id").join(kept, "component_id").where("_row <> _kept").select("_row"))
+    return rows.join(bounded_broadcast(dropped), "_row", "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold at least half of the words of a benchmark item in tiles."""
-    found = stored(decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_found")).where("_found is not null").distinct())
-    return docs.join(bounded_broadcast(found), F.col("doc_id") == F.col("_found"), "left_anti")
+    """Drop documents that hold at least half of the words of a benchmark item in tiles, each row by its own text."""
+    rows = _numbered(docs)
+    found = decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="_row").select(F.col("doc_id").alias("_row"))
+    return rows.join(bounded_broadcast(stored(found.distinct())), "_row", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

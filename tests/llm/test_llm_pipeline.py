@@ -63,3 +63,15 @@ def test_toxicity_stage_drops_all_that_the_operator_predicts(spark):
     kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["toxicity"](spark, docs.unionByName(rows), SF).select("doc_id").collect()}
     scored = toxicity.score_texts(docs, lexicon)
     assert kept == {r.doc_id for r in scored.where("predicted = 0").select("doc_id").collect()}
+
+
+def test_null_and_repeated_ids_are_judged_by_their_texts(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if r.text and len(r.text.split()) > 12)
+    other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in "xy")
+    rows = [(None, item), (1, item), (1, other), (2, third), (2, other), (None, third), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], schema)
+    named = dict(corpus_pipeline.STAGES)
+    got = lambda stage: sorted(((r.doc_id, r.text) for r in named[stage](spark, docs, SF).collect()), key=str)
+    assert got("decontamination") == sorted(rows[2:], key=str)
+    assert got("near_duplicates") == sorted([(1, item), (1, other), (2, third), (None, item), (None, third), (None, None)], key=str)
