@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusframe.llm import chat, decontam, graph_dedup, langid, ngram_join, packing, revisits, shards, toxicity, urls
-from locusframe.llm.common import id_bucket, table
+from locusframe.llm import chat, decontam, graph_dedup, langid, ngram_join, packing, phrases, revisits, rule_ledger, shards, toxicity, urls, whitening
+from locusframe.llm.common import id_bucket, stored, table
 from locusframe.plans.registry import Query
 
 SHARDS = 8
@@ -113,6 +113,59 @@ def op10(spark, sf_dir):
     return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op11(spark, sf_dir):
+    ledger = stored(rule_ledger.quality_ledger(table(spark, sf_dir, "documents")))
+    return ledger.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~rule_ledger.kept_by(rule_ledger.BASE)).alias("base_failed"),
+        rule_ledger.kept_by(rule_ledger.STANDARD).alias("kept"), "n_lines", "n_ended_lines", "n_letter_words", "failed")
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+p AS (SELECT rid, generate_subscripts(w, 1) AS pos, unnest(w) AS a FROM s),
+q AS (SELECT rid, pos, a, lead(a, 1) OVER (PARTITION BY rid ORDER BY pos) AS b, lead(a, 2) OVER (PARTITION BY rid ORDER BY pos) AS c FROM p),
+r AS (SELECT rid, pos FROM q WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, a, b, c) > 1),
+v AS (SELECT rid, count(DISTINCT pos + k) AS n FROM r, (VALUES (0), (1), (2)) AS x(k) GROUP BY rid),
+m AS (SELECT s.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(v.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines,
+  CAST(len(list_filter(ls, lambda x: regexp_matches(x, '[.!?":;,)][\x20\x09-\x0D]*$'))) AS BIGINT) AS n_ended_lines,
+  CAST(len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS BIGINT) AS n_letter_words FROM s LEFT JOIN v ON v.rid = s.rid),
+f AS (SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (word_chars < 3 * n_words)::INT + 8 * (word_chars > 10 * n_words)::INT
+  + 16 * (100 * n_symbols > 10 * n_words)::INT + 32 * (100 * n_dup_lines > 40 * n_lines)::INT + 64 * (100 * n_letter_words < 80 * n_words)::INT
+  + 128 * (n_lines > 1 AND 100 * n_ended_lines < 10 * n_lines)::INT + 256 * (n_dup_lines > 0)::INT + 512 * (n_words > 100000)::INT AS BIGINT) AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed, (failed & 255) = 0 AS kept, n_lines, n_ended_lines, n_letter_words, failed
+FROM f"""
+
+
+def op12(spark, sf_dir):
+    return phrases.collocations(stored(phrases.frequent_phrases(table(spark, sf_dir, "documents"))))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents WHERE text IS NOT NULL),
+s AS (SELECT rid, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece, generate_subscripts(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]'), 1) AS pid FROM d),
+w AS (SELECT rid, lang, pid, unnest(ws) AS a, generate_subscripts(ws, 1) AS pos FROM (SELECT rid, lang, pid, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM s)),
+g AS (SELECT lang, a, lead(a, 1) OVER (PARTITION BY rid, pid ORDER BY pos) AS b, lead(a, 2) OVER (PARTITION BY rid, pid ORDER BY pos) AS c,
+  lead(a, 3) OVER (PARTITION BY rid, pid ORDER BY pos) AS e, lead(a, 4) OVER (PARTITION BY rid, pid ORDER BY pos) AS h FROM w),
+u AS (SELECT lang, 1 AS len, a AS phrase FROM g UNION ALL SELECT lang, 2, a||' '||b FROM g WHERE b IS NOT NULL UNION ALL SELECT lang, 3, a||' '||b||' '||c FROM g WHERE c IS NOT NULL
+  UNION ALL SELECT lang, 4, a||' '||b||' '||c||' '||e FROM g WHERE e IS NOT NULL UNION ALL SELECT lang, 5, a||' '||b||' '||c||' '||e||' '||h FROM g WHERE h IS NOT NULL),
+f AS (SELECT lang, len, phrase, count(*) AS f FROM u GROUP BY lang, len, phrase HAVING count(*) >= 100),
+t AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+x AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws, unnest(range(1, len)) AS k FROM f WHERE len >= 2),
+y AS (SELECT x.lang, x.phrase, x.a, x.k, l.f AS l, r.f AS r, t.n, (CAST(1000 AS HUGEINT) * x.a * t.n) // (CAST(l.f AS HUGEINT) * r.f) AS score FROM x
+  JOIN f AS l ON l.lang = x.lang AND l.phrase = array_to_string(x.ws[1:x.k], ' ') JOIN f AS r ON r.lang = x.lang AND r.phrase = array_to_string(x.ws[x.k+1:], ' ') JOIN t ON t.lang = x.lang),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+v AS (SELECT * FROM z WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.lang = z.lang AND f.len > len(string_split(z.phrase, ' ')) AND 100 * f.f >= 100 * z.a AND contains(' '||f.phrase||' ', ' '||z.phrase||' ')))
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM v) WHERE rank <= 2000"""
+
+
+def op13(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES = {
     "op1_ngram_join": Query(op1),
     "op2_graph_dedup": Query(op2),
@@ -124,4 +177,7 @@ QUERIES = {
     "op8_revisits": Query(op8, OP8_SQL),
     "op9_decontamination": Query(op9),
     "op10_urls": Query(op10),
+    "op11_quality_rules": Query(op11, OP11_SQL),
+    "op12_phrases": Query(op12, OP12_SQL),
+    "op13_whitening": Query(op13),
 }
