@@ -1,13 +1,15 @@
 """Phrase collocations by Toivonen's sampling method.
 
-A sample of the documents is mined level by level with a lowered threshold. Its frequent phrases and their
-negative border (phrases that are not among them, but whose parts are) are the candidates, and one pass over
-all documents counts both exactly. Where a border phrase proves frequent the sample has missed something: the
-frequent set grows by what was found, and further passes count the new border, until nothing fails. The result is
-exact whatever the sample holds.
-
-What tasks need to know of a phrase set is a Bloom filter of bounded size, so no phrase set is
-collected or broadcast; a false positive only means that a phrase is counted that need not be.
+A sample of the documents is mined level by level with a lowered threshold. The phrases it proposes and their
+negative border (phrases that are not among them, but whose parts are) are the candidates of a full pass over
+all documents. Where a border phrase proves frequent the sample has missed something: the frequent set grows by what was
+found, and further passes count the new border, until nothing fails. Counts are exact whatever the sample holds.
+
+The border of a large corpus is mostly phrases seen once or twice. The full pass therefore reads the documents twice: first
+border phrases are added up in hashed buckets, and a bucket below the threshold proves that none of its phrases is
+frequent; then the proposed phrases and the border phrases of full buckets are counted one by one. What tasks
+need to know of a phrase set is an array of flags of bounded size, so no phrase set is collected or broadcast; phrases
+that share a bucket only cause more to be counted.
 """
 
 from __future__ import annotations
@@ -28,30 +30,24 @@ PIECE_ENDS = b".,;:!?\n\v\f\r"
 _to_marks = bytes.maketrans(PIECE_ENDS, b"\xff" * len(PIECE_ENDS))
 GRAMS = "lang string, len int, phrase string, hash bigint, n bigint"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-PROBES = 4
-BLOCK_BITS = 16
+BLOCK = 1 << 16
 
 _hash_of = WordHashes()
 
 
 @dataclass
-class Bloom:
-    """A set of 64-bit hashes in ``2**log2`` bits: never a false no, and few a false yes while it has room."""
+class Flags:
+    """A set of 64-bit hashes as one flag per bucket: never a false no, and few a false yes while most buckets are empty."""
 
-    log2: int
     bits: np.ndarray
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), bool)
-        for at in places(hashes, self.log2):
-            out &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-        return out
+        at = bucket_of(hashes, len(self.bits) * 8)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def places(hashes: np.ndarray, log2: int) -> list[np.ndarray]:
-    step = (hashes >> np.uint64(33)) | np.uint64(1)
-    mask = np.uint64((1 << log2) - 1)
-    return [(hashes + np.uint64(k) * step) & mask for k in range(PROBES)]
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes & np.uint64(buckets - 1)).astype(np.int64)
 
 
 class Words(dict):
@@ -77,191 +73,239 @@ def numbered(texts: list[str], words: Words) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.int32)
 
 
-def count_grams(x: np.ndarray, words: Words, lang: str, now: list[Bloom], before: list[list[Bloom]], lengths: range):
-    """Yield (length, phrases, hashes, counts) of the phrases in ``x`` to count now.
+def chosen_grams(x: np.ndarray, words: Words, lang: str, now: list[Flags], before: list[list[Flags]], most: int):
+    """Yield (length, first places, hashes, counts) of the different candidates in ``x``, level by level up to ``most`` words.
 
-    ``now[k-1]`` holds the frequent phrases of k words. A longer phrase is counted when the filter holds both its first
-    and its last words but one, unless a pass ``before`` has counted it by the same rule. Phrases are told
-    apart by the numbers of their words, not by hashes.
+    Every word is a candidate. ``now[k-1]`` holds the accepted phrases of k words; a longer phrase is a candidate when it
+    holds both its first and its last words but one, unless a pass ``before`` had it as a candidate. Phrases are
+    told apart by the numbers of their words, not by hashes.
     """
-    start = np.uint64(_hash_of[lang.encode("utf-8", "surrogatepass")])
     word_hash = np.fromiter((_hash_of[w] for w in words.words), np.uint64, len(words.words))
-    if 1 in lengths:
-        yield 1, np.array(words.words, object)[1:], mix(word_hash ^ start)[1:], np.bincount(x, minlength=len(words.words))[1:]
-    if not now or lengths.stop <= 2:
-        return
-    hashes = mix(word_hash ^ start)
-    code = x.astype(np.int64)
-
-    def spread(filters: list[Bloom], level: int, at, of, allowed) -> np.ndarray:
+    hashes = mix(word_hash ^ np.uint64(_hash_of[lang.encode("utf-8", "surrogatepass")]))
+    if not before:
+        first = np.zeros(len(words.words), np.int64)
+        first[x[::-1]] = np.arange(len(x))[::-1]
+        yield 1, first[1:], hashes[1:], np.bincount(x, minlength=len(words.words))[1:]
+
+    def spread(filters: list[Flags], level: int, at, of, allowed) -> np.ndarray:
         out = np.zeros(len(x), bool)
         if level <= len(filters):
             out[at] = filters[level - 1].has(hashes)[of] & allowed
         return out
 
-    whole = np.arange(len(x))
+    code, whole = x.astype(np.int64), np.arange(len(x))
     member = spread(now, 1, whole, x, x > 0)
     old = [spread(f, 1, whole, x, x > 0) for f in before]
-    for k in range(2, lengths.stop):
+    for k in range(2, most + 1):
         at = np.flatnonzero(member[:-1] & member[1:])
         if not len(at):
             return
-        last = x[at + k - 1]
-        of, keys = pd.factorize(code[at] * np.int64(len(words.words)) + last)
+        of, keys = pd.factorize(code[at] * np.int64(len(words.words)) + x[at + k - 1])
         first = np.empty(len(keys), np.int64)
         first[of[::-1]] = at[::-1]
         hashes = mix(hashes[code[first]] * GOLDEN + word_hash[x[first + k - 1]])
         known = [m[:-1] & m[1:] for m in old]
-        if k in lengths:
-            fresh = np.flatnonzero(~reduce(np.logical_or, [m[first] for m in known], np.zeros(len(first), bool)))
-            rows = x[first[fresh][:, None] + np.arange(k)].tolist()
-            spelled = words.words
-            yield k, [b" ".join([spelled[w] for w in row]) for row in rows], hashes[fresh], np.bincount(of, minlength=len(keys))[fresh]
+        fresh = np.flatnonzero(~reduce(np.logical_or, [m[first] for m in known], np.zeros(len(first), bool)))
+        yield k, first[fresh], hashes[fresh], np.bincount(of, minlength=len(keys))[fresh]
         member = spread(now, k, at, of, True)
         old = [spread(f, k, at, of, m[at]) for f, m in zip(before, known)]
         code = np.zeros(len(x), np.int64)
         code[at] = of
 
 
-def gram_counts(docs: DataFrame, now: list[Bloom], before: list[list[Bloom]], lengths: range, chunk_bytes: int) -> DataFrame:
-    """Counts of phrases (``GRAMS``) in (lang, text), exact for what ``count_grams`` chooses.
+def _chunks(batches, chunk_bytes: int):
+    """(lang, words, numbers) of about ``chunk_bytes`` of text of one language, from batches of (lang, text)."""
+    held: dict[str, list[str]] = {}
+    sizes: dict[str, int] = {}
 
-    Tasks count chunks of about ``chunk_bytes`` of text per language, so that copies meet before the shuffle. With
-    length 1 a row of length 0 holds the number of words.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((now, before))
+    def taken(lang: str):
+        words = Words()
+        sizes.pop(lang)
+        return lang, words, numbered(held.pop(lang), words)
 
-    def run(batches):
-        filters, earlier = shared.value
-        held: dict[str, list[str]] = {}
-        sizes: dict[str, int] = {}
-
-        def flush(lang: str):
-            texts, words = held.pop(lang), Words()
-            sizes.pop(lang)
-            x = numbered(texts, words)
-            if 1 in lengths:
-                yield lang, 0, [b""], np.zeros(1, np.uint64), np.array([np.count_nonzero(x)])
-            for k, phrases, hashes, counts in count_grams(x, words, lang, filters, earlier, lengths):
-                yield lang, k, phrases, hashes, counts
-
-        def batch(lang, k, phrases, hashes, counts):
-            for a in range(0, len(phrases), 50_000):
-                part = slice(a, a + 50_000)
-                size = len(phrases[part])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * size, pa.string()), pa.array([k] * size, pa.int32()), pa.array(list(phrases[part]), pa.binary()).cast(pa.string()),
-                    pa.array(hashes[part].view(np.int64)), pa.array(counts[part].astype(np.int64))], names=["lang", "len", "phrase", "hash", "n"])
+    for got in batches:
+        for lang, text in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
+            held.setdefault(lang, []).append(text)
+            sizes[lang] = sizes.get(lang, 0) + len(text) + 1
+            if sum(sizes.values()) > chunk_bytes:
+                yield taken(max(sizes, key=sizes.get))
+    for lang in list(held):
+        yield taken(lang)
 
-        for got in batches:
-            for lang, text in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
-                held.setdefault(lang, []).append(text)
-                sizes[lang] = sizes.get(lang, 0) + len(text) + 1
-                if sum(sizes.values()) > chunk_bytes:
-                    for found in flush(max(sizes, key=sizes.get)):
-                        yield from batch(*found)
-        for lang in list(held):
-            for found in flush(lang):
-                yield from batch(*found)
 
-    found = docs.mapInArrow(run, GRAMS)
-    return found.groupBy("lang", "len", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+@dataclass(frozen=True)
+class Sizes:
+    """Bytes of text counted at once in a task, and buckets (a power of two, a block at least) per flag array."""
+
+    chunk_bytes: int = 16 << 20
+    buckets: int = 1 << 24
+
+    def __post_init__(self):
+        if self.buckets < BLOCK or self.buckets & (self.buckets - 1):
+            raise ValueError(f"buckets must be a power of two from {BLOCK} on")
 
 
-def bloom_of(phrases: DataFrame, count: int, max_log2: int) -> Bloom:
-    """The filter of the column ``hash``: 16 bits a phrase, at most ``2**max_log2`` in all, which bounds what the driver holds.
+def full_buckets(docs: DataFrame, now: list[Flags], levels: range, least: int, sizes: Sizes, outside: bool) -> Flags:
+    """Flags of the buckets in which the candidates of ``levels`` words occur ``least`` times or more in all.
 
-    Tasks mark bits in blocks, blocks are united after a shuffle, and only united blocks come to the driver.
+    With ``outside`` only candidates that ``now`` does not hold are added up. Counts stop at ``least``; tasks send the blocks of
+    their bucket array, thinly filled ones as places and counts, which are added after a shuffle. The driver
+    gets one bit per bucket.
     """
-    log2 = int(min(max_log2, max(BLOCK_BITS + 3, np.ceil(np.log2(16 * max(count, 1))))))
-    block_bytes = 1 << (BLOCK_BITS - 3)
+    shared = docs.sparkSession.sparkContext.broadcast(now)
+    kind = np.min_scalar_type(least)
+
+    def add_up(batches):
+        filters, own = shared.value, np.zeros(sizes.buckets, kind)
+        for lang, words, x in _chunks(batches, sizes.chunk_bytes):
+            for k, _, hashes, counts in chosen_grams(x, words, lang, filters, [], levels.stop - 1):
+                if k in levels:
+                    if outside and k <= len(filters):
+                        rest = ~filters[k - 1].has(hashes)
+                        hashes, counts = hashes[rest], counts[rest]
+                    at, of = np.unique(bucket_of(hashes, sizes.buckets), return_inverse=True)
+                    own[at] = np.minimum(own[at].astype(np.int64) + np.bincount(of, counts, len(at)).astype(np.int64), least)
+        yield from _blocks(own, kind)
+
+    def unite(batches):
+        total: dict[int, np.ndarray] = {}
+        for got in batches:
+            for block, places, counts in zip(*(got.column(i).to_pylist() for i in range(3))):
+                sums = total.setdefault(block, np.zeros(BLOCK, np.int64))
+                at = slice(None) if places is None else np.frombuffer(places, np.uint16).astype(np.int64)
+                sums[at] = np.minimum(sums[at] + np.frombuffer(counts, kind), least)
+        rows = [(b, np.packbits(sums >= least, bitorder="little").tobytes()) for b, sums in total.items() if (sums >= least).any()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "bits"])
+
+    sums = docs.mapInArrow(add_up, BLOCKS).repartition(shuffle_partitions(docs.sparkSession), "block")
+    return _flags(sums.mapInArrow(unite, "block bigint, bits binary"), sizes.buckets)
+
+
+BLOCKS = "block bigint, places binary, counts binary"
+
+
+def _blocks(own: np.ndarray, kind):
+    for b in range(len(own) // BLOCK):
+        part = own[b * BLOCK : (b + 1) * BLOCK]
+        at = np.flatnonzero(part)
+        if len(at):
+            thin = len(at) * (2 + part.itemsize) < part.nbytes
+            yield pa.RecordBatch.from_arrays([
+                pa.array([b], pa.int64()), pa.array([at.astype(np.uint16).tobytes() if thin else None], pa.binary()),
+                pa.array([(part[at] if thin else part).astype(kind).tobytes()], pa.binary())], names=["block", "places", "counts"])
+
+
+def _flags(blocks: DataFrame, buckets: int) -> Flags:
+    bits, size = np.zeros(buckets // 8, np.uint8), BLOCK // 8
+    for row in blocks.collect():
+        bits[row["block"] * size : (row["block"] + 1) * size] |= np.frombuffer(row["bits"], np.uint8)
+    return Flags(bits)
+
+
+def flags_of(phrases: DataFrame, sizes: Sizes) -> Flags:
+    """Flags of the column ``hash`` of a phrase table."""
 
     def mark(batches):
-        blocks: dict[int, np.ndarray] = {}
+        own = np.zeros(sizes.buckets, np.uint8)
         for got in batches:
-            hashes = np.asarray(got.column(0)).view(np.uint64)
-            at = np.unique(np.concatenate(places(hashes, log2))) if len(hashes) else np.empty(0, np.uint64)
-            block = (at >> np.uint64(BLOCK_BITS)).astype(np.int64)
-            for b in np.unique(block):
-                inside = (at[block == b] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-                bits = np.zeros(1 << BLOCK_BITS, np.uint8)
-                bits[inside] = 1
-                packed = np.packbits(bits, bitorder="little")
-                blocks[b] = blocks[b] | packed if b in blocks else packed
-        yield from _blocks(blocks)
+            own[bucket_of(np.asarray(got.column(0)).view(np.uint64), sizes.buckets)] = 1
+        yield from _blocks(own, np.uint8)
 
     def unite(batches):
-        blocks: dict[int, np.ndarray] = {}
+        total: dict[int, np.ndarray] = {}
         for got in batches:
-            for b, raw in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
-                packed = np.frombuffer(raw, np.uint8)
-                blocks[b] = blocks[b] | packed if b in blocks else packed
-        yield from _blocks(blocks)
+            for block, places, counts in zip(*(got.column(i).to_pylist() for i in range(3))):
+                sums = total.setdefault(block, np.zeros(BLOCK, np.uint8))
+                at = slice(None) if places is None else np.frombuffer(places, np.uint16).astype(np.int64)
+                sums[at] |= np.frombuffer(counts, np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([np.packbits(v, bitorder="little").tobytes() for v in total.values()], pa.binary())], names=["block", "bits"])
 
-    schema = "block bigint, bits binary"
     n = shuffle_partitions(phrases.sparkSession)
-    united = phrases.select("hash").mapInArrow(mark, schema).repartition(n, "block").mapInArrow(unite, schema)
-    bits = np.zeros(1 << (log2 - 3), np.uint8)
-    for row in united.collect():
-        bits[row["block"] * block_bytes : (row["block"] + 1) * block_bytes] = np.frombuffer(row["bits"], np.uint8)
-    return Bloom(log2, bits)
+    return _flags(phrases.select("hash").mapInArrow(mark, BLOCKS).repartition(n, "block").mapInArrow(unite, "block bigint, bits binary"), sizes.buckets)
 
 
-def _blocks(blocks: dict[int, np.ndarray]):
-    for b, bits in blocks.items():
-        yield pa.RecordBatch.from_arrays([pa.array([int(b)], pa.int64()), pa.array([bits.tobytes()], pa.binary())], names=["block", "bits"])
+def gram_counts(docs: DataFrame, now: list[Flags], full: Flags | None, before: list[list[Flags]], most: int, sizes: Sizes) -> DataFrame:
+    """Exact counts (``GRAMS``) of the candidates in (lang, text) that ``now`` holds or whose bucket is ``full``; all candidates where ``full`` is None.
 
+    Copies meet in chunks before the shuffle. In the first pass a row of length 0 holds a language's number of words.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((now, full, before))
 
-def _filters(phrases: DataFrame, lengths: range, max_log2: int) -> list[Bloom]:
-    """One filter per length of a stored phrase table."""
-    sizes = {r["len"]: r["count"] for r in phrases.groupBy("len").count().collect()}
-    return [bloom_of(phrases.where(F.col("len") == k), sizes.get(k, 0), max_log2) for k in lengths]
+    def run(batches):
+        filters, bounded, earlier = shared.value
 
+        def rows(lang, k, phrases, hashes, counts):
+            for a in range(0, len(phrases), 50_000):
+                part = slice(a, a + 50_000)
+                size = len(phrases[part])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * size, pa.string()), pa.array([k] * size, pa.int32()), pa.array(phrases[part], pa.binary()).cast(pa.string()),
+                    pa.array(hashes[part].view(np.int64)), pa.array(counts[part].astype(np.int64))], names=["lang", "len", "phrase", "hash", "n"])
 
-def mine_sample(docs: DataFrame, rate: float, min_count: int, max_words: int, chunk_bytes: int, max_log2: int, seed: int) -> tuple[list[Bloom], DataFrame]:
-    """Filters and table of the phrases that are frequent in a sample at a lowered threshold, level by level.
+        for lang, words, x in _chunks(batches, sizes.chunk_bytes):
+            if not earlier:
+                yield from rows(lang, 0, [b""], np.zeros(1, np.uint64), np.array([np.count_nonzero(x)]))
+            for k, first, hashes, counts in chosen_grams(x, words, lang, filters, earlier, most):
+                if bounded is not None:
+                    kept = bounded.has(hashes) | (filters[k - 1].has(hashes) if k <= len(filters) else False)
+                    first, hashes, counts = first[kept], hashes[kept], counts[kept]
+                spelled = words.words
+                yield from rows(lang, k, [b" ".join([spelled[w] for w in row]) for row in x[first[:, None] + np.arange(k)].tolist()], hashes, counts)
 
-    The threshold is three standard deviations below what ``min_count`` occurrences leave in the sample, 2 at least.
+    found = docs.mapInArrow(run, GRAMS)
+    return found.groupBy("lang", "len", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+
+
+def mine_sample(docs: DataFrame, rate: float, min_count: int, max_words: int, sizes: Sizes, seed: int) -> list[Flags]:
+    """What a sample proposes: flags of the phrases of 1 to ``max_words`` - 1 words that are frequent in it at a lowered threshold, level by level.
+
+    The threshold is three standard deviations below what ``min_count`` occurrences leave in the sample, 2 at least. Phrases are
+    counted in buckets, so some that share one are proposed too.
     """
     expected = min_count * rate
     lowered = max(2, int(expected - 3 * np.sqrt(expected)))
     sample = docs.sample(False, rate, seed)
-    filters: list[Bloom] = []
-    levels: list[DataFrame] = []
+    proposed: list[Flags] = []
     for k in range(1, max_words):
-        level = stored(gram_counts(sample, filters, [], range(k, k + 1), chunk_bytes).where((F.col("len") == k) & (F.col("n") >= lowered)))
-        levels.append(level)
-        found = level.count()
-        filters.append(bloom_of(level, found, max_log2))
-        if not found:
-            break
-    return filters, reduce(DataFrame.unionByName, levels)
+        proposed.append(full_buckets(sample, proposed, range(k, k + 1), lowered, sizes, False))
+    return proposed
+
+
+def _failed(found: DataFrame, now: list[Flags], max_words: int) -> bool:
+    """Whether a frequent phrase that can be part of a longer one is missing in ``now``."""
+    shared = found.sparkSession.sparkContext.broadcast(now)
+
+    def missing(batches):
+        for got in batches:
+            lengths, hashes = np.asarray(got.column(0)), np.asarray(got.column(1)).view(np.uint64)
+            lost = sum(int((~f.has(hashes[lengths == k])).sum()) for k, f in enumerate(shared.value, 1))
+            yield pa.RecordBatch.from_arrays([pa.array([lost], pa.int64())], names=["lost"])
+
+    rows = found.where((F.col("len") > 0) & (F.col("len") < max_words)).select("len", "hash")
+    return bool(rows.mapInArrow(missing, "lost bigint").agg(F.sum("lost")).first()[0])
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, rate: float = 0.25, text_col: str = "text", lang_col: str = "lang",
-                     chunk_bytes: int = 16 << 20, max_log2: int = 28, seed: int = 41) -> DataFrame:
+                     sizes: Sizes = Sizes(), seed: int = 41) -> DataFrame:
     """(lang, len, phrase, n): all phrases of 1 to ``max_words`` words with ``n >= min_count`` occurrences, and per language a row of length 0 with its number of words.
 
     Words are lower-cased (A-Z) runs of other signs than spaces and tabs inside pieces, which end at ``.,;:!?`` and line
     ends. Counts are exact, overlaps included. ``rate`` is the share of rows in the sample; it decides how much work is saved, never the
-    result. Null texts count as empty, null languages as ``und``; repeated rows all count; a language without words has no row; an empty table
-    gives an empty result. Texts are read whole; one text's words must fit in a task's memory. Other columns of the input are not read.
-    Filters take at most ``2**max_log2`` bits a length; beyond their room more phrases than needed are counted, and
-    the result stays the same.
+    result. Null texts count as empty, null languages as ``und``; repeated rows all count; a language without words has no phrases; an empty
+    table gives an empty result. Texts are read whole; one text's words must fit in a task's memory. Other columns of the input are not
+    read. Flag arrays have ``sizes.buckets`` buckets; where phrases outgrow them more is counted one by one, and the result stays the same.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    now, sampled = mine_sample(texts, rate, min_count, max_words, chunk_bytes, max_log2, seed)
-    counts = stored(gram_counts(texts, now, [], range(1, max_words + 1), chunk_bytes).where((F.col("n") >= min_count) | (F.col("len") == 0)))
-    found = [counts]
-    grow = (F.col("len") > 0) & (F.col("len") < max_words)
-    failed = counts.where(grow).join(sampled.select("lang", "len", "phrase"), ["lang", "len", "phrase"], "left_anti")
-    before: list[list[Bloom]] = []
-    while not failed.isEmpty():
+    now = mine_sample(texts, rate, min_count, max_words, sizes, seed)
+    full = full_buckets(texts, now, range(1, max_words + 1), min_count, sizes, True)
+    new = stored(gram_counts(texts, now, full, [], max_words, sizes).where((F.col("n") >= min_count) | (F.col("len") == 0)))
+    found, before = [new], []
+    while _failed(new, now, max_words):
         before.append(now)
-        now = _filters(reduce(DataFrame.unionByName, found).where(F.col("len") > 0), range(1, max_words), max_log2)
-        more = stored(gram_counts(texts, now, before, range(2, max_words + 1), chunk_bytes).where(F.col("n") >= min_count))
-        found.append(more)
-        failed = more.where(grow)
+        known = reduce(DataFrame.unionByName, found)
+        now = [flags_of(known.where(F.col("len") == k), sizes) for k in range(1, max_words)]
+        new = stored(gram_counts(texts, now, None, before, max_words, sizes).where(F.col("n") >= min_count))
+        found.append(new)
     return reduce(DataFrame.unionByName, found).drop("hash")
 
 

@@ -112,14 +112,14 @@ def corpus():
     return rows + [("de", "one two three four five six seven.")] * 40
 
 
-@pytest.mark.parametrize("rate,log2", [(0.5, 28), (0.02, 19), (0.0, 19)])
-def test_phrases_are_those_of_a_full_count(spark, rate, log2, monkeypatch):
+@pytest.mark.parametrize("rate,buckets", [(0.5, 1 << 20), (0.02, 1 << 16), (0.0, 1 << 16)])
+def test_phrases_are_those_of_a_full_count(spark, rate, buckets, monkeypatch):
     rows = corpus()
     docs = spark.createDataFrame(rows, "lang string, text string").withColumns({"phrase": F.lit("x"), "n": F.lit(1), "len": F.lit("y"), "hash": F.lit(2)}).repartition(5)
     passes = []
     count = phrases.gram_counts
-    monkeypatch.setattr(phrases, "gram_counts", lambda d, now, before, lengths, size: passes.append(len(before)) or count(d, now, before, lengths, size))
-    found = stored(phrases.frequent_phrases(docs, min_count=25, rate=rate, chunk_bytes=3000, max_log2=log2))
+    monkeypatch.setattr(phrases, "gram_counts", lambda d, now, full, before, *rest: passes.append(len(before)) or count(d, now, full, before, *rest))
+    found = stored(phrases.frequent_phrases(docs, min_count=25, rate=rate, sizes=phrases.Sizes(3000, buckets)))
     counts, totals = plain_counts(rows, 5)
     want = {(lang, len(p.split(" ")), p, c) for lang, own in counts.items() for p, c in own.items() if c >= 25}
     assert {tuple(r) for r in found.where("len > 0").collect()} == want and any(k == 5 for _, k, _, _ in want)
@@ -139,14 +139,23 @@ def test_phrases_of_nothing_and_large_counts(spark):
     assert r.score == 1000 * (big - 5) * 9_000_000_000_000_000 // (big * (big + 7))
 
 
-def test_bloom_never_says_no_to_a_member(spark):
+def test_flags_never_say_no_to_a_member(spark):
     hashes = [random.Random(k).getrandbits(64) - (1 << 63) for k in range(5000)]
-    table = stored(spark.createDataFrame([(h,) for h in hashes], "hash bigint"))
-    for log2 in (19, 28):
-        bloom = phrases.bloom_of(table, 5000, log2)
-        assert bloom.has(np.array(hashes, np.int64).view(np.uint64)).all()
-        other = np.array([random.Random(1_000_000 + k).getrandbits(64) for k in range(5000)], np.uint64)
-        assert bloom.has(other).mean() < 0.02
+    flags = phrases.flags_of(stored(spark.createDataFrame([(h,) for h in hashes], "hash bigint")), phrases.Sizes(buckets=1 << 20))
+    assert flags.has(np.array(hashes, np.int64).view(np.uint64)).all()
+    assert flags.has(np.array([random.Random(10_000 + k).getrandbits(64) for k in range(5000)], np.uint64)).mean() < 0.02
+    with pytest.raises(ValueError):
+        phrases.Sizes(buckets=1000)
+
+
+def test_full_buckets_bound_the_border(spark):
+    docs = spark.createDataFrame([("en", "a b c. " * 3 + "a b" + " z" * k) for k in range(40)], "lang string, text string").repartition(4)
+    full = phrases.full_buckets(docs, [], range(1, 2), 300, phrases.Sizes(50, 1 << 16), False)
+    words = phrases.Words()
+    x = phrases.numbered(["a b c z"], words)
+    _, _, hashes, _ = next(phrases.chosen_grams(x, words, "en", [], [], 1))
+    assert full.has(hashes).tolist() == [False, False, False, True]  # 160, 160, 120 and 780 times
+    assert not phrases.full_buckets(docs, [full], range(1, 2), 300, phrases.Sizes(50, 1 << 16), True).bits.any()
 
 
 def plain_whitening(vectors, most=16):
