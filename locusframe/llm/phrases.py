@@ -3,13 +3,14 @@
 A sample of the documents is mined level by level with a lowered threshold. The phrases it proposes and their
 negative border (phrases that are not among them, but whose parts are) are the candidates of a full pass over
 all documents. Where a border phrase proves frequent the sample has missed something: the frequent set grows by what was
-found, and further passes count the new border, until nothing fails. Counts are exact whatever the sample holds.
-
-The border of a large corpus is mostly phrases seen once or twice. The full pass therefore reads the documents twice: first
-border phrases are added up in hashed buckets, and a bucket below the threshold proves that none of its phrases is
-frequent; then the proposed phrases and the border phrases of full buckets are counted one by one. What tasks
-need to know of a phrase set is an array of flags of bounded size, so no phrase set is collected or broadcast; phrases
-that share a bucket only cause more to be counted.
+found, and one more pass counts the new border and all that grows from it, which closes the set. Counts are exact whatever the sample
+holds.
+
+The border of a large corpus is mostly phrases seen once or twice. A pass therefore reads the documents twice: first
+candidates are added up in hashed buckets, and a bucket below the threshold proves that none of its phrases is
+frequent; then the phrases of full buckets are counted one by one. What tasks need to know of a phrase set is an
+array of flags of bounded size, so no phrase set is collected or broadcast; phrases that share a bucket only cause more to
+be counted.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusframe.llm.common import WordHashes, bounded_broadcast, mix, shuffle_partitions, stored
+from locusframe.llm.common import bounded_broadcast, mix, shuffle_partitions, stored
 
 # The signs that end a piece, turned into a byte that UTF-8 text never holds.
 PIECE_ENDS = b".,;:!?\n\v\f\r"
@@ -31,8 +32,53 @@ _to_marks = bytes.maketrans(PIECE_ENDS, b"\xff" * len(PIECE_ENDS))
 GRAMS = "lang string, len int, phrase string, hash bigint, n bigint"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 16
-
-_hash_of = WordHashes()
+HASHED_AT_ONCE = 1 << 20
+
+_values = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_of(n: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64."""
+    if len(_powers[0]) < n:
+        base = int(GOLDEN)
+        for i, factor in enumerate((base, pow(base, -1, 1 << 64))):
+            steps = np.full(n, factor, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers
+
+
+def _hashed(raw: bytes) -> np.ndarray:
+    """Hashes of the words of lower-cased, marked bytes in order; 0 for every mark."""
+    a = np.frombuffer(raw, np.uint8)
+    mark = a == 255
+    gap = mark | (a == 32) | (a == 9)
+    edge = np.diff(np.concatenate(([True], gap, [True])).view(np.int8))
+    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    up, down = _powers_of(len(a) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_values[a] * up[: len(a)])))
+    hashes = mix((sums[end] - sums[start]) * down[start])
+    hashes[hashes == 0] = 1
+    at = np.concatenate((start, np.flatnonzero(mark)))
+    return np.concatenate((hashes, np.zeros(len(at) - len(start), np.uint64)))[np.argsort(at, kind="stable")]
+
+
+def hashed(raw: bytes) -> np.ndarray:
+    """``_hashed`` part by part, cut between words."""
+    out, a = [np.empty(0, np.uint64)], 0
+    while a < len(raw):
+        b = a + HASHED_AT_ONCE
+        if b < len(raw):
+            cuts = [raw.find(c, b) for c in (b" ", b"\t", b"\xff")]
+            b = min((c for c in cuts if c >= 0), default=len(raw))
+        out.append(_hashed(raw[a:b]))
+        a = b
+    return np.concatenate(out)
+
+
+def marked(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass").lower().translate(_to_marks)
 
 
 @dataclass
@@ -67,25 +113,41 @@ def numbered(texts: list[str], words: Words) -> np.ndarray:
     """The words of all texts as numbers, a 0 behind every piece."""
     parts = []
     for text in texts:
-        tokens = text.encode("utf-8", "surrogatepass").lower().translate(_to_marks).replace(b"\xff", b" \xff ").split()
+        tokens = marked(text).replace(b"\xff", b" \xff ").split()
         tokens.append(b"\xff")
         parts.append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
     return np.concatenate(parts) if parts else np.empty(0, np.int32)
 
 
-def chosen_grams(x: np.ndarray, words: Words, lang: str, now: list[Flags], before: list[list[Flags]], most: int):
+def counted_apart(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words as numbers, their hashes, and the words themselves, which are told apart by their bytes."""
+    words = Words()
+    x = numbered(texts, words)
+    return x, np.concatenate((np.zeros(1, np.uint64), hashed(b" ".join(words.words[1:])))), words.words
+
+
+def counted_by_hash(texts: list[str]) -> tuple[np.ndarray, np.ndarray, None]:
+    """Words as numbers and their hashes, without a look at single words: for bounds, where words of one hash may count as one."""
+    x, hashes = pd.factorize(np.concatenate((np.zeros(1, np.uint64), hashed(b"\xff".join(map(marked, texts))))))
+    return x[1:].astype(np.int32), hashes, None
+
+
+def chosen_grams(x: np.ndarray, word_hash: np.ndarray, lang: str, now: list[Flags], before: list[Flags] | None, most: int, full: Flags | None = None):
     """Yield (length, first places, hashes, counts) of the different candidates in ``x``, level by level up to ``most`` words.
 
-    Every word is a candidate. ``now[k-1]`` holds the accepted phrases of k words; a longer phrase is a candidate when it
-    holds both its first and its last words but one, unless a pass ``before`` had it as a candidate. Phrases are
-    told apart by the numbers of their words, not by hashes.
+    Every word is a candidate. ``now[k-1]`` holds the accepted phrases of k words; a longer phrase is a candidate when
+    both its first and its last words but one are accepted. With ``before``, the accepted phrases of the pass before, what was a
+    candidate then is left out, and new candidates (those of ``full`` buckets where these are known) are accepted as parts too: so
+    everything that grows from what had failed is met in one pass. Phrases are told apart by the numbers of their words.
     """
-    word_hash = np.fromiter((_hash_of[w] for w in words.words), np.uint64, len(words.words))
-    hashes = mix(word_hash ^ np.uint64(_hash_of[lang.encode("utf-8", "surrogatepass")]))
-    if not before:
-        first = np.zeros(len(words.words), np.int64)
+    n_words = len(word_hash)
+    hashes = mix(word_hash ^ hashed(lang.encode("utf-8", "surrogatepass").hex().encode() + b"-")[0])
+    if before is None:
+        first = np.zeros(n_words, np.int64)
         first[x[::-1]] = np.arange(len(x))[::-1]
-        yield 1, first[1:], hashes[1:], np.bincount(x, minlength=len(words.words))[1:]
+        counts = np.bincount(x, minlength=n_words)
+        seen = np.flatnonzero(counts[1:]) + 1
+        yield 1, first[seen], hashes[seen], counts[seen]
 
     def spread(filters: list[Flags], level: int, at, of, allowed) -> np.ndarray:
         out = np.zeros(len(x), bool)
@@ -95,33 +157,35 @@ def chosen_grams(x: np.ndarray, words: Words, lang: str, now: list[Flags], befor
 
     code, whole = x.astype(np.int64), np.arange(len(x))
     member = spread(now, 1, whole, x, x > 0)
-    old = [spread(f, 1, whole, x, x > 0) for f in before]
+    old = spread(before or [], 1, whole, x, x > 0)
     for k in range(2, most + 1):
         at = np.flatnonzero(member[:-1] & member[1:])
         if not len(at):
             return
-        of, keys = pd.factorize(code[at] * np.int64(len(words.words)) + x[at + k - 1])
+        of, keys = pd.factorize(code[at] * np.int64(n_words) + x[at + k - 1])
         first = np.empty(len(keys), np.int64)
         first[of[::-1]] = at[::-1]
         hashes = mix(hashes[code[first]] * GOLDEN + word_hash[x[first + k - 1]])
-        known = [m[:-1] & m[1:] for m in old]
-        fresh = np.flatnonzero(~reduce(np.logical_or, [m[first] for m in known], np.zeros(len(first), bool)))
-        yield k, first[fresh], hashes[fresh], np.bincount(of, minlength=len(keys))[fresh]
+        known = old[:-1] & old[1:]
+        fresh = ~known[first]
+        new = np.flatnonzero(fresh)
+        yield k, first[new], hashes[new], np.bincount(of, minlength=len(keys))[new]
         member = spread(now, k, at, of, True)
-        old = [spread(f, k, at, of, m[at]) for f, m in zip(before, known)]
+        if before is not None:
+            member[at] |= (fresh if full is None else fresh & full.has(hashes))[of]
+        old = spread(before or [], k, at, of, known[at])
         code = np.zeros(len(x), np.int64)
         code[at] = of
 
 
 def _chunks(batches, chunk_bytes: int):
-    """(lang, words, numbers) of about ``chunk_bytes`` of text of one language, from batches of (lang, text)."""
+    """(lang, texts) of about ``chunk_bytes`` of text of one language, from batches of (lang, text)."""
     held: dict[str, list[str]] = {}
     sizes: dict[str, int] = {}
 
     def taken(lang: str):
-        words = Words()
         sizes.pop(lang)
-        return lang, words, numbered(held.pop(lang), words)
+        return lang, held.pop(lang)
 
     for got in batches:
         for lang, text in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
@@ -145,24 +209,22 @@ class Sizes:
             raise ValueError(f"buckets must be a power of two from {BLOCK} on")
 
 
-def full_buckets(docs: DataFrame, now: list[Flags], levels: range, least: int, sizes: Sizes, outside: bool) -> Flags:
+def full_buckets(docs: DataFrame, now: list[Flags], before: list[Flags] | None, levels: range, least: int, sizes: Sizes) -> Flags:
     """Flags of the buckets in which the candidates of ``levels`` words occur ``least`` times or more in all.
 
-    With ``outside`` only candidates that ``now`` does not hold are added up. Counts stop at ``least``; tasks send the blocks of
-    their bucket array, thinly filled ones as places and counts, which are added after a shuffle. The driver
-    gets one bit per bucket.
+    Counts stop at ``least``; tasks send the blocks of their bucket array, thinly filled ones as places and counts,
+    which are added after a shuffle. The driver gets one bit per bucket.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(now)
+    shared = docs.sparkSession.sparkContext.broadcast((now, before))
     kind = np.min_scalar_type(least)
 
     def add_up(batches):
-        filters, own = shared.value, np.zeros(sizes.buckets, kind)
-        for lang, words, x in _chunks(batches, sizes.chunk_bytes):
-            for k, _, hashes, counts in chosen_grams(x, words, lang, filters, [], levels.stop - 1):
+        filters, earlier = shared.value
+        own = np.zeros(sizes.buckets, kind)
+        for lang, texts in _chunks(batches, sizes.chunk_bytes):
+            x, word_hash, _ = counted_by_hash(texts)
+            for k, _, hashes, counts in chosen_grams(x, word_hash, lang, filters, earlier, levels.stop - 1):
                 if k in levels:
-                    if outside and k <= len(filters):
-                        rest = ~filters[k - 1].has(hashes)
-                        hashes, counts = hashes[rest], counts[rest]
                     at, of = np.unique(bucket_of(hashes, sizes.buckets), return_inverse=True)
                     own[at] = np.minimum(own[at].astype(np.int64) + np.bincount(of, counts, len(at)).astype(np.int64), least)
         yield from _blocks(own, kind)
@@ -224,15 +286,15 @@ def flags_of(phrases: DataFrame, sizes: Sizes) -> Flags:
     return _flags(phrases.select("hash").mapInArrow(mark, BLOCKS).repartition(n, "block").mapInArrow(unite, "block bigint, bits binary"), sizes.buckets)
 
 
-def gram_counts(docs: DataFrame, now: list[Flags], full: Flags | None, before: list[list[Flags]], most: int, sizes: Sizes) -> DataFrame:
-    """Exact counts (``GRAMS``) of the candidates in (lang, text) that ``now`` holds or whose bucket is ``full``; all candidates where ``full`` is None.
+def gram_counts(docs: DataFrame, now: list[Flags], before: list[Flags] | None, full: Flags, most: int, sizes: Sizes) -> DataFrame:
+    """Exact counts (``GRAMS``) of the candidates in (lang, text) whose bucket is ``full``.
 
     Copies meet in chunks before the shuffle. In the first pass a row of length 0 holds a language's number of words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((now, full, before))
+    shared = docs.sparkSession.sparkContext.broadcast((now, before, full))
 
     def run(batches):
-        filters, bounded, earlier = shared.value
+        filters, earlier, bounded = shared.value
 
         def rows(lang, k, phrases, hashes, counts):
             for a in range(0, len(phrases), 50_000):
@@ -242,14 +304,13 @@ def gram_counts(docs: DataFrame, now: list[Flags], full: Flags | None, before: l
                     pa.array([lang] * size, pa.string()), pa.array([k] * size, pa.int32()), pa.array(phrases[part], pa.binary()).cast(pa.string()),
                     pa.array(hashes[part].view(np.int64)), pa.array(counts[part].astype(np.int64))], names=["lang", "len", "phrase", "hash", "n"])
 
-        for lang, words, x in _chunks(batches, sizes.chunk_bytes):
-            if not earlier:
+        for lang, texts in _chunks(batches, sizes.chunk_bytes):
+            x, word_hash, spelled = counted_apart(texts)
+            if earlier is None:
                 yield from rows(lang, 0, [b""], np.zeros(1, np.uint64), np.array([np.count_nonzero(x)]))
-            for k, first, hashes, counts in chosen_grams(x, words, lang, filters, earlier, most):
-                if bounded is not None:
-                    kept = bounded.has(hashes) | (filters[k - 1].has(hashes) if k <= len(filters) else False)
-                    first, hashes, counts = first[kept], hashes[kept], counts[kept]
-                spelled = words.words
+            for k, first, hashes, counts in chosen_grams(x, word_hash, lang, filters, earlier, most, bounded):
+                kept = bounded.has(hashes)
+                first, hashes, counts = first[kept], hashes[kept], counts[kept]
                 yield from rows(lang, k, [b" ".join([spelled[w] for w in row]) for row in x[first[:, None] + np.arange(k)].tolist()], hashes, counts)
 
     found = docs.mapInArrow(run, GRAMS)
@@ -267,7 +328,7 @@ def mine_sample(docs: DataFrame, rate: float, min_count: int, max_words: int, si
     sample = docs.sample(False, rate, seed)
     proposed: list[Flags] = []
     for k in range(1, max_words):
-        proposed.append(full_buckets(sample, proposed, range(k, k + 1), lowered, sizes, False))
+        proposed.append(full_buckets(sample, proposed, None, range(k, k + 1), lowered, sizes))
     return proposed
 
 
@@ -297,16 +358,14 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     now = mine_sample(texts, rate, min_count, max_words, sizes, seed)
-    full = full_buckets(texts, now, range(1, max_words + 1), min_count, sizes, True)
-    new = stored(gram_counts(texts, now, full, [], max_words, sizes).where((F.col("n") >= min_count) | (F.col("len") == 0)))
-    found, before = [new], []
-    while _failed(new, now, max_words):
-        before.append(now)
-        known = reduce(DataFrame.unionByName, found)
-        now = [flags_of(known.where(F.col("len") == k), sizes) for k in range(1, max_words)]
-        new = stored(gram_counts(texts, now, None, before, max_words, sizes).where(F.col("n") >= min_count))
-        found.append(new)
-    return reduce(DataFrame.unionByName, found).drop("hash")
+    full = full_buckets(texts, now, None, range(1, max_words + 1), min_count, sizes)
+    found = stored(gram_counts(texts, now, None, full, max_words, sizes).where((F.col("n") >= min_count) | (F.col("len") == 0)))
+    if _failed(found, now, max_words):
+        before, now = now, [flags_of(found.where(F.col("len") == k), sizes) for k in range(1, max_words)]
+        full = full_buckets(texts, now, before, range(2, max_words + 1), min_count, sizes)
+        grown = stored(gram_counts(texts, now, before, full, max_words, sizes).where(F.col("n") >= min_count))
+        found = found.unionByName(grown)
+    return found.drop("hash")
 
 
 def collocations(frequent: DataFrame, top: int = 2000, min_words: int = 2, salts: int = 16) -> DataFrame:

@@ -118,14 +118,14 @@ def test_phrases_are_those_of_a_full_count(spark, rate, buckets, monkeypatch):
     docs = spark.createDataFrame(rows, "lang string, text string").withColumns({"phrase": F.lit("x"), "n": F.lit(1), "len": F.lit("y"), "hash": F.lit(2)}).repartition(5)
     passes = []
     count = phrases.gram_counts
-    monkeypatch.setattr(phrases, "gram_counts", lambda d, now, full, before, *rest: passes.append(len(before)) or count(d, now, full, before, *rest))
+    monkeypatch.setattr(phrases, "gram_counts", lambda d, now, before, *rest: passes.append(before) or count(d, now, before, *rest))
     found = stored(phrases.frequent_phrases(docs, min_count=25, rate=rate, sizes=phrases.Sizes(3000, buckets)))
     counts, totals = plain_counts(rows, 5)
     want = {(lang, len(p.split(" ")), p, c) for lang, own in counts.items() for p, c in own.items() if c >= 25}
     assert {tuple(r) for r in found.where("len > 0").collect()} == want and any(k == 5 for _, k, _, _ in want)
     assert {(r.lang, r.n) for r in found.where("len = 0 and n > 0").collect()} == {(k, v) for k, v in totals.items() if v}
     if rate == 0.0:
-        assert max(passes) >= 2  # nothing in the sample: words, then longer phrases pass by pass
+        assert len(passes) == 2 and passes[0] is None  # nothing in the sample: the border fails and an expansion follows
     got = phrases.collocations(found, top=30, salts=3).collect()
     assert sorted(tuple(r) for r in got) == plain_collocations(counts, totals, 25, 30)
 
@@ -148,14 +148,26 @@ def test_flags_never_say_no_to_a_member(spark):
         phrases.Sizes(buckets=1000)
 
 
-def test_full_buckets_bound_the_border(spark):
+def test_full_buckets_bound_the_candidates(spark):
     docs = spark.createDataFrame([("en", "a b c. " * 3 + "a b" + " z" * k) for k in range(40)], "lang string, text string").repartition(4)
-    full = phrases.full_buckets(docs, [], range(1, 2), 300, phrases.Sizes(50, 1 << 16), False)
-    words = phrases.Words()
-    x = phrases.numbered(["a b c z"], words)
-    _, _, hashes, _ = next(phrases.chosen_grams(x, words, "en", [], [], 1))
+    full = phrases.full_buckets(docs, [], None, range(1, 2), 300, phrases.Sizes(50, 1 << 16))
+    x, word_hash, _ = phrases.counted_apart(["a b c z"])
+    _, _, hashes, _ = next(phrases.chosen_grams(x, word_hash, "en", [], None, 1))
     assert full.has(hashes).tolist() == [False, False, False, True]  # 160, 160, 120 and 780 times
-    assert not phrases.full_buckets(docs, [full], range(1, 2), 300, phrases.Sizes(50, 1 << 16), True).bits.any()
+
+
+def test_word_hashes_do_not_depend_on_the_cut(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("aÉbC \t.\n\xa0😀", k=rng.randint(0, 400))) for _ in range(30)] + ["", "x" * 3000, ".", "a"]
+    raw = b"\xff".join(map(phrases.marked, texts))
+    want = [w for w in raw.replace(b"\xff", b" \xff ").split(b" ") for w in w.split(b"\t") if w]
+    whole = phrases.hashed(raw)
+    assert len(whole) == len(want) and all((h == 0) == (w == b"\xff") for h, w in zip(whole, want))
+    assert len(set(zip(whole.tolist(), want))) == len(set(want)) == len(set(whole.tolist()))
+    monkeypatch.setattr(phrases, "HASHED_AT_ONCE", 64)
+    assert (phrases.hashed(raw) == whole).all()
+    x, hashes, words = phrases.counted_apart(texts)
+    assert (hashes[x[x > 0]] == whole[whole > 0]).all() and len(words) == len(hashes)
 
 
 def plain_whitening(vectors, most=16):
