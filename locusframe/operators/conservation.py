@@ -98,49 +98,87 @@ def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5
     return _beaten(pairs.select(*keys, F.col("segment_id").alias("i"), F.col("segment_id_b").alias("j"), (F.col("matched_length") >= F.col("matched_length_b")).alias("keeps_i")), keys)
 
 
-def _beaten(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _beaten(pairs: DataFrame, keys: Sequence[str], trace: list[int] | None = None) -> DataFrame:
     """Losers of pairs (i, j, keeps_i) judged in the order of (i, j), by rounds.
 
-    A pair counts unless one of its two is gone before, and only earlier pairs that the one in question
-    loses can take it away. So a pair is due once no such pair is open at either end; all due pairs are
-    judged in one round, then later pairs of their losers are void. Rounds follow the longest chain of
-    losing pairs that wait for each other, not the number of rows.
+    A pair counts unless one of its two is gone before, and only earlier pairs that the one in question loses can
+    take it away. A pair without such an open pair counts. One with a single such pair counts exactly if that one does not: such
+    pairs point to each other, and doubling the pointers (with the parity of the steps) finds what a chain of any
+    length hangs on in a logarithmic number of joins. What is known then settles more pairs in the next round. ``trace`` receives
+    the number of doublings of every round.
     """
     spark, parts = pairs.sparkSession, []
     keys = list(keys)
-    open_ = materialize(pairs.select(*keys, "i", "j", F.struct("i", "j").alias("at"), F.when(F.col("keeps_i"), F.col("j")).otherwise(F.col("i")).alias("loser")))
+    open_ = materialize(pairs.select(
+        F.monotonically_increasing_id().alias("pair"), *keys, "i", "j", F.struct("i", "j").alias("at"), F.when(F.col("keeps_i"), F.col("j")).otherwise(F.col("i")).alias("loser")))
 
-    def at_ends(table: DataFrame, times: DataFrame, name: str) -> DataFrame:
+    def at_ends(table: DataFrame, facts: DataFrame, *names: str) -> DataFrame:
         for end in ("i", "j"):
-            table = table.join(times.select(*keys, F.col("loser").alias(end), F.col("time").alias(f"{name}_{end}")), [*keys, end], "left")
+            table = table.join(facts.select(*keys, F.col("loser").alias(end), *[F.col(n).alias(f"{n}_{end}") for n in names]), [*keys, end], "left")
         return table
 
     while not open_.isEmpty():
-        waits = open_.groupBy(*keys, "loser").agg(F.min("at").alias("time"))
-        free = lambda end: F.coalesce(F.col(f"wait_{end}") >= F.col("at"), F.lit(True))
-        judged = materialize(at_ends(open_, waits, "wait").select(*open_.columns, (free("i") & free("j")).alias("due")))
-        lost = materialize(judged.where("due").select(*keys, "loser", F.col("at").alias("time")))
+        first = open_.groupBy(*keys, "loser").agg(F.min(F.struct("at", "pair")).alias("f")).select(*keys, "loser", F.col("f.at").alias("first"), F.col("f.pair").alias("by"))
+        second = open_.join(first, [*keys, "loser"]).where(F.col("at") > F.col("first")).groupBy(*keys, "loser").agg(F.min("at").alias("second"))
+        waits = at_ends(open_, first.join(second, [*keys, "loser"], "left"), "first", "second", "by")
+        before = lambda n: F.coalesce(F.col(n) < F.col("at"), F.lit(False))
+        waiting = sum((before(n).cast("int") for n in ("first_j", "second_i", "second_j")), before("first_i").cast("int"))
+        judged = materialize(waits.select(*open_.columns, waiting.alias("waiting"), F.when(before("first_i"), F.col("by_i")).otherwise(F.col("by_j")).alias("by")))
+        due = judged.where("waiting = 0")
+        roots, doublings = _doubled(judged.where("waiting = 1").select("pair", F.col("by").alias("root"), F.lit(True).alias("flip")))
+        known = materialize(roots.join(due.select(F.col("pair").alias("root")), "root").select("pair", (~F.col("flip")).alias("counts")).unionByName(
+            due.select("pair", F.lit(True).alias("counts"))))
+        if trace is not None:
+            trace.append(doublings)
+        lost = materialize(judged.join(known.where("counts"), "pair", "left_semi").select(*keys, "loser", F.col("at").alias("gone")))
         parts.append(lost)
         alive = lambda end: F.coalesce(F.col(f"gone_{end}") >= F.col("at"), F.lit(True))
-        left = materialize(at_ends(judged.where("not due"), lost, "gone").where(alive("i") & alive("j")).select(*open_.columns))
-        discard(open_)
-        discard(judged)
+        left = materialize(at_ends(judged.join(known, "pair", "left_anti"), lost, "gone").where(alive("i") & alive("j")).select(*open_.columns))
+        for table in (open_, judged, known, roots):
+            discard(table)
         open_ = left
+    discard(open_)
     out = spark.createDataFrame([], pairs.select(*RUN, F.col("i").alias("segment_id")).schema)
     for part in parts:
         out = out.unionByName(part.select(*RUN, F.col("loser").alias("segment_id")))
     return out
 
 
+def _doubled(links: DataFrame) -> tuple[DataFrame, int]:
+    """(pair, root, flip) with every chain of links followed to its end, and the joins it took; links hold no cycle."""
+    links, steps = materialize(links), 0
+    while True:
+        ahead = links.select(F.col("pair").alias("root"), F.col("root").alias("_next"), F.col("flip").alias("_turn"))
+        moved = materialize(links.join(ahead, "root", "left").select(
+            "pair", F.coalesce("_next", "root").alias("root"), (F.col("flip") != F.coalesce("_turn", F.lit(False))).alias("flip"), F.col("_next").isNotNull().alias("moved")))
+        going = not moved.where("moved").isEmpty()
+        discard(links)
+        links = moved.drop("moved")
+        links._table_path = moved._table_path
+        if not going:
+            return links, steps
+        steps += 1
+
+
 def _label_pass(distance: int):
-    """Order-dependent labelling of one cluster: each member takes its later neighbours to the smaller label."""
+    """Order-dependent labelling of one cluster: each member takes its later neighbours to the smaller label.
+
+    Neighbours are found among the members sorted by start, so the work follows the number of near pairs, and
+    memory the number of members.
+    """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("segment_id", kind="mergesort").reset_index(drop=True)
         s, e = pdf["start"].to_numpy(), pdf["end"].to_numpy()
         labels = np.arange(len(pdf))
+        placed = np.argsort(s, kind="stable")
+        starts, reach = s[placed], np.maximum.accumulate(e[placed])
+        lower = np.searchsorted(reach, s - distance, "left")
+        upper = np.searchsorted(starts, e + distance, "right")
         for i in range(len(pdf) - 1):
-            near = np.nonzero((s[i + 1:] - e[i] <= distance) & (s[i] - e[i + 1:] <= distance))[0] + i + 1
+            near = placed[lower[i] : upper[i]]
+            near = near[(near > i) & (e[near] >= s[i] - distance)]
             if len(near):
+                near.sort()
                 low = np.minimum.accumulate(np.minimum(labels[near], labels[i]))
                 labels[near] = low
                 labels[i] = low[-1]

@@ -61,36 +61,56 @@ def overlap_share(a, b):
     return max(0, min(a[5], b[5]) - max(a[4], b[4])) / min(a[5] - a[4], b[5] - b[4])
 
 
+def touching(rows, near):
+    """All pairs of a base id that ``near`` accepts, in the order of their ids."""
+    return sorted((a[2], b[2], a, b) for a in rows for b in rows if a[3] == b[3] and a[2] < b[2] and near(a, b))
+
+
+def judged(pairs):
+    """Who is gone after the pairs (i, j, loser) are judged one after the other."""
+    gone = set()
+    for i, j, loser in pairs:
+        if gone.isdisjoint((i, j)):
+            gone.add(loser)
+    return gone
+
+
 def test_duplicate_pass(spark):
     rows = segments(5, 40)
-    gone = set()
-    for base in {x[3] for x in rows}:
-        m = sorted((x for x in rows if x[3] == base), key=lambda x: x[2])
-        for i, a in enumerate(m):
-            if a[2] in gone:
-                continue
-            for b in m[i + 1:]:
-                if b[2] in gone or a[5] < b[4] or b[5] < a[4] or overlap_share(a, b) < 0.5:
-                    continue
-                if a[7] >= b[7]:
-                    gone.add(b[2])
-                else:
-                    gone.add(a[2])
-                    break
+    close = touching(rows, lambda a, b: a[5] >= b[4] and b[5] >= a[4] and overlap_share(a, b) >= 0.5)
+    gone = judged([(i, j, j if a[7] >= b[7] else i) for i, j, a, b in close])
     sc = spark.createDataFrame([(x[0], x[1], x[2], x[3], x[7]) for x in rows], "species string, mode string, segment_id string, base_id string, matched_length bigint")
     b = spark.createDataFrame([(x[0], x[1], x[2], x[4], x[5], x[6], [], []) for x in rows],
                               "species string, mode string, ids string, start bigint, end bigint, strand string, sizes array<bigint>, starts array<bigint>")
     assert {r.segment_id for r in conservation.duplicate_segments(sc, b, 0.5).collect()} == gone
 
 
+def beaten(spark, pairs):
+    trace = []
+    table = spark.createDataFrame([("m", "lnc", i, j, loser == j) for i, j, loser in pairs], "species string, mode string, i long, j long, keeps_i boolean")
+    got = [r.segment_id for r in conservation._beaten(table, ["species", "mode"], trace).collect()]
+    assert len(got) == len(set(got)) and set(got) == judged(sorted(pairs))
+    return len(trace) + sum(trace)
+
+
+def test_chains_of_ties_and_falling_scores_take_logarithmic_rounds(spark):
+    n = 32_768
+    assert beaten(spark, [(i, i + 1, i + 1) for i in range(n - 1)]) <= 20
+    falling = [(i, i + 1, i + 1 if i % 1000 < 990 else i) for i in range(n - 1)]
+    assert beaten(spark, falling) <= 20
+
+
+def test_pairs_that_wait_for_several_others(spark):
+    r = random.Random(11)
+    pairs = {(i, j) for i in range(60) for j in r.sample(range(60), 4) if i < j}
+    beaten(spark, [(i, j, r.choice((i, j))) for i, j in pairs])
+
+
 def test_duplicate_pass_over_one_long_island(spark):
     n = 50_000
     r = random.Random(9)
     score = [r.randrange(100) for _ in range(n)]
-    gone = set()
-    for i in range(n - 1):  # each segment of 10 overlaps the next one by 6
-        if i not in gone:
-            gone.add(i + 1 if score[i] >= score[i + 1] else i)
+    gone = judged((i, i + 1, i + 1 if score[i] >= score[i + 1] else i) for i in range(n - 1))  # each segment of 10 overlaps the next one by 6
     rows = spark.createDataFrame([(i, s) for i, s in enumerate(score)], "i long, matched_length long").selectExpr(
         "'m' AS species", "'lnc' AS mode", "concat('tx_', lpad(cast(i AS string), 6, '0')) AS segment_id", "'tx' AS base_id", "matched_length", "i")
     spans = rows.selectExpr("species", "mode", "segment_id AS ids", "i * 4 AS start", "i * 4 + 10 AS end", "'+' AS strand", "array(10L) AS sizes", "array(0L) AS starts")
@@ -100,22 +120,24 @@ def test_duplicate_pass_over_one_long_island(spark):
 
 def test_nearby_labels(spark):
     rows = segments(6, 45)
-    want = {}
-    for base in {x[3] for x in rows}:
-        m = sorted((x for x in rows if x[3] == base), key=lambda x: x[2])
-        labels = list(range(len(m)))
-        for i in range(len(m)):
-            for j in range(i + 1, len(m)):
-                near = m[i][6] == m[j][6] and max(m[j][4] - m[i][5], m[i][4] - m[j][5]) <= 15
-                if near:
-                    labels[i] = labels[j] = min(labels[i], labels[j])
-        number = {v: k + 1 for k, v in enumerate(sorted(set(labels)))}
-        want.update({x[2]: f"{base}_{number[v]}" for x, v in zip(m, labels)})
+    label = {x[2]: x[2] for x in rows}
+    for i, j, _, _ in touching(rows, lambda a, b: a[6] == b[6] and max(b[4] - a[5], a[4] - b[5]) <= 15):
+        label[i] = label[j] = min(label[i], label[j])
+    numbers = {base: sorted({label[x[2]] for x in rows if x[3] == base}) for base in {x[3] for x in rows}}
+    want = {x[2]: f"{x[3]}_{numbers[x[3]].index(label[x[2]]) + 1}" for x in rows}
     kept = spark.createDataFrame([(x[0], x[1], x[3], x[2]) for x in rows], "species string, mode string, base_id string, segment_id string")
     sp = spark.createDataFrame([(x[0], x[1], x[2], x[4], x[5], x[6]) for x in rows], "species string, mode string, ids string, start bigint, end bigint, strand string")
     assert {r.segment_id: r.grouped_id for r in conservation.nearby_groups(kept, sp, 15).collect()} == want
 
 
+def test_long_chain_of_nearby_segments(spark):
+    """20,000 members in a row, near only to the next one: the label passes along as the ids rise."""
+    n = 20_000
+    rows = spark.range(n).selectExpr("'m' AS species", "'lnc' AS mode", "'tx' AS base_id", "concat('tx_', lpad(cast(id AS string), 6, '0')) AS segment_id", "id * 100 AS start", "id * 100 + 95 AS end")
+    got = conservation.nearby_groups(rows, rows.selectExpr("species", "mode", "segment_id AS ids", "start", "end", "'+' AS strand"), 10)
+    assert [(r.grouped_id, r.n) for r in got.groupBy("grouped_id").agg(F.count("*").alias("n")).collect()] == [("tx_1", n)]
+
+
 def test_sites_and_windows(spark):
     r = random.Random(7)
     def sites(n):
