@@ -28,7 +28,7 @@ SELECT 'sp'||CAST(sk%6 AS STRING) AS species, 'tx'||CAST(k AS STRING) AS ids, 't
 VIEWS["sp_order"] = "SELECT CAST(n_nationkey AS BIGINT) AS ord, 'sp'||CAST(n_nationkey%5 AS STRING) AS species, CASE WHEN n_nationkey%4=0 THEN 'old' ELSE CAST((n_nationkey*7)%5 AS STRING) END AS rank, CASE WHEN n_nationkey%3=0 THEN '' ELSE 'clade'||CAST(n_nationkey%5 AS STRING) END AS clade FROM {nation}"
 VIEWS["anchor"] = "SELECT 'g'||CAST(o_orderkey%3000 AS STRING) AS human_gene, 'sp'||CAST(o_custkey%6 AS STRING) AS species, 'tg'||CAST(o_custkey%50 AS STRING) AS target_gene FROM {orders}"
 VIEWS["block_lines"] = """
-SELECT 'b.txt' AS path, k*8+n AS ord, 'chr1'||chr(9)||CAST(k AS STRING)||'.7'||chr(9)||CASE WHEN n=3 THEN 'x' ELSE CAST(k+100 AS STRING) END||chr(9)||'id'||CAST(k%5000 AS STRING)||CASE WHEN n<3 THEN chr(9)||'+'||chr(9)||'2'||chr(9)||'10,x,5,'||chr(9)||'0,20' ELSE '' END AS value FROM {li}"""
+SELECT CASE WHEN n%2=0 THEN 'b.txt' ELSE 'a.txt' END AS path, k*8+n AS ord, 'chr1'||chr(9)||CAST(k AS STRING)||'.7'||chr(9)||CASE WHEN n=3 THEN 'x' ELSE CAST(k+100 AS STRING) END||chr(9)||'id'||CAST(k%5000 AS STRING)||CASE WHEN n<3 THEN chr(9)||'+'||chr(9)||'2'||chr(9)||'10,x,5,'||chr(9)||'0,20' ELSE '' END AS value FROM {li}"""
 
 
 def q_and_t(s, d):
@@ -224,7 +224,7 @@ QUERIES = {
 SELECT species, mode, s.segment_id, CAST(length(q) AS BIGINT) AS q_length, b.n AS t_length FROM seg s LEFT JOIN b ON b.segment_id=s.segment_id WHERE b.n IS NULL OR b.n<>length(q)""", "seg")),
     "identity_count": Query(q_identity, sql(f"SELECT segment_id, CAST({IDENTITY.format(a='q', b='concat(t, chr(65), chr(67))')} AS BIGINT) AS same FROM seg", "seg")),
     "scan_block_table": Query(q_block_table, sql("""
-, r AS (SELECT ord, string_split(value, chr(9)) AS c FROM block_lines), w AS (SELECT c, row_number() OVER (PARTITION BY c[4] ORDER BY ord DESC) AS k FROM r)
+, r AS (SELECT path, ord, string_split(value, chr(9)) AS c FROM block_lines), w AS (SELECT c, row_number() OVER (PARTITION BY c[4] ORDER BY path DESC, ord DESC) AS k FROM r)
 SELECT c[4] AS ids, 'chr1' AS chrom, CAST(split_part(c[2], '.', 1) AS BIGINT) AS start, coalesce(TRY_CAST(c[3] AS BIGINT), 0) AS "end", CASE WHEN len(c)>4 THEN '+' ELSE '.' END AS strand, CASE WHEN len(c)>4 THEN '10,0,5' ELSE '' END AS sizes, CASE WHEN len(c)>4 THEN '0,20' ELSE '' END AS starts FROM w WHERE k=1""", "block_lines")),
     "block_union_length": Query(q_block_union, sql("""
 , b AS (SELECT regexp_replace(ids, '_[^_]*$', '') AS base_id, start, sizes_text AS z FROM seg_blocks), x AS (SELECT base_id, start AS s, start+CASE WHEN z='40' THEN 40 ELSE 10 END AS e FROM b UNION ALL SELECT base_id, start+25, start+40 FROM b WHERE z<>'40'),

@@ -22,7 +22,7 @@ SELECT 'tx'||CAST(p_partkey AS STRING) AS transcript_id, CASE WHEN p_partkey%3=0
        (p_partkey*7)%900+e*150 AS start, (p_partkey*7)%900+e*150+20+p_size AS end_, CASE WHEN p_partkey%2=0 THEN '+' ELSE '-' END AS strand
 FROM {part}, (SELECT CAST(0 AS BIGINT) AS e UNION ALL SELECT 1 UNION ALL SELECT 2) x WHERE e<2 OR p_partkey%2=0"""
 VIEWS["fasta_blocks"] = """
-SELECT 't.fa' AS path, p_partkey AS ord, CASE WHEN p_partkey%2=0 THEN '>' ELSE '' END||'seq'||CAST(p_partkey%1500 AS STRING)||' '||CASE WHEN p_partkey%3=0 THEN 'Homo sapiens' ELSE 'Mus musculus' END||' x'||chr(10)||
+SELECT CASE WHEN p_partkey%7<3 THEN 't.fa' ELSE 's.fa' END AS path, p_partkey AS ord, CASE WHEN p_partkey%2=0 THEN '>' ELSE '' END||'seq'||CAST(p_partkey%1500 AS STRING)||' '||CASE WHEN p_partkey%3=0 THEN 'Homo sapiens' ELSE 'Mus musculus' END||' x'||chr(10)||
        CASE CAST(p_partkey%3 AS INT) WHEN 0 THEN 'UGAGGUAGUAGG'||chr(10)||'uugu' WHEN 1 THEN 'ACGU' ELSE 'CCAA'||chr(10)||'GGTT'||chr(10) END||CAST('' AS STRING) AS value
 FROM {part}"""
 VIEWS["multi_ann"] = """
@@ -202,9 +202,9 @@ SELECT source, transcript_id, chrom, strand, start, e AS "end", n_exons, n_copie
 aa AS (SELECT transcript_id, string_agg(CASE WHEN instr(c3, 'N')>0 THEN 'X' ELSE substr('{_AA}', (instr('TCAG', substr(c3,1,1))-1)*16+(instr('TCAG', substr(c3,2,1))-1)*4+instr('TCAG', substr(c3,3,1)), 1) END, '' ORDER BY i) AS p FROM cod GROUP BY 1)
 SELECT spl.transcript_id, coalesce(p, '') AS protein FROM spl LEFT JOIN aa ON aa.transcript_id=spl.transcript_id""", "genome", "tx_exons")),
     "scan_fasta": Query(q_fasta, sql("""
-, r AS (SELECT ord, ltrim(value, '>') AS v FROM fasta_blocks), x AS (SELECT ord, split_part(v, ' ', 1) AS id, upper(replace(substr(v, instr(v, chr(10))+1), chr(10), '')) AS seq FROM r)
-SELECT id, max_by(seq, ord) AS seq FROM x GROUP BY 1""", "fasta_blocks")),
+, r AS (SELECT path, ord, ltrim(value, '>') AS v FROM fasta_blocks), x AS (SELECT path, ord, split_part(v, ' ', 1) AS id, upper(replace(substr(v, instr(v, chr(10))+1), chr(10), '')) AS seq FROM r)
+SELECT id, seq FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY path DESC, ord DESC) AS i FROM x) AS y WHERE i=1""", "fasta_blocks")),
     "mature_mirnas": Query(q_mirna, sql("""
-, r AS (SELECT ord, ltrim(value, '>') AS v FROM fasta_blocks), x AS (SELECT ord, split_part(v, ' ', 1) AS id, replace(upper(replace(substr(v, instr(v, chr(10))+1), chr(10), '')), 'U', 'T') AS seq FROM r WHERE split_part(v, chr(10), 1) LIKE '%Homo sapiens%'),
-f AS (SELECT id, min_by(seq, ord) AS seq FROM x GROUP BY 1) SELECT id AS mirna, seq, substr(seq, 2, 7) AS seed FROM f WHERE length(seq)>=8""", "fasta_blocks")),
+, r AS (SELECT path, ord, ltrim(value, '>') AS v FROM fasta_blocks), x AS (SELECT path, ord, split_part(v, ' ', 1) AS id, replace(upper(replace(substr(v, instr(v, chr(10))+1), chr(10), '')), 'U', 'T') AS seq FROM r WHERE split_part(v, chr(10), 1) LIKE '%Homo sapiens%'),
+f AS (SELECT id, seq FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY path, ord) AS i FROM x) AS y WHERE i=1) SELECT id AS mirna, seq, substr(seq, 2, 7) AS seed FROM f WHERE length(seq)>=8""", "fasta_blocks")),
 }

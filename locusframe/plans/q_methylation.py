@@ -28,7 +28,7 @@ SELECT 's1.bed' AS path, event_id AS ord, 'chr'||CAST(event_id%4+1 AS STRING)||c
 VIEWS["bismark_lines"] = """
 SELECT 'dir/s2_CpG_report.txt' AS path, event_id AS ord, 'chr1'||chr(9)||CAST(event_id+1 AS STRING)||chr(9)||'+'||chr(9)||CASE WHEN user_id%17=0 THEN 'x' ELSE CAST(user_id%5 AS STRING) END||chr(9)||CAST(event_id%4 AS STRING)||chr(9)||'CG' AS value FROM {events}"""
 VIEWS["region_lines"] = """
-SELECT 'genes.txt' AS path, p_partkey AS ord, 'g'||CAST(p_partkey%900 AS STRING)||chr(9)||'chr'||CAST(p_size%5 AS STRING)||chr(9)||CASE WHEN p_partkey%41=0 THEN 'bad' ELSE CAST(p_partkey*10+1 AS STRING) END||chr(9)||CAST(p_partkey*10+500 AS STRING) AS value FROM {part}"""
+SELECT CASE WHEN p_partkey%7<3 THEN 'genes.txt' ELSE 'genes2.txt' END AS path, 100000000-p_partkey AS ord, 'g'||CAST(p_partkey%900 AS STRING)||chr(9)||'chr'||CAST(p_size%5 AS STRING)||chr(9)||CASE WHEN p_partkey%41=0 THEN 'bad' ELSE CAST(p_partkey*10+1 AS STRING) END||chr(9)||CAST(p_partkey*10+500 AS STRING) AS value FROM {part}"""
 VIEWS["sig_calls"] = """
 SELECT DISTINCT 'dis'||CAST(sk%8 AS STRING) AS disease, CAST(sk%16 AS BIGINT) AS dataset_no, 'GSE'||CAST(sk%16 AS STRING) AS dataset, CASE WHEN sk%8<6 THEN 'cancer' ELSE 'brain' END AS category,
        CASE WHEN n%2=0 THEN 'body' ELSE 'promoter' END AS region, 'g'||CAST(k%700 AS STRING) AS gene_id, CASE WHEN (k%700)%3=0 OR (sk%16+k%700)%5=0 THEN 'High' ELSE 'Low' END AS direction, 'p='||CAST(k%700 AS STRING) AS evidence FROM {li}"""
@@ -199,6 +199,6 @@ SELECT c[1] AS chrom, CAST(c[2] AS BIGINT) AS start, CAST(c[3] AS BIGINT) AS "en
 , r AS (SELECT string_split(value, chr(9)) AS c FROM bismark_lines), x AS (SELECT c, TRY_CAST(c[4] AS BIGINT) AS m, CAST(c[5] AS BIGINT) AS u FROM r)
 SELECT 's2' AS sample, c[1] AS chrom, CAST(c[2] AS BIGINT)-1 AS start, CAST(c[2] AS BIGINT) AS "end", CASE WHEN m+u=0 THEN 0.0 ELSE round(m/CAST(m+u AS DOUBLE), 9) END AS value FROM x WHERE m IS NOT NULL""", "bismark_lines")),
     "scan_gene_regions": Query(q_gene_regions, sql("""
-, r AS (SELECT ord, string_split(value, chr(9)) AS c FROM region_lines), x AS (SELECT ord, c[1] AS gene_id, c[2] AS chrom, TRY_CAST(c[3] AS BIGINT) AS s, CAST(c[4] AS BIGINT) AS e FROM r), y AS (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY ord DESC) AS k FROM x WHERE s IS NOT NULL)
+, r AS (SELECT path, ord, string_split(value, chr(9)) AS c FROM region_lines), x AS (SELECT path, ord, c[1] AS gene_id, c[2] AS chrom, TRY_CAST(c[3] AS BIGINT) AS s, CAST(c[4] AS BIGINT) AS e FROM r), y AS (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY path DESC, ord DESC) AS k FROM x WHERE s IS NOT NULL)
 SELECT gene_id, chrom, s-1 AS start, e AS "end" FROM y WHERE k=1""", "region_lines")),
 }

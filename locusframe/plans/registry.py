@@ -31,7 +31,7 @@ def all_queries() -> dict[str, Query]:
     from importlib import import_module
 
     out: dict[str, Query] = {}
-    for name in ("intervals", "features", "variants", "methylation", "cerna", "conservation", "align", "convert", "quality"):
+    for name in ("intervals", "features", "variants", "methylation", "cerna", "conservation", "align", "convert", "quality", "tables"):
         module = import_module(f"locusframe.plans.q_{name}")
         for key, query in module.QUERIES.items():
             if key in out:

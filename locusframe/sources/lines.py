@@ -9,6 +9,8 @@ is needed. Where reports need real line numbers, :func:`with_line_numbers` count
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,23 +59,13 @@ def content(lines: DataFrame, *skip_prefixes: str) -> DataFrame:
     return out
 
 
-def read_header_table(
-    spark: SparkSession, path: str | list[str], quoted: bool = True
-) -> DataFrame:
-    """Tab table with a header row; all columns text, missing cells empty."""
-    df = (
-        spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE")
-        .option("quote", '"' if quoted else "").option("escape", '"').option("emptyValue", "")
-        .option("nullValue", "\u0001").csv(path)
-    )
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+def line_order(files: Sequence[str] | None = None) -> Column:
+    """Order of lines over several files: by the place of their file in ``files`` (ends of paths), else by path, then by line."""
+    place = F.coalesce(*[F.when(F.endswith(F.col("path"), F.lit(f)), F.lit(i)) for i, f in enumerate(files or [])], F.lit(len(files or [])))
+    return F.struct(place.alias("place"), F.col("path"), F.col("ord"))
 
 
-def read_plain_table(
-    spark: SparkSession, path: str | list[str], names: list[str]
-) -> DataFrame:
+def parse_plain_table(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """Headerless tab table: short rows are padded with empty text, long rows are cut."""
     parts = F.split(F.col("value"), "\t", -1)
-    return content(read_lines(spark, path)).select(
-        "path", "ord", *[F.coalesce(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)]
-    )
+    return content(lines).select("path", "ord", *[F.coalesce(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)])

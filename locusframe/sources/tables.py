@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.functions.values import cell, cells, to_float, to_int, words
-from locusframe.sources.lines import content, read_header_table, read_lines
+from locusframe.sources.lines import content, line_order, read_lines
 
 # Accepted header names per canonical column, in order of preference.
 COSMIC_COLUMNS = {
@@ -45,68 +45,60 @@ SMPROT_COLUMNS = {
 BLOCK_COLUMNS = ["chromosome", "chromstart", "chromend", "ids", "strand", "blockcount", "blocksizes", "blockstarts"]
 
 
-def resolve_columns(
-    df: DataFrame, accepted: Mapping[str, Sequence[str]], required: Sequence[str], spaces: bool = True
-) -> DataFrame:
-    """Rename accepted header spellings to canonical names and keep only those columns.
+def header_places(lines: DataFrame, accepted: Mapping[str, Sequence[str]], spaces: bool = True) -> DataFrame:
+    """One row per file: path, its header line, whether tabs cut it, and per canonical column its place (from 1) or null.
 
-    Header cells are trimmed, lower-cased, ``-`` (and blanks when ``spaces``) become ``_``. The
-    first accepted name present wins; of two equal headers the later column wins.
+    The first line with text is the header. Its cells are trimmed, lower-cased, ``-`` (and blanks when ``spaces``) become ``_``. The
+    first accepted name present wins; of two equal cells the later one.
     """
-    def norm(name: str) -> str:
-        out = name.strip().lower().replace("-", "_")
-        return out.replace(" ", "_") if spaces else out
-
-    present = {norm(c): c for c in df.columns}
-    chosen = {}
-    for canonical, names in accepted.items():
-        hit = next((present[n] for n in names if n in present), None)
-        if hit is not None:
-            chosen[canonical] = hit
-    missing = [c for c in required if c not in chosen]
-    if missing:
-        raise ValueError("missing required columns: " + ", ".join(missing))
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(k) for k, c in chosen.items()])
+    first = content(lines).groupBy("path").agg(F.min(F.struct("ord", "value")).alias("h")).select("path", F.col("h.ord").alias("head_ord"), F.col("h.value").alias("head"))
+    by_tab = F.contains("head", F.lit("\t"))
+    plain = lambda x: F.translate(F.lower(F.regexp_replace(x, r'^[\s"]+|[\s"]+$', "")), "- " if spaces else "-", "__" if spaces else "_")
+    named = first.select("*", by_tab.alias("by_tab"), F.transform(F.when(by_tab, cells(F.col("head"))).otherwise(words(F.col("head"))), plain).alias("names"))
+    at = lambda n: F.when(F.array_contains("names", n), F.size("names") - F.array_position(F.reverse("names"), n).cast("int") + 1)
+    return named.select("path", "head_ord", "head", "by_tab", F.size("names").alias("width"), *[F.coalesce(*map(at, names)).alias(c) for c, names in accepted.items()])
+
+
+def parse_header_tables(lines: DataFrame, accepted: Mapping[str, Sequence[str]], required: Sequence[str], spaces: bool = True, trim: bool = False) -> DataFrame:
+    """(path, ord, canonical columns as text) of tables that each have a header of their own, in any column order.
+
+    A file without tabs in its header is cut at white space, others at tabs, with double quotes around cells as usual.
+    Missing cells, and columns that only other files have, are empty; columns no file has are left out. A required column that some
+    file lacks is an error. All files are one scan; their headers are joined back by path.
+    """
+    heads = header_places(lines, accepted, spaces)
+    facts = heads.agg(
+        F.max("width").alias("width"), F.count(F.lit(1)).alias("files"), *[F.count(c).alias(f"n_{c}") for c in accepted]).first()
+    missing = [c for c in required if facts[f"n_{c}"] < facts["files"]]
+    if missing or not facts["files"]:
+        raise ValueError("missing required columns: " + ", ".join(missing or required))
+    wide = ", ".join(f"c{i} string" for i in range(facts["width"]))
+    cut = F.from_csv("value", wide, {"sep": "\t", "quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": ""})
+    by_tab = F.array(*[cut[f"c{i}"] for i in range(facts["width"])])
+    joined = content(lines).join(F.broadcast(heads) if facts["files"] <= 100_000 else heads, "path").where("ord > head_ord and value <> head")
+    rows = joined.withColumn("_c", F.when(F.col("by_tab"), by_tab).otherwise(words(F.col("value"))))
+    value = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.try_element_at("_c", F.col(c))), F.lit(""))
+    return rows.select("path", "ord", *[(F.trim(value(c)) if trim else value(c)).alias(c) for c in accepted if facts[f"n_{c}"]])
 
 
 def scan_cosmic(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return resolve_columns(read_header_table(spark, path), COSMIC_COLUMNS, list(COSMIC_COLUMNS), spaces=False)
+    return parse_header_tables(read_lines(spark, path), COSMIC_COLUMNS, list(COSMIC_COLUMNS), spaces=False).drop("path", "ord")
 
 
 def scan_gwas(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return resolve_columns(
-        read_header_table(spark, path), GWAS_COLUMNS, ["chrom", "pos", "variant_id", "p_value", "trait_name"])
+    return parse_header_tables(read_lines(spark, path), GWAS_COLUMNS, ["chrom", "pos", "variant_id", "p_value", "trait_name"]).drop("path", "ord")
 
 
-def scan_smprot(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return resolve_columns(
-        read_header_table(spark, path), SMPROT_COLUMNS, ["chrom", "start", "end", "protein_id"])
+SMPROT_REQUIRED = ["chrom", "start", "end", "protein_id"]
 
 
-def scan_smprot_multi(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Several files, each tab or white-space separated with its own header; adds ``origin_file``.
+def parse_smprot(lines: DataFrame) -> DataFrame:
+    """Small proteins of any number of files, each tab or white-space separated with its own header; adds ``origin_file``."""
+    return parse_header_tables(lines, SMPROT_COLUMNS, SMPROT_REQUIRED, trim=True).withColumn("origin_file", F.regexp_extract("path", r"([^/]*)$", 1)).drop("path", "ord")
 
-    Only the first non-blank line of each file is looked at on the driver.
-    """
-    out = None
-    for path in paths:
-        lines = content(read_lines(spark, path))
-        head = lines.orderBy("ord").select("value").first()
-        if head is None:
-            continue
-        by_tab = "\t" in head.value
-        names = head.value.split("\t") if by_tab else head.value.split()
-        parts = cells(F.col("value")) if by_tab else words(F.col("value"))
-        table = (
-            lines.where(F.col("value") != F.lit(head.value)).withColumn("_c", parts)
-            .select(*[F.trim(cell(F.col("_c"), i, "")).alias(n) for i, n in enumerate(names)])
-        )
-        one = resolve_columns(table, SMPROT_COLUMNS, ["chrom", "start", "end", "protein_id"]).withColumn(
-            "origin_file", F.lit(path.rsplit("/", 1)[-1]))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    if out is None:
-        raise ValueError("no rows in any file")
-    return out
+
+def scan_smprot(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return parse_smprot(read_lines(spark, path))
 
 
 def parse_sites(lines: DataFrame, value_index: int) -> DataFrame:
@@ -137,13 +129,13 @@ def sample_stem(path_or_name):
     return F.regexp_replace(name, r"(_CpG_report\.txt|\.CpG_report\.txt|\.txt|\.bed)$", "")
 
 
-def parse_gene_regions(lines: DataFrame) -> DataFrame:
-    """gene, contig, start, end (1-based closed) as half-open; the last line of a gene wins."""
+def parse_gene_regions(lines: DataFrame, files: Sequence[str] | None = None) -> DataFrame:
+    """gene, contig, start, end (1-based closed) as half-open; the last line of a gene wins, in the last of several files."""
     c = F.col("_c")
     rows = lines.withColumn("_c", cells(F.col("value"))).where(F.size("_c") >= 4).select(
-        "ord", cell(c, 0).alias("gene_id"), cell(c, 1).alias("chrom"), to_int(cell(c, 2)).alias("s"), to_int(cell(c, 3)).alias("end")
+        line_order(files).alias("at"), cell(c, 0).alias("gene_id"), cell(c, 1).alias("chrom"), to_int(cell(c, 2)).alias("s"), to_int(cell(c, 3)).alias("end")
     ).where("s is not null and `end` is not null")
-    last = rows.groupBy("gene_id").agg(F.max_by(F.struct("chrom", "s", "end"), "ord").alias("r"))
+    last = rows.groupBy("gene_id").agg(F.max_by(F.struct("chrom", "s", "end"), "at").alias("r"))
     return last.select("gene_id", "r.chrom", (F.col("r.s") - 1).alias("start"), "r.end")
 
 
@@ -196,17 +188,17 @@ def parse_rnahybrid_blocks(blocks: DataFrame, cutoff: float) -> DataFrame:
     return out.where(F.col("p_value") < cutoff).dropna()
 
 
-def parse_block_table(lines: DataFrame) -> DataFrame:
-    """Headerless 8-column block table; the last line of an id wins."""
+def parse_block_table(lines: DataFrame, files: Sequence[str] | None = None) -> DataFrame:
+    """Headerless 8-column block table; the last line of an id wins, in the last of several files."""
     from locusframe.functions.values import int_list, to_int_lenient
 
     c = F.col("_c")
     rows = content(lines).withColumn("_c", cells(F.col("value"))).select(
-        "ord", cell(c, 3, "").alias("ids"), cell(c, 0, "").alias("chrom"),
+        line_order(files).alias("at"), cell(c, 3, "").alias("ids"), cell(c, 0, "").alias("chrom"),
         to_int_lenient(cell(c, 1, "")).alias("start"), to_int_lenient(cell(c, 2, "")).alias("end"),
         F.when(cell(c, 4, "") == "", ".").otherwise(cell(c, 4, "")).alias("strand"),
         int_list(cell(c, 6, "")).alias("sizes"), int_list(cell(c, 7, "")).alias("starts"))
-    last = rows.groupBy("ids").agg(F.max_by(F.struct("chrom", "start", "end", "strand", "sizes", "starts"), "ord").alias("r"))
+    last = rows.groupBy("ids").agg(F.max_by(F.struct("chrom", "start", "end", "strand", "sizes", "starts"), "at").alias("r"))
     return last.select("ids", "r.*")
 
 

@@ -1,5 +1,6 @@
 """Hand-derived results on small texts."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from locusframe.operators import align, conservation, convert, features, intervals, quality, smprot, variants
@@ -54,8 +55,16 @@ def test_aliases_from_file(spark, tmp_path):
     s1, s2 = tmp_path / "a.tsv", tmp_path / "b.txt"
     s1.write_text("protein_id\tchrom\tstart\tend\np1\tchr1\t1\t30\n")
     s2.write_text("SmProtID chr begin stop\np2 2 5 9\n")
-    multi = tables.scan_smprot_multi(spark, [str(s1), str(s2)])
+    multi = tables.scan_smprot(spark, [str(s1), str(s2)])
     assert sorted((r.protein_id, r.origin_file) for r in multi.collect()) == [("p1", "a.tsv"), ("p2", "b.txt")]
+    s3 = tmp_path / "c.tsv"
+    s3.write_text('End\tStart\t"Chr"\tID\n\n"9"\t"7"\t"chr""3"\tp3\n')
+    assert sorted((r.protein_id, r.chrom, r.start) for r in tables.scan_smprot(spark, [str(s1), str(s2), str(s3)]).collect()) == [("p1", "chr1", "1"), ("p2", "2", "5"), ("p3", 'chr"3', "7")]
+    (tmp_path / "bad.tsv").write_text("protein_id\tchrom\np\tchr1\n")
+    with pytest.raises(ValueError, match="start, end"):
+        tables.scan_smprot(spark, [str(s1), str(tmp_path / "bad.tsv")])
+    plan = tables.parse_smprot(L.read_lines(spark, [str(s1), str(s2), str(s3)]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # the rows and the headers, however many files
     feats = spark.createDataFrame([("chr1", 0, 40, "exon", "e", "g", "tx1", "+", "NA", "NA")], ",".join(
         f"{c} {'bigint' if c in ('start', 'end') else 'string'}" for c in features.FEATURE_COLUMNS))
     placed = smprot.place_proteins(feats, smprot.smprot_filter(multi))
