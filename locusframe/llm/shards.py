@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from locusframe.llm.common import step_path
+from locusframe.llm.common import free_names, step_path
 
 
 def text_bytes(text: Column) -> Column:
@@ -33,10 +33,12 @@ def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                  bucket_bytes: int = 64 << 20, bucket_rows: int = 65_536) -> None:
     """Write all columns of the records below ``path/_shard=N``, bucket by bucket in shuffled order.
 
-    ``_bucket`` and ``_place``, the place in the bucket, are added. Repeated rows all stay. A key's copies stay
+    ``_bucket`` and ``_place``, the place in the bucket, are added; where the records have columns of these names, the
+    added ones get more underscores. Repeated rows all stay. A key's copies stay
     in one shard but spread over its buckets, so that no bucket grows beyond memory.
     """
     body = F.coalesce(F.col(text), F.lit(""))
+    bucket_name, place_name, shard_name = free_names(df, "_bucket", "_place", "_shard")
     total = df.agg(F.sum(text_bytes(F.col(text))).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     buckets = max(1, -(-(total["bytes"] or 0) // (shards * bucket_bytes)), -(-total["rows"] // (shards * bucket_rows)))
     records = df.select(
@@ -46,8 +48,9 @@ def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
         "bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), F.lit(buckets)).cast("int"))
     dealt = records.repartition(shards * buckets, "shard", "bucket").sortWithinPartitions("shard", "bucket", "key", "text_crc32", "row")
     packed = dealt.groupBy("shard", "bucket").agg(F.collect_list("record").alias("records"))
-    placed = packed.select(F.col("shard").alias("_shard"), F.col("bucket").alias("_bucket"), F.posexplode(F.shuffle("records", seed)).alias("_place", "record"))
-    placed.select("record.*", "_bucket", "_place", "_shard").sortWithinPartitions("_shard", "_bucket", "_place").write.partitionBy("_shard").parquet(path)
+    placed = packed.select(F.col("shard").alias(shard_name), F.col("bucket").alias(bucket_name), F.posexplode(F.shuffle("records", seed)).alias(place_name, "record"))
+    added = (bucket_name, place_name, shard_name)
+    placed.select("record.*", *added).sortWithinPartitions(shard_name, bucket_name, place_name).write.partitionBy(shard_name).parquet(path)
 
 
 def shuffle_into_shards(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 17,
@@ -56,15 +59,17 @@ def shuffle_into_shards(df: DataFrame, key: str = "doc_id", text: str = "text",
 
     ``grown_shard`` is the shard with one shard more. Slots of a shard run from 0 without gaps. Null
     texts have size 1 and checksum 0; null keys are one key; repeated rows all keep a slot of their
-    own; an empty table gives no rows.
+    own; an empty table gives no rows. Other columns of the records, whatever their names, are written and not returned.
     """
     path = step_path(df.sparkSession)
+    added = free_names(df, "_bucket", "_place", "_shard")
     write_shards(df, path, key, text, shards, seed, bucket_bytes, bucket_rows)
-    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.IntegerType()) for c in ("_bucket", "_place", "_shard"))])
-    written = df.sparkSession.read.schema(schema).parquet(path)
+    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.IntegerType()) for c in added)])
+    written = df.sparkSession.read.schema(schema).parquet(path).select(
+        F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), *[F.col(c).alias(n) for c, n in zip(added, ("_bucket", "_place", "_shard"))])
     before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = written.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("n")).select("_shard", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    body = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return written.join(F.broadcast(starts), ["_shard", "_bucket"]).select(
-        F.col(key), text_bytes(F.col(text)).alias("size"), F.crc32(body).alias("text_crc32"), F.col("_shard").alias("shard"),
-        (F.col("_start") + F.col("_place")).alias("slot"), rendezvous_shard(F.col(key), shards + 1, seed).alias("grown_shard"), F.col("_bucket").alias("bucket"))
+        F.col("key").alias(key), text_bytes(F.col("text")).alias("size"), F.crc32(body).alias("text_crc32"), F.col("_shard").alias("shard"),
+        (F.col("_start") + F.col("_place")).alias("slot"), rendezvous_shard(F.col("key"), shards + 1, seed).alias("grown_shard"), F.col("_bucket").alias("bucket"))
