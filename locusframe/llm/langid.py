@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locusframe.llm.common import free_names
+
 UNKNOWN = "und"
 
 
@@ -52,35 +54,44 @@ class KernelModel:
     presence: np.ndarray
     norms: np.ndarray
     weights: np.ndarray
+    #: Least share of known n-grams that speaks for one of the languages.
+    least_known: float = 0.0
 
-    def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
+    def kernel(self, sets: list[np.ndarray], known: np.ndarray | None = None) -> np.ndarray:
+        """Kernel values to all landmarks; ``known`` receives the share of each text's n-grams that some landmark holds."""
         bits = np.zeros((len(sets), len(self.vocabulary)), np.float32)
         for i, s in enumerate(sets):
             at = np.searchsorted(self.vocabulary, s)
             at[at == len(self.vocabulary)] = 0
-            bits[i, at[self.vocabulary[at] == s]] = 1
+            found = self.vocabulary[at] == s
+            bits[i, at[found]] = 1
+            if known is not None:
+                known[i] = found.mean() if len(s) else 0.0
         own = np.sqrt(np.maximum([len(s) for s in sets], 1)).astype(np.float32)
         return (bits @ self.presence) / own[:, None] / self.norms[None, :]
 
-    def scores(self, sets: list[np.ndarray]) -> np.ndarray:
-        return self.kernel(sets) @ self.weights[:-1] + self.weights[-1]
+    def scores(self, sets: list[np.ndarray], known: np.ndarray | None = None) -> np.ndarray:
+        return self.kernel(sets, known) @ self.weights[:-1] + self.weights[-1]
 
-    def predict(self, texts: list[str | None], step: int = 64) -> tuple[list[str], np.ndarray]:
-        langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str | None], step: int = 64) -> tuple[list[str], np.ndarray, np.ndarray]:
+        langs, scores, known = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         rows = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
         for a in range(0, len(rows), step):
             part = rows[a : a + step]
-            s = self.scores([grams(texts[i], self.n_max) for i in part])
+            own = np.zeros(len(part))
+            s = self.scores([grams(texts[i], self.n_max) for i in part], own)
             best = s.argmax(axis=1)
+            known[part] = own
             for i, b, row in zip(part, best, s):
                 langs[i], scores[i] = self.languages[b], float(np.clip(row[b], 0.0, 1.0))
-        return langs, scores
+        return langs, scores, known
 
 
 def fit_kernel(sets: list[np.ndarray], labels: list[str], n_max: int, landmarks_per_language: int, ridge: float, seed: int = 3) -> KernelModel:
     """Nystrom features from landmarks of each language, then ridge regression onto one indicator per language.
 
-    The landmark map K_LL^(-1/2) is folded into the weights, which act on kernel values directly.
+    The landmark map K_LL^(-1/2) is folded into the weights, which act on kernel values directly. ``least_known`` is half of what
+    99 of 100 labelled texts that are no landmarks reach; without such texts it is 0.
     """
     languages = sorted(set(labels))
     if not languages:
@@ -96,7 +107,10 @@ def fit_kernel(sets: list[np.ndarray], labels: list[str], n_max: int, landmarks_
     for k, i in enumerate(chosen):
         presence[np.searchsorted(vocabulary, sets[i]), k] = 1
     model = KernelModel(languages, n_max, vocabulary, presence, np.sqrt(np.maximum(presence.sum(axis=0), 1)), np.zeros((len(chosen) + 1, len(languages))))
-    k_rows = np.concatenate([model.kernel(sets[a : a + 64]) for a in range(0, len(sets), 64)]).astype(np.float64)
+    known = np.zeros(len(sets))
+    k_rows = np.concatenate([model.kernel(sets[a : a + 64], known[a : a + 64]) for a in range(0, len(sets), 64)]).astype(np.float64)
+    others = np.delete(known, chosen)
+    model.least_known = float(np.quantile(others, 0.01) / 2) if len(others) else 0.0
     values, vectors = np.linalg.eigh(k_rows[chosen])
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     features = np.hstack([k_rows @ root, np.ones((len(sets), 1))])
@@ -133,17 +147,18 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
 
 
 def identify(docs: DataFrame, model: KernelModel, text_col: str = "text", step: int = 64) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (0 to 1) from whole texts.
+    """Add ``lang_pred``, ``score`` and ``known`` (0 to 1) from whole texts, however long; ``known`` is the share of n-grams that some landmark holds.
 
     Null texts and texts without a letter get ``und`` and score 0, as does everything when no language was learned.
     Repeated rows get equal results; columns of the input with the added names are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop("lang_pred", "score", "known")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, known double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = shared.value.predict(texts.tolist(), step)
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+        langs, scores, known = shared.value.predict(texts.tolist(), step)
+        return pd.DataFrame({"lang_pred": langs, "score": scores, "known": known})
 
-    return docs.withColumn("_p", predict(F.col(text_col))).select(*docs.columns, "_p.lang_pred", "_p.score")
+    found = free_names(docs, "_p")[0]
+    return docs.withColumn(found, predict(F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns], f"{found}.lang_pred", f"{found}.score", f"{found}.known")
