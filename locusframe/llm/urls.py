@@ -54,11 +54,11 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<name:string,verdict:string>")
 
 
-SUFFIXES = ["com", "org", "net", "edu", "gov", "io", "info", "biz"]
-
-
 def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Column]:
-    """Numbers read off the text of a URL; nulls count as empty text."""
+    """Numbers read off the text of a URL; nulls count as empty text.
+
+    Of the suffix only its form is told, not its name: rules name suffixes, and a model that sees them learns nothing else.
+    """
     text = F.coalesce(url, F.lit(""))
     n = F.greatest(F.length(text), F.lit(1))
     query = F.regexp_extract(text, r"\?([^#]*)", 1)
@@ -75,34 +75,76 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
         "hyphens": F.length(F.regexp_replace(text, "[^-]", "")), "entropy": entropy,
         "parameters": F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))),
         "has_fragment": F.instr(text, "#") > 0, "is_https": F.startswith(text, F.lit("https://")),
-        "suffix_length": F.length(suffix), "has_extension": path.rlike(r"\.[A-Za-z0-9]{1,5}$"),
+        "suffix_length": F.length(suffix), "suffix_is_country": suffix.rlike("^[a-z]{2}$"), "suffix_is_number": suffix.rlike("^[0-9]+$"), "has_extension": path.rlike(r"\.[A-Za-z0-9]{1,5}$"),
         "first_segment_length": F.length(F.regexp_extract(path, r"^/([^/]*)", 1)),
-        **{f"suffix_{s}": suffix == s for s in SUFFIXES},
     }
     return {k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in out.items()}
 
 
-def with_features(df: DataFrame, url: str = "url") -> DataFrame:
-    """Add host, path, and the features as ``f_*``."""
-    df = df.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    return df.withColumns({f"f_{k}": v for k, v in lexical_features(F.col(url), F.col("host"), F.col("path")).items()})
+@dataclass(frozen=True)
+class UrlModel:
+    """Boosted trees, the score from which a URL is blocked, and the balanced accuracy there on labelled URLs held out of the fit."""
+
+    trees: PipelineModel | None
+    cut: float
+    accuracy: float | None
+    constant: float = 0.0
+
+
+def scored(df: DataFrame, model: UrlModel) -> DataFrame:
+    """Add ``p`` to (row, url, host, path, ...); the features do not stay."""
+    if model.trees is None:
+        return df.withColumn("p", F.lit(model.constant))
+    wide = df.select("*", *[v.alias(f"f_{k}") for k, v in lexical_features(F.col("url"), F.col("host"), F.col("path")).items()])
+    return model.trees.transform(wide).select(*df.columns, vector_to_array("probability")[1].alias("p"))
 
 
-def train_url_model(labelled: DataFrame, url: str = "url", label: str = "label", max_rows: int = 20_000, trees: int = 10, depth: int = 4, seed: int = 5) -> PipelineModel | float:
-    """Boosted trees on labelled URLs (label 1.0: block); a constant where the labels hold fewer than two classes.
+def train_url_model(labelled: DataFrame, max_rows: int = 20_000, trees: int = 10, depth: int = 4, held_out: float = 0.25, seed: int = 5) -> UrlModel:
+    """Boosted trees on labelled URLs (columns url, label; 1.0: block); a constant where the labels hold fewer than two classes.
 
-    At most about ``max_rows`` labelled URLs are used, drawn by a hash of the URL.
+    At most about ``max_rows`` labelled rows are used, drawn by a hash of the URL, and each URL counts once per label. Both
+    labels get equal weight. The cut is the score with the best mean of the shares of blocked and allowed URLs told right
+    among the ``held_out`` share of the drawn ones, that nearest to the middle of equals; without both labels there it is 0.5.
     """
-    counts = {r[0]: r[1] for r in labelled.groupBy(F.col(label).cast("double")).count().collect() if r[0] is not None}
+    counts = {r[0]: r[1] for r in labelled.groupBy(F.col("label").cast("double")).count().collect() if r[0] is not None}
     if len(counts) < 2:
-        return next(iter(counts), 0.0)
+        return UrlModel(None, 0.5, None, next(iter(counts), 0.0))
+    scale = 1_000_000
+    place = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(scale))
     share = min(1.0, max_rows / sum(counts.values()))
-    drawn = with_features(labelled.where(F.pmod(F.xxhash64(F.lit(seed), url), F.lit(1_000_000)) < int(share * 1_000_000)), url)
-    names = [c for c in drawn.columns if c.startswith("f_")]
-    rows = VectorAssembler(inputCols=names, outputCol="features").transform(drawn).select("features", F.col(label).cast("double").alias("label")).repartition(8).cache()
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False).fit(rows)
+    drawn = labelled.where(place < int(share * scale)).select("url", F.col("label").cast("double").alias("label")).where("label is not null").distinct()
+    drawn = drawn.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "out": F.pmod(F.xxhash64(F.lit(seed + 1), "url"), F.lit(scale)) < int(held_out * scale)})
+    fit = drawn.where("not out")
+    sizes = {r["label"]: r["count"] for r in fit.groupBy("label").count().collect()}
+    if len(sizes) < 2:
+        return UrlModel(None, 0.5, None, max(counts, key=counts.get))
+    weight = F.when(F.col("label") == 1.0, 0.5 / sizes.get(1.0, 1)).otherwise(0.5 / sizes.get(0.0, 1)) * sum(sizes.values())
+    names = list(lexical_features(F.col("url"), F.col("host"), F.col("path")))
+    assembler = VectorAssembler(inputCols=[f"f_{k}" for k in names], outputCol="features")
+    wide = fit.select("label", weight.alias("weight"), *[v.alias(f"f_{k}") for k, v in lexical_features(F.col("url"), F.col("host"), F.col("path")).items()])
+    rows = assembler.transform(wide).select("features", "label", "weight").repartition(8).cache()
+    boosted = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False).fit(rows)
     rows.unpersist()
-    return PipelineModel([VectorAssembler(inputCols=names, outputCol="features"), model])
+    model = UrlModel(PipelineModel([assembler, boosted]), 0.5, None)
+    steps = scored(drawn.where("out"), model).groupBy(F.floor(F.col("p") * 1000).alias("step"), "label").count().collect()
+    return _with_cut(model, [(r["step"], r["label"], r["count"]) for r in steps])
+
+
+def _with_cut(model: UrlModel, steps: list[tuple[int, float, int]]) -> UrlModel:
+    """The model with the best cut for counts (thousandths of a score, label, count)."""
+    blocked, allowed = (sum(n for _, y, n in steps if y == label) for label in (1.0, 0.0))
+    if not blocked or not allowed:
+        return model
+
+    def accuracy(cut: int) -> float:
+        right = sum(n / (blocked if y == 1.0 else allowed) for step, y, n in steps if (step >= cut) == (y == 1.0))
+        return round(right / 2, 12)
+
+    cuts = {c: accuracy(c) for c in range(1001)}
+    best = max(cuts.values())
+    equals = [c for c, a in cuts.items() if a == best]
+    cut = min(equals, key=lambda c: (abs(c - sum(equals) / len(equals)), c))
+    return UrlModel(model.trees, cut / 1000, best)
 
 
 def judge_urls(df: DataFrame, rules: list[Rule], url: str = "url", labelled: DataFrame | None = None, **training) -> DataFrame:
@@ -110,23 +152,16 @@ def judge_urls(df: DataFrame, rules: list[Rule], url: str = "url", labelled: Dat
 
     The rule decides where one fits, the model elsewhere. Without ``labelled`` (columns url, label)
     the URLs that a rule judges are the labels. A null URL has empty host and path and is judged by
-    the model; repeated rows are judged alike; columns of the input with the added names are replaced.
+    the model; repeated rows are judged alike; very long URLs are read whole; an empty table gives no rows. Columns of the input with the
+    added names are replaced, all others stay, whatever their names.
     """
-    added = ["host", "path", "rule", "verdict", "block_score"]
-    base = df.drop(*added)
-    judged = base.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    kept = [c for c in df.columns if c.lower() not in {"host", "path", "rule", "verdict", "block_score"}]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.lit(None)
+    base = df.select(row.alias("row"), F.col(f"`{url}`").alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    judged = base.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     if labelled is None:
-        labelled = judged.where("_rule is not null").select(F.col(url).alias("url"), (F.col("_rule.verdict") == "block").cast("double").alias("label"))
-    else:
-        labelled = labelled.select(F.col("url"), F.col("label"))
-    model = train_url_model(labelled, "url", "label", **training)
-    if isinstance(model, float):
-        scored = judged.withColumn("block_score", F.lit(model))
-    else:
-        features = lexical_features(F.col(url), F.col("host"), F.col("path"))
-        wide = judged.withColumns({f"f_{k}": v for k, v in features.items()})
-        inner = model.stages[-1].setProbabilityCol("_p").setRawPredictionCol("_raw").setPredictionCol("_y")
-        scored = PipelineModel([model.stages[0].setOutputCol("_features"), inner.setFeaturesCol("_features")]).transform(wide)
-        scored = scored.withColumn("block_score", vector_to_array("_p")[1]).drop("_p", "_raw", "_y", "_features", *[f"f_{k}" for k in features])
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
-    return scored.withColumns({"rule": F.col("_rule.name"), "verdict": verdict}).drop("_rule")
+        labelled = judged.where("rule is not null").select("url", (F.col("rule.verdict") == "block").cast("double").alias("label"))
+    model = train_url_model(labelled.select("url", "label"), **training)
+    verdict = F.coalesce(F.col("rule.verdict"), F.when(F.col("p") >= model.cut, "block").otherwise("allow"))
+    return scored(judged, model).select(
+        *[F.col("row")[c].alias(c) for c in kept], "host", "path", F.col("rule.name").alias("rule"), verdict.alias("verdict"), F.col("p").alias("block_score"))

@@ -75,3 +75,20 @@ def test_null_and_repeated_ids_are_judged_by_their_texts(spark):
     got = lambda stage: sorted(((r.doc_id, r.text) for r in named[stage](spark, docs, SF).collect()), key=str)
     assert got("decontamination") == sorted(rows[2:], key=str)
     assert got("near_duplicates") == sorted([(1, item), (1, other), (2, third), (None, item), (None, third), (None, None)], key=str)
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    clashes = {c: F.lit(f"own {c}") for c in ("score", "predicted", "lang_pred", "known", "_row", "row", "number", "component_id", "_found", "kept", "_p")}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(clashes)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in clashes), name
+
+
+def test_texts_of_no_learned_language_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    strange = spark.createDataFrame([(10**9 + i, " ".join(chr(0x10A0 + (i * 7 + k * k) % 38) * 3 for k in range(80)), None, "s", 0) for i in range(5)], docs.schema)
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(strange), SF).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
