@@ -22,9 +22,12 @@ def _chain_targets(blocks: DataFrame) -> DataFrame:
         "chain_id", "q_name", "q_size", "q_strand", "q_from").where("start < `end`")
 
 
-def _lift_spans(spans: DataFrame, blocks: DataFrame, on: list[str], min_match: Column) -> DataFrame:
-    """Fate and new place of distinct spans: one mergeable aggregate per (span, chain), then per span."""
-    key = [*on, *SPAN] if "chrom" not in on else [*on, "start", "end"]
+def _lift_spans(spans: DataFrame, blocks: DataFrame, on: list[str], min_match: Column, carried: Sequence[str] = ()) -> DataFrame:
+    """Fate and new place of distinct spans: one mergeable aggregate per (span, chain), then per span.
+
+    ``min_match`` may be a column of the spans that is named in ``carried``.
+    """
+    key = [*on, *SPAN, *carried] if "chrom" not in on else [*on, "start", "end", *carried]
     hits = interval_join(spans, _chain_targets(blocks), on=on if "chrom" in on else [*on, "chrom"], suffix="_c")
     lo, hi = F.greatest("start", "start_c"), F.least("end", "end_c")
     q_lo = F.col("q_from") + lo - F.col("start_c")
@@ -93,10 +96,7 @@ def liftover_datasets(
         "dataset", *route, F.coalesce("min_match", F.lit(min_match)).alias("min_match"), F.coalesce("has_chain", F.lit(False)).alias("has_chain"))
     per_dataset = blocks.join(plan.where("has_chain").select("dataset", *route), route).drop(*route)
     spans = intervals.select("dataset", *SPAN).distinct().join(plan.select("dataset", "min_match"), "dataset")
-    rate = spans.select("dataset", "min_match").distinct()
-    key = ["dataset", "chrom"]
-    slim = spans.drop("min_match")
-    hits = _lift_spans_by(slim, per_dataset, key, rate)
+    hits = _lift_spans(spans, per_dataset, ["dataset", "chrom"], F.col("min_match"), ["min_match"]).drop("min_match")
     rows = intervals.join(plan.where("has_chain").select("dataset"), "dataset", "left_semi")
     lifted = _attach(rows.join(hits, ["dataset", *SPAN], "left"), intervals.columns)
     status = plan.join(liftover_report(lifted, ["dataset"]), "dataset", "left").select(
@@ -106,28 +106,6 @@ def liftover_datasets(
     return lifted, status
 
 
-def _lift_spans_by(spans: DataFrame, blocks: DataFrame, key: list[str], rate: DataFrame) -> DataFrame:
-    with_rate = blocks.join(rate, "dataset")
-    thresholds = with_rate.select("dataset", "min_match").distinct()
-    hits = interval_join(spans, _chain_targets(blocks), on=key, suffix="_c").join(thresholds, "dataset")
-    lo, hi = F.greatest("start", "start_c"), F.least("end", "end_c")
-    q_lo, q_hi = F.col("q_from") + lo - F.col("start_c"), F.col("q_from") + hi - F.col("start_c")
-    fwd = F.col("q_strand") == "+"
-    a, b = F.when(fwd, q_lo).otherwise(F.col("q_size") - q_hi), F.when(fwd, q_hi).otherwise(F.col("q_size") - q_lo)
-    cols = ["dataset", *SPAN, "min_match"]
-    per_chain = hits.select(*cols, "chain_id", "q_name", "q_strand", a.alias("a"), b.alias("b"), (hi - lo).alias("n")).groupBy(
-        *cols, "chain_id", "q_name", "q_strand").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n"))
-    length = F.col("end") - F.col("start")
-    good = F.col("n") >= length * F.col("min_match")
-    fate = per_chain.groupBy(*cols).agg(
-        F.count("*").alias("n_chains"), F.count_if(good).alias("n_good"), F.sum("n").alias("covered"),
-        F.max(F.when(good, F.struct("q_name", "a", "b", "q_strand"))).alias("to"))
-    status = (
-        F.when(F.col("n_good") == 1, "mapped").when(F.col("n_good") > 1, "duplicated")
-        .when((F.col("n_chains") > 1) & (F.col("covered") >= length * F.col("min_match")), "split").otherwise("partial"))
-    return fate.select("dataset", *SPAN, status.alias("fate"), F.when(F.col("n_good") == 1, F.col("to")).alias("to"))
-
-
 def liftover_variants(vcf: DataFrame, blocks: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lift biallelic or multiallelic records; returns (lifted, rejected with reason).
 
