@@ -72,11 +72,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the folder that ``spark.checkpoint.dir`` names."""
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    return f"{folder}/{kind}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate table that several steps read as Parquet in the shared folder, which cuts its lineage."""
     spark = df.sparkSession
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
-    path = f"{folder}/table-{uuid.uuid4().hex}"
+    path = shared_path(spark, "table")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
