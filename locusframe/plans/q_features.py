@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from locusframe.operators import features as X
+from locusframe.operators.ordered import with_rank
 from locusframe.plans.registry import Query, longs
 from locusframe.plans.views import VIEWS, sql, view
 from locusframe.sources import annotation as A
@@ -149,6 +150,11 @@ spl AS (SELECT t0.transcript_id, strand, CASE WHEN q IS NULL THEN '' WHEN strand
 """
 _AA = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 
+def q_sorted(s, d):
+    """Place of every feature in the sorted table."""
+    return with_rank(X.sort_features(view(s, d, "feat")).select("feature_id"))
+
+
 QUERIES = {
     "scan_gtf_records": Query(q_records, sql(r"""
 , raw AS (SELECT string_split(value, chr(9)) AS c FROM gtf WHERE value<>'' AND value NOT LIKE '#%')
@@ -164,6 +170,7 @@ FROM raw WHERE len(c)<>9 OR NOT regexp_matches(c[4], '^[0-9]+$') OR NOT regexp_m
 , raw AS (SELECT string_split(value, chr(9)) AS c FROM gff3)
 SELECT c[1] AS chrom, CAST(c[4] AS BIGINT) AS start, CAST(c[5] AS BIGINT) AS "end", nullif(regexp_extract(c[9], '(^|;)ID=([^;]*)', 2), '') AS id, nullif(regexp_extract(c[9], '(^|;)Parent=([^;]*)', 2), '') AS parent,
  CASE WHEN c[9] LIKE '%;flag' THEN '' END AS flag, CAST(len(string_split(c[9], ';')) AS BIGINT) AS n_attrs FROM raw""", "gff3")),
+    "sort_features": Query(q_sorted, sql("SELECT feature_id, row_number() OVER (ORDER BY chrom, start, end_, feature_type, feature_id) AS rank FROM feat", "feat")),
     "extract_features": Query(q_features, sql(GTF_RECORDS + FEATURE_ROWS, "gtf")),
     "extract_cds_utr": Query(q_features_all, sql(GTF_RECORDS + """
 SELECT chrom, s-1 AS start, e AS "end", 'CDS' AS feature_type, tid||':CDS' AS feature_id, gid AS gene_id, tid AS transcript_id, strand, gt AS gene_type, tt AS transcript_type FROM rec WHERE feature='CDS'

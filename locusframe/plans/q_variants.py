@@ -173,6 +173,10 @@ def q_sql_export_gwas(s, d):
     return sinks.sql_statements(gwas_on_features(s, d), "gtf_gwas_catalog_annotation")
 
 
+def q_sql_export_cosmic(s, d):
+    return sinks.sql_statements(cosmic_on_features(s, d), "gtf_cosmic_annotation")
+
+
 def q_sql_export_smprot(s, d):
     return sinks.sql_statements(q_place(s, d), "gtf_smprot_annotation")
 
@@ -260,6 +264,7 @@ def _esc(*cols):
 _CV_HEAD = "INSERT INTO gtf_clinvar_annotation (chrom, start, end, feature_type, feature_id, gene_id, transcript_id, gene_type, transcript_type, strand, variant_id, variant_name, dbsnp_id, clinical_labels, allele_id, disease_name) VALUES ("
 _CV_TABLE = ("CREATE TABLE IF NOT EXISTS gtf_clinvar_annotation (chrom TEXT, start INTEGER, end INTEGER, feature_type TEXT, feature_id TEXT, gene_id TEXT, transcript_id TEXT, gene_type TEXT, "
              "transcript_type TEXT, strand TEXT, variant_id TEXT, variant_name TEXT, dbsnp_id TEXT, clinical_labels TEXT, allele_id TEXT, disease_name TEXT);")
+_CO_HEAD = "INSERT INTO gtf_cosmic_annotation (chrom, start, end, feature_type, feature_id, gene_id, transcript_id, gene_type, transcript_type, strand, variant_id, clinical_labels, cosmic_id, disease_name, fathmm_mkl_score) VALUES ("
 _GW_HEAD = "INSERT INTO gtf_gwas_catalog_annotation (chrom, start, end, feature_type, feature_id, gene_id, transcript_id, gene_type, transcript_type, strand, variant_id, association_label, gwas_variant_id, allele_id, trait_name, efo_trait, efo_id, p_value, risk_allele_frequency, or_or_beta, ci_95_text) VALUES ("
 _SP_HEAD = "INSERT INTO gtf_smprot_annotation (chrom, start, end, protein_id, evidence, source, transcript_id, gene_id, gene_type, transcript_type, strand, transcript_start, transcript_end, mapping_type) VALUES ("
 _SE = "CAST(start AS VARCHAR)||', '||CAST(\"end\" AS VARCHAR)"
@@ -350,6 +355,8 @@ SELECT CAST(1 AS BIGINT) AS section, '{_CV_HEAD}'||{_esc('chrom')}||', '||{_SE}|
 UNION ALL SELECT 0, 'BEGIN TRANSACTION;' UNION ALL SELECT 0, '{_CV_TABLE}' UNION ALL SELECT 2, 'COMMIT;'""", "vcf", "feat")),
     "export_sql_gwas": Query(q_sql_export_gwas, sql(GWAS_SQL + ANN_GWAS + f"""
 SELECT '{_GW_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('feature_type', 'feature_id', 'gene_id', 'transcript_id', 'gene_type', 'transcript_type', 'strand', 'variant_id', 'association_label', 'gwas_variant_id', 'allele_id', 'trait_name', 'efo_trait', 'efo_id')}||', '||CAST(p_value AS VARCHAR)||', '||{_esc('risk_allele_frequency', 'or_or_beta', 'ci_95_text')}||');' AS value FROM ann""", "gwas", "feat")),
+    "export_sql_cosmic": Query(q_sql_export_cosmic, sql(COSMIC_SQL + ANN_COSMIC + f"""
+SELECT '{_CO_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('feature_type', 'feature_id', 'gene_id', 'transcript_id', 'gene_type', 'transcript_type', 'strand', 'variant_id', 'clinical_labels', 'cosmic_id', 'disease_name')}||', '||CAST(fathmm_mkl_score AS VARCHAR)||');' AS value FROM ann""", "cosmic", "feat")),
     "export_sql_smprot": Query(q_sql_export_smprot, sql(SMPROT_SQL + f"""
 SELECT '{_SP_HEAD}'||{_esc('chrom')}||', '||{_SE}||', '||{_esc('protein_id', 'evidence', 'source', 'transcript_id', 'gene_id', 'gene_type', 'transcript_type', 'strand')}||', '||CAST(transcript_start AS VARCHAR)||', '||CAST(transcript_end AS VARCHAR)||', '||{_esc('mapping_type')}||');' AS value FROM pl""", "smprot", "feat")),
     "export_track_clinvar": Query(q_track, sql(CLINVAR_SQL + CV5 + f"""
