@@ -40,12 +40,6 @@ def pair_problems(query: DataFrame, target: DataFrame) -> DataFrame:
     return q.join(t, [*RUN, "segment_id"], "full_outer").where("q_length is null or t_length is null or q_length != t_length")
 
 
-def require_pairs(query: DataFrame, target: DataFrame) -> None:
-    bad = pair_problems(query, target).limit(1).collect()
-    if bad:
-        raise ValueError(f"query and target sequences do not match: {bad[0].segment_id}")
-
-
 def segment_scores(query: DataFrame, target: DataFrame) -> DataFrame:
     both = query.select(*RUN, "segment_id", F.col("seq").alias("q")).join(
         target.select(*RUN, "segment_id", F.col("seq").alias("t")), [*RUN, "segment_id"])

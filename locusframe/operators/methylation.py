@@ -51,10 +51,6 @@ def rescale_cells(text: Column, scale: float = 0.01) -> Column:
         (to_float(t) * scale).cast("string"), t)), ",")
 
 
-def rescale(values: DataFrame, scale: float = 0.01) -> DataFrame:
-    return values.withColumn("value", F.col("value") * F.lit(float(scale)))
-
-
 def sample_matrix(values: DataFrame, genes: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Genes by samples, all genes of the list, missing values 0.0."""
     wide = values.groupBy("gene_id").pivot("sample", list(samples)).agg(F.first("value"))

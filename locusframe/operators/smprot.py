@@ -65,10 +65,3 @@ def placement_metrics(placed: DataFrame) -> DataFrame:
         F.count("*").alias("retained_rows"), distinct("protein_id").alias("retained_small_proteins"),
         distinct("gene_id").alias("retained_lncRNA_genes"), distinct("transcript_id").alias("retained_lncRNA_transcripts"))
     return agg.unpivot([], agg.columns, "metric", "value")
-
-
-def placement_report(features: DataFrame, proteins: DataFrame) -> DataFrame:
-    """Metrics of the whole placement: overlaps seen, contained, retained."""
-    overlaps = interval_join(features, proteins).agg(F.count("*").alias("value")).select(F.lit("total_overlap_rows").alias("metric"), "value")
-    contained = contained_hits(features, proteins).agg(F.count("*").alias("value")).select(F.lit("contained_overlap_rows").alias("metric"), "value")
-    return overlaps.unionByName(contained).unionByName(placement_metrics(place_proteins(features, proteins)))

@@ -200,7 +200,3 @@ def parse_block_table(lines: DataFrame, files: Sequence[str] | None = None) -> D
         int_list(cell(c, 6, "")).alias("sizes"), int_list(cell(c, 7, "")).alias("starts"))
     last = rows.groupBy("ids").agg(F.max_by(F.struct("chrom", "start", "end", "strand", "sizes", "starts"), "at").alias("r"))
     return last.select("ids", "r.*")
-
-
-def with_constant(df: DataFrame, **values) -> DataFrame:
-    return df.withColumns({k: F.lit(v) for k, v in values.items()})

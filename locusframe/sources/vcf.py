@@ -50,12 +50,6 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     ).where("pos is not null")
 
 
-def vcf_rejects(lines: DataFrame) -> DataFrame:
-    """Lines that are fatal for a VCF reader: fewer than 8 cells or no integer position."""
-    rows = lines.where((F.col("value") != "") & ~F.col("value").startswith("#")).withColumn("_c", cells(F.col("value")))
-    return rows.where((F.size("_c") < 8) | to_int(cell(F.col("_c"), 1)).isNull()).select("path", "ord", "value")
-
-
 def scan_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_vcf(read_lines(spark, path))
 
