@@ -197,6 +197,7 @@ def records_of(rows: DataFrame) -> DataFrame:
     Pairs of user and assistant become prompt records, system-user-assistant triples instruction
     records, the others lists of messages under either naming, chosen by the id. Turns are in the
     order of (turn, role, text); a conversation is the unit of work and must fit in memory.
+    Other columns of the input, whatever their names, are neither read nor returned.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))

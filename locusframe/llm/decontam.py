@@ -146,6 +146,9 @@ def _tile_batches(index, seed_words: int):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, **options) -> DataFrame:
-    """Pairs of a document and a benchmark item of whose words tiles cover at least ``coverage``; see ``tilings``."""
+    """Pairs of a document and a benchmark item of whose words tiles cover at least ``coverage``; see ``tilings``.
+
+    Texts are read whole, however long. Other columns of both tables, whatever their names, are neither read nor returned.
+    """
     share = F.col("tiled_words") / F.col("item_words")
     return tilings(docs, benchmark, **options).withColumn("coverage", share).where(F.col("coverage") >= coverage)

@@ -435,7 +435,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard_rows: int =
     different lengths. ``n_links`` counts other rows linked directly, ``component_id`` is the smallest id reachable, ``kept``
     marks ids that are their component's. A null id links with nothing, has a null component and is
     kept. Equal vectors are searched once. Labels whose audited recall stays below ``recall`` over all drawn vectors, or below
-    ``least`` in a size of group, are compared exactly after the round of ``max_probes``. Empty tables give no rows.
+    ``least`` in a size of group, are compared exactly after the round of ``max_probes``. Empty tables give no rows. Other columns of the
+    input, whatever their names, are neither read nor returned.
     """
     base = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
     units = stored(unit_vectors(base))

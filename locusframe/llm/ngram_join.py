@@ -379,7 +379,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     smallest id reachable by links, the document included; ``n_links`` counts the other rows linked
     directly; ``representative`` is the smallest id with the same set. Null and wordless texts have an empty
     set, link with nothing and represent themselves. Rows that repeat an id are one document in
-    components; a null id keeps its row, with null component. Empty tables give no rows.
+    components; a null id keeps its row, with null component. Empty tables give no rows. Texts are read whole, however
+    long. Other columns of the input, whatever their names, are neither read nor returned.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))

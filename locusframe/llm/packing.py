@@ -266,6 +266,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capaci
     """Pieces of all documents with their sequence: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
     A null or empty text is the end id alone. Repeated rows are packed each; a null id keeps its row.
-    An empty table gives no rows. ``tokenizer`` is a file name of the public tokenizers or a path.
+    An empty table gives no rows. ``tokenizer`` is a file name of the public tokenizers or a path. Long texts are cut into
+    pieces of ``capacity``. Other columns of the input, whatever their names, are neither read nor returned.
     """
     return pack(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col), capacity).withColumnRenamed("doc_id", id_col)

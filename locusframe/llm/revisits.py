@@ -58,6 +58,7 @@ def resolve_revisits(captures: DataFrame, block_seconds: int = 86_400) -> DataFr
     validator that both sides have, when it agrees; ``changed`` when it does not; ``no-validator`` when they share none;
     ``no-response`` without an earlier response, a URL or a time. Only the first three give a response_id and merged headers.
     Validators are compared without the weak mark. Repeated records are all resolved; empty tables give no rows.
+    URLs of any length are read whole. Other columns of the input, whatever their names, are neither read nor returned.
     """
     own = captures.select("record_id", "kind", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "status",
                           "etag", "last_modified", "digest", "headers")
