@@ -64,7 +64,8 @@ def parse_header_tables(lines: DataFrame, accepted: Mapping[str, Sequence[str]],
 
     A file without tabs in its header is cut at white space, others at tabs, with double quotes around cells as usual.
     Missing cells, and columns that only other files have, are empty; columns no file has are left out. A required column that some
-    file lacks is an error. All files are one scan; their headers are joined back by path.
+    file lacks is an error. All files are read together: once for what columns there are, once for the headers, which are joined back by
+    path, and once for the rows.
     """
     heads = header_places(lines, accepted, spaces)
     facts = heads.agg(
