@@ -6,6 +6,8 @@ regular expressions keep Java-only spellings such as ``1d`` or ``5f`` out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -110,3 +112,110 @@ def shortest_number(value: Column) -> Column:
     exponent = F.concat(F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"))
     coded = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, F.length(digits)))).otherwise(""), exponent)
     return F.when(~text.contains("E"), text).otherwise(F.concat(sign, F.when((power >= 0) & (power < 16), whole).when((power < 0) & (power >= -4), small).otherwise(coded)))
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _rounded_digits(size: Column, power: Column, digits: int) -> Column:
+    """``size`` as a whole number of ``digits`` digits when its first digit stands for 10 ** ``power``; ties go to the even number.
+
+    The product with a power of ten is kept as two doubles (Dekker), so that what lies on a tie is told from what lies beside it.
+    """
+    def nearest(base: Column, side: Column) -> Column:
+        return base + F.when((side > 0) | ((side == 0) & (F.pmod(base, F.lit(2.0)) == 1.0)), 1.0).otherwise(0.0)
+
+    def high(x: Column) -> Column:
+        big = x * F.lit(134217729.0)  # 2 ** 27 + 1
+        return big - (big - x)
+
+    def scaled(t: Column) -> Column:
+        product, a, c = size * t, high(size), high(t)
+        parts = F.struct(product.alias("p"), F.floor(product).cast("double").alias("whole"), a.alias("a"), (size - a).alias("b"), c.alias("c"), (t - c).alias("d"))
+        return _bound(parts, lambda x: nearest(x["whole"], (x["p"] - x["whole"] - 0.5) + (
+            ((x["a"] * x["c"] - x["p"]) + x["a"] * x["d"] + x["b"] * x["c"]) + x["b"] * x["d"])))
+
+    def divided(t: Column) -> Column:
+        return _bound(F.floor(size / t).cast("double"), lambda whole: nearest(whole, size - whole * t - t / 2))
+
+    ten = F.lit(10.0)
+    return F.when(power <= digits - 1, _bound(F.pow(ten, F.lit(digits - 1) - power), scaled)).otherwise(_bound(F.pow(ten, power - (digits - 1)), divided))
+
+
+def general_number(value: Column, digits: int = 6) -> Column:
+    """Text of a double with ``digits`` significant digits and no trailing zeros: ``0.0005``, ``1.25e-05``, ``1.5e+06``.
+
+    Exponents are written below 1e-4 and from 10 ** ``digits`` on. Sizes outside 1e-16 to 1e15 are rounded from their shortest decimal text.
+    """
+    value = value.cast("double")
+    full, ten = 10.0 ** digits, F.lit(10.0)
+
+    def first_power(size: Column) -> Column:
+        # the logarithm may be one off next to a power of ten
+        reach = lambda p: F.when(p >= 0, size >= F.pow(ten, p)).otherwise(size * F.pow(ten, -p) >= 1.0)
+        return _bound(F.floor(F.log10(size)).cast("int"), lambda g: F.when(reach(g + 1), g + 1).when(reach(g), g).otherwise(g - 1))
+
+    def rounded(size: Column) -> Column:
+        def figures(power: Column) -> Column:
+            return _bound(_rounded_digits(size, power, digits), lambda n: F.struct(
+                F.when(n >= full, power + 1).otherwise(power).alias("power"), F.when(n >= full, full / 10).otherwise(n).cast("bigint").cast("string").alias("figures")))
+
+        return _bound(first_power(size), figures)
+
+    def from_text(size: Column) -> Column:
+        return _bound(F.format_string(f"%.{digits - 1}e", size), lambda t: F.struct(
+            F.regexp_extract(t, r"e([+-][0-9]+)$", 1).try_cast("int").alias("power"),
+            F.replace(F.regexp_extract(t, r"^([0-9.]+)e", 1), F.lit("."), F.lit("")).alias("figures")))
+
+    def text(power: Column, figures: Column) -> Column:
+        def tail(at: Column) -> Column:
+            return F.when(F.length(figures) >= at, F.concat(F.lit("."), F.substring(figures, at, F.length(figures)))).otherwise("")
+
+        steps = F.abs(power).cast("string")
+        coded = F.concat(F.substring(figures, 1, 1), tail(F.lit(2)), F.when(power < 0, "e-").otherwise("e+"), F.lpad(steps, F.greatest(F.length(steps), F.lit(2)), "0"))
+        return F.when((power >= 0) & (power < digits), F.concat(F.rpad(F.substring(figures, F.lit(1), power + 1), power + 1, "0"), tail(power + 2))).when(
+            (power < 0) & (power >= -4), F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), figures)).otherwise(coded)
+
+    def unsigned(size: Column) -> Column:
+        parts = F.when(size.between(1e-16, 1e15), rounded(size)).otherwise(from_text(size))
+        trimmed = _bound(parts, lambda p: F.struct(p["power"].alias("power"), F.regexp_replace(p["figures"], "0+$", "").alias("figures")))
+        return F.when(F.isnan(size), "nan").when(size == float("inf"), "inf").when(size == 0, "0").otherwise(_bound(trimmed, lambda p: text(p["power"], p["figures"])))
+
+    sign = F.when(F.startswith(value.cast("string"), F.lit("-")), "-").otherwise("")
+    return F.when(value.isNotNull(), F.concat(sign, _bound(F.abs(value), unsigned)))
+
+
+# Cody's rational approximations of the error function (1969), highest power first,
+# below 0.46875, from there to 4, and beyond.
+_NEAR = ((1.85777706184603153e-1, 3.16112374387056560, 1.13864154151050156e2, 3.77485237685302021e2, 3.20937758913846947e3),
+         (1.0, 2.36012909523441209e1, 2.44024637934444173e2, 1.28261652607737228e3, 2.84423683343917062e3))
+_MIDDLE = ((2.15311535474403846e-8, 5.64188496988670089e-1, 8.88314979438837594, 6.61191906371416295e1, 2.98635138197400131e2, 8.81952221241769090e2, 1.71204761263407058e3,
+            2.05107837782607147e3, 1.23033935479799725e3),
+           (1.0, 1.57449261107098347e1, 1.17693950891312499e2, 5.37181101862009858e2, 1.62138957456669019e3, 3.29079923573345963e3, 4.36261909014324716e3, 3.43936767414372164e3,
+            1.23033935480374942e3))
+_FAR = ((1.63153871373020978e-2, 3.05326634961232344e-1, 3.60344899949804439e-1, 1.25781726111229246e-1, 1.60837851487422766e-2, 6.58749161529837803e-4),
+        (1.0, 2.56852019228982242, 1.87295284992346725, 5.27905102951428412e-1, 6.05183413124413191e-2, 2.33520497626869185e-3))
+
+
+def _quotient(x: Column, parts: tuple[tuple[float, ...], tuple[float, ...]]) -> Column:
+    def value(factors: tuple[float, ...]) -> Column:
+        out = F.lit(factors[0])
+        for f in factors[1:]:
+            out = out * x + F.lit(f)
+        return out
+
+    return value(parts[0]) / value(parts[1])
+
+
+def error_function(x: Column) -> Column:
+    """erf of a double to about 1e-15, null for null and nan for nan."""
+    def of_size(size: Column) -> Column:
+        square = size * size
+        near = size * _bound(square, lambda q: _quotient(q, _NEAR))
+        middle = 1.0 - F.exp(-square) * _quotient(size, _MIDDLE)
+        far = 1.0 - F.exp(-square) / size * _bound(1.0 / square, lambda q: 0.5641895835477562869 - q * _quotient(q, _FAR))
+        return F.when(F.isnan(size), size).when(size <= 0.46875, near).when(size <= 4, middle).when(size < 6, far).when(size >= 6, 1.0)
+
+    return F.when(x < 0, -1.0).otherwise(1.0) * _bound(F.abs(x.cast("double")), of_size)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from locusframe.operators.ordered import position_block, running
 
+# Positions (or bins) that one row of a cut run holds at most.
+RUN_BLOCK = 1 << 16
 # Bin sizes 2**14 and 2**20; an interval uses the finest one on which it spans at most 2**FAN_OUT + 1 bins.
 BIN_CLASSES = (14, 20)
 FAN_OUT = 6
@@ -87,6 +89,19 @@ def interval_join(
     return first.unionByName(second)
 
 
+def cut_runs(df: DataFrame, start: str = "start", end: str = "end", block: int = RUN_BLOCK) -> DataFrame:
+    """Runs of positions cut at the multiples of ``block``, so that no later array is longer than a block; empty runs have no parts."""
+    cut = df.where(F.col(start) < F.col(end)).withColumn("_cut", F.explode(F.expr(f"sequence(`{start}` div {block}, (`{end}` - 1) div {block})")))
+    return cut.withColumns({
+        start: F.greatest(F.col(start), F.col("_cut") * block), end: F.least(F.col(end), (F.col("_cut") + 1) * block)}).drop("_cut")
+
+
+def places(df: DataFrame, name: str, start: str = "start", end: str = "end", block: int = RUN_BLOCK) -> DataFrame:
+    """One row per place ``start <= name < end`` in place of the two columns; long runs are cut first."""
+    cut = cut_runs(df, start, end, block)
+    return cut.withColumn(name, F.explode(F.expr(f"sequence(`{start}`, `{end}` - 1)"))).drop(start, end)
+
+
 def overlap_length(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), F.least(e1, e2) - F.greatest(s1, s2))
 
@@ -155,7 +170,7 @@ def base_depth(df: DataFrame, regions: DataFrame | None = None) -> DataFrame:
         seg = interval_join(seg, part).select(
             "chrom", F.greatest("start", "start_b").alias("start"), F.least("end", "end_b").alias("end"), "depth"
         )
-    return seg.select("chrom", F.explode(F.expr("sequence(start + 1, end)")).alias("pos"), "depth")
+    return places(seg, "_at").select("chrom", (F.col("_at") + 1).alias("pos"), "depth")
 
 
 def disjoint_segments(df: DataFrame, keys: Sequence[str] = ("chrom",)) -> DataFrame:
@@ -209,7 +224,7 @@ def binned_coverage(df: DataFrame, bin_size: int, scale: float = 1.0, keys: Sequ
         steps, list(keys), ["pos"], position_block("pos", 12),
         {"from": ("last", F.col("pos")), "n": ("sum", F.col("delta"))}, exclusive=True,
     ).where("n > 0")
-    one = runs.select(*keys, F.explode(F.expr("sequence(`from`, pos - 1)")).alias("bin"), "n")
+    one = places(runs.select(*keys, "from", "pos", "n"), "bin", "from", "pos")
     return one.select(
         *keys,
         (F.col("bin") * bin_size).alias("start"),
@@ -219,8 +234,9 @@ def binned_coverage(df: DataFrame, bin_size: int, scale: float = 1.0, keys: Sequ
 
 
 def binned_mean(tracks: DataFrame, bin_size: int) -> DataFrame:
-    """Length-weighted mean of each track per fixed bin (``track``, chrom, start, end, value)."""
-    split = tracks.withColumn("bin", F.explode(F.expr(f"sequence(start div {bin_size}, (end - 1) div {bin_size})")))
+    """Length-weighted mean of each track per fixed bin (``track``, chrom, start, end, value); empty intervals weigh nothing."""
+    spans = tracks.where("start < end").withColumns({"_from": F.expr(f"start div {bin_size}"), "_to": F.expr(f"(end - 1) div {bin_size} + 1")})
+    split = places(spans, "bin", "_from", "_to")
     lo, hi = F.col("bin") * bin_size, (F.col("bin") + 1) * bin_size
     share = overlap_length(F.col("start"), F.col("end"), lo, hi)
     return (

@@ -7,15 +7,12 @@ zero per gene and class.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from locusframe.functions.values import to_float
+from locusframe.functions.values import error_function, general_number, to_float
 from locusframe.operators.intervals import interval_join
 from locusframe.operators.ordered import magnitude_block, running
 from locusframe.session import materialize
@@ -51,10 +48,11 @@ def rescale_cells(text: Column, scale: float = 0.01) -> Column:
         (to_float(t) * scale).cast("string"), t)), ",")
 
 
-def sample_matrix(values: DataFrame, genes: DataFrame, samples: Sequence[str]) -> DataFrame:
-    """Genes by samples, all genes of the list, missing values 0.0."""
-    wide = values.groupBy("gene_id").pivot("sample", list(samples)).agg(F.first("value"))
-    return genes.select("gene_id").distinct().join(wide, "gene_id", "left").fillna(0.0, subset=list(samples))
+def sample_matrix(values: DataFrame, genes: DataFrame, samples: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Genes by samples, all genes of the list, missing values 0.0; ``by`` (columns of both inputs) makes one matrix for each of its values."""
+    keys = [*by, "gene_id"]
+    wide = values.groupBy(*keys).pivot("sample", list(samples)).agg(F.first("value"))
+    return genes.select(*keys).distinct().join(wide, keys, "left").fillna(0.0, subset=list(samples))
 
 
 def class_sizes(samples: DataFrame, case: str = "case", control: str = "control") -> DataFrame:
@@ -111,16 +109,10 @@ def rank_statistics(values: DataFrame, sizes: DataFrame, grid: DataFrame, case:
     return stats.select(*TEST_KEYS, "n1", "n2", "u", "tie_sum", z.alias("z"), "median_case", "median_control")
 
 
-@F.pandas_udf(T.DoubleType())
-def two_sided_p(z: pd.Series) -> pd.Series:
+def two_sided_p(z: Column) -> Column:
     """Two-sided normal p-value; no statistic gives 1."""
-    return z.map(lambda v: 1.0 if v is None or math.isnan(v) else 2.0 * (1.0 - 0.5 * (1.0 + math.erf(abs(v) / math.sqrt(2.0)))))
-
-
-@F.pandas_udf(T.StringType())
-def general_format(x: pd.Series) -> pd.Series:
-    """Six significant digits with trailing zeros removed."""
-    return x.map(lambda v: None if v is None else f"{v:.6g}")
+    tail = 2.0 * (1.0 - 0.5 * (1.0 + error_function(F.abs(z) / F.sqrt(F.lit(2.0)))))
+    return F.when(z.isNull() | F.isnan(z), 1.0).otherwise(tail)
 
 
 def false_discovery(tests: DataFrame, keys: Sequence[str] = ("dataset", "region"), p: str = "p") -> DataFrame:
@@ -148,8 +140,8 @@ def wilcox_calls(stats: DataFrame, min_median: float = 0.2) -> DataFrame:
 
 def significant(calls: DataFrame, pval: float = 0.02) -> DataFrame:
     """Calls with a direction and raw p below the cut-off (the q-value is reported, not used)."""
-    text = [F.lit("p="), general_format(F.col("p")), F.lit(";fdr="), general_format(F.col("q")), F.lit(";median_case="),
-            general_format(F.col("median_case")), F.lit(";median_control="), general_format(F.col("median_control"))]
+    text = [F.lit("p="), general_number(F.col("p")), F.lit(";fdr="), general_number(F.col("q")), F.lit(";median_case="),
+            general_number(F.col("median_case")), F.lit(";median_control="), general_number(F.col("median_control"))]
     return calls.where((F.col("p") < pval) & F.col("direction").isNotNull()).select(
         "dataset", "region", "gene_id", "direction", F.concat(*text).alias("evidence"), "p", "q", "median_case", "median_control")
 
@@ -175,10 +167,10 @@ def foldchange_calls(
 
 
 def foldchange_significant(calls: DataFrame) -> DataFrame:
-    high = F.concat(F.lit("FC="), general_format(F.col("fold_change")), F.lit(";min_case="), general_format(F.col("min_case")),
-                    F.lit(";max_control="), general_format(F.col("max_control")))
-    low = F.concat(F.lit("FC="), general_format(F.col("fold_change")), F.lit(";max_case="), general_format(F.col("max_case")),
-                   F.lit(";min_control="), general_format(F.col("min_control")))
+    high = F.concat(F.lit("FC="), general_number(F.col("fold_change")), F.lit(";min_case="), general_number(F.col("min_case")),
+                    F.lit(";max_control="), general_number(F.col("max_control")))
+    low = F.concat(F.lit("FC="), general_number(F.col("fold_change")), F.lit(";max_case="), general_number(F.col("max_case")),
+                   F.lit(";min_control="), general_number(F.col("min_control")))
     return calls.where("direction is not null").select(
         "dataset", "region", "gene_id", "direction", F.when(F.col("direction") == "High", high).otherwise(low).alias("evidence"),
         "fold_change")

@@ -55,9 +55,8 @@ def q_sizes(s, d):
 
 
 def q_matrix(s, d):
-    v = view(s, d, "gene_values").where("dataset = 'ds0' and region = 'body'")
-    g = view(s, d, "gene_values").where("region = 'body'")
-    return M.sample_matrix(v, g, [f"{c}_{i}" for i in range(10) for c in (["case"] if i % 2 == 0 else ["control"])])
+    v = view(s, d, "gene_values")
+    return M.sample_matrix(v, M.test_grid(v, DATASETS), MATRIX_NAMES, ["dataset", "region"])
 
 
 def q_rescale(s, d):
@@ -82,8 +81,9 @@ def q_fdr(s, d):
 
 
 def q_wilcox(s, d):
-    """Whole test with p-values (no oracle: neither engine has the error function)."""
-    return M.significant(M.wilcox_calls(M.rank_statistics(*_tests(s, d)), 20.0), 0.3)
+    """Whole test with p-values."""
+    out = M.significant(M.wilcox_calls(M.rank_statistics(*_tests(s, d)), 20.0), 0.3)
+    return out.withColumns({"p": F.round("p", 9), "q": F.round("q", 9)})
 
 
 def q_fc(s, d):
@@ -91,7 +91,7 @@ def q_fc(s, d):
 
 
 def q_fc_sig(s, d):
-    return M.foldchange_significant(M.foldchange_calls(*_tests(s, d), fc=1.05, min_abs=20.0))
+    return M.foldchange_significant(M.foldchange_calls(*_tests(s, d), fc=1.05, min_abs=20.0)).withColumn("fold_change", F.round("fold_change", 6))
 
 
 def calls(s, d):
@@ -151,6 +151,23 @@ full_ AS (SELECT k.dataset, k.region, k.gene_id, sm.class, coalesce(v.value, 0.0
   FROM keyed k JOIN sm ON sm.dataset=k.dataset LEFT JOIN gene_values v ON v.dataset=k.dataset AND v.region=k.region AND v.gene_id=k.gene_id AND v.sample=sm.sample),
 use AS (SELECT * FROM full_ WHERE listed)
 """
+RANKS = """
+, r AS (SELECT *, rank() OVER (PARTITION BY dataset, region, gene_id ORDER BY value) + (count(*) OVER (PARTITION BY dataset, region, gene_id, value)-1)/2.0 AS ar, count(*) OVER (PARTITION BY dataset, region, gene_id, value) AS t FROM use),
+g AS (SELECT dataset, region, gene_id, count(*) FILTER (WHERE class='case') AS n1, count(*) FILTER (WHERE class='control') AS n2, CAST(sum(ar) FILTER (WHERE class='case') AS DOUBLE) AS r1, CAST(sum(t*t-1) AS DOUBLE) AS tie_sum,
+  median(value) FILTER (WHERE class='case') AS median_case, median(value) FILTER (WHERE class='control') AS median_control FROM r GROUP BY 1,2,3),
+u AS (SELECT *, least(r1-CAST(n1 AS DOUBLE)*(n1+1)/2, CAST(n1 AS DOUBLE)*n2-(r1-CAST(n1 AS DOUBLE)*(n1+1)/2)) AS u, CAST(n1 AS DOUBLE)*n2/12*((n1+n2+1)-tie_sum/(CAST(n1+n2 AS DOUBLE)*(n1+n2-1))) AS var FROM g)
+"""
+# the error function as its series of positive terms
+P_VALUES = """
+, zs AS (SELECT *, CASE WHEN var>0 THEN abs((u-CAST(n1 AS DOUBLE)*n2/2)/sqrt(var))/sqrt(2) END AS x FROM u),
+ps AS (SELECT *, CASE WHEN x IS NULL THEN 1.0 ELSE 2*(1-(1+exp(-x*x)*list_sum([pow(x, 2*i+1)/gamma(i+1.5) for i in range(0, 90)]))/2) END AS p FROM zs),
+pr AS (SELECT *, row_number() OVER (PARTITION BY dataset, region ORDER BY p) AS rk, count(*) OVER (PARTITION BY dataset, region) AS m FROM ps),
+pq AS (SELECT *, least(1.0, min(p*m/rk) OVER (PARTITION BY dataset, region ORDER BY rk DESC)) AS q, CASE WHEN median_case>median_control AND median_case>20 THEN 'High' WHEN median_control>median_case AND median_control>20 THEN 'Low' END AS direction FROM pr)
+"""
+FOLDS = """
+, e AS (SELECT dataset, region, gene_id, min(value) FILTER (WHERE class='case') AS min_case, max(value) FILTER (WHERE class='case') AS max_case, min(value) FILTER (WHERE class='control') AS min_control, max(value) FILTER (WHERE class='control') AS max_control FROM use GROUP BY 1,2,3),
+f AS (SELECT *, CASE WHEN min_case>max_control THEN min_case/(max_control+CAST(1e-9 AS DOUBLE)) WHEN max_case<min_control THEN max_control/(min_case+CAST(1e-9 AS DOUBLE)) END AS fc FROM e)
+"""
 MATRIX_NAMES = [f"{'case' if i % 2 == 0 else 'control'}_{i}" for i in range(10)]
 
 QUERIES = {
@@ -158,25 +175,25 @@ QUERIES = {
     "methylation_sample_classes": Query(q_class, sql("""SELECT dataset, sample, CASE WHEN sample='Normal_3' OR sample LIKE 'tumor%' THEN 'case' ELSE 'control' END AS class, count(*) AS n FROM sites GROUP BY 1,2,3""", "sites")),
     "methylation_class_sizes": Query(q_sizes, sql("""SELECT dataset, count(DISTINCT sample) FILTER (WHERE sample='Normal_3' OR sample LIKE 'tumor%') AS n1, count(DISTINCT sample) FILTER (WHERE NOT (sample='Normal_3' OR sample LIKE 'tumor%')) AS n2 FROM sites GROUP BY 1""", "sites")),
     "methylation_matrix": Query(q_matrix, sql("""
-, g AS (SELECT DISTINCT gene_id FROM gene_values WHERE region='body'), v AS (SELECT * FROM gene_values WHERE region='body' AND dataset='ds0')
-SELECT g.gene_id, """ + ", ".join(f"coalesce(max(value) FILTER (WHERE sample='{n}'), 0.0) AS {n}" for n in MATRIX_NAMES) + " FROM g LEFT JOIN v ON v.gene_id=g.gene_id GROUP BY 1", "gene_values")),
+, g AS (SELECT DISTINCT region, gene_id FROM gene_values), ds AS (SELECT DISTINCT dataset, region FROM gene_values), k AS (SELECT dataset, g.region, gene_id FROM ds JOIN g ON g.region=ds.region)
+SELECT k.dataset, k.region, k.gene_id, """ + ", ".join(f"coalesce(max(value) FILTER (WHERE sample='{n}'), 0.0) AS {n}" for n in MATRIX_NAMES) + """
+FROM k LEFT JOIN gene_values v ON v.dataset=k.dataset AND v.region=k.region AND v.gene_id=k.gene_id GROUP BY 1,2,3""", "gene_values")),
     "methylation_rescale_cells": Query(q_rescale, sql("""SELECT dataset, region, gene_id, sample, gene_id||','||CAST(value*CAST(0.5 AS DOUBLE) AS VARCHAR) AS cell FROM gene_values""", "gene_values")),
-    "methylation_rank_statistics": Query(q_ranks, sql(GRID + """
-, r AS (SELECT *, rank() OVER (PARTITION BY dataset, region, gene_id ORDER BY value) + (count(*) OVER (PARTITION BY dataset, region, gene_id, value)-1)/2.0 AS ar, count(*) OVER (PARTITION BY dataset, region, gene_id, value) AS t FROM use),
-g AS (SELECT dataset, region, gene_id, count(*) FILTER (WHERE class='case') AS n1, count(*) FILTER (WHERE class='control') AS n2, CAST(sum(ar) FILTER (WHERE class='case') AS DOUBLE) AS r1, CAST(sum(t*t-1) AS DOUBLE) AS tie_sum,
-  median(value) FILTER (WHERE class='case') AS median_case, median(value) FILTER (WHERE class='control') AS median_control FROM r GROUP BY 1,2,3),
-u AS (SELECT *, least(r1-CAST(n1 AS DOUBLE)*(n1+1)/2, CAST(n1 AS DOUBLE)*n2-(r1-CAST(n1 AS DOUBLE)*(n1+1)/2)) AS u, CAST(n1 AS DOUBLE)*n2/12*((n1+n2+1)-tie_sum/(CAST(n1+n2 AS DOUBLE)*(n1+n2-1))) AS var FROM g)
+    "methylation_rank_statistics": Query(q_ranks, sql(GRID + RANKS + """
 SELECT dataset, region, gene_id, n1, n2, u, tie_sum, CASE WHEN var>0 THEN round((u-CAST(n1 AS DOUBLE)*n2/2)/sqrt(var), 8) END AS z, median_case, median_control FROM u""", "gene_values", "gene_regions")),
     "methylation_false_discovery": Query(q_fdr, sql("""
 , r AS (SELECT *, row_number() OVER w AS rk, count(*) OVER (PARTITION BY dataset, region) AS n FROM p_values WINDOW w AS (PARTITION BY dataset, region ORDER BY p, gene_id)),
 q AS (SELECT *, least(1.0, min(p*n/rk) OVER (PARTITION BY dataset, region ORDER BY rk DESC)) AS q FROM r)
 SELECT dataset, region, gene_id, p, round(q, 9) AS q FROM q""", "p_values")),
-    "methylation_wilcox_significant": Query(q_wilcox),
-    "methylation_foldchange": Query(q_fc, sql(GRID + """
-, e AS (SELECT dataset, region, gene_id, min(value) FILTER (WHERE class='case') AS min_case, max(value) FILTER (WHERE class='case') AS max_case, min(value) FILTER (WHERE class='control') AS min_control, max(value) FILTER (WHERE class='control') AS max_control FROM use GROUP BY 1,2,3),
-f AS (SELECT *, CASE WHEN min_case>max_control THEN min_case/(max_control+CAST(1e-9 AS DOUBLE)) WHEN max_case<min_control THEN max_control/(min_case+CAST(1e-9 AS DOUBLE)) END AS fc FROM e)
+    "methylation_wilcox_significant": Query(q_wilcox, sql(GRID + RANKS + P_VALUES + """
+SELECT dataset, region, gene_id, direction, printf('p=%.6g;fdr=%.6g;median_case=%.6g;median_control=%.6g', p, q, median_case, median_control) AS evidence,
+  round(p, 9) AS p, round(q, 9) AS q, median_case, median_control FROM pq WHERE p<0.3 AND direction IS NOT NULL""", "gene_values", "gene_regions")),
+    "methylation_foldchange": Query(q_fc, sql(GRID + FOLDS + """
 SELECT dataset, region, gene_id, min_case, max_case, min_control, max_control, round(fc, 6) AS fold_change, CASE WHEN min_case>max_control AND fc>=1.05 AND max_case>20 THEN 'High' WHEN max_case<min_control AND fc>=1.05 AND max_control>20 THEN 'Low' END AS direction FROM f""", "gene_values", "gene_regions")),
-    "methylation_foldchange_significant": Query(q_fc_sig),
+    "methylation_foldchange_significant": Query(q_fc_sig, sql(GRID + FOLDS + """
+, h AS (SELECT *, CASE WHEN min_case>max_control AND max_case>20 THEN 'High' WHEN max_case<min_control AND max_control>20 THEN 'Low' END AS direction FROM f WHERE fc>=1.05)
+SELECT dataset, region, gene_id, direction, CASE direction WHEN 'High' THEN printf('FC=%.6g;min_case=%.6g;max_control=%.6g', fc, min_case, max_control) ELSE printf('FC=%.6g;max_case=%.6g;min_control=%.6g', fc, max_case, min_control) END AS evidence,
+  round(fc, 6) AS fold_change FROM h WHERE direction IS NOT NULL""", "gene_values", "gene_regions")),
     "methylation_disease_matrix": Query(q_disease_matrix, sql("""
 , o AS (SELECT gene_id, disease, max_by(direction, dataset_no) AS dr FROM sig_calls WHERE region='body' GROUP BY 1,2)
 SELECT gene_id, """ + ", ".join(f"coalesce(max(CASE WHEN dr='High' THEN 'hyper' ELSE 'hypo' END) FILTER (WHERE disease='{n}'), '-') AS {n}" for n in NAMES) + " FROM o GROUP BY 1", "sig_calls")),
