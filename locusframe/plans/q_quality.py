@@ -22,6 +22,32 @@ VIEWS["reports"] = """
 SELECT 'step'||CAST(k%300 AS STRING) AS step, CASE CAST(n AS INT) WHEN 1 THEN 'records' WHEN 2 THEN 'error_count' WHEN 3 THEN 'Warning_count' WHEN 4 THEN 'parsed_records' ELSE 'other' END AS metric,
        max(CASE WHEN n=2 THEN CASE WHEN k%7=0 THEN '3' ELSE '0' END WHEN n=3 THEN CASE WHEN k%5=0 THEN '2' ELSE '' END ELSE CAST(k%300 AS STRING) END) AS value FROM {li} GROUP BY 1, 2"""
 
+# one broken field per row, chosen by a key (fault 0 or an unused number: none)
+VIEWS["wig_bad"] = """
+SELECT 'w.wig' AS path, CAST(-1 AS BIGINT) AS ord, '5' AS value UNION ALL
+SELECT path, ord, CASE WHEN ord%16=0 THEN CASE CAST((ord/16)%23 AS INT) WHEN 1 THEN replace(value, 'chrom=', 'name=') WHEN 2 THEN replace(value, ' step=10', '') WHEN 4 THEN replace(value, ' start=', ' start=-') WHEN 6 THEN replace(value, 'step=10', 'step=x') ELSE value END
+  WHEN ord%19=3 THEN 'odd line '||value WHEN ord%19=5 THEN '-'||value ELSE value END AS value FROM {wig}"""
+VIEWS["genepred_bad"] = """
+SELECT path, ord, CASE WHEN f=1 THEN 'tx'||chr(9)||'chr1'||chr(9)||'?' WHEN f=2 THEN 'tx'||chr(9)||'chr1'||chr(9)||'+'||chr(9)||'5' ELSE concat_ws(chr(9), name, 'chr1', CASE WHEN f=3 THEN '.' ELSE '-' END, CASE f WHEN 4 THEN 'x' WHEN 6 THEN '-5' ELSE CAST(a AS STRING) END,
+  CAST(a+CASE WHEN f=7 THEN 0 ELSE 300 END AS STRING), CAST(a+CASE WHEN f=8 THEN -10 ELSE 50 END AS STRING), CAST(a+CASE WHEN f=9 THEN 20 ELSE 250 END AS STRING), CASE f WHEN 5 THEN 'two' WHEN 10 THEN '0' WHEN 11 THEN '3' ELSE '2' END,
+  CASE f WHEN 12 THEN CAST(a AS STRING) WHEN 15 THEN CAST(a+200 AS STRING)||','||CAST(a AS STRING) WHEN 16 THEN CAST(a+10 AS STRING)||','||CAST(a+200 AS STRING) ELSE CAST(a AS STRING)||','||CAST(a+200 AS STRING) END||',',
+  CASE f WHEN 13 THEN CAST(a+100 AS STRING)||','||CAST(a+200 AS STRING) WHEN 14 THEN CAST(a+100 AS STRING)||','||CAST(a+400 AS STRING) WHEN 15 THEN CAST(a+300 AS STRING)||','||CAST(a+100 AS STRING) WHEN 17 THEN CAST(a+300 AS STRING) ELSE CAST(a+100 AS STRING)||','||CAST(a+300 AS STRING) END||',') END AS value
+FROM (SELECT 'g.gp' AS path, k*8+n AS ord, CASE WHEN n%2=0 THEN 'gene'||chr(9) ELSE '' END||'tx'||CAST(k*8+n AS STRING) AS name, k*37 AS a, CAST((k*8+n)%29 AS INT) AS f FROM {li}) x"""
+VIEWS["chain_bad"] = """
+SELECT 'c.chain' AS path, CAST(-1 AS BIGINT) AS ord, '7' AS value UNION ALL
+SELECT 'c.chain', k*4, 'chain '||CASE WHEN f=3 THEN 'x' ELSE '9' END||' chr1 '||CASE f WHEN 5 THEN '0' WHEN 8 THEN '10' ELSE '900000000' END||' + '||CAST(k*37 AS STRING)||' '||CAST(k*37+CASE WHEN f=6 THEN 0 ELSE 163 END AS STRING)||' new '||CASE f WHEN 9 THEN '10' ELSE '800000000' END||' '||
+  CASE WHEN f=4 THEN '?' ELSE '-' END||' '||CAST(k*11 AS STRING)||CASE WHEN f=1 THEN '' ELSE ' '||CAST(k*11+CASE WHEN f=7 THEN 0 ELSE 162 END AS STRING)||CASE WHEN f=2 THEN '' ELSE ' '||CAST(k AS STRING) END END FROM (SELECT o_orderkey AS k, CAST(o_orderkey%37 AS INT) AS f FROM {orders}) x
+UNION ALL SELECT 'c.chain', o_orderkey*4+1, CASE CAST(o_orderkey%37 AS INT) WHEN 10 THEN '100 x 2' WHEN 13 THEN '100 3' WHEN 14 THEN '101 3 2' ELSE '100 3 2' END FROM {orders}
+UNION ALL SELECT 'c.chain', o_orderkey*4+2, CASE WHEN o_orderkey%37=11 THEN '60 0 0' ELSE '60' END FROM {orders}
+UNION ALL SELECT 'c.chain', o_orderkey*4+3, CASE WHEN o_orderkey%37=12 THEN '5 1 1' ELSE '' END FROM {orders}"""
+VIEWS["psl_bad"] = """
+SELECT 'a.psl' AS path, ord, concat_ws(chr(9), CASE WHEN f=1 THEN 'x' ELSE CAST(90+p-m+CASE WHEN f IN (8, 9) THEN 1 ELSE 0 END AS STRING) END, CAST(m AS STRING), '0', '1', CAST(CASE WHEN f IN (19, 21) THEN 5 ELSE e END AS STRING), CAST(7*e+CASE WHEN f=23 THEN 1 ELSE 0 END AS STRING),
+  CASE WHEN f IN (20, 22) THEN '5' ELSE '1' END, CASE WHEN f=24 THEN '21' ELSE '20' END, CASE WHEN f=4 THEN '*' WHEN f IN (9, 21, 22) THEN '++' ELSE '+' END, 'q', CASE f WHEN 3 THEN 'x' WHEN 10 THEN '0' WHEN 14 THEN '50' ELSE '500' END, CASE WHEN f=6 THEN '9' ELSE '10' END,
+  CAST(CASE f WHEN 12 THEN 5 WHEN 7 THEN 102+p+7*e ELSE 101+p+7*e END AS STRING), 'chr1', CAST(CASE f WHEN 11 THEN 0 WHEN 15 THEN a+50 ELSE 900000000 END AS STRING), CAST(a AS STRING), CAST(CASE WHEN f=13 THEN a-1 ELSE a+111+p END AS STRING), CASE WHEN f=5 THEN '3' ELSE '2' END,
+  '40,'||CAST(51+p AS STRING)||',', CASE WHEN f=16 THEN CAST(50+7*e AS STRING)||',10,' ELSE '10,'||CAST(50+7*e AS STRING)||',' END)||
+  CASE WHEN f=2 THEN '' WHEN f=17 THEN chr(9)||CAST(a+60 AS STRING)||','||CAST(a AS STRING)||',' ELSE chr(9)||CAST(a AS STRING)||','||CAST(a+60 AS STRING)||',' END AS value
+FROM (SELECT k*8+n AS ord, CAST((k*8+n)%41 AS INT) AS f, pk%9 AS p, sk%4 AS m, CASE WHEN pk%2=0 THEN 1 ELSE 0 END AS e, k*37 AS a FROM {li}) x"""
+
 
 def counts(check):
     return check.rule_counts()
@@ -111,6 +137,42 @@ x AS (SELECT *, CASE WHEN ok THEN w[1] END AS name, CASE WHEN ok THEN TRY_CAST(w
 """
 FA_X = """, x AS (SELECT *, value LIKE '>%' AS h, max(CASE WHEN value LIKE '>%' THEN ord END) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS ho, row_number() OVER (PARTITION BY value ORDER BY ord) AS k FROM fasta_lines)
 """
+def _not_positive(name):
+    """SQL: a setting of a declaration that is no whole number from 1 on."""
+    found = f"regexp_extract(t, ' {name}=([^ ]+)', 1)"
+    return f"({found}<>'' AND coalesce(TRY_CAST({found} AS BIGINT), 0)<1)"
+
+
+WIG_X = """, d AS (SELECT ord, value AS t, value LIKE 'fixedStep%' OR value LIKE 'variableStep%' AS decl FROM wig_bad), e AS (SELECT *, max(CASE WHEN decl THEN ord END) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS at_, string_split(t, ' ') AS w FROM d),
+y AS (SELECT e.*, h.t LIKE 'fixed%' AS fixed FROM e LEFT JOIN d h ON h.decl AND h.ord=e.at_), x AS (SELECT *, NOT decl AND at_ IS NOT NULL AND CASE WHEN fixed THEN TRY_CAST(t AS DOUBLE) IS NOT NULL ELSE len(w)=2 AND TRY_CAST(w[1] AS BIGINT) IS NOT NULL AND TRY_CAST(w[2] AS DOUBLE) IS NOT NULL END AS good FROM y)
+"""
+GP_X = """, r AS (SELECT string_split(value, chr(9)) AS c FROM genepred_bad), y AS (SELECT c, CASE WHEN c[3] IN ('+', '-', '.') THEN 0 WHEN c[4] IN ('+', '-', '.') THEN 1 END AS o FROM r),
+z AS (SELECT o, coalesce(len(c)>=9+o, false) AS w, c[o+3] AS st, TRY_CAST(c[o+4] AS BIGINT) AS ts, TRY_CAST(c[o+5] AS BIGINT) AS te, TRY_CAST(c[o+6] AS BIGINT) AS cs, TRY_CAST(c[o+7] AS BIGINT) AS ce, TRY_CAST(c[o+8] AS BIGINT) AS n,
+  [CAST(i AS BIGINT) for i in string_split(rtrim(coalesce(c[o+9], '0'), ','), ',')] AS xs, [CAST(i AS BIGINT) for i in string_split(rtrim(coalesce(c[o+10], '0'), ','), ',')] AS xe FROM y),
+x AS (SELECT *, w AND ts IS NOT NULL AND te IS NOT NULL AND cs IS NOT NULL AND ce IS NOT NULL AS ints, w AND ts IS NOT NULL AND te IS NOT NULL AND cs IS NOT NULL AND ce IS NOT NULL AND n IS NOT NULL AS fu FROM z)
+"""
+CH_X = """, r AS (SELECT ord, string_split(value, ' ') AS c, max(CASE WHEN value LIKE 'chain %' THEN ord END) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS h FROM chain_bad WHERE value<>''),
+b AS (SELECT *, len(c) NOT IN (1, 3) OR len([1 for i in c if TRY_CAST(i AS BIGINT) IS NULL])>0 AS bad, TRY_CAST(c[1] AS BIGINT) AS size, coalesce(TRY_CAST(c[2] AS BIGINT), 0) AS dt, coalesce(TRY_CAST(c[3] AS BIGINT), 0) AS dq FROM r WHERE c[1]<>'chain' AND h IS NOT NULL),
+p AS (SELECT h, count(*) FILTER (WHERE bad) AS bad, sum(size+dt) AS tu, sum(size+dq) AS qu, max(ord) AS last_at, min(CASE WHEN len(c)=1 AND NOT bad THEN ord END) AS end_at FROM b GROUP BY 1),
+y AS (SELECT ord, false AS orphan, len(c) AS n, TRY_CAST(c[2] AS BIGINT) AS score, TRY_CAST(c[4] AS BIGINT) AS ts, TRY_CAST(c[6] AS BIGINT) AS t0, TRY_CAST(c[7] AS BIGINT) AS t1, c[5] AS a, c[10] AS z, TRY_CAST(c[9] AS BIGINT) AS qs, TRY_CAST(c[11] AS BIGINT) AS q0, TRY_CAST(c[12] AS BIGINT) AS q1 FROM r WHERE c[1]='chain'
+  UNION ALL SELECT ord, true, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM r WHERE h IS NULL),
+x AS (SELECT y.*, p.*, coalesce(n IN (12, 13), false) AS ok, coalesce(n IN (12, 13), false) AND score+ts+t0+t1+qs+q0+q1 IS NOT NULL AS ints, coalesce(n IN (12, 13), false) AND score+ts+t0+t1+qs+q0+q1 IS NOT NULL AND end_at IS NOT NULL AS cl FROM y LEFT JOIN p ON p.h=y.ord)
+"""
+PSL_X = """, r AS (SELECT string_split(value, chr(9)) AS c FROM psl_bad), y AS (SELECT c, regexp_matches(c[1], '^[0-9]+$') AS num, len(c)=21 AS fl, [TRY_CAST(i AS BIGINT) for i in c] AS v, [CAST(i AS BIGINT) for i in string_split(rtrim(c[19], ','), ',')] AS b,
+  [CAST(i AS BIGINT) for i in string_split(rtrim(c[20], ','), ',')] AS q, [CAST(i AS BIGINT) for i in string_split(rtrim(coalesce(c[21], '0'), ','), ',')] AS t FROM r),
+z AS (SELECT *, num AND fl AS us, num AND fl AND v[11] IS NOT NULL AS ints, num AND fl AND v[11] IS NOT NULL AND len(b)=v[18] AND len(q)=v[18] AND len(t)=v[18] AS sh, length(c[9])=1 AS pl FROM y),
+x AS (SELECT *, [q[1]-v[12], q[2]-q[1]-b[1], v[13]-q[2]-b[2]] AS qg, [t[1]-v[16], t[2]-t[1]-b[1], v[17]-t[2]-b[2]] AS tg FROM z)
+"""
+
+
+def _psl_side(side, size, start, end, number, bases):
+    """SQL rules of one side of alignments with two blocks; the numbers are places of columns."""
+    gap = f"len([1 for g in {side}g if g<>0])<>v[{number}]"
+    return [(E, f"{side} size below 1", f"sh AND v[{size}]<1"), (E, f"{side} end before start", f"sh AND v[{end}]<v[{start}]"), (E, f"{side} end beyond its size", f"sh AND v[{end}]>v[{size}]"), (E, f"{side} blocks not sorted", f"sh AND {side}[1]>{side}[2]"),
+            (E, f"{side} block out of bounds", f"sh AND (least({side}[1], {side}[2])<v[{start}] OR greatest({side}[1]+b[1], {side}[2]+b[2])>v[{size}])"), (E, f"{side} gap bases differ from the blocks", f"sh AND list_sum({side}g)<>v[{bases}]"),
+            (E, f"{side} gap count differs from the blocks", f"sh AND pl AND {gap}"), (W, f"{side} gap count differs from the blocks", f"sh AND NOT pl AND {gap}")]
+
+
 CH_HEAD = "SELECT 'chains' AS metric, CAST(count(*) AS VARCHAR) AS value FROM orders UNION ALL SELECT 'blocks', CAST(2*count(*) AS VARCHAR) FROM orders UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'"
 
 QUERIES = {
@@ -148,6 +210,20 @@ UNION ALL SELECT 'error_count', CAST(count(*) AS VARCHAR) FROM smprot WHERE star
     "check_wig": Query(_q(Q.check_wig, "wig", out=report), sql("""SELECT 'declarations' AS metric, CAST(count(DISTINCT k) AS VARCHAR) AS value FROM li UNION ALL SELECT 'records', CAST(count(*) AS VARCHAR) FROM li UNION ALL SELECT 'chrom_count', CAST(count(DISTINCT k%5) AS VARCHAR) FROM li
 UNION ALL SELECT 'unsorted_records', '0' UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'""", "li")),
     "check_genepred": Query(_q(Q.check_genepred, "genepred", out=report), sql("""SELECT 'records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM genepred UNION ALL SELECT 'layouts', '2' UNION ALL SELECT 'chrom_count', '5' UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '1'""", "genepred")),
+    "check_wig_rules": Query(_q(Q.check_wig, "wig_bad"), _count_sql(WIG_X, [(E, "declaration without chrom", "decl AND t NOT LIKE '% chrom=%'"), (E, "fixedStep without start or step", "t LIKE 'fixedStep%' AND (t NOT LIKE '% start=%' OR t NOT LIKE '% step=%')"),
+        (E, "declaration value is not a positive number", "decl AND (" + " OR ".join(_not_positive(n) for n in ("start", "step", "span")) + ")"), (E, "data before a declaration", "NOT decl AND at_ IS NULL"), (E, "data line not understood", "NOT decl AND at_ IS NOT NULL AND NOT good"),
+        (E, "position below 1", "good AND NOT fixed AND CAST(w[1] AS BIGINT)<1")], "wig_bad")),
+    "check_genepred_rules": Query(_q(Q.check_genepred, "genepred_bad"), _count_sql(GP_X, [(E, "layout not recognised", "o IS NULL"), (E, "too few columns", "o IS NOT NULL AND NOT w"), (W, "strand unknown", "w AND st='.'"), (E, "coordinates are not whole numbers", "w AND NOT ints"),
+        (E, "exon count is not a whole number", "ints AND n IS NULL"), (E, "transcript start below 0", "fu AND ts<0"), (E, "transcript end not after start", "fu AND te<=ts"), (E, "coding span outside the transcript", "fu AND (cs<ts OR ce>te)"), (E, "coding end before start", "fu AND ce<cs"), (E, "no exons", "fu AND n<1"),
+        (E, "exon starts differ from the count", "fu AND len(xs)<>n"), (E, "exon ends differ from the count", "fu AND len(xe)<>n"), (E, "exon end not after start", "fu AND len(xs)=len(xe) AND (xe[1]<=xs[1] OR xe[2]<=xs[2])"), (E, "exon outside the transcript", "fu AND len(xs)=len(xe) AND (list_min(xs)<ts OR list_max(xe)>te)"),
+        (W, "exons not sorted", "fu AND len(xs)=len(xe) AND xs[2]<xs[1]"), (W, "transcript and outer exons differ", "fu AND n>=1 AND (xs[1]<>ts OR xe[len(xe)]<>te)")], "genepred_bad")),
+    "check_chain_rules": Query(_q(Q.check_chain, "chain_bad"), _count_sql(CH_X, [(E, "block before a chain", "orphan"), (E, "header needs 12 or 13 fields", "NOT orphan AND NOT ok"), (W, "header without id", "n=12"), (E, "header numbers are not whole", "ok AND NOT ints"),
+        (E, "unknown strand", "ints AND (a NOT IN ('+', '-') OR z NOT IN ('+', '-'))"), (E, "sizes below 1", "ints AND (ts<1 OR qs<1)"), (E, "target end not after start", "ints AND t1<=t0"), (E, "query end not after start", "ints AND q1<=q0"), (E, "target end beyond its size", "ints AND t1>ts"),
+        (E, "query end beyond its size", "ints AND q1>qs"), (E, "block line not understood", "bad>0"), (E, "chain is not terminated", "ints AND NOT cl"), (E, "block after the end of a chain", "cl AND last_at>end_at"), (E, "target blocks differ from the span", "cl AND tu<>t1-t0"),
+        (E, "query blocks differ from the span", "cl AND qu<>q1-q0")], "chain_bad")),
+    "check_psl_rules": Query(_q(Q.check_psl, "psl_bad"), _count_sql(PSL_X, [(E, "record does not start with a number", "NOT num"), (E, "needs 21 or 23 fields", "num AND NOT fl"), (E, "numbers are not whole", "us AND NOT ints"), (E, "unknown strand", "us AND c[9]='*'"), (E, "lists differ from the block count", "ints AND NOT sh"),
+        (W, "first block differs from qStart", "sh AND q[1]<>v[12]"), (W, "last block differs from qEnd", "sh AND q[2]+b[2]<>v[13]"), (E, "counts differ from the aligned size", "sh AND pl AND v[1]+v[2]+v[3]+v[4]<>b[1]+b[2]"), (W, "counts differ from the aligned size", "sh AND NOT pl AND v[1]+v[2]+v[3]+v[4]<>b[1]+b[2]"),
+        *_psl_side("q", 11, 12, 13, 5, 6), *_psl_side("t", 15, 16, 17, 7, 8)], "psl_bad")),
     "check_sam": Query(_q(Q.check_sam, "sam_bad"), _count_sql(SAM_X, [(E, "SEQ and CIGAR lengths differ", "w AND c[6]='9M'"), (E, "QUAL and SEQ lengths differ", "w AND c[11]='III'"), (E, "SEQ has other characters", "w AND c[10]='AC1TACGT'"),
         (E, "fewer than 11 fields", "NOT w"), (E, "MAPQ out of range", "w AND c[5]='-1'"), (E, "tag not understood", "w AND c[12]='NM'")], "sam_bad")),
     "check_sam_report": Query(_q(Q.check_sam, "sam", out=report), sql("SELECT 'header_lines' AS metric, '1' AS value UNION ALL SELECT 'records', CAST(count(*) AS VARCHAR) FROM li UNION ALL SELECT 'unmapped', CAST(count(*) AS VARCHAR) FROM li WHERE pk%6=0 UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'", "li")),

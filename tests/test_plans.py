@@ -92,3 +92,14 @@ print(I.places(one, "at").groupBy(F.expr("at div 65536")).count().agg(F.max("cou
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=600)
     assert out.stdout.split("\n")[:4] == ["300000000 6 300000005 1", "30000001 0 300000010", "300001 2.0 2.0", "65536 65536"], out.stderr[-2000:]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+@pytest.mark.parametrize("check,table", [("check_wig", "wig_bad"), ("check_genepred", "genepred_bad"), ("check_chain", "chain_bad"), ("check_psl", "psl_bad")])
+def test_every_rule_fires(spark, check, table):
+    from locusframe.operators import quality
+    from locusframe.plans import q_quality  # noqa: F401
+    from locusframe.plans.views import view
+
+    found = getattr(quality, check)(view(spark, SF, table))
+    assert {(r.level, r.rule) for r in found.rule_counts().collect()} == {(r.level, r.name) for r in found.rules}
