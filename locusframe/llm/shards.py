@@ -1,8 +1,8 @@
 """Seeded two-pass shuffle of records into shards, built from Column expressions only.
 
 First pass: every whole record goes to the shard its id decides and, inside it, to one of the buckets
-that a seeded hash draws; the number of buckets follows from the measured bytes, so that a bucket
-fits in memory. Second pass: the records of each bucket are permuted by Spark's ``shuffle`` (Fisher-Yates)
+that a seeded hash draws; the number of buckets follows from the measured bytes of each shard, so that a
+bucket fits in memory also where one key holds much of the data, and each bucket is one task. Second pass: the records of each bucket are permuted by Spark's ``shuffle`` (Fisher-Yates)
 and written; a bucket's slots begin behind the buckets before it.
 """
 
@@ -39,15 +39,23 @@ def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     """
     body = F.coalesce(F.col(text), F.lit(""))
     bucket_name, place_name, shard_name = free_names(df, "_bucket", "_place", "_shard")
-    total = df.agg(F.sum(text_bytes(F.col(text))).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
-    buckets = max(1, -(-(total["bytes"] or 0) // (shards * bucket_bytes)), -(-total["rows"] // (shards * bucket_rows)))
+    shard = rendezvous_shard(F.col(f"`{key}`"), shards, seed)
+    sums = df.groupBy(shard.alias("shard")).agg(F.sum(text_bytes(F.col(f"`{text}`"))).alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
+    buckets = [1] * shards
+    for r in sums:
+        buckets[r["shard"]] = max(1, -(-r["bytes"] // bucket_bytes), -(-r["rows"] // bucket_rows))
+    first = [sum(buckets[:s]) for s in range(shards)]  # the buckets of a shard follow each other, each is one partition
+
+    def of_shard(values: list[int]) -> Column:
+        return F.element_at(F.array(*(F.lit(v) for v in values)), F.col("shard") + 1)
+
     records = df.select(
-        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("record"), F.col(key).alias("key"), F.crc32(body.cast("binary")).alias("text_crc32"),
-        F.monotonically_increasing_id().alias("row"))
-    records = records.withColumn("shard", rendezvous_shard(F.col("key"), shards, seed)).withColumn(
-        "bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), F.lit(buckets)).cast("int"))
-    dealt = records.repartition(shards * buckets, "shard", "bucket").sortWithinPartitions("shard", "bucket", "key", "text_crc32", "row")
-    packed = dealt.groupBy("shard", "bucket").agg(F.collect_list("record").alias("records"))
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("record"), F.col(f"`{key}`").alias("key"), F.crc32(body.cast("binary")).alias("text_crc32"),
+        shard.alias("shard"), F.monotonically_increasing_id().alias("row"))
+    drawn = F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), of_shard(buckets)).cast("int")
+    records = records.withColumn("bucket", drawn).withColumn("part", (of_shard(first) + F.col("bucket")).cast("int"))
+    dealt = records.repartitionById(sum(buckets), F.col("part")).sortWithinPartitions("part", "key", "text_crc32", "row")
+    packed = dealt.groupBy("part").agg(F.collect_list("record").alias("records"), F.first("shard").alias("shard"), F.first("bucket").alias("bucket"))
     placed = packed.select(F.col("shard").alias(shard_name), F.col("bucket").alias(bucket_name), F.posexplode(F.shuffle("records", seed)).alias(place_name, "record"))
     added = (bucket_name, place_name, shard_name)
     placed.select("record.*", *added).sortWithinPartitions(shard_name, bucket_name, place_name).write.partitionBy(shard_name).parquet(path)

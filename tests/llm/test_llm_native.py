@@ -41,6 +41,28 @@ def test_written_shards_hold_every_record(spark, tmp_path):
     assert back.select("_shard").distinct().count() == 8
 
 
+def test_a_hot_key_gets_more_buckets_not_larger_ones(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * 99) for i in range(2000)] + [(7, "y" * 99)] * 2000, "doc_id long, text string")
+    shards.write_shards(docs, str(tmp_path / "s"), bucket_bytes=5_000)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    sizes = back.groupBy("_shard", "_bucket").agg(F.sum(F.length("text") + 1).alias("b")).collect()
+    per_shard = back.groupBy("_shard").agg(F.sum(F.length("text") + 1).alias("b"), F.count_distinct("_bucket").alias("n")).collect()
+    assert max(r.b for r in sizes) < 9_000 and all(r.n == -(-r.b // 5_000) for r in per_shard)
+    files = back.select(F.input_file_name().alias("f"), "_shard", "_bucket").distinct().collect()
+    assert len({r.f for r in files}) == len(files) == len(sizes)  # one task per bucket
+
+
+def rendezvous(hashes):
+    return max(range(len(hashes)), key=lambda s: (hashes[s], -s))
+
+
+def test_shards_recomputed(spark):
+    docs = spark.createDataFrame([(i * 31, f"t{i}") for i in range(400)] + [(None, "n")], "doc_id long, text string")
+    scores = docs.select("doc_id", F.array(*(F.xxhash64(F.lit(17), F.lit(s), "doc_id") for s in range(9))).alias("h")).collect()
+    want = {r.doc_id: (rendezvous(r.h[:8]), rendezvous(r.h)) for r in scores}
+    assert {r.doc_id: (r.shard, r.grown_shard) for r in shards.shuffle_into_shards(docs).collect()} == want
+
+
 def test_slots_are_those_of_the_written_records(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i % 70}") for i in range(900)] + [(None, None)], "doc_id long, text string").repartition(3, "doc_id")
     path = str(tmp_path / "s")
