@@ -25,8 +25,6 @@ LOOK_ALIKES = str.maketrans({
     "α": "a", "ε": "e", "ο": "o", "ρ": "p", "ι": "i", "κ": "k", "ν": "v", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɡ": "g", "ⅼ": "l",
 })
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "$": "s", "@": "a"})
-#: Phrases in which a listed word is no insult.
-EXCEPTIONS = ("trash can", "trash bin", "trash collection", "clown fish", "scum line")
 _other = re.compile("[ıɡα-ωа-јⅠ-ⅿ！-～​-‍­]")
 _unseen = re.compile("[​-‍­]")
 _signs = re.compile(r"[0-9$@]+")
@@ -53,7 +51,7 @@ class Lexicon:
     """Entries (text, is whole word) with weights, exception phrases, and the calibration of the score."""
 
     weights: dict[tuple[str, bool], float]
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     slope: float = 1.0
     intercept: float = 0.0
     _automaton: object = field(default=None, repr=False)
@@ -121,13 +119,15 @@ def _draw(labels: DataFrame, per_class: int, seed: int) -> tuple[DataFrame, dict
 
 
 def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min_docs: int = 4, min_log_odds: float = 2.0, min_g2: float = 15.0, prefixes: range = range(4, 8),
-                  max_entries: int = 20_000, exceptions: tuple[str, ...] = EXCEPTIONS, seed: int = 23) -> Lexicon:
+                  max_entries: int = 20_000, max_phrases: int = 1000, exceptions: tuple[str, ...] = (), seed: int = 23) -> Lexicon:
     """Learn entries, weights, exception phrases and calibration from labelled documents.
 
     ``docs`` (doc_id, text), ``labels`` (doc_id, label 0 or 1). About ``per_class`` rows of each class are drawn by a seeded hash
     of the id; the drawn labels are what is broadcast. An entry needs ``min_docs`` toxic documents, a log odds ratio of
     ``min_log_odds`` and a log-likelihood ratio of ``min_g2``, which keeps chance finds out; an exception phrase needs three
-    different clean texts and significantly more of them than of toxic ones; a beginning of words replaces the entries it starts. Without both classes the
+    different clean texts and significantly more of them than of toxic ones; a beginning of words replaces the entries it starts. The model is bounded: words shorter than the first of ``prefixes`` are no
+    entries, the ``max_entries`` candidates in most toxic documents are weighed, the ``max_phrases`` in most clean texts are exceptions, and the word behind a
+    hit is looked for in 80 characters. ``exceptions`` are phrases known beforehand. Without both classes the
     lexicon is empty and every score is the share of toxic labels.
     """
     drawn, counts = _draw(labels, per_class, seed)
@@ -177,7 +177,7 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min
             yield pd.DataFrame(list(found), columns=["phrase", "y", "doc"]).astype({"phrase": object, "y": np.int64, "doc": np.int64})
 
     learned = sample.withColumn("_doc", F.xxhash64("text")).mapInPandas(phrases, "phrase string, y bigint, doc bigint").distinct().groupBy("phrase").agg(
-        F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).where("clean >= 3").orderBy(F.desc("clean"), "phrase").limit(1000).collect()
+        F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).where("clean >= 3").orderBy(F.desc("clean"), "phrase").limit(max_phrases).collect()
     learned = [r for r in learned if r["clean"] * n1 > r["toxic"] * n0 and g2(r["toxic"], r["clean"]) >= 3.84]
     lexicon.exceptions = tuple(dict.fromkeys((*exceptions, *(r["phrase"] for r in learned))))
     lexicon._automaton = None

@@ -68,7 +68,7 @@ def test_toxicity_folding_exceptions_and_odd_rows(spark):
         rows.append((i, " ".join(body), "aa", "s", 0))
         labels.append((i, int(bad)))
     docs = spark.createDataFrame(rows, DOCS)
-    lexicon = toxicity.train_lexicon(docs, spark.createDataFrame(labels + [(None, 1), (5000, None)], "doc_id long, label int"), min_g2=15)
+    lexicon = toxicity.train_lexicon(docs, spark.createDataFrame(labels + [(None, 1), (5000, None)], "doc_id long, label int"), min_g2=15, exceptions=("trash can",))
     assert ("vilefoo", True) in lexicon.weights or any("vilefoo".startswith(e) for e, _ in lexicon.weights)
     lexicon.weights["trash", True] = 5.0
     cases = [(1, "worta v1l3f00 wortb"), (2, "worta VILЕFОО wortb"), (3, "worta trash can wortb"), (4, "worta trash wortb"), (5, None), (6, ""),
@@ -90,7 +90,7 @@ def test_exceptions_need_an_excess_of_different_clean_texts(spark):
     rows += [(400 + i, f"noisy{i} vilefoo abc") for i in range(4)] + [(410, "vilefoo once " * 5)] + [(420 + i, "same vilefoo def") for i in range(4)]
     labels = [(i, int(i < 100)) for i, _ in rows]
     lexicon = toxicity.train_lexicon(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, label int"))
-    assert lexicon.weights and set(lexicon.exceptions) == set(toxicity.EXCEPTIONS)
+    assert lexicon.weights and lexicon.exceptions == ()
 
 
 def test_every_letter_form_is_folded():
