@@ -173,6 +173,15 @@ def _psl_side(side, size, start, end, number, bases):
             (E, f"{side} gap count differs from the blocks", f"sh AND pl AND {gap}"), (W, f"{side} gap count differs from the blocks", f"sh AND NOT pl AND {gap}")]
 
 
+RMSK_X = r""", r AS (SELECT ord, string_split(trim(value), ' ') AS c FROM rmsk WHERE trim(value) NOT LIKE 'SW%'), w AS (SELECT *, len(c)=15 AS m, c[5] AS qn, c[10] AS rn, TRY_CAST(c[6] AS BIGINT) AS b, TRY_CAST(c[7] AS BIGINT) AS e, TRY_CAST(nullif(regexp_extract(c[8], '^\((-?\d+)\)$', 1), '') AS BIGINT) AS l,
+  TRY_CAST(c[12] AS BIGINT) AS rb, TRY_CAST(c[13] AS BIGINT) AS re, TRY_CAST(nullif(regexp_extract(c[14], '^\((-?\d+)\)$', 1), '') AS BIGINT) AS rl, TRY_CAST(c[15] AS BIGINT) AS id FROM r),
+f AS (SELECT *, lag(b) OVER q AS pb, lag(e) OVER q AS pe, lag(id) OVER (ORDER BY ord) AS pid, first_value(e+l) OVER q AS ql, min_by(re+rl, ord) OVER (PARTITION BY rn) AS rlen FROM w WHERE m WINDOW q AS (PARTITION BY qn ORDER BY ord)),
+t AS (SELECT count(*) FILTER (WHERE b<pb) AS late, count(*) FILTER (WHERE b<=pe) AS over_, count(*) FILTER (WHERE id<=pid) AS ids, count(*) FILTER (WHERE re+rl<>rlen AND rl>=0) AS cons, count(DISTINCT qn) AS qs, count(DISTINCT rn) AS rs,
+  sum(CAST(coalesce(TRY_CAST(c[2] AS DOUBLE) NOT BETWEEN 0 AND 100 OR TRY_CAST(c[3] AS DOUBLE) NOT BETWEEN 0 AND 100 OR TRY_CAST(c[4] AS DOUBLE) NOT BETWEEN 0 AND 100, true) AS INT)+CAST(b IS NULL OR e IS NULL OR l IS NULL OR b<1 AS INT)+CAST(coalesce(e<b, false) AS INT)+CAST(c[9] NOT IN ('+', '-', 'C', 'c') AS INT)
+    +CAST(rb IS NULL OR re IS NULL OR rl IS NULL AS INT)+CAST(coalesce(re<rb, false) AS INT)+CAST(id IS NULL OR id<1 AS INT)+CAST(coalesce(e+l<>ql, false) AS INT)) AS errors FROM f)
+SELECT 'records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM w UNION ALL SELECT 'query_count', CAST(qs AS VARCHAR) FROM t UNION ALL SELECT 'repeat_count', CAST(rs AS VARCHAR) FROM t UNION ALL SELECT 'order_breaks', CAST(late AS VARCHAR) FROM t UNION ALL SELECT 'overlaps', CAST(over_ AS VARCHAR) FROM t
+UNION ALL SELECT 'id_breaks', CAST(ids AS VARCHAR) FROM t UNION ALL SELECT 'consensus_differs', CAST(cons AS VARCHAR) FROM t UNION ALL SELECT 'error_count', CAST(errors+(SELECT count(*) FROM w WHERE NOT m) AS VARCHAR) FROM t
+UNION ALL SELECT 'warning_count', CAST(CAST(late>0 AS INT)+CAST(over_>0 AS INT)+CAST(ids>0 AS INT)+CAST(cons>0 AS INT) AS VARCHAR) FROM t"""
 CH_HEAD = "SELECT 'chains' AS metric, CAST(count(*) AS VARCHAR) AS value FROM orders UNION ALL SELECT 'blocks', CAST(2*count(*) AS VARCHAR) FROM orders UNION ALL SELECT 'error_count', '0' UNION ALL SELECT 'warning_count', '0'"
 
 QUERIES = {
@@ -234,7 +243,7 @@ SELECT count(*) AS sequences, count(*) FILTER (WHERE n=0) AS empty_sequences, mi
     "fasta_odd_characters": Query(lambda s, d: Q.fasta_odd_characters(view(s, d, "fasta_lines")), sql("SELECT ch AS character, count(*) AS n FROM fasta_lines, (VALUES ('Z'), ('1')) t(ch) WHERE value='ACGTNZ1' GROUP BY 1", "fasta_lines")),
     "check_psl": Query(_q(Q.check_psl, "psl", out=lambda c: longs(c.summary().select("records", "queries", "targets", "duplicates", "error_count"))), sql(PSL + """
 SELECT count(*) AS records, count(DISTINCT q_name) AS queries, count(DISTINCT t_name) AS targets, count(*)-count(DISTINCT (q_name, t_name, q_start, t_start, bs)) AS duplicates, CAST(0 AS BIGINT) AS error_count FROM p""", "psl")),
-    "check_rmsk": Query(_q(Q.check_rmsk, "rmsk", out=report)),
+    "check_rmsk": Query(_q(Q.check_rmsk, "rmsk", out=report), sql(RMSK_X, "rmsk")),
     "check_chrom_sizes": Query(_q(Q.check_chrom_sizes, "size_lines"), _count_sql(SIZE_X, [(E, "looks like a fasta index", "len(w)=5"), (E, "needs 2 columns", "len(w) NOT IN (2, 5)"), (E, "repeated name", "ok AND k>1"), (E, "size is not a whole number", "ok AND size IS NULL"), (E, "size below 1", "ok AND size<1")], "size_lines")),
     "check_chrom_sizes_totals": Query(_q(Q.check_chrom_sizes, "size_lines", out=lambda c: longs(c.summary().select("chromosomes", "total_bases", "min_size", "max_size", "duplicate_names", "space_separated"))), sql(SIZE_X + """
 SELECT count(*) FILTER (WHERE ok) AS chromosomes, CAST(sum(size) FILTER (WHERE size>0) AS BIGINT) AS total_bases, min(size) FILTER (WHERE size>0) AS min_size, max(size) FILTER (WHERE size>0) AS max_size, count(*) FILTER (WHERE k>1) AS duplicate_names, count(*) FILTER (WHERE ok AND len(t)<>2) AS space_separated FROM x""", "size_lines")),
