@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions.sequence import identity_count
 from locusframe.functions.values import safe_ratio, to_float_lenient
 from locusframe.operators.intervals import interval_join, islands, union_length
-from locusframe.operators.ordered import left_lookup, running, with_rank
+from locusframe.operators.ordered import left_lookup, position_block, running, with_rank
 from locusframe.session import discard, materialize
 
 RUN = ["species", "mode"]
@@ -154,30 +152,52 @@ def _doubled(links: DataFrame) -> tuple[DataFrame, int]:
         steps += 1
 
 
-def _label_pass(distance: int):
-    """Order-dependent labelling of one cluster: each member takes its later neighbours to the smaller label.
+def _passed_labels(members: DataFrame, distance: int, trace: list[int] | None = None) -> DataFrame:
+    """``label_id`` of each member (species, mode, base_id, strand, island, segment_id, start, end).
 
-    Neighbours are found among the members sorted by start, so the work follows the number of near pairs, and
-    memory the number of members.
+    Two members at most ``distance`` apart meet; the meetings of a base id happen in the order of both ids, and at each one both take
+    the smaller of their labels, which start as the own ids. A meeting hangs on the last earlier one of either side,
+    so its label is the smallest id among all it hangs on. In each round a meeting hears the labels of its (at most two) priors, then
+    takes the prior of a prior that has only one itself, and drops a prior that another of its priors implies: chains and
+    ladders shrink by half. A round in which no label falls proves them all. Chains of 20,011 members, each near one to five next ones, take
+    at most 19 rounds in rising and falling ids and at most 25 in ids by a stride. ``trace`` receives the number of rounds.
     """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("segment_id", kind="mergesort").reset_index(drop=True)
-        s, e = pdf["start"].to_numpy(), pdf["end"].to_numpy()
-        labels = np.arange(len(pdf))
-        placed = np.argsort(s, kind="stable")
-        starts, reach = s[placed], np.maximum.accumulate(e[placed])
-        lower = np.searchsorted(reach, s - distance, "left")
-        upper = np.searchsorted(starts, e + distance, "right")
-        for i in range(len(pdf) - 1):
-            near = placed[lower[i] : upper[i]]
-            near = near[(near > i) & (e[near] >= s[i] - distance)]
-            if len(near):
-                near.sort()
-                low = np.minimum.accumulate(np.minimum(labels[near], labels[i]))
-                labels[near] = low
-                labels[i] = low[-1]
-        return pdf.assign(label_id=pdf["segment_id"].to_numpy()[labels])[[*RUN, "base_id", "segment_id", "label_id"]]
-    return run
+    base, cluster = [*RUN, "base_id"], [*RUN, "base_id", "strand", "island"]
+    numbers = rank_texts(members.select(*base, "segment_id").distinct(), base, "segment_id", "no")
+    placed = materialize(members.join(numbers, [*base, "segment_id"]).select(
+        *cluster, "segment_id", "no", "start", (F.col("end") + distance + 1).alias("reach")))
+    span = ("start", "reach")
+    met = interval_join(placed, placed, cluster, span, span).where("no < no_b")
+    met = materialize(met.select(*base, F.monotonically_increasing_id().alias("meeting"), F.col("no").alias("i"), F.col("no_b").alias("j")))
+    side = lambda own, other: F.struct(F.col(own).alias("no"), F.col(other).alias("partner"))
+    sides = met.select(*base, "meeting", F.inline(F.array(side("i", "j"), side("j", "i"))))
+    # a member meets its partners in the order of their numbers, smaller and larger ones alike
+    hangs = running(sides, [*base, "no"], ["partner"], position_block("partner"), {"prior": ("last", F.col("meeting"))}, exclusive=True)
+    state = materialize(hangs.groupBy("meeting").agg(F.min("no").alias("label"), F.collect_list("prior").alias("priors")))
+    rounds, going = 0, not state.isEmpty()
+    while going:
+        told = state.select(F.col("meeting").alias("from"), F.col("label").alias("heard"), F.col("priors").alias("ahead"))
+        heard = state.select("meeting", F.explode("priors").alias("from")).join(told, "from").groupBy("meeting").agg(
+            F.min("heard").alias("heard"), F.collect_list(F.struct("from", "ahead")).alias("m"))
+        forked = lambda x: F.size(x["ahead"]) > 1
+        next_ = F.flatten(F.transform("m", lambda x: F.when(forked(x), F.array(x["from"])).otherwise(x["ahead"])))
+        implied = F.flatten(F.transform(F.filter("m", forked), lambda x: x["ahead"]))
+        after = materialize(state.join(heard, "meeting", "left").select(
+            "meeting", F.least("label", "heard").alias("label"), F.when(F.col("m").isNull(), F.col("priors")).otherwise(F.array_except(next_, implied)).alias("priors"),
+            F.coalesce(F.col("heard") < F.col("label"), F.lit(False)).alias("fell")))
+        going, rounds = not after.where("fell").isEmpty(), rounds + 1
+        discard(state)
+        state = after
+    if trace is not None:
+        trace.append(rounds)
+    last = sides.groupBy(*base, "no").agg(F.max_by("meeting", "partner").alias("meeting"))
+    label = last.join(state.select("meeting", "label"), "meeting").select(*base, "no", "label")
+    own = placed.select(*base, "segment_id", "no").join(label, [*base, "no"], "left").withColumn("label", F.coalesce("label", "no"))
+    names = placed.select(*base, F.col("no").alias("label"), F.col("segment_id").alias("label_id"))
+    out = materialize(own.join(names, [*base, "label"]).select(*base, "segment_id", "label_id"))
+    for table in (placed, met, state):
+        discard(table)
+    return out
 
 
 def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) -> DataFrame:
@@ -185,7 +205,8 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
 
     A base id with one segment keeps its bare id, others get ``_1``, ``_2``, ... by the smallest
     member. Clusters further apart than ``distance`` or on other strands never interact, so each is
-    labelled on its own; the numbering over a base id is a count of smaller labels.
+    labelled on its own; the numbering over a base id is a count of smaller labels. Segment ids are unique within a species
+    and mode. The work follows the pairs of near members of clusters longer than the distance.
     """
     keys = [*RUN, "base_id"]
     rows = kept.select(*keys, "segment_id").join(
@@ -198,8 +219,7 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
     sized = placed.join(extent, cluster)
     # all members near each other: the first one passes its label to every other at once
     compact = sized.where("compact").select(*keys, "segment_id", "label_id")
-    chained = sized.where("not compact").select(*cluster, "segment_id", "start", "end").groupBy(*cluster).applyInPandas(
-        _label_pass(distance), "species string, mode string, base_id string, segment_id string, label_id string")
+    chained = _passed_labels(sized.where("not compact").select(*cluster, "segment_id", "start", "end"), distance)
     labelled = compact.unionByName(chained)
     alone = rows.where("start is null").select(*keys, "segment_id", F.col("segment_id").alias("label_id"))
     labelled = materialize(labelled.unionByName(alone))

@@ -138,6 +138,25 @@ def test_long_chain_of_nearby_segments(spark):
     assert [(r.grouped_id, r.n) for r in got.groupBy("grouped_id").agg(F.count("*").alias("n")).collect()] == [("tx_1", n)]
 
 
+@pytest.mark.parametrize("order, distance", [("id", 210), ("(id * 7919) % 20011", 210)])
+def test_labels_pass_along_chains_in_few_rounds(spark, order, distance):
+    n = 20_011
+    rows = spark.range(n).selectExpr(
+        "'m' AS species", "'lnc' AS mode", "'tx' AS base_id", "'+' AS strand", "0L AS island", f"concat('tx_', lpad(cast({order} AS string), 6, '0')) AS segment_id",
+        "id * 100 AS start", "id * 100 + 95 AS end")
+    at = {int(r.segment_id[3:]): r.start // 100 for r in rows.collect()}
+    member = {place: no for no, place in at.items()}
+    label = {no: no for no in at}
+    steps = range(1, (distance - 5) // 100 + 2)
+    for no in sorted(at):
+        for other in sorted(o for k in steps for o in (member.get(at[no] - k), member.get(at[no] + k)) if o is not None and o > no):
+            label[no] = label[other] = min(label[no], label[other])
+    rounds = []
+    got = conservation._passed_labels(rows, distance, rounds)
+    assert {int(r.segment_id[3:]): int(r.label_id[3:]) for r in got.collect()} == label
+    assert rounds[0] <= 20
+
+
 def test_sites_and_windows(spark):
     r = random.Random(7)
     def sites(n):
