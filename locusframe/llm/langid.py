@@ -125,22 +125,22 @@ def fit_kernel(sets: list[np.ndarray], labels: list[str], n_max: int, landmarks_
 
 def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n_max: int = 3, per_language: int = 250,
                          landmarks_per_language: int = 32, ridge: float = 0.3, seed: int = 11) -> KernelModel:
-    """Fit on about ``per_language`` texts of each language, drawn by a seeded hash of the text.
+    """Fit on about ``per_language`` texts of each language, drawn by a seeded hash of the text; copies of a drawn text count once.
 
-    Rows without a language or a letter are not learned from.
+    Rows without a language or a letter are not learned from. The model holds a column for each language, so these must be few.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     scale = 1_000_000_000
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col("lang") == lang) & (F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < int(scale * min(1.0, per_language / n))))
+    bounds = [F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(scale * min(1.0, per_language / n)))]
+    bound = F.try_element_at(F.create_map(*bounds) if bounds else F.create_map().cast("map<string,int>"), F.col("lang"))
+    drawn = rows.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < bound).distinct()
 
     def run(batches):
         for pdf in batches:
             yield pd.DataFrame({"lang": pdf["lang"], "grams": [grams(t, n_max).view(np.int64) for t in pdf["text"]]})
 
-    drawn = rows.where(keep).mapInPandas(run, "lang string, grams array<bigint>").collect()
+    drawn = drawn.mapInPandas(run, "lang string, grams array<bigint>").collect()
     drawn.sort(key=lambda r: (r["lang"], r["grams"][:8], len(r["grams"])))
     sets = [np.array(r["grams"], np.int64).view(np.uint64) for r in drawn]
     return fit_kernel(sets, [r["lang"] for r in drawn], n_max, landmarks_per_language, ridge, seed)
