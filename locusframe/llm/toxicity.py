@@ -186,16 +186,17 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = 4000, min
         for pdf in batches:
             yield pd.DataFrame({"x": [lexicon.strength(t) for t in pdf["text"]], "y": pdf["_y"]})
 
-    points = sample.mapInPandas(strengths, "x double, y int").toPandas()
-    lexicon.slope, lexicon.intercept = calibrate(points["x"].to_numpy(), points["y"].to_numpy(), prior)
+    points = sample.mapInPandas(strengths, "x double, y int").groupBy("x", "y").count().toPandas().sort_values(["x", "y"])
+    lexicon.slope, lexicon.intercept = calibrate(points["x"].to_numpy(), points["y"].to_numpy(), prior, points["count"].to_numpy())
     return lexicon
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, prior: float, penalty: float = 0.05, steps: int = 60) -> tuple[float, float]:
-    """Logistic curve of the strength, classes weighted to their shares among all labels."""
+def calibrate(x: np.ndarray, y: np.ndarray, prior: float, copies: np.ndarray, penalty: float = 0.05, steps: int = 60) -> tuple[float, float]:
+    """Logistic curve of the strength (points with their number of rows), classes weighted to their shares among all labels."""
     if not len(x):
         return 0.0, math.log(prior / (1 - prior))
-    weight = np.where(y == 1, prior / max((y == 1).mean(), 1e-9), (1 - prior) / max((y == 0).mean(), 1e-9))
+    toxic = np.average(y == 1, weights=copies)
+    weight = copies * np.where(y == 1, prior / max(toxic, 1e-9), (1 - prior) / max(1 - toxic, 1e-9))
     a = np.stack([x, np.ones(len(x))], axis=1)
     w = np.zeros(2)
     for _ in range(steps):
