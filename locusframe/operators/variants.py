@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from locusframe.functions import variant as V
 from locusframe.functions.values import normalize_chrom, to_float, to_int
 from locusframe.operators.intervals import interval_join
+from locusframe.session import materialize
 from locusframe.sources.vcf import alt_text
 
 COSMIC_MIN_SCORE = 0.7
@@ -246,27 +247,29 @@ def extract_variants(gvcf: DataFrame) -> DataFrame:
     return gvcf.where(F.exists("alts", lambda a: ~a.isin(".", "<NON_REF>", "<*>")))
 
 
-def field_numbers(meta: DataFrame, kind: str) -> Column:
-    """Header Number by field id as one map literal: headers are small and read on the driver."""
-    rows = meta.where((F.col("kind") == kind) & F.col("id").isNotNull() & F.col("number").isNotNull()).select("ord", "id", "number").orderBy("ord").collect()
-    pairs = {r.id: r.number for r in rows}
-    if not pairs:
-        return F.create_map().cast("map<string,string>")
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+def header_numbers(meta: DataFrame) -> DataFrame:
+    """One row per file: path and the header Numbers by field id of INFO and of FORMAT, the last line of an id winning."""
+    def numbers(kind: str) -> Column:
+        lines = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("ord", "id", "number"))))
+        return F.map_from_entries(F.transform(lines, lambda x: F.struct(x["id"], x["number"])))
 
+    stated = meta.where(F.col("kind").isin("INFO", "FORMAT") & F.col("id").isNotNull() & F.col("number").isNotNull())
+    return stated.groupBy("path").agg(numbers("INFO").alias("info_numbers"), numbers("FORMAT").alias("format_numbers"))
 
-def normalize_alleles(vcf: DataFrame, info_numbers: Column, format_numbers: Column) -> DataFrame:
+
+def normalize_alleles(vcf: DataFrame, meta: DataFrame) -> DataFrame:
     """One row per alternate allele for multiallelic records; others pass unchanged.
 
-    INFO and FORMAT values are cut by their header Number, genotypes are recoded and diploid
-    Number=G values subset; ``kept_genotype_fields`` counts G fields left whole.
+    INFO and FORMAT values are cut by the Number that the header of the record's own file states, genotypes are recoded and diploid
+    Number=G values subset; ``kept_genotype_fields`` counts G fields left whole. Headers are written as a small table, so
+    that Spark broadcasts it by its size, or splits the records of a large file where it is too big for that.
     """
-    single = vcf.where(F.size("alts") <= 1).withColumn("kept_genotype_fields", F.lit(0))
-    multi = vcf.where(F.size("alts") > 1).select("*", F.posexplode("alts").alias("_i", "_alt")).withColumn("_n", F.size("alts"))
-    i, n = F.col("_i"), F.col("_n")
+    numbers = materialize(header_numbers(meta))
+    several = F.size("alts") > 1
+    rows = vcf.join(numbers, "path", "left").select("*", F.size("alts").alias("_n"), F.posexplode_outer(F.when(several, F.col("alts"))).alias("_i", "_alt"))
+    several, i, n, formats = F.col("_n") > 1, F.col("_i"), F.col("_n"), F.col("formats")
     items = F.transform(V.info_items(F.col("info")), lambda x: F.struct(x["k"].alias("k"), F.when(
-        x["v"].isNotNull(), V.pick_for_allele(x["v"], F.try_element_at(info_numbers, x["k"]), i, n)).alias("v")))
-    formats = F.col("formats")
+        x["v"].isNotNull(), V.pick_for_allele(x["v"], F.try_element_at("info_numbers", x["k"]), i, n)).alias("v")))
 
     def values_of(sample: Column) -> Column:
         v = F.split(sample, ":", -1)
@@ -274,25 +277,23 @@ def normalize_alleles(vcf: DataFrame, info_numbers: Column, format_numbers: Colu
         return F.slice(F.concat(v, pad), 1, F.greatest(F.size(formats), F.lit(1)))
 
     def field(name: Column, value: Column) -> Column:
-        number = F.try_element_at(format_numbers, name)
-        return (
+        number = F.try_element_at("format_numbers", name)
+        picked = (
             F.when(name == "GT", V.recode_genotype(value, i))
             .when(value.isin(".", ""), value)
-            .when(number == "G", F.coalesce(V.pick_genotype_values(value, n, i), value))
+            .when(number == "G", V.pick_genotype_values(value, n, i))
             .otherwise(V.pick_for_allele(value, number, i, n)))
-
-    def kept_whole(name: Column, value: Column) -> Column:
-        bad = (F.try_element_at(format_numbers, name) == "G") & (name != "GT") & ~value.isin(".", "") & V.pick_genotype_values(value, n, i).isNull()
-        return F.when(bad, 1).otherwise(0)
-
-    has_format = F.size(formats) > 0
-    samples = F.when(has_format, F.transform("samples", lambda s: F.array_join(
-        F.zip_with(formats, values_of(s), field), ":"))).otherwise(F.col("samples"))
-    kept = F.when(has_format, F.aggregate(F.flatten(F.transform("samples", lambda s: F.zip_with(
-        formats, values_of(s), kept_whole))), F.lit(0), lambda a, b: a + F.coalesce(b, F.lit(0)))).otherwise(F.lit(0))
-    split = multi.withColumns({
-        "info": V.info_text(items), "samples": samples, "kept_genotype_fields": kept, "alts": F.array("_alt")}).drop("_i", "_alt", "_n")
-    return single.unionByName(split)
+        return F.struct(picked.alias("picked"), value.alias("whole"))
+
+    # per sample and field the value of the allele, null where a G field is not diploid and stays whole
+    cut = several & (F.size("formats") > 0)
+    rows = rows.withColumn("_cells", F.when(cut, F.transform("samples", lambda s: F.zip_with(formats, values_of(s), field))))
+    texts = F.transform("_cells", lambda s: F.array_join(F.transform(s, lambda x: F.coalesce(x["picked"], x["whole"])), ":"))
+    kept = F.aggregate("_cells", F.lit(0), lambda a, s: a + F.size(F.filter(s, lambda x: x["picked"].isNull())))
+    return rows.withColumns({
+        "info": F.when(several, V.info_text(items)).otherwise(F.col("info")), "samples": F.coalesce(texts, "samples"),
+        "kept_genotype_fields": F.coalesce(kept, F.lit(0)), "alts": F.when(several, F.array("_alt")).otherwise(F.col("alts")),
+    }).select(*vcf.columns, "kept_genotype_fields")
 
 
 def contig_ranks(vcf: DataFrame, explicit: Sequence[str] | None = None, meta: DataFrame | None = None) -> DataFrame:

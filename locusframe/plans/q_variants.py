@@ -123,8 +123,7 @@ def q_gvcf(s, d):
 
 
 def q_normalize(s, d):
-    m = metas(s, d)
-    out = V.normalize_alleles(recs(s, d), V.field_numbers(m, "INFO"), V.field_numbers(m, "FORMAT"))
+    out = V.normalize_alleles(recs(s, d), metas(s, d))
     return longs(out.select("ord", "chrom", "pos", "ref", alt_text(F.col("alts")).alias("alt"), "info", F.array_join("samples", " ").alias("samples"), "kept_genotype_fields"))
 
 

@@ -153,3 +153,19 @@ def test_contig_and_track_exports(spark, lines, tmp_path):
         raise AssertionError("colour above 255 accepted")
     assert variants.vcf_statistics(rec).where("metric = 'ts_tv_ratio'").first().value == "NA"
     assert rec.select(F.max("pos")).first()[0] == 1220
+
+
+def test_alleles_are_cut_by_the_header_of_their_own_file(spark):
+    meta = spark.createDataFrame([("p", 1, "INFO", "X", "1"), ("p", 2, "INFO", "X", "A"), ("q", 1, "INFO", "X", "R"), ("q", 2, "FORMAT", "PL", "G")], "path string, ord long, kind string, id string, number string")
+    row = lambda path, alts, info, formats, samples: (path, 9, "1", 5, ".", "A", alts, ".", ".", info, formats, samples)
+    schema = ("path string, ord long, chrom string, pos long, id string, ref string, alts array<string>, qual string, filter string, info string, "
+              "formats array<string>, samples array<string>")
+    vcf = spark.createDataFrame([
+        row("p", ["C", "G"], "X=1,2;F", [], []), row("q", ["C", "G"], "X=0,1,2", ["GT", "PL"], ["1/2:0,1,2,3,4,5", "0|2:7,8"]),
+        row("r", ["C", "G"], "X=1,2", [], []), row("q", ["T"], "X=0,1", ["GT"], ["1/1"])], schema)
+    got = {(r.path, tuple(r.alts)): (r["info"], r.samples, r.kept_genotype_fields) for r in variants.normalize_alleles(vcf, meta).collect()}
+    assert got == {
+        ("p", ("C",)): ("X=1;F", [], 0), ("p", ("G",)): ("X=2;F", [], 0),
+        ("q", ("C",)): ("X=0,1", ["1/.:0,1,2", "0|.:7,8"], 1), ("q", ("T",)): ("X=0,1", ["1/1"], 0),
+        ("q", ("G",)): ("X=0,2", ["./1:0,3,5", "0|1:7,8"], 1),
+        ("r", ("C",)): ("X=1", [], 0), ("r", ("G",)): ("X=2", [], 0)}
