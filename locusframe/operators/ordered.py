@@ -111,11 +111,12 @@ def left_lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread: list
     """Left join by keys in which rows without a key do not all meet in one task.
 
     A null key (with ``blanks`` also an empty text) matches nothing, so such rows are spread by the values of ``spread``.
+    The zero that marks the others is computed from the keys: a constant would be taken out of the keys of the join.
     """
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull() | ((F.col(k) == "") if blanks else F.lit(False))
-    none = F.lit(0).cast("bigint")
+    none = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
     salted = rows.withColumn("_apart", F.when(missing, F.xxhash64(*spread)).otherwise(none))
     return salted.join(table.withColumn("_apart", none), [*keys, "_apart"], "left").drop("_apart")
 

@@ -79,6 +79,17 @@ def test_whole_numbers_of_a_list(spark):
         assert r.a == r.b
 
 
+def test_rows_without_a_key_stay_spread_where_a_key_is_constant(spark):
+    """A constant mark would leave the keys of the join and put all rows without a key into one task."""
+    rows = spark.range(4000).select(F.lit("f").alias("path"), F.when(F.col("id") < 10, F.col("id").cast("string")).alias("k"), "id")
+    table = rows.where("k is not null").groupBy("path", "k").agg(F.max("id").alias("m"))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, "spark.sql.adaptive.enabled", "false"):
+        out = left_lookup(rows, table, ["path", "k"], ["id"])
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 4000 and max(sizes) < 2000
+        assert out.where("m is not null").count() == 10
+
+
 def test_annotation_bins_find_all_overlaps(spark):
     import random
 
