@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions import variant as V
 from locusframe.functions.values import int_list, to_int_lenient
+from locusframe.operators import variants
 from locusframe.operators import quality as Q
 from locusframe.operators.intervals import interval_join
 from locusframe.operators.ordered import left_lookup
@@ -118,3 +119,12 @@ def test_annotation_bins_find_all_overlaps(spark):
     right = spark.createDataFrame(b, "j int, chrom string, start bigint, end bigint")
     got = sorted((x.i, x.j) for x in interval_join(left, right, short_side="right", classes=ANNOTATION_BINS).collect())
     assert got == sorted((i, j) for i, c, s, e in a for j, d, t, u in b if c == d and s < u and t < e)
+
+
+def test_significance_text_is_cut_out_once(lines):
+    head = ("chr7", "5", ".", "C", "T", "40", ".")
+    infos = ["CLNSIG=Likely_benign,Risk_Factor;RS=9", "CLNSIG=Affects", "CLNSIG=not_provided", "DP=3", ".", "CLNSIG=Benign;CLNSIG=Drug_response", "CLNSIG"]
+    kept = variants.clinvar_filter(parse_vcf(lines("\n".join("\t".join([*head, i]) for i in infos))))
+    assert sorted((r.clinical_labels, r.dbsnp_id) for r in kept.collect()) == [("Affects", "NA"), ("Benign|Risk factor", "rs9"), ("Drug response", "NA")]
+    plan = optimized(kept)
+    assert plan.count("replace(lower(") == 1, plan
