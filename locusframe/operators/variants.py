@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions import variant as V
-from locusframe.functions.values import normalize_chrom, to_float, to_int
+from locusframe.functions.values import normalize_chrom, to_float, to_int, with_cells
 from locusframe.operators.intervals import interval_join
 from locusframe.session import materialize
 from locusframe.sources.vcf import alt_text
@@ -349,10 +349,11 @@ def genotype_table(vcf: DataFrame, samples: Sequence[str]) -> DataFrame:
     at = F.array_position("formats", "GT").cast("int")
     calls = vcf.select("chrom", "pos", "id", "ref", "alts", at.alias("_at"), F.posexplode("samples").alias("_s", "_v"))
     gt = F.when(F.col("_at") > 0, F.try_element_at(F.split("_v", ":", -1), F.col("_at")))
+    calls = with_cells(calls, "_gt", F.split(F.replace(gt, F.lit("|"), F.lit("/")), "/"))
     bases = F.concat(F.array("ref"), F.col("alts"))
 
     def allele(k: int) -> Column:
-        index = to_int(F.try_element_at(F.split(gt, "[/|]"), F.lit(k)))
+        index = to_int(F.try_element_at("_gt", F.lit(k)))
         return F.coalesce(F.try_element_at(bases, (index + 1).cast("int")), F.lit("0"))
 
     names = F.array(*[F.lit(s) for s in samples])

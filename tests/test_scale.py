@@ -128,3 +128,11 @@ def test_significance_text_is_cut_out_once(lines):
     assert sorted((r.clinical_labels, r.dbsnp_id) for r in kept.collect()) == [("Affects", "NA"), ("Benign|Risk factor", "rs9"), ("Drug response", "NA")]
     plan = optimized(kept)
     assert plan.count("replace(lower(") == 1, plan
+
+
+def test_genotype_text_is_split_once(lines):
+    row = ("chr7", "5", "v", "C", "T,G", ".", ".", ".", "DP:GT")
+    table = variants.genotype_table(parse_vcf(lines("\t".join([*row, "3:0/2", "4:1|0", "5:./1", "6", "7:0/1|2"]))), list("abcde"))
+    assert {r.sample: (r.a1, r.a2) for r in table.collect()} == {"a": ("C", "G"), "b": ("T", "C"), "c": ("0", "T"), "d": ("0", "0"), "e": ("C", "T")}
+    plan = optimized(table)
+    assert plan.count("_v#") and "[/|]" not in plan, plan
