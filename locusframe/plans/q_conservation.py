@@ -8,6 +8,7 @@ from locusframe.operators import conservation as C
 from locusframe.operators.intervals import union_length
 from locusframe.plans.registry import Query, longs
 from locusframe.plans.views import VIEWS, sql, view
+from locusframe.session import materialize
 from locusframe.functions.sequence import identity_count
 from locusframe.sources.tables import parse_block_table
 
@@ -78,9 +79,18 @@ def drops(s, d):
     return C.duplicate_segments(scores(s, d), blocks(s, d, "seg_blocks"))
 
 
+def scored_and_dropped(s, d):
+    """Scores, written as several steps read them, and the segments dropped among them."""
+    sc = materialize(scores(s, d))
+    return sc, C.duplicate_segments(sc, blocks(s, d, "seg_blocks"))
+
+
+def groups_of(s, d, sc, gone):
+    return C.nearby_groups(sc.join(gone, [*C.RUN, "segment_id"], "left_anti"), blocks(s, d, "seg_blocks"))
+
+
 def grouped(s, d):
-    kept = scores(s, d).join(drops(s, d), [*C.RUN, "segment_id"], "left_anti")
-    return C.nearby_groups(kept, blocks(s, d, "seg_blocks"))
+    return groups_of(s, d, *scored_and_dropped(s, d))
 
 
 def q_fraction(s, d):
@@ -111,12 +121,13 @@ def q_aggregate(s, d):
 
 def q_statistics(s, d):
     """Whole chain: duplicates, groups, statistics (rows only: the passes depend on the order of ids)."""
-    sc, gr = scores(s, d), grouped(s, d)
-    return C.aggregate_groups(sc, gr, blocks(s, d, "seg_blocks"), blocks(s, d, "tx_blocks"))
+    sc, gone = scored_and_dropped(s, d)
+    return C.aggregate_groups(sc, groups_of(s, d, sc, gone), blocks(s, d, "seg_blocks"), blocks(s, d, "tx_blocks"))
 
 
 def q_qc(s, d):
-    return C.qc(scores(s, d), drops(s, d), grouped(s, d))
+    sc, gone = scored_and_dropped(s, d)
+    return C.qc(sc, gone, groups_of(s, d, sc, gone))
 
 
 def q_enrich(s, d):

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from locusframe.functions import variant as V
 from locusframe.functions.values import int_list, to_int_lenient
-from locusframe.operators import variants
+from locusframe.operators import conservation, variants
 from locusframe.operators import quality as Q
 from locusframe.operators.intervals import interval_join
 from locusframe.operators.ordered import left_lookup
 from locusframe.operators.variants import ANNOTATION_BINS
+from locusframe.plans import q_conservation
 from locusframe.plans.views import view
 from locusframe.sources.annotation import parse_annotation, parse_bed
 from locusframe.sources.vcf import parse_vcf
@@ -136,3 +137,18 @@ def test_genotype_text_is_split_once(lines):
     assert {r.sample: (r.a1, r.a2) for r in table.collect()} == {"a": ("C", "G"), "b": ("T", "C"), "c": ("0", "T"), "d": ("0", "0"), "e": ("C", "T")}
     plan = optimized(table)
     assert plan.count("_v#") and "[/|]" not in plan, plan
+
+
+def test_duplicate_segments_are_judged_once(spark, tmp_path, monkeypatch):
+    rows = [(k, n, 10 * k + n % 2, 7 * n + k, 5.0, 0.05, "A", "F") for k in range(12) for n in range(1, 5)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, l_returnflag string, l_linestatus string").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    gone = {(r.species, r.segment_id) for r in q_conservation.drops(spark, str(tmp_path)).collect()}
+    groups = {(r.species, r.grouped_id) for r in q_conservation.grouped(spark, str(tmp_path)).collect()}
+    calls, real = [], conservation.duplicate_segments
+    monkeypatch.setattr(conservation, "duplicate_segments", lambda *a: calls.append(1) or real(*a))
+    got = {r.species: r[2:] for r in q_conservation.q_qc(spark, str(tmp_path)).collect()}
+    assert len(calls) == 1
+    for species in ("mouse", "rat"):
+        n = sum(s == species for s, _ in gone)
+        assert n and got[species] == (24, n, 24 - n, sum(s == species for s, _ in groups))
