@@ -27,11 +27,12 @@ class Vocabulary(dict):
     """Token ids, as little-endian unsigned 32-bit bytes, of the strings between white space.
 
     The tokenizer never joins across white space, nor a run of letters with the punctuation behind it,
-    so a text's ids are those of such parts one after another. New letter runs are encoded many at a time.
+    so a text's ids are those of such parts one after another. A new string gets an empty place, which ``learn`` fills
+    for many strings at a time. Strings not met for a while are forgotten, others are kept.
     """
 
     limit = 700_000
-    _parts = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+    _parts = re.compile(rb"^(?:([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)$|.+$)", re.MULTILINE)
 
     def __init__(self, name: str):
         import os
@@ -42,56 +43,79 @@ class Vocabulary(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
         self.tokenizer = Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
-        self.runs: dict[bytes, bytes] = {}
+        suffix, known = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values(), default=-1) + 1, bool)
+        self.ends[[i for token, i in known.items() if suffix and token.endswith(suffix)]] = True
+        self.older: dict[bytes, bytes] = {}
+        self.unknown: dict[bytes, bytearray] = {}
+        self.runs: dict[bytes, bytes | None] = {}  # none for what is not of letters only
         self.marks: dict[bytes, bytes] = {b"": b""}
 
+    def __missing__(self, word: bytes) -> bytes | bytearray:
+        ids = self.older.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
+        return self.unknown.setdefault(word, bytearray())
+
     @staticmethod
     def split(text: str | None) -> list[bytes]:
         """Strings between white space; in lower case, as the tokenizer makes it, unless a special token may be among them."""
         coded = (text or "").encode("utf-8")
         return (coded if b"<|" in coded else coded.lower()).split()
 
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text."""
+        parts = [list(map(self.__getitem__, self.split(t))) for t in texts]
+        self.learn()
+        return list(map(b"".join, parts))
+
     def encode(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > self.limit:
+    def learn(self) -> None:
+        """Fill the places of the strings that were not known."""
+        if 2 * len(self) > self.limit:
+            self.older = dict(self)
             self.clear()
         if len(self.runs) > self.limit:
             self.runs.clear()
-        split, fresh = [], set()
-        for word in words.difference(self):
-            m = self._parts.fullmatch(word.lower())
-            if m is None or not (m[1].isascii() or _letters(m[1].decode("utf-8"))):
-                self[word] = self.encode(word)
-                continue
-            run, mark = m.groups()
-            split.append((word, run, mark))
-            if run not in self.runs:
-                fresh.add(run)
-            if mark not in self.marks:
-                self.marks[mark] = self.encode(mark)
-        fresh = list(fresh)
+        split = self._parts.findall(b"\n".join(self.unknown).lower())
+        fresh = list({run for run, _ in split}.difference(self.runs, (b"",)))
         for at in range(0, len(fresh), 1000):
             self._learn_runs(fresh[at : at + 1000])
-        for word, run, mark in split:
-            self[word] = self.runs[run] + self.marks[mark]
+        for (word, place), (run, mark) in zip(self.unknown.items(), split):
+            ids = self.runs[run] if run else None
+            if ids is None:
+                ids = self.encode(word)
+            elif mark:
+                if mark not in self.marks:
+                    self.marks[mark] = self.encode(mark)
+                ids += self.marks[mark]
+            place += ids
+            self[word] = ids
+        self.unknown.clear()
 
     def _learn_runs(self, runs: list[bytes]) -> None:
-        """Encode letter runs as one text, told apart by the tokenizer's word numbers; one by one should these not agree."""
-        coded = self.tokenizer.encode(b" ".join(runs).decode("utf-8"), add_special_tokens=False)
-        numbers = np.array(coded.word_ids)
-        starts = np.flatnonzero(np.diff(numbers, prepend=-1)) if len(numbers) else []
-        if len(starts) != len(runs) or numbers[-1] != len(runs) - 1:
+        """Encode letter runs as one text, told apart by the tokens that end a word; one by one should these not agree."""
+        if not _letters(b"".join(r for r in runs if not r.isascii()).decode("utf-8")):
+            letters = [r for r in runs if r.isascii() or _letters(r.decode("utf-8"))]
+            self.runs.update(dict.fromkeys(set(runs).difference(letters)))
+            runs = letters
+        if not runs:
+            return
+        numbers = np.array(self.tokenizer.encode_batch_fast([b" ".join(runs).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[numbers]) + 1
+        if len(ends) != len(runs) or ends[-1] != len(numbers):
             self.runs.update((r, self.encode(r)) for r in runs)
             return
-        ids, ends = np.array(coded.ids, "<u4").tobytes(), [*(4 * starts).tolist(), 4 * len(coded.ids)]
-        self.runs.update((r, ids[a:b]) for r, a, b in zip(runs, ends, ends[1:]))
+        ids, ends = numbers.tobytes(), (4 * ends).tolist()
+        self.runs.update((r, ids[a:b]) for r, a, b in zip(runs, [0, *ends], ends))
 
 
 def _letters(text: str) -> bool:
-    """Whether a text is of letters only, also as the tokenizer normalises it."""
-    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+    """Whether a text has nothing but letters, also as the tokenizer normalises it."""
+    return not text or text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -113,10 +137,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
             out = []
             for at in range(0, len(pdf), step):
                 part = pdf.iloc[at : at + step]
-                texts = [words.split(t) for t in part[text_col]]
-                words.learn(set().union(*texts))
-                for doc, t in zip(part[id_col], texts):
-                    ids = b"".join(map(words.__getitem__, t)) + closing
+                for doc, ids in zip(part[id_col], words.ids(part[text_col].tolist())):
+                    ids += closing
                     for piece, first in enumerate(range(0, len(ids), 4 * capacity)):
                         body = ids[first : first + 4 * capacity]
                         out.append((doc, piece, first // 4, len(body) // 4, zlib.crc32(body)))

@@ -113,6 +113,21 @@ def test_pieces_equal_the_tokenizer(spark):
     assert packing.pack_documents(docs.limit(0)).collect() == []
 
 
+def test_strings_in_use_are_learned_once(monkeypatch):
+    rng = random.Random(4)
+    vocabulary = packing.Vocabulary("word_bpe_49k.json")
+    learned, learn = [], packing.Vocabulary.learn
+    monkeypatch.setattr(packing.Vocabulary, "limit", 60)
+    monkeypatch.setattr(packing.Vocabulary, "learn", lambda self: learned.extend(self.unknown) or learn(self))
+    for _ in range(40):
+        words = ["".join(rng.choices("aeioustnrÉçß", k=rng.randint(1, 9))) + rng.choice(["", ".", ",&&"]) for _ in range(20)]
+        texts = [" ".join(["The", "fox,", *words, rng.choice(["x<|endoftext|>Y", "가각 ᄀ", "ᅡ क़ e\u0301", "3.14a's", "\x1cA"])]), None, "fox, the"]
+        want = [np.array(vocabulary.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert vocabulary.ids(texts) == want
+    assert learned.count(b"fox,") == learned.count(b"the") == 1
+    assert len(vocabulary) + len(vocabulary.older) <= 3 * 60
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_packing_fills_sequences(spark, seed):
     rng = random.Random(seed)
