@@ -199,16 +199,53 @@ def _chunks(batches, chunk_bytes: int):
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bytes of text counted at once in a task, and buckets (a power of two, a block at least) per flag array."""
+    """Bytes of text counted at once in a task, buckets (a power of two, a block at least) per flag array, and phrases a task adds up before it sends them."""
 
     chunk_bytes: int = 16 << 20
     buckets: int = 1 << 24
+    held: int = 400_000
 
     def __post_init__(self):
         if self.buckets < BLOCK or self.buckets & (self.buckets - 1):
             raise ValueError(f"buckets must be a power of two from {BLOCK} on")
 
 
+class Tally:
+    """Counts of a language's phrases, added up over chunks of text."""
+
+    def __init__(self):
+        self.numbers = Words()
+        self.lengths, self.hashes, self.counts = np.zeros(1, np.int32), np.zeros(1, np.uint64), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.counts) - 1
+
+    def add(self, length: int, phrases: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> None:
+        """Add the counts of different phrases of ``length`` words."""
+        at = np.fromiter(map(self.numbers.__getitem__, phrases), np.int64, len(phrases))
+        more = (0, len(self.numbers.words) - len(self.counts))
+        self.lengths, self.hashes, self.counts = np.pad(self.lengths, more), np.pad(self.hashes, more), np.pad(self.counts, more)
+        self.lengths[at], self.hashes[at] = length, hashes
+        self.counts[at] += counts
+
+    def rows(self, lang: str):
+        for a in range(1, len(self.counts), 50_000):
+            part = slice(a, a + 50_000)
+            phrases = self.numbers.words[part]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(phrases), pa.string()), pa.array(self.lengths[part]), pa.array(phrases, pa.binary()).cast(pa.string()),
+                pa.array(self.hashes[part].view(np.int64)), pa.array(self.counts[part])], names=["lang", "len", "phrase", "hash", "n"])
+
+
+def gathered(docs: DataFrame) -> DataFrame:
+    """At most two partitions for each core of the cluster.
+
+    A task sends every frequent phrase it meets once, so what is sent grows with phrases times tasks. The number of tasks is tied
+    to the cluster, not to the input; a table of fewer partitions is left as it is.
+    """
+    return docs.coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
+
+
 def full_buckets(docs: DataFrame, now: list[Flags], before: list[Flags] | None, levels: range, least: int, sizes: Sizes) -> Flags:
     """Flags of the buckets in which the candidates of ``levels`` words occur ``least`` times or more in all.
 
@@ -286,35 +323,38 @@ def flags_of(phrases: DataFrame, sizes: Sizes) -> Flags:
     return _flags(phrases.select("hash").mapInArrow(mark, BLOCKS).repartition(n, "block").mapInArrow(unite, "block bigint, bits binary"), sizes.buckets)
 
 
-def gram_counts(docs: DataFrame, now: list[Flags], before: list[Flags] | None, full: Flags, most: int, sizes: Sizes) -> DataFrame:
-    """Exact counts (``GRAMS``) of the candidates in (lang, text) whose bucket is ``full``.
+def task_counts(docs: DataFrame, now: list[Flags], before: list[Flags] | None, full: Flags, most: int, sizes: Sizes) -> DataFrame:
+    """What each task counts (``GRAMS``) of the candidates in (lang, text) whose bucket is ``full``.
 
-    Copies meet in chunks before the shuffle. In the first pass a row of length 0 holds a language's number of words.
+    A task adds up what its chunks hold before the shuffle, up to ``sizes.held`` phrases at a time. In the first pass a row of length 0
+    holds a language's number of words.
     """
     shared = docs.sparkSession.sparkContext.broadcast((now, before, full))
 
     def run(batches):
         filters, earlier, bounded = shared.value
-
-        def rows(lang, k, phrases, hashes, counts):
-            for a in range(0, len(phrases), 50_000):
-                part = slice(a, a + 50_000)
-                size = len(phrases[part])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * size, pa.string()), pa.array([k] * size, pa.int32()), pa.array(phrases[part], pa.binary()).cast(pa.string()),
-                    pa.array(hashes[part].view(np.int64)), pa.array(counts[part].astype(np.int64))], names=["lang", "len", "phrase", "hash", "n"])
-
+        held: dict[str, Tally] = {}
         for lang, texts in _chunks(batches, sizes.chunk_bytes):
+            tally = held.setdefault(lang, Tally())
             x, word_hash, spelled = counted_apart(texts)
             if earlier is None:
-                yield from rows(lang, 0, [b""], np.zeros(1, np.uint64), np.array([np.count_nonzero(x)]))
+                tally.add(0, [b""], np.zeros(1, np.uint64), np.array([np.count_nonzero(x)]))
             for k, first, hashes, counts in chosen_grams(x, word_hash, lang, filters, earlier, most, bounded):
                 kept = bounded.has(hashes)
                 first, hashes, counts = first[kept], hashes[kept], counts[kept]
-                yield from rows(lang, k, [b" ".join([spelled[w] for w in row]) for row in x[first[:, None] + np.arange(k)].tolist()], hashes, counts)
+                tally.add(k, [b" ".join([spelled[w] for w in row]) for row in x[first[:, None] + np.arange(k)].tolist()], hashes, counts)
+            if sum(map(len, held.values())) > sizes.held:
+                for lang in list(held):
+                    yield from held.pop(lang).rows(lang)
+        for lang, tally in held.items():
+            yield from tally.rows(lang)
 
-    found = docs.mapInArrow(run, GRAMS)
-    return found.groupBy("lang", "len", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+    return docs.mapInArrow(run, GRAMS)
+
+
+def gram_counts(docs: DataFrame, now: list[Flags], before: list[Flags] | None, full: Flags, most: int, sizes: Sizes) -> DataFrame:
+    """Exact counts (``GRAMS``) of the candidates in (lang, text) whose bucket is ``full``, and what else ``task_counts`` holds."""
+    return task_counts(docs, now, before, full, most, sizes).groupBy("lang", "len", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
 
 
 def mine_sample(docs: DataFrame, rate: float, min_count: int, max_words: int, sizes: Sizes, seed: int) -> list[Flags]:
@@ -357,6 +397,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     read. Flag arrays have ``sizes.buckets`` buckets; where phrases outgrow them more is counted one by one, and the result stays the same.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    texts = gathered(texts)
     now = mine_sample(texts, rate, min_count, max_words, sizes, seed)
     full = full_buckets(texts, now, None, range(1, max_words + 1), min_count, sizes)
     found = stored(gram_counts(texts, now, None, full, max_words, sizes).where((F.col("n") >= min_count) | (F.col("len") == 0)))

@@ -156,6 +156,19 @@ def test_full_buckets_bound_the_candidates(spark):
     assert full.has(hashes).tolist() == [False, False, False, True]  # 160, 160, 120 and 780 times
 
 
+@pytest.mark.parametrize("held", [400_000, 3])
+def test_a_task_sends_a_phrase_once(spark, held):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.createDataFrame([(["en", "de"][k % 2], f"a b c. a b z{k}") for k in range(40 * cores)], "lang string, text string").repartition(4 * cores)
+    everything = phrases.Flags(np.full(1 << 13, 255, np.uint8))
+    sent = stored(phrases.task_counts(phrases.gathered(docs), [everything], None, everything, 2, phrases.Sizes(30, 1 << 16, held)))
+    want = {(lang, p): n * 20 * cores for lang in ("en", "de") for p, n in {"": 6, "a": 2, "b": 2, "c": 1, "a b": 2, "b c": 1}.items()}
+    found = sent.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).where("n > 1").collect()
+    assert {(r.lang, r.phrase): r.n for r in found} == want
+    if held > 3:
+        assert max(r.rows for r in found) <= 2 * cores
+
+
 def test_word_hashes_do_not_depend_on_the_cut(monkeypatch):
     rng = random.Random(2)
     texts = ["".join(rng.choices("aÉbC \t.\n\xa0😀", k=rng.randint(0, 400))) for _ in range(30)] + ["", "x" * 3000, ".", "a"]
