@@ -13,6 +13,9 @@ from locusframe.plans.registry import Query
 from locusframe.session import prepare
 
 
+BATCH_BYTES = "4m"
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """Whole rows as one column beside what the stages read, so that no column of theirs meets one of the input."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
@@ -86,11 +89,15 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _prepared(stage):
-    """The stage on a session that has the library's settings and code."""
+    """The stage on a session that has the library's settings and code, and sends texts to Python in batches bounded by bytes.
+
+    Spark bounds a batch by rows first; 10,000 whole texts are held several times over, in the executor and in each Python worker.
+    """
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return stage(prepare(spark), docs, sf_dir)
+        prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
 
     return run_stage
 

@@ -15,6 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +29,11 @@ class Vocabulary(dict):
 
     The tokenizer never joins across white space, nor a run of letters with the punctuation behind it,
     so a text's ids are those of such parts one after another. A new string gets an empty place, which ``learn`` fills
-    for many strings at a time. Strings not met for a while are forgotten, others are kept.
+    for many strings at a time. Strings not met for a while are forgotten, others are kept. A worker process has it in memory
+    between tasks and stages too: about ``limit`` strings, letter runs among them, are all that it holds.
     """
 
-    limit = 700_000
+    limit = 450_000
     _parts = re.compile(rb"^(?:([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)$|.+$)", re.MULTILINE)
 
     def __init__(self, name: str):
@@ -48,7 +50,6 @@ class Vocabulary(dict):
         self.ends[[i for token, i in known.items() if suffix and token.endswith(suffix)]] = True
         self.older: dict[bytes, bytes] = {}
         self.unknown: dict[bytes, bytearray] = {}
-        self.runs: dict[bytes, bytes | None] = {}  # none for what is not of letters only
         self.marks: dict[bytes, bytes] = {b"": b""}
 
     def __missing__(self, word: bytes) -> bytes | bytearray:
@@ -78,14 +79,15 @@ class Vocabulary(dict):
         if 2 * len(self) > self.limit:
             self.older = dict(self)
             self.clear()
-        if len(self.runs) > self.limit:
-            self.runs.clear()
+            self.marks = {b"": b""}
         split = self._parts.findall(b"\n".join(self.unknown).lower())
-        fresh = list({run for run, _ in split}.difference(self.runs, (b"",)))
+        runs = {run: self.get(run) or self.older.get(run) for run, _ in split if run and (run.isascii() or _letters(run.decode("utf-8")))}
+        fresh = [run for run, ids in runs.items() if not ids]
         for at in range(0, len(fresh), 1000):
-            self._learn_runs(fresh[at : at + 1000])
+            self._learn_runs(fresh[at : at + 1000], runs)
+        self.update(runs)
         for (word, place), (run, mark) in zip(self.unknown.items(), split):
-            ids = self.runs[run] if run else None
+            ids = runs.get(run)  # none for what is not of letters only
             if ids is None:
                 ids = self.encode(word)
             elif mark:
@@ -96,21 +98,15 @@ class Vocabulary(dict):
             self[word] = ids
         self.unknown.clear()
 
-    def _learn_runs(self, runs: list[bytes]) -> None:
+    def _learn_runs(self, runs: list[bytes], found: dict[bytes, bytes]) -> None:
         """Encode letter runs as one text, told apart by the tokens that end a word; one by one should these not agree."""
-        if not _letters(b"".join(r for r in runs if not r.isascii()).decode("utf-8")):
-            letters = [r for r in runs if r.isascii() or _letters(r.decode("utf-8"))]
-            self.runs.update(dict.fromkeys(set(runs).difference(letters)))
-            runs = letters
-        if not runs:
-            return
         numbers = np.array(self.tokenizer.encode_batch_fast([b" ".join(runs).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[numbers]) + 1
         if len(ends) != len(runs) or ends[-1] != len(numbers):
-            self.runs.update((r, self.encode(r)) for r in runs)
+            found.update((r, self.encode(r)) for r in runs)
             return
         ids, ends = numbers.tobytes(), (4 * ends).tolist()
-        self.runs.update((r, ids[a:b]) for r, a, b in zip(runs, [0, *ends], ends))
+        found.update((r, ids[a:b]) for r, a, b in zip(runs, [0, *ends], ends))
 
 
 def _letters(text: str) -> bool:
@@ -133,18 +129,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
 
     def run(batches):
         words = vocabulary(tokenizer)
-        for pdf in batches:
-            out = []
-            for at in range(0, len(pdf), step):
-                part = pdf.iloc[at : at + step]
-                for doc, ids in zip(part[id_col], words.ids(part[text_col].tolist())):
+        kinds = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):  # the texts of a step are all that Python holds
+                part, out = batch.slice(at, step), []
+                for doc, ids in zip(part.column(id_col).to_pylist(), words.ids(part.column(text_col).to_pylist())):
                     ids += closing
                     for piece, first in enumerate(range(0, len(ids), 4 * capacity)):
                         body = ids[first : first + 4 * capacity]
                         out.append((doc, piece, first // 4, len(body) // 4, zlib.crc32(body)))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind.type) for column, kind in zip(zip(*out), kinds)], schema=kinds)
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInPandas(run, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, PIECES)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

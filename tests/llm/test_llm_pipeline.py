@@ -3,6 +3,7 @@
 import os
 import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,11 @@ def test_texts_of_no_learned_language_go(spark):
     strange = spark.createDataFrame([(10**9 + i, " ".join(chr(0x10A0 + (i * 7 + k * k) % 38) * 3 for k in range(80)), None, "s", 0) for i in range(5)], docs.schema)
     kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(strange), SF).select("doc_id").collect()}
     assert kept == {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+
+
+def test_texts_reach_python_in_batches_bounded_by_bytes(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 20_000).alias("text"), F.lit("aa").alias("lang"))
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).collect() == []
+    sizes = docs.select("text").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) >= 60_000_000 and max(r.n for r in sizes) <= 8_000_000

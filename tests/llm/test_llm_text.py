@@ -128,6 +128,16 @@ def test_strings_in_use_are_learned_once(monkeypatch):
     assert len(vocabulary) + len(vocabulary.older) <= 3 * 60
 
 
+def test_a_vocabulary_holds_no_more_strings_than_its_limit(monkeypatch):
+    monkeypatch.setattr(packing.Vocabulary, "limit", 400)
+    vocabulary, rng = packing.Vocabulary("word_bpe_49k.json"), random.Random(6)
+    for _ in range(30):
+        words = ["".join(rng.choices("aeioustnré", k=9)) + rng.choice(["", ".", ",&"]) for _ in range(40)]
+        assert vocabulary.ids([" ".join(words)]) == [vocabulary.encode(" ".join(words).encode())]
+        own = [x for x in [vocabulary, *vars(vocabulary).values()] if isinstance(x, dict)]
+        assert sum(map(len, own)) <= 400 + 2 * 2 * 40 + 10
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_packing_fills_sequences(spark, seed):
     rng = random.Random(seed)
