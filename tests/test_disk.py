@@ -25,3 +25,9 @@ def test_words_without_a_seed_are_not_shuffled(spark):
     seq = "ACGTACGTTTACGGA" * 20
     want = sum(seq[i:i + 7] == "CGTACGT" for i in range(len(seq)))
     assert want and sites.count() == 2 * want
+
+
+def test_derived_text_is_not_shuffled(spark, monkeypatch):
+    monkeypatch.setitem(views.VIEWS, "tiny", "SELECT 'p' AS path, id AS ord, CAST(id AS STRING) AS value FROM range(5)")
+    df = views.view(spark, "", "tiny")
+    assert df.count() == 5 and "Exchange" not in _plan(df) and "CollectMetrics" in _plan(df.where("value != ''"))
