@@ -39,3 +39,9 @@ def test_a_lifted_span_is_exchanged_once(spark):
     lifted = liftover(spans, blocks, 0.5)
     assert sorted(map(tuple, lifted.select("start", "fate", "new_start").collect())) == [(5, "mapped", 55), (5, "mapped", 55), (95, "partial", None)]
     assert _plan(lifted).count("REPARTITION_BY_COL") == 1 and "hashpartitioning(chrom#" in _plan(lifted)
+
+
+@pytest.mark.parametrize("name", ["check_rmsk", "check_bedmethyl"])
+def test_checks_do_not_shuffle_cells(lines, name):
+    check = getattr(quality, name)(lines("chr1\t5\t6\tm\t3\t+\t5\t6\t0,0,0\t3\t50"))
+    assert "c" not in check.rows.columns and "_broken" in check.rows.columns
