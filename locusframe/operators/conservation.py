@@ -14,6 +14,8 @@ from locusframe.operators.ordered import left_lookup, position_block, running, w
 from locusframe.session import discard, materialize
 
 RUN = ["species", "mode"]
+# A base id with at most so many segments is worked on as one array; others go through joins that spread their segments.
+SMALL = 64
 
 
 def base_id(segment: Column) -> Column:
@@ -46,36 +48,62 @@ def segment_scores(query: DataFrame, target: DataFrame) -> DataFrame:
         identity_count(F.col("q"), F.col("t")).alias("matched_length"))
 
 
-def _fraction_column(a: str, b: str) -> Column:
-    """Pairwise block overlap over the smaller union, as expressions on two block arrays."""
-    def union(name: str) -> Column:
-        zero = F.lit(0).cast("bigint")
-        first = F.struct(zero.alias("n"), F.array_min(F.transform(name, lambda x: x["start"])).alias("reach"))
-        return F.aggregate(F.array_sort(F.col(name)), first, lambda acc, x: F.struct(
-            (acc["n"] + F.greatest(zero, x["end"] - F.greatest(x["start"], acc["reach"]))).alias("n"),
-            F.greatest(acc["reach"], x["end"]).alias("reach")), lambda acc: acc["n"])
+def _union_of(blocks: Column) -> Column:
+    """Positions that an array of blocks covers."""
+    zero = F.lit(0).cast("bigint")
+    first = F.struct(zero.alias("n"), F.array_min(F.transform(blocks, lambda x: x["start"])).alias("reach"))
+    return F.aggregate(F.array_sort(blocks), first, lambda acc, x: F.struct(
+        (acc["n"] + F.greatest(zero, x["end"] - F.greatest(x["start"], acc["reach"]))).alias("n"),
+        F.greatest(acc["reach"], x["end"]).alias("reach")), lambda acc: acc["n"])
+
 
+def _fraction_column(a: Column, b: Column) -> Column:
+    """Pairwise block overlap over the smaller union, as expressions on two block arrays."""
     zero = F.lit(0).cast("bigint")
-    pairwise = F.aggregate(F.col(a), zero, lambda acc, x: acc + F.aggregate(F.col(b), zero, lambda t, y: t + F.greatest(
+    pairwise = F.aggregate(a, zero, lambda acc, x: acc + F.aggregate(b, zero, lambda t, y: t + F.greatest(
         zero, F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]))))
-    small = F.least(union(a), union(b))
+    small = F.least(_union_of(a), _union_of(b))
     return F.when(small > 0, pairwise / small).otherwise(0.0)
 
 
+def _segment_rows(scores: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Scored segments with their span (``reach`` is one beyond the end) and blocks."""
+    iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
+    placed = blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", "sizes", "starts")
+    rows = scores.select(*RUN, "base_id", "segment_id", "matched_length").join(placed, [*RUN, "segment_id"])
+    return rows.select(*RUN, "base_id", "segment_id", "start", (F.col("end") + 1).alias("reach"), "matched_length", iv.alias("blocks"))
+
+
+def _large(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of more than ``SMALL`` rows, written."""
+    return materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > SMALL).select(*keys))
+
+
+def _gathered(rows: DataFrame, large: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One array ``m`` of the rows of each key that is not ``large``, sorted, ``segment_id`` first; keys with a null are left out."""
+    rest = ["segment_id", *[c for c in rows.columns if c not in keys and c != "segment_id"]]
+    return rows.dropna(subset=list(keys)).join(large, list(keys), "left_anti").groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(*rest))).alias("m"))
+
+
+def _ids_differ(m: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(m, lambda x: x["segment_id"]))) == F.size(m)
+
+
 def overlapping_pairs(scores: DataFrame, blocks: DataFrame) -> DataFrame:
     """Pairs of segments of a base id whose spans touch, in the order of their ids, with their block overlap.
 
     ``fraction`` is the summed pairwise block overlap over the smaller of the two unions.
     """
-    iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
-    rows = scores.join(blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", iv.alias("blocks")), [*RUN, "segment_id"])
-    keys = [*RUN, "base_id"]
-    rows = rows.select(*keys, "segment_id", "start", (F.col("end") + 1).alias("reach"), "matched_length", "blocks")
-    span = ("start", "reach")
+    return _overlaps(_segment_rows(scores, blocks))
+
+
+def _overlaps(rows: DataFrame) -> DataFrame:
+    keys, span = [*RUN, "base_id"], ("start", "reach")
     pairs = interval_join(rows, rows, keys, span, span).where(F.col("segment_id") < F.col("segment_id_b"))
     # guarded, as a filter on the fraction may be evaluated before the join's own conditions
     touch = (F.col("segment_id") < F.col("segment_id_b")) & (F.col("start") < F.col("reach_b")) & (F.col("start_b") < F.col("reach"))
-    return pairs.select(*keys, "segment_id", "segment_id_b", "matched_length", "matched_length_b", F.when(touch, _fraction_column("blocks", "blocks_b")).alias("fraction"))
+    return pairs.select(*keys, "segment_id", "segment_id_b", "matched_length", "matched_length_b", F.when(touch, _fraction_column(F.col("blocks"), F.col("blocks_b"))).alias("fraction"))
 
 
 def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5) -> DataFrame:
@@ -85,9 +113,32 @@ def duplicate_segments(scores: DataFrame, blocks: DataFrame, cutoff: float = 0.5
     are a pair; pairs are judged in the order of their ids as text, and the better matched segment stays (the
     left one on ties) unless one of the two is already gone. Ids are unique within a species and mode.
     """
-    pairs = overlapping_pairs(scores, blocks).where(F.col("fraction") >= cutoff)
-    keys = [*RUN, "base_id"]
-    return _beaten(pairs.select(*keys, F.col("segment_id").alias("i"), F.col("segment_id_b").alias("j"), (F.col("matched_length") >= F.col("matched_length_b")).alias("keeps_i")), keys)
+    keys, m = [*RUN, "base_id"], F.col("m")
+    rows, large = _segment_rows(scores, blocks), _large(scores, keys)
+    fine = _ids_differ(m)
+    judged = materialize(_gathered(rows, large, keys).select(
+        *keys, F.when(fine, _losers(m, cutoff)).alias("lost"), F.when(~fine, m).alias("m")).where("m is not null or size(lost) > 0"))
+    rest = judged.where("m is not null").select(*keys, F.inline("m"))
+    if not large.isEmpty():
+        rest = rest.unionByName(rows.join(large, keys, "left_semi"))
+    pairs = _overlaps(rest).where(F.col("fraction") >= cutoff)
+    beaten = _beaten(pairs.select(*keys, F.col("segment_id").alias("i"), F.col("segment_id_b").alias("j"), (F.col("matched_length") >= F.col("matched_length_b")).alias("keeps_i")), keys)
+    return judged.select(*RUN, F.explode("lost").alias("segment_id")).unionByName(beaten)
+
+
+def _losers(m: Column, cutoff: float) -> Column:
+    """Ids lost in an array of segments sorted by their ids, all different: its pairs are judged one after the other."""
+    def pairs_of(x: Column) -> Column:
+        touching = F.filter(m, lambda y: (x["segment_id"] < y["segment_id"]) & (x["start"] < y["reach"]) & (y["start"] < x["reach"]))
+        near = F.filter(touching, lambda y: _fraction_column(x["blocks"], y["blocks"]) >= cutoff)
+        return F.transform(near, lambda y: F.struct(
+            x["segment_id"].alias("i"), y["segment_id"].alias("j"), (x["matched_length"] >= y["matched_length"]).alias("keeps_i")))
+
+    def judge(gone: Column, p: Column) -> Column:
+        over = F.array_contains(gone, p["i"]) | F.array_contains(gone, p["j"])
+        return F.when(over, gone).otherwise(F.concat(gone, F.array(F.when(p["keeps_i"], p["j"]).otherwise(p["i"]))))
+
+    return F.aggregate(F.flatten(F.transform(m, pairs_of)), F.array().cast("array<string>"), judge)
 
 
 def _beaten(pairs: DataFrame, keys: Sequence[str], trace: list[int] | None = None) -> DataFrame:
@@ -206,11 +257,49 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
     A base id with one segment keeps its bare id, others get ``_1``, ``_2``, ... by the smallest
     member. Clusters further apart than ``distance`` or on other strands never interact, so each is
     labelled on its own; the numbering over a base id is a count of smaller labels. Segment ids are unique within a species
-    and mode. The work follows the pairs of near members of clusters longer than the distance.
+    and mode. Base ids of few segments whose clusters are no longer than the distance are labelled as arrays; for the others the
+    work follows the pairs of near members of clusters longer than the distance.
     """
+    keys, m = [*RUN, "base_id"], F.col("m")
+    rows = materialize(kept.select(*keys, "segment_id").join(
+        spans.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", "strand"), [*RUN, "segment_id"], "left"))
+    large = _large(rows, keys)
+    named = _gathered(rows.withColumn("strand", F.coalesce("strand", F.lit("."))), large, keys).withColumn("l", _near_labels(m, distance))
+    plain = _ids_differ(m) & F.forall("l", lambda x: x["clear"])
+    order = F.array_sort(F.array_distinct(F.transform("l", lambda x: x["label_id"])))
+    ids = F.transform(m, lambda x, i: F.struct(
+        x["segment_id"].alias("segment_id"), F.array_position(order, F.element_at("l", i + 1)["label_id"]).alias("label_no")))
+    judged = materialize(named.select(*keys, F.when(plain, ids).alias("ids"), F.when(~plain, m).alias("m")))
+    few = judged.where("ids is not null").select(*keys, F.size("ids").cast("bigint").alias("members"), F.inline("ids"))
+    rest = judged.where("m is not null").select(*keys, F.inline("m"))
+    if not large.isEmpty():
+        rest = rest.unionByName(rows.join(large, keys, "left_semi"))
+    many = F.col("members") > 1
+    return few.unionByName(_cluster_labels(rest, distance)).select(
+        *keys, "segment_id",
+        F.when(many, F.concat_ws("_", "base_id", F.col("label_no").cast("string"))).otherwise(F.col("base_id")).alias("grouped_id"),
+        many.alias("modified_group"))
+
+
+def _near_labels(m: Column, distance: int) -> Column:
+    """Per segment of an array sorted by ids: ``label_id``, the first id among those near it, and ``clear``, whether these are all near each other.
+
+    Where all are clear, being near is the same as being in one cluster no longer than the distance.
+    """
+    def label(x: Column) -> Column:
+        near = F.filter(m, lambda y: (y["strand"] == x["strand"]) & (y["start"] - x["end"] <= distance) & (x["start"] - y["end"] <= distance))
+        reach = F.array_max(F.transform(near, lambda y: y["start"])) - F.array_min(F.transform(near, lambda y: y["end"]))
+        alone = x["start"].isNull()
+        return F.struct(
+            F.when(alone, x["segment_id"]).otherwise(F.try_element_at(near, F.lit(1))["segment_id"]).alias("label_id"),
+            F.coalesce(alone | ((x["start"] <= x["end"]) & (reach <= distance)), F.lit(False)).alias("clear"))
+
+    return F.transform(m, label)
+
+
+def _cluster_labels(rows: DataFrame, distance: int) -> DataFrame:
+    """``members`` of the base id and ``label_no`` of each segment's cluster, for base ids of any size."""
     keys = [*RUN, "base_id"]
-    rows = kept.select(*keys, "segment_id").join(
-        spans.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", "strand"), [*RUN, "segment_id"], "left")
     known = rows.where("start is not null").withColumn("strand", F.coalesce("strand", F.lit(".")))
     cluster = [*keys, "strand", "island"]
     placed = materialize(islands(known, [*keys, "strand"], gap=distance))
@@ -225,12 +314,7 @@ def nearby_groups(kept: DataFrame, spans: DataFrame, distance: int = 100_000) ->
     labelled = materialize(labelled.unionByName(alone))
     sizes = labelled.groupBy(*keys).agg(F.count("*").alias("members"))
     ranks = rank_texts(labelled.select(*keys, "label_id").distinct(), keys, "label_id", "label_no")
-    out = labelled.join(ranks, [*keys, "label_id"]).join(sizes, keys)
-    many = F.col("members") > 1
-    return out.select(
-        *keys, "segment_id",
-        F.when(many, F.concat_ws("_", "base_id", F.col("label_no").cast("string"))).otherwise(F.col("base_id")).alias("grouped_id"),
-        many.alias("modified_group"))
+    return labelled.join(ranks, [*keys, "label_id"]).join(sizes, keys).select(*keys, "members", "segment_id", "label_no")
 
 
 def rank_texts(df: DataFrame, keys: Sequence[str], text: str, name: str) -> DataFrame:
@@ -252,6 +336,47 @@ def aggregate_groups(scores: DataFrame, groups: DataFrame, blocks: DataFrame, ex
         F.first("base_id").alias("ids"), F.first("modified_group").alias("modified_group"),
         F.min_by("segment_id", F.struct(-F.col("matched_length"), F.col("segment_id"))).alias("segment_id"),
         F.sum("mapped_length").alias("mapped_length"), F.sum("matched_length").alias("matched_length"))
+    wide = _large_groups(scores, groups, rows, keys)
+    few = rows if wide is None else rows.join(wide, keys, "left_anti")
+    found = _covered(few, blocks, exons, keys)
+    if wide is not None:
+        found = found.unionByName(_covered_of_large(rows.join(wide, keys, "left_semi"), blocks, exons, keys))
+    out = totals.join(found, keys, "left").fillna(0, subset=["true_mapped_length", "exon_covered_num", "exon_counts"]).fillna("", subset=["exon_covered"])
+    return out.withColumns({
+        "match_ratio": safe_ratio(F.col("matched_length"), F.col("mapped_length")),
+        "exon_covered_ratio": safe_ratio(F.col("exon_covered_num"), F.col("exon_counts"))})
+
+
+def _large_groups(scores: DataFrame, groups: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Groups of many segments, or with a segment of a base id that has many; none in most tables."""
+    base = [*RUN, "base_id"]
+    many, hot = _large(groups.select(*keys), keys), _large(scores.select(*base), base)
+    if not hot.isEmpty():
+        many = materialize(many.unionByName(rows.join(hot, base, "left_semi").select(*keys).distinct()).distinct())
+    return None if many.isEmpty() else many
+
+
+def _covered(rows: DataFrame, blocks: DataFrame, exons: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Covered length and exons per group, whose blocks are gathered as arrays; one exchange by base id serves the gathering and the exons."""
+    base, b = [*RUN, "base_id"], F.col("b")
+    iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
+    placed = rows.select(*keys, "base_id", "segment_id").join(
+        blocks.select(*RUN, F.col("ids").alias("segment_id"), "start", "end", "sizes", "starts"), [*RUN, "segment_id"])
+    whole = F.filter(F.flatten(F.collect_list("b")), lambda x: x["start"].isNotNull() & x["end"].isNotNull())
+    gathered = placed.select(*keys, "base_id", iv.alias("b")).where("size(b) > 0").repartition(*base).groupBy(*keys, "base_id").agg(whole.alias("b"))
+    ex = exons.select(*RUN, F.col("ids").alias("base_id"), iv.alias("e"))
+    met = F.filter(F.transform("e", lambda x, i: F.struct((i + 1).alias("no"), x["start"].alias("start"), x["end"].alias("end"))), lambda x: F.exists(
+        b, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
+    met = F.coalesce(F.transform(met, lambda x: x["no"]), F.array().cast("array<int>"))
+    per_base = gathered.join(ex, base, "left").select(*keys, "b", met.alias("met"), F.when(F.size("e") > 0, F.size("e")).alias("n"))
+    per = per_base.groupBy(*keys).agg(
+        F.flatten(F.collect_list("b")).alias("b"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("met")))).alias("met"), F.max("n").cast("bigint").alias("exon_counts"))
+    return per.select(
+        *keys, _union_of(b).alias("true_mapped_length"), F.array_join("met", ",").alias("exon_covered"), F.size("met").cast("bigint").alias("exon_covered_num"), "exon_counts")
+
+
+def _covered_of_large(rows: DataFrame, blocks: DataFrame, exons: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same for groups of any size, by joins that spread a group."""
     iv = block_intervals(F.col("start"), F.col("end"), F.col("sizes"), F.col("starts"))
     parts = rows.select(*keys, "base_id", "segment_id").join(
         blocks.select(*RUN, F.col("ids").alias("segment_id"), F.explode(iv).alias("b")), [*RUN, "segment_id"]
@@ -264,11 +389,8 @@ def aggregate_groups(scores: DataFrame, groups: DataFrame, blocks: DataFrame, ex
     have_blocks = parts.select(*keys, "base_id").distinct()
     counts = have_blocks.join(ex.groupBy(*RUN, "base_id").agg(F.max("exon_counts").alias("exon_counts")), [*RUN, "base_id"]).groupBy(*keys).agg(
         F.max("exon_counts").cast("bigint").alias("exon_counts"))
-    out = totals.join(length, keys, "left").join(covered, keys, "left").join(counts, keys, "left").fillna(
-        0, subset=["true_mapped_length", "exon_covered_num", "exon_counts"]).fillna("", subset=["exon_covered"])
-    return out.withColumns({
-        "match_ratio": safe_ratio(F.col("matched_length"), F.col("mapped_length")),
-        "exon_covered_ratio": safe_ratio(F.col("exon_covered_num"), F.col("exon_counts"))})
+    return parts.select(*keys).distinct().join(length, keys, "left").join(covered, keys, "left").join(counts, keys, "left").select(
+        *keys, "true_mapped_length", "exon_covered", "exon_covered_num", "exon_counts")
 
 
 def enrich(rows: DataFrame, table: DataFrame, key: str | Sequence[str], order: str = "ord") -> DataFrame:

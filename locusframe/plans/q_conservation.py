@@ -76,7 +76,7 @@ def q_block_union(s, d):
 
 
 def drops(s, d):
-    return C.duplicate_segments(scores(s, d), blocks(s, d, "seg_blocks"))
+    return scored_and_dropped(s, d)[1]
 
 
 def scored_and_dropped(s, d):
@@ -109,12 +109,16 @@ def q_groups(s, d):
 
 def one_group(s, d):
     """A plain grouping for the aggregate's check: one group per base id."""
-    sc = scores(s, d)
+    return _one_group(scores(s, d))
+
+
+def _one_group(sc):
     return sc.select(*C.RUN, "segment_id", F.col("base_id").alias("grouped_id"), F.lit(False).alias("modified_group"))
 
 
 def q_aggregate(s, d):
-    out = C.aggregate_groups(scores(s, d), one_group(s, d), blocks(s, d, "seg_blocks"), blocks(s, d, "tx_blocks"))
+    sc = materialize(scores(s, d))
+    out = C.aggregate_groups(sc, _one_group(sc), blocks(s, d, "seg_blocks"), blocks(s, d, "tx_blocks"))
     return longs(out.select(*C.RUN, "grouped_id", "ids", "segment_id", "mapped_length", "matched_length", "true_mapped_length", "exon_counts", "exon_covered", "exon_covered_num",
                             F.round("match_ratio", 9).alias("match_ratio"), F.round("exon_covered_ratio", 9).alias("exon_covered_ratio")))
 
